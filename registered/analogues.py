@@ -17,7 +17,7 @@ from starmill.plans.facts import Dimensions
 from starmill.plans.staging import stage_airline, stage_airport, stage_plane
 from starmill.plans.warehouse import load_dimension
 from starmill.schemas import AIRLINE, AIRPORT, PLANE, DimSpec
-from starmill.sources import replace_table, scratch_root
+from starmill.sources import replace_table, scratch_root, write_table
 
 HOLIDAYS = ((1, 1), (7, 4), (12, 25))
 LOAD_DATE = date(2024, 1, 1)
@@ -166,17 +166,18 @@ def presentation(spark: SparkSession, sf_dir: str) -> Dimensions:
 
 # Customers as a dimension with history: what their latest order of a delivery period says about them.
 BUYER = DimSpec("buyer_dimension", "buyer_key", ("c_custkey",), ("last_status", "last_priority"))
-FIRST_LOAD, SECOND_LOAD = date(1996, 5, 1), date(1997, 6, 1)
+LOADS = (date(1996, 5, 1), date(1997, 6, 1), date(1998, 6, 1))
 
 
-def buyers(spark: SparkSession, sf_dir: str, since: date, until: date) -> DataFrame:
-    """One row per customer who ordered in the period; status P counts as unknown."""
+def delivery(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
+    """Customers who ordered since the load before this one; status P counts as unknown."""
     day = F.col("o_orderdate").cast("date")
+    ordered = table(spark, sf_dir, "orders").where(day < F.lit(LOADS[number]))
+    if number:
+        ordered = ordered.where(day >= F.lit(LOADS[number - 1]))
     latest = F.max(F.struct("o_orderdate", "o_orderkey", "o_orderstatus", "o_orderpriority")).alias("latest")
     return (
-        table(spark, sf_dir, "orders")
-        .where((day >= F.lit(since)) & (day < F.lit(until)))
-        .groupBy(F.col("o_custkey").alias("c_custkey"))
+        ordered.groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(latest)
         .select(
             "c_custkey",
@@ -186,9 +187,22 @@ def buyers(spark: SparkSession, sf_dir: str, since: date, until: date) -> DataFr
     )
 
 
-def first_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return buyers(spark, sf_dir, date(1900, 1, 1), FIRST_LOAD)
+def stored(df: DataFrame) -> DataFrame:
+    """Written to a folder of its own and read back."""
+    path = scratch_root(df.sparkSession)
+    write_table(df, path)
+    return df.sparkSession.read.parquet(path)
 
 
-def second_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return buyers(spark, sf_dir, FIRST_LOAD, SECOND_LOAD)
+_buyers: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+
+
+def buyers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The stored dimension after two loads, closed versions included, and the third delivery, staged."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known not in _buyers:
+        root = scratch_root(spark)
+        for number in (0, 1):
+            dim = load_dimension(spark, root, delivery(spark, sf_dir, number), BUYER, LOADS[number])
+        _buyers[known] = (dim, stored(delivery(spark, sf_dir, 2)))
+    return _buyers[known]

@@ -154,48 +154,57 @@ def _monthly(rows: str) -> str:
     left join months m on d.year = m.year and d.month = m.month"""
 
 
-def _buyers(name: str, since: str, until: str) -> str:
+_LOADS = ("1996-05-01", "1997-06-01", "1998-06-01")
+
+
+def _delivery(number: int) -> str:
+    since = _LOADS[number - 1] if number else "0001-01-01"
     return f"""
-{name} as (
+delivery{number} as (
     select o_custkey as c_custkey, nullif(o_orderstatus, 'P') as last_status, o_orderpriority as last_priority
     from (
         select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as n
-        from orders where o_orderdate >= date '{since}' and o_orderdate < date '{until}'
+        from orders where o_orderdate >= date '{since}' and o_orderdate < date '{_LOADS[number]}'
     ) where n = 1
 )"""
 
 
-BUYERS = (
-    _buyers("delivery1", "1900-01-01", "1996-05-01")
-    + ","
-    + _buyers("staged", "1996-05-01", "1997-06-01")
-    + """,
-dim as (
-    select cast(row_number() over (order by md5(cast(c_custkey as varchar))) as bigint) as buyer_key,
-        c_custkey, last_status, last_priority, date '1996-05-01' as start_date, date '9999-12-31' as end_date,
-        true as current_flag
-    from delivery1
-),
-changed as (
-    select s.* from staged s join dim d on s.c_custkey = d.c_custkey
+def _steps(number: int) -> str:
+    """What delivery ``number`` means for the dimension as the load before it left it."""
+    dim, staged = f"dim{number - 1}", f"delivery{number}"
+    return f"""
+changed{number} as (
+    select s.* from {staged} s join {dim} d on s.c_custkey = d.c_custkey and d.current_flag
     where s.last_status is distinct from d.last_status or s.last_priority is distinct from d.last_priority
 ),
-added as (select * from staged s where not exists (select 1 from dim d where d.c_custkey = s.c_custkey)),
-delivered_again as (select * from staged s where exists (select 1 from dim d where d.c_custkey = s.c_custkey))"""
-)
+added{number} as (select * from {staged} s where not exists (select 1 from {dim} d where d.c_custkey = s.c_custkey)),
+again{number} as (select * from {staged} s where exists (select 1 from {dim} d where d.c_custkey = s.c_custkey))"""
 
 
-def _merge(ended: str) -> str:
+def _merge(number: int, versioned: str) -> str:
+    dim, day = f"dim{number - 1}", f"date '{_LOADS[number]}'"
+    ends = f"(current_flag and c_custkey in (select c_custkey from {versioned}{number}))"
     return f"""
     select buyer_key, c_custkey, last_status, last_priority, start_date,
-        case when c_custkey in (select c_custkey from {ended}) then date '1997-06-01' else end_date end as end_date,
-        c_custkey not in (select c_custkey from {ended}) as current_flag
-    from dim
+        case when {ends} then {day} else end_date end as end_date, current_flag and not {ends} as current_flag
+    from {dim}
     union all
-    select (select max(buyer_key) from dim)
+    select (select max(buyer_key) from {dim})
             + cast(row_number() over (order by md5(cast(c_custkey as varchar))) as bigint) as buyer_key,
-        c_custkey, last_status, last_priority, date '1997-06-01', date '9999-12-31', true
-    from (select * from added union all select * from {ended})"""
+        c_custkey, last_status, last_priority, {day}, date '9999-12-31', true
+    from (select * from added{number} union all select * from {versioned}{number})"""
+
+
+BUYERS = ",".join([_delivery(0), _delivery(1), _delivery(2)]) + f""",
+dim0 as (
+    select cast(row_number() over (order by md5(cast(c_custkey as varchar))) as bigint) as buyer_key,
+        c_custkey, last_status, last_priority, date '{_LOADS[0]}' as start_date, date '9999-12-31' as end_date,
+        true as current_flag
+    from delivery0
+),
+{_steps(1)},
+dim1 as ({_merge(1, "changed")}),
+{_steps(2)}"""
 
 
 _DELAYS = """cast(count(case when total_delay > 0 then 1 end) as bigint) as delayed_flights,
@@ -309,19 +318,20 @@ ORACLE: dict[str, str] = {
                     order by nullif(o_orderstatus, 'P') nulls first, o_orderpriority nulls first) as n
             from orders
         ) where n = 1""",
-    "scd2_new_members": f"with {BUYERS} select * from added",
-    "scd2_existing_members": f"with {BUYERS} select * from delivered_again",
-    "scd2_changed_members": f"with {BUYERS} select * from changed",
+    "scd2_new_members": f"with {BUYERS} select * from added2",
+    "scd2_existing_members": f"with {BUYERS} select * from again2",
+    "scd2_changed_members": f"with {BUYERS} select * from changed2",
     "scd2_closed_rows": f"""
         with {BUYERS}
-        select buyer_key, c_custkey, last_status, last_priority, start_date, date '1997-06-01' as end_date,
+        select buyer_key, c_custkey, last_status, last_priority, start_date, date '{_LOADS[2]}' as end_date,
             false as current_flag
-        from dim where c_custkey in (select c_custkey from changed)""",
+        from dim1 where current_flag and c_custkey in (select c_custkey from changed2)""",
     "scd2_untouched_rows": f"""
-        with {BUYERS} select * from dim where c_custkey not in (select c_custkey from changed)""",
-    "scd2_merge": f"with {BUYERS} {_merge('changed')}",
-    "scd2_merge_always": f"with {BUYERS} {_merge('delivered_again')}",
-    "scd2_current": f"with {BUYERS} select * from ({_merge('changed')}) where current_flag",
+        with {BUYERS}
+        select * from dim1 where not current_flag or c_custkey not in (select c_custkey from changed2)""",
+    "scd2_merge": f"with {BUYERS} {_merge(2, 'changed')}",
+    "scd2_merge_always": f"with {BUYERS} {_merge(2, 'again')}",
+    "scd2_current": f"with {BUYERS} select * from ({_merge(2, 'changed')}) where current_flag",
     "date_dimension": f"with {DATES} select * from dates",
     "time_dimension": """
         with seconds as (select cast(s as integer) as s from range(86400) as r(s)),

@@ -11,29 +11,28 @@ from pyspark.sql import functions as F
 from starmill.functions.clock import hhmm_hour, hhmm_minute, hhmm_second
 from starmill.functions.measures import DELAY_PARTS, total_delay
 from starmill.functions.text import fill_undefined, lower_columns, parse_place
+from starmill.operators import scd2
 from starmill.operators.audit import load_audit, profile_table
-from starmill.operators.calendar import literal_span, date_dimension, monthly_dimension, time_dimension
+from starmill.operators.calendar import date_dimension, literal_span, monthly_dimension, time_dimension
 from starmill.operators.keys import dense_key, next_key
 from starmill.operators.lookups import current, lookup
-from starmill.operators import scd2
 from starmill.plans import dashboards, facts, staging
 from starmill.sources import read_delimited, read_table, replace_table, scratch_root, write_delimited, write_table
 
 from .analogues import (
     BUYER,
-    FIRST_LOAD,
     HOLIDAYS,
-    SECOND_LOAD,
+    LOADS,
     airlines,
     airports,
+    buyers,
     dates,
     engines,
-    first_delivery,
     flights,
     passengers,
     planes,
     presentation,
-    second_delivery,
+    stored,
     table,
     wac,
 )
@@ -174,10 +173,6 @@ def stage_plane(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Dimensions with history
 
 
-def _buyer_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd2.scd2_initial(first_delivery(spark, sf_dir), BUYER, FIRST_LOAD)
-
-
 def scd2_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged straight from the orders: many rows, copies and contradictions per customer."""
     delivered = table(spark, sf_dir, "orders").select(
@@ -185,18 +180,21 @@ def scd2_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.nullif("o_orderstatus", F.lit("P")).alias("last_status"),
         F.col("o_orderpriority").alias("last_priority"),
     )
-    return scd2.scd2_initial(delivered, BUYER, FIRST_LOAD)
+    return scd2.scd2_initial(delivered, BUYER, LOADS[0])
 
 
 def _of_both(step: Callable[..., DataFrame], *more: object) -> Query:
+    """A step of the merge, given the stored dimension and the staged delivery."""
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return step(_buyer_dimension(spark, sf_dir), second_delivery(spark, sf_dir), BUYER, *more)
+        dim, staged = buyers(spark, sf_dir)
+        return step(dim, staged, BUYER, *more)
 
     return query
 
 
 def scd2_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return current(_of_both(scd2.scd2_merge, SECOND_LOAD)(spark, sf_dir))
+    return current(_of_both(scd2.scd2_merge, LOADS[2], "attributes", stored)(spark, sf_dir))
 
 
 # Calendars
@@ -291,10 +289,10 @@ QUERIES: dict[str, Query] = {
     "scd2_new_members": _of_both(scd2.new_members),
     "scd2_existing_members": _of_both(scd2.existing_members),
     "scd2_changed_members": _of_both(scd2.changed_members),
-    "scd2_closed_rows": _of_both(scd2.closed_rows, SECOND_LOAD),
+    "scd2_closed_rows": _of_both(scd2.closed_rows, LOADS[2]),
     "scd2_untouched_rows": _of_both(scd2.untouched_rows),
-    "scd2_merge": _of_both(scd2.scd2_merge, SECOND_LOAD),
-    "scd2_merge_always": _of_both(scd2.scd2_merge, SECOND_LOAD, "always"),
+    "scd2_merge": _of_both(scd2.scd2_merge, LOADS[2], "attributes", stored),
+    "scd2_merge_always": _of_both(scd2.scd2_merge, LOADS[2], "always", stored),
     "scd2_current": scd2_current,
     "date_dimension": date_dim,
     "time_dimension": time_dim,

@@ -4,11 +4,12 @@ Versions are half-open intervals: the end of a closed version is the start of it
 version ends on 9999-12-31.  The load date is a parameter; nothing reads the clock.
 
 A merge works on open versions only.  Closed versions are passed through without a shuffle, however many a
-member has, and both sides of the one join hold at most one row per member.
+member has, and both sides of every join hold at most one row per member.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 from functools import reduce
 from operator import or_
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import DimSpec
 from .keys import dense_key
-from .lookups import one_per_key
+from .lookups import current, lookup, one_per_key
 
 OPEN_END = date(9999, 12, 31)
 CHANGE_MODES = ("attributes", "always")
@@ -32,11 +33,10 @@ def open_version(df: DataFrame, as_of: date) -> DataFrame:
 
 
 def _members(staging: DataFrame, spec: DimSpec) -> DataFrame:
-    return one_per_key(staging.select(*spec.natural_key, *spec.attributes), spec.natural_key)
-
-
-def _open(dim: DataFrame) -> DataFrame:
-    return dim.where(F.col("current_flag"))
+    """One row per member.  A NULL natural key names no member and stops the load."""
+    missing = F.raise_error(F.lit(f"{spec.name}: NULL in the natural key of the staged rows"))
+    keys = [F.coalesce(F.col(n), missing).alias(n) for n in spec.natural_key]
+    return one_per_key(staging.select(*keys, *spec.attributes), spec.natural_key)
 
 
 def _closed(dim: DataFrame) -> DataFrame:
@@ -59,34 +59,30 @@ def _matched(dim: DataFrame, staging: DataFrame, spec: DimSpec, how: str) -> Dat
     """Open versions next to the staged row of the same member; staged columns carry a prefix."""
     staged = _members(staging, spec)
     staged = staged.select(*[F.col(c).alias(_staged(c)) for c in staged.columns])
-    versions = _open(dim).select(*spec.columns)
+    versions = current(dim).select(*spec.columns)
     same_member = reduce(
         lambda a, b: a & b, [F.col(n) == F.col(_staged(n)) for n in spec.natural_key]
     )
     return versions.join(staged, same_member, how)
 
 
-def _staged_present(spec: DimSpec) -> Column:
-    return F.col(_staged(spec.natural_key[0])).isNotNull()
-
-
-def _as_staged(df: DataFrame, spec: DimSpec) -> DataFrame:
-    return df.select(*[F.col(_staged(c)).alias(c) for c in (*spec.natural_key, *spec.attributes)])
+def _staged_columns(spec: DimSpec) -> list[Column]:
+    return [F.col(_staged(c)).alias(c) for c in (*spec.natural_key, *spec.attributes)]
 
 
 def new_members(dim: DataFrame, staging: DataFrame, spec: DimSpec) -> DataFrame:
     """Staged rows of members the dimension has never seen."""
-    return _members(staging, spec).join(_open(dim).select(*spec.natural_key), list(spec.natural_key), "left_anti")
+    return _members(staging, spec).join(current(dim).select(*spec.natural_key), list(spec.natural_key), "left_anti")
 
 
 def existing_members(dim: DataFrame, staging: DataFrame, spec: DimSpec) -> DataFrame:
     """Staged rows of members the dimension already holds."""
-    return _members(staging, spec).join(_open(dim).select(*spec.natural_key), list(spec.natural_key), "left_semi")
+    return _members(staging, spec).join(current(dim).select(*spec.natural_key), list(spec.natural_key), "left_semi")
 
 
 def changed_members(dim: DataFrame, staging: DataFrame, spec: DimSpec, change: str = "attributes") -> DataFrame:
     """Staged rows that differ from the open version of their member; NULL equals NULL."""
-    return _as_staged(_matched(dim, staging, spec, "inner").where(_differs(spec, change)), spec)
+    return _matched(dim, staging, spec, "inner").where(_differs(spec, change)).select(*_staged_columns(spec))
 
 
 def closed_rows(
@@ -103,7 +99,8 @@ def closed_rows(
 
 def untouched_rows(dim: DataFrame, staging: DataFrame, spec: DimSpec, change: str = "attributes") -> DataFrame:
     """Versions this load leaves as they are: closed ones, unchanged ones and those of absent members."""
-    stays = ~_staged_present(spec) | ~_differs(spec, change)
+    absent = F.col(_staged(spec.natural_key[0])).isNull()
+    stays = absent | ~_differs(spec, change)
     kept = _matched(dim, staging, spec, "left").where(stays).select(*spec.columns)
     return _closed(dim).select(*spec.columns).unionByName(kept)
 
@@ -114,34 +111,54 @@ def scd2_initial(staging: DataFrame, spec: DimSpec, as_of: date) -> DataFrame:
     return open_version(members, as_of).select(*spec.columns)
 
 
-def scd2_merge(
-    dim: DataFrame, staging: DataFrame, spec: DimSpec, as_of: date, change: str = "attributes"
-) -> DataFrame:
-    """Bring ``staging`` into ``dim``: append new members and version changed ones.
+def scd2_delta(dim: DataFrame, staging: DataFrame, spec: DimSpec, change: str = "attributes") -> DataFrame:
+    """Staged rows that need a new version; ``_held`` tells changed members from new ones."""
+    matched = _matched(dim, staging, spec, "right")
+    held = F.col(spec.natural_key[0]).isNotNull()
+    needed = matched.where(~held | _differs(spec, change))
+    return needed.select(*_staged_columns(spec), held.alias("_held"))
 
-    ``change="attributes"`` opens a version only where an attribute differs, so repeating a load changes
-    nothing; ``change="always"`` opens one for every delivered member.  Members absent from ``staging`` stay
-    open.  New rows are numbered on from the largest key of the dimension.
 
-    Both branches below read the same two shuffles, which Spark reuses.
-    """
-    matched = _matched(dim, staging, spec, "full")
-    held, present = F.col(spec.key).isNotNull(), _staged_present(spec)
-    ends = present & _differs(spec, change)
+def scd2_apply(dim: DataFrame, delta: DataFrame, spec: DimSpec, as_of: date) -> DataFrame:
+    """End the versions ``delta`` replaces and append its rows, numbered on from the largest key.
 
-    versions = matched.where(held).withColumns(
+    A delta that was measured to be small is broadcast, so that the dimension is not shuffled.
+    """
+    ended = delta.where("_held").select(*spec.natural_key, F.lit(True).alias("flag"))
+    versions = lookup(current(dim), ended, {n: n for n in spec.natural_key}, {"_ended": "flag"})
+    is_ended = F.coalesce("_ended", F.lit(False))
+    versions = versions.withColumns(
         {
-            "end_date": F.when(ends, F.lit(as_of)).otherwise(F.col("end_date")),
-            "current_flag": ~F.coalesce(ends, F.lit(False)),
+            "end_date": F.when(is_ended, F.lit(as_of)).otherwise(F.col("end_date")),
+            "current_flag": ~is_ended,
         }
     )
-    opened = _as_staged(matched.where(present & (~held | _differs(spec, change))), spec)
     last_key = F.coalesce(dim.agg(F.max(spec.key)).scalar(), F.lit(0))
-    numbered = open_version(dense_key(opened, spec.natural_key, spec.key, last_key), as_of)
-
+    opened = open_version(dense_key(delta.drop("_held"), spec.natural_key, spec.key, last_key), as_of)
     return (
         _closed(dim)
         .select(*spec.columns)
         .unionByName(versions.select(*spec.columns))
-        .unionByName(numbered.select(*spec.columns))
+        .unionByName(opened.select(*spec.columns))
     )
+
+
+def scd2_merge(
+    dim: DataFrame,
+    staging: DataFrame,
+    spec: DimSpec,
+    as_of: date,
+    change: str = "attributes",
+    store: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Bring ``staging`` into ``dim``: append new members and version changed ones.
+
+    ``change="attributes"`` opens a version only where an attribute differs, so repeating a load changes
+    nothing; ``change="always"`` opens one for every delivered member.  Members absent from ``staging`` stay
+    open.
+
+    The delta is read three times.  ``store`` writes it somewhere and returns it read back, so that the join
+    that finds it runs once.
+    """
+    delta = scd2_delta(dim, staging, spec, change)
+    return scd2_apply(dim, store(delta) if store else delta, spec, as_of)

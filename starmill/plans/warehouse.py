@@ -72,10 +72,17 @@ def load_dimension(
     as_of: date,
     change: str = "attributes",
 ) -> DataFrame:
-    """First load or merge of one dimension; returns the new version as stored."""
+    """First load or merge of one dimension; returns the new version as stored.
+
+    The delta of a merge is kept next to the table, as ``<root>_delta``.
+    """
     if current_version(spark, root) is None:
         return replace_table(scd2_initial(staging, spec, as_of), root)
-    return replace_table(scd2_merge(read_table(spark, root), staging, spec, as_of, change), root)
+
+    def store(delta: DataFrame) -> DataFrame:
+        return replace_table(delta, f"{root}_delta")
+
+    return replace_table(scd2_merge(read_table(spark, root), staging, spec, as_of, change, store), root)
 
 
 def stage_all(spark: SparkSession, raw: RawZone, lake: str) -> dict[str, DataFrame]:
