@@ -6,10 +6,13 @@ aircraft, and a part's brand the maker of its engine.  Whole tables are used thr
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import date
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starmill.operators.calendar import date_dimension, date_span, monthly_dimension, time_dimension
 from starmill.operators.lookups import lookup, measured_bytes
@@ -17,63 +20,90 @@ from starmill.plans.facts import Dimensions
 from starmill.plans.staging import stage_airline, stage_airport, stage_plane
 from starmill.plans.warehouse import load_dimension
 from starmill.schemas import AIRLINE, AIRPORT, PLANE, DimSpec
-from starmill.sources import replace_table, scratch_root, write_table
+from starmill.sources import replace_table, scratch_root, spread, write_table
 
 HOLIDAYS = ((1, 1), (7, 4), (12, 25))
 LOAD_DATE = date(2024, 1, 1)
 
 
+@lru_cache
+def _schema(file: str) -> StructType:
+    return SparkSession.getActiveSession().read.parquet(file).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    file = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(file)).parquet(file)
 
 
 def _text(name: str) -> Column:
     return F.col(name).cast("string")
 
 
-def _routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with the date of their order and the nations of customer and supplier."""
-    lines = table(spark, sf_dir, "lineitem")
+def _routes(spark: SparkSession, sf_dir: str, order: bool = True, origin: bool = True, dest: bool = True) -> DataFrame:
+    """Line items with, where asked for, their order and the nations of customer and supplier."""
+    rows = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    sizes = measured_bytes(orders, customers, suppliers)
-    rows = lookup(lines, orders, {"l_orderkey": "o_orderkey"}, {c: c for c in orders.columns[1:]}, table_bytes=sizes[0])
-    rows = lookup(rows, customers, {"o_custkey": "c_custkey"}, {"c_nationkey": "c_nationkey"}, table_bytes=sizes[1])
-    return lookup(rows, suppliers, {"l_suppkey": "s_suppkey"}, {"s_nationkey": "s_nationkey"}, table_bytes=sizes[2])
+    joins = []
+    if order or origin:
+        joins.append((orders, {"l_orderkey": "o_orderkey"}))
+    if origin:
+        joins.append((customers, {"o_custkey": "c_custkey"}))
+    if dest:
+        joins.append((suppliers, {"l_suppkey": "s_suppkey"}))
+    for (right, on), size in zip(joins, measured_bytes(*[right for right, _ in joins]), strict=True):
+        rows = lookup(rows, right, on, {c: c for c in right.columns[1:]}, table_bytes=size)
+    return rows
+
+
+ORIGIN_COLUMNS = {"OriginAirportID", "OriginState", "OriginStateName", "OriginWac", "Div1AirportID"}
+ORDER_COLUMNS = {"FlightDate", "CancellationCode"}
+DEST_COLUMNS = {"DestAirportID"}
 
 
-def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flights(spark: SparkSession, sf_dir: str, columns: Collection[str] | None = None) -> DataFrame:
+    """Line items as flights; with ``columns`` only what these need is joined."""
     cancelled, diverted = F.col("l_returnflag") == "R", F.col("l_linestatus") == "O"
     price = F.floor("l_extendedprice")
-    return _routes(spark, sf_dir).select(
-        "l_orderkey",
-        "l_linenumber",
-        F.to_date("o_orderdate").alias("FlightDate"),
-        _text("l_suppkey").alias("Carrier"),
-        _text("l_partkey").alias("TailNum"),
-        _text("c_nationkey").alias("OriginAirportID"),
-        F.concat(F.lit("S"), _text("c_nationkey")).alias("OriginState"),
-        F.concat(F.lit("State "), _text("c_nationkey")).alias("OriginStateName"),
-        (F.pmod("c_nationkey", F.lit(5)) + 1).alias("OriginWac"),
-        _text("s_nationkey").alias("DestAirportID"),
-        F.pmod(price, F.lit(2401)).cast("int").alias("CRSDepTime"),
-        F.when(~cancelled, F.pmod(price * 7, F.lit(2460)).cast("double")).alias("DepTime"),
-        cancelled.cast("double").alias("Cancelled"),
-        F.when(cancelled, F.col("o_orderpriority")).alias("CancellationCode"),
-        diverted.cast("double").alias("Diverted"),
-        (F.col("l_quantity") * 10).alias("AirTime"),
-        F.col("l_quantity").alias("WeatherDelay"),
-        F.round(F.col("l_discount") * 100).alias("NASDelay"),
-        F.when(F.col("l_returnflag") != "N", F.round(F.col("l_tax") * 100)).alias("SecurityDelay"),
-        F.col("l_linenumber").cast("double").alias("LateAircraftDelay"),
-        F.col("l_linenumber").cast("double").alias("TaxiIn"),
-        (F.col("l_linenumber") * 2).cast("double").alias("TaxiOut"),
-        F.when(diverted, _text("c_nationkey")).alias("Div1AirportID"),
-        F.when(diverted, _text("l_partkey")).alias("Div1TailNum"),
-        F.when(diverted & cancelled, _text("l_linenumber")).alias("Div2AirportID"),
-        F.when(diverted & cancelled, _text("l_orderkey")).alias("Div2TailNum"),
+    values = {
+        "l_orderkey": F.col("l_orderkey"),
+        "l_linenumber": F.col("l_linenumber"),
+        "FlightDate": F.to_date("o_orderdate"),
+        "Carrier": _text("l_suppkey"),
+        "TailNum": _text("l_partkey"),
+        "OriginAirportID": _text("c_nationkey"),
+        "OriginState": F.concat(F.lit("S"), _text("c_nationkey")),
+        "OriginStateName": F.concat(F.lit("State "), _text("c_nationkey")),
+        "OriginWac": F.pmod("c_nationkey", F.lit(5)) + 1,
+        "DestAirportID": _text("s_nationkey"),
+        "CRSDepTime": F.pmod(price, F.lit(2401)).cast("int"),
+        "DepTime": F.when(~cancelled, F.pmod(price * 7, F.lit(2460)).cast("double")),
+        "Cancelled": cancelled.cast("double"),
+        "CancellationCode": F.when(cancelled, F.col("o_orderpriority")),
+        "Diverted": diverted.cast("double"),
+        "AirTime": F.col("l_quantity") * 10,
+        "WeatherDelay": F.col("l_quantity"),
+        "NASDelay": F.round(F.col("l_discount") * 100),
+        "SecurityDelay": F.when(F.col("l_returnflag") != "N", F.round(F.col("l_tax") * 100)),
+        "LateAircraftDelay": F.col("l_linenumber").cast("double"),
+        "TaxiIn": F.col("l_linenumber").cast("double"),
+        "TaxiOut": (F.col("l_linenumber") * 2).cast("double"),
+        "Div1AirportID": F.when(diverted, _text("c_nationkey")),
+        "Div1TailNum": F.when(diverted, _text("l_partkey")),
+        "Div2AirportID": F.when(diverted & cancelled, _text("l_linenumber")),
+        "Div2TailNum": F.when(diverted & cancelled, _text("l_orderkey")),
+    }
+    names = set(columns if columns is not None else values)
+    rows = _routes(
+        spark,
+        sf_dir,
+        order=bool(names & ORDER_COLUMNS),
+        origin=bool(names & ORIGIN_COLUMNS),
+        dest=bool(names & DEST_COLUMNS),
     )
+    return rows.select(*[value.alias(name) for name, value in values.items() if name in names])
 
 
 def airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +123,11 @@ def wac(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def staged_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = flights(spark, sf_dir, ["OriginAirportID", "OriginState", "OriginStateName", "OriginWac"])
+    return stage_airport(airports(spark, sf_dir), seen, wac(spark, sf_dir))
+
+
 def _brand_number() -> Column:
     return F.regexp_extract("p_brand", "#([0-9]+)", 1).cast("int")
 
@@ -148,7 +183,7 @@ def presentation(spark: SparkSession, sf_dir: str) -> Dimensions:
         root = scratch_root(spark)
         staged = {
             AIRLINE: stage_airline(airlines(spark, sf_dir)),
-            AIRPORT: stage_airport(airports(spark, sf_dir), flights(spark, sf_dir), wac(spark, sf_dir)),
+            AIRPORT: staged_airports(spark, sf_dir),
             PLANE: stage_plane(planes(spark, sf_dir), engines(spark, sf_dir)),
         }
         loaded = {s: load_dimension(spark, f"{root}/{s.name}", rows, s, LOAD_DATE) for s, rows in staged.items()}

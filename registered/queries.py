@@ -17,14 +17,13 @@ from starmill.operators.calendar import date_dimension, literal_span, monthly_di
 from starmill.operators.keys import dense_key, next_key
 from starmill.operators.lookups import current, lookup
 from starmill.plans import dashboards, facts, staging
-from starmill.sources import read_delimited, read_table, replace_table, scratch_root, write_delimited, write_table
+from starmill.sources import read_delimited, read_table, replace_table, scratch_root, spread, write_delimited, write_table
 
 from .analogues import (
     BUYER,
     HOLIDAYS,
     LOADS,
     airlines,
-    airports,
     buyers,
     dates,
     engines,
@@ -32,9 +31,9 @@ from .analogues import (
     passengers,
     planes,
     presentation,
+    staged_airports,
     stored,
     table,
-    wac,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,7 +72,8 @@ def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile_table(table(spark, sf_dir, "lineitem")).withColumn("mean_value", F.round("mean_value", 4))
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    return profile_table(lines).withColumn("mean_value", F.round("mean_value", 4))
 
 
 # Projection, filter, scalar functions
@@ -128,7 +128,7 @@ def time_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def delay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = flights(spark, sf_dir)
+    rows = flights(spark, sf_dir, ["l_orderkey", "l_linenumber", *DELAY_PARTS])
     return rows.select("l_orderkey", "l_linenumber", *DELAY_PARTS, total_delay(*DELAY_PARTS).alias("total_delay"))
 
 
@@ -163,7 +163,7 @@ def stage_airline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_airport(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.stage_airport(airports(spark, sf_dir), flights(spark, sf_dir), wac(spark, sf_dir))
+    return staged_airports(spark, sf_dir)
 
 
 def stage_plane(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,12 +228,12 @@ def fact_date_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def role_playing_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = presentation(spark, sf_dir)
-    keys = ["origin_airport_key", "dest_airport_key", "div1_airport_key", "div2_airport_key"]
-    return facts.daily_fact(flights(spark, sf_dir), dims, [*keys, "air_time"])
+    columns = ["origin_airport_key", "dest_airport_key", "div1_airport_key", "div2_airport_key", "air_time"]
+    return facts.daily_fact(flights(spark, sf_dir, facts.flight_columns(columns)), dims, columns)
 
 
 def daily_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.daily_fact(flights(spark, sf_dir), presentation(spark, sf_dir))
+    return facts.daily_fact(flights(spark, sf_dir, facts.flight_columns()), presentation(spark, sf_dir))
 
 
 def monthly_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,14 +252,14 @@ def _asked(question: Callable[..., DataFrame], dimension: str, *columns: str) ->
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         dims = presentation(spark, sf_dir)
-        fact = facts.daily_fact(flights(spark, sf_dir), dims, columns)
+        fact = facts.daily_fact(flights(spark, sf_dir, facts.flight_columns(columns)), dims, columns)
         return question(fact, getattr(dims, dimension))
 
     return query
 
 
 def cancellation_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboards.cancellation_reasons(flights(spark, sf_dir))
+    return dashboards.cancellation_reasons(flights(spark, sf_dir, ["Cancelled", "CancellationCode"]))
 
 
 def monthly_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,30 +20,48 @@ def load_audit(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _cell(index: int, field: T.StructField) -> Column:
+    """One value with its column number; whole numbers, fractions and all else in fields of their own.
+
+    A number is never turned into text, and a whole number keeps all its digits.
+    """
+    value, kind = F.col(field.name), field.dataType
+    whole = value if isinstance(kind, T.IntegralType) else F.lit(None)
+    fraction = value if isinstance(kind, T.NumericType) and not isinstance(kind, T.IntegralType) else F.lit(None)
+    is_exact_text = isinstance(kind, T.DecimalType) or not isinstance(kind, T.NumericType)
+    text = value if is_exact_text else F.lit(None)
+    return F.struct(
+        F.lit(index).alias("column_index"),
+        text.cast("string").alias("text"),
+        whole.cast("long").alias("whole"),
+        fraction.cast("double").alias("fraction"),
+    )
+
+
 def profile_table(df: DataFrame) -> DataFrame:
     """One row per column: rows, NULLs, distinct values, and range and mean of numeric columns.
 
     The table is read once.  Equal values of a column are counted where they lie before they are shuffled;
     the exact distinct count then only sees one row per value.
     """
-    cells = [
-        F.struct(
-            F.lit(f.name).alias("column_name"),
-            F.col(f.name).cast("string").alias("text"),
-            (F.col(f.name) if isinstance(f.dataType, T.NumericType) else F.lit(None))
-            .cast("double")
-            .alias("number"),
+    names = df.columns
+    cells = df.select(F.inline(F.array(*[_cell(i, f) for i, f in enumerate(df.schema.fields)])))
+    per_value = cells.groupBy(*cells.columns).agg(F.count("*").alias("n"))
+    number = F.coalesce("fraction", F.col("whole").cast("double"))
+    present = F.col("text").isNotNull() | F.col("whole").isNotNull() | F.col("fraction").isNotNull()
+    numbered = per_value.select("column_index", "n", number.alias("number"), present.alias("present"))
+    return (
+        numbered.groupBy("column_index")
+        .agg(
+            F.sum("n").alias("row_count"),
+            F.coalesce(F.sum(F.when(~F.col("present"), F.col("n"))), F.lit(0)).alias("null_count"),
+            F.count(F.when(F.col("present"), 1)).alias("distinct_count"),
+            F.min("number").alias("min_value"),
+            F.max("number").alias("max_value"),
+            F.try_divide(
+                F.sum(F.col("number") * F.col("n")), F.sum(F.when(F.col("number").isNotNull(), F.col("n")))
+            ).alias("mean_value"),
         )
-        for f in df.schema.fields
-    ]
-    values = df.select(F.inline(F.array(*cells))).groupBy("column_name", "text", "number")
-    per_value = values.agg(F.count("*").alias("n"))
-    numbers = F.when(F.col("number").isNotNull(), F.col("n"))
-    return per_value.groupBy("column_name").agg(
-        F.sum("n").alias("row_count"),
-        F.coalesce(F.sum(F.when(F.col("text").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
-        F.count("text").alias("distinct_count"),
-        F.min("number").alias("min_value"),
-        F.max("number").alias("max_value"),
-        F.try_divide(F.sum(F.col("number") * F.col("n")), F.sum(numbers)).alias("mean_value"),
+        .withColumn("column_index", F.get(F.array(*[F.lit(n) for n in names]), F.col("column_index")))
+        .withColumnRenamed("column_index", "column_name")
     )

@@ -50,6 +50,8 @@ def _row_bytes(df: DataFrame) -> Column:
 
 def measured_bytes(*tables: DataFrame) -> list[int]:
     """Bytes of each table, summed over all its rows; one job for all tables."""
+    if not tables:
+        return []
     sums = [
         t.agg(F.coalesce(_row_bytes(t), F.lit(0)).alias("bytes")).select(F.lit(i).alias("i"), "bytes")
         for i, t in enumerate(tables)

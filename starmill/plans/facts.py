@@ -33,6 +33,8 @@ class Role:
     on: dict[str, str]
 
 
+DATE_ROLE = Role("date", {"FlightDate": "date"})
+
 # Output key -> the lookup that finds it.  The same dimension serves several roles.
 DAILY_ROLES = {
     "airline_key": Role("airline", {"Carrier": "carrier"}),
@@ -54,6 +56,13 @@ MONTHLY_ROLES = {
     "monthly_key": Role("month", {"year": "year", "month": "month"}),
 }
 
+CLOCKS = {
+    "_dep_hour": ("DepTime", hhmm_hour),
+    "_dep_minute": ("DepTime", hhmm_minute),
+    "_crs_hour": ("CRSDepTime", hhmm_hour),
+    "_crs_minute": ("CRSDepTime", hhmm_minute),
+}
+
 # Output measure -> flight column.
 DAILY_MEASURES = {
     "cancelled": "Cancelled",
@@ -120,26 +129,33 @@ def _find_keys(rows: DataFrame, dims: Dimensions, roles: dict[str, Role], inner:
 
 def date_lookup(flights: DataFrame, dates: DataFrame) -> DataFrame:
     """Add ``flight_date_key``.  Flights on a day the calendar does not have are lost."""
-    roles = {"flight_date_key": Role("date", {"FlightDate": "date"})}
-    return _find_keys(flights, Dimensions(date=dates), roles, inner=["flight_date_key"])
+    return _find_keys(flights, Dimensions(date=dates), {"flight_date_key": DATE_ROLE}, inner=["flight_date_key"])
+
+
+def _daily_roles(columns: Sequence[str]) -> dict[str, Role]:
+    """The lookups ``columns`` need.  The calendar always: it decides which flights stay."""
+    return {"flight_date_key": DATE_ROLE} | {k: role for k, role in DAILY_ROLES.items() if k in columns}
+
+
+def flight_columns(columns: Sequence[str] = DAILY_COLUMNS) -> set[str]:
+    """The raw flight columns from which ``columns`` of the daily fact are computed."""
+    looked_up = {c for role in _daily_roles(columns).values() for c in role.on}
+    raw = {CLOCKS[c][0] if c in CLOCKS else c for c in looked_up}
+    raw |= {DAILY_MEASURES[c] for c in columns if c in DAILY_MEASURES}
+    return raw | set(DELAY_PARTS if "total_delay" in columns else ())
 
 
 def daily_fact(flights: DataFrame, dims: Dimensions, columns: Sequence[str] = DAILY_COLUMNS) -> DataFrame:
     """One row per flight: dimension keys and measures.
 
-    ``columns`` narrows the result; lookups whose key is not asked for are not run.  The calendar is always
-    looked up, because it decides which flights stay.  A key with no open member is NULL.
+    ``columns`` narrows the result; lookups whose key is not asked for are not run.  A key with no open
+    member is NULL.
     """
+    roles = _daily_roles(columns)
+    decoded = {c: CLOCKS[c] for role in roles.values() for c in role.on if c in CLOCKS}
     flights = flights.withColumns(
-        {
-            "_dep_hour": hhmm_hour(F.col("DepTime").cast("int")),
-            "_dep_minute": hhmm_minute(F.col("DepTime").cast("int")),
-            "_crs_hour": hhmm_hour(F.col("CRSDepTime").cast("int")),
-            "_crs_minute": hhmm_minute(F.col("CRSDepTime").cast("int")),
-        }
+        {name: part(F.col(source).cast("int")) for name, (source, part) in decoded.items()}
     )
-    roles = {"flight_date_key": Role("date", {"FlightDate": "date"})}
-    roles |= {target: role for target, role in DAILY_ROLES.items() if target in columns}
     keyed = _find_keys(flights, dims, roles, inner=["flight_date_key"])
     measures = {name: F.col(source) for name, source in DAILY_MEASURES.items()}
     measures["total_delay"] = total_delay(*DELAY_PARTS)

@@ -1,7 +1,7 @@
 """Delimited extracts in, Parquet tables in and out."""
 
 from .delimited import read_delimited, write_delimited
-from .tables import current_version, read_table, replace_table, scratch_root, write_table
+from .tables import current_version, read_table, replace_table, scratch_root, spread, write_table
 
 __all__ = [
     "current_version",
@@ -9,6 +9,7 @@ __all__ = [
     "read_table",
     "replace_table",
     "scratch_root",
+    "spread",
     "write_delimited",
     "write_table",
 ]

@@ -32,6 +32,16 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/starmill-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Hash the rows over all cores if the input was cut into much fewer pieces than there are cores.
+
+    A file of one row group, or a compressed text file, is read by one task however large it is.  An input of
+    ordinary size for its cluster has more pieces than cores and comes back as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *columns) if 2 * df.rdd.getNumPartitions() <= cores else df
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Overwrite the Parquet table at ``path``.
 

@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from starmill.operators.lookups import current, hot_keys, lookup, measured_bytes, one_per_key
+
+
+@pytest.fixture
+def skewed(spark):
+    """A third of the rows have one key, a third have none, and one row in ten matches nothing."""
+    n = F.col("id")
+    key = F.when(n % 3 == 0, F.lit("hot")).when(n % 3 == 1, F.concat(F.lit("k"), (n % 1000).cast("string")))
+    return spark.range(30_000).select(n, key.alias("code"), F.lit("x").alias("payload"))
+
+
+@pytest.fixture
+def table(spark):
+    codes = [("hot", 1)] + [(f"k{i}", i + 10) for i in range(900)] + [(None, 7)]
+    return spark.createDataFrame(codes, "code string, dim_key long")
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_both_ways_give_the_same_rows(skewed, table, rows, how):
+    found = [
+        lookup(skewed, table, {"code": "code"}, {"key": "dim_key"}, how, limit_bytes=limit)
+        for limit in (1_000_000, 0)
+    ]
+    small, large = (rows(f) for f in found)
+    assert small == large
+    expected = {c: k for c, k in (tuple(r) for r in table.collect()) if c is not None}
+    assert all(r[3] == expected.get(r[1]) for r in small)
+    if how == "left":
+        assert len(small) == 30_000
+
+
+def test_copies_of_one_row_are_all_kept(spark, table):
+    copies = spark.range(9_000).select(F.when(F.col("id") < 3_000, F.lit("hot")).otherwise("k1").alias("code"))
+    found = lookup(copies, table, {"code": "code"}, {"key": "dim_key"}, limit_bytes=0)
+    assert {r.key: r["count"] for r in found.groupBy("key").count().collect()} == {1: 3_000, 11: 6_000}
+
+
+def test_several_key_columns(spark, rows):
+    left = spark.createDataFrame([(2016, 1), (2016, 2), (None, 1)], "y int, m int")
+    right = spark.createDataFrame([(2016, 1, 5), (2016, 2, 6)], "year long, month long, k long")
+    for limit in (1_000_000, 0):
+        found = lookup(left, right, {"y": "year", "m": "month"}, {"key": "k"}, limit_bytes=limit)
+        assert rows(found) == [(None, 1, None), (2016, 1, 5), (2016, 2, 6)]
+
+
+def test_hot_keys_are_found(skewed, spark):
+    hot = spark.createDataFrame([("hot",)], "code string").select(F.xxhash64("code")).first()[0]
+    assert hot in hot_keys(skewed, ["code"])
+    assert len(hot_keys(skewed, ["code"], share=0.1)) <= 10
+
+
+def test_measured_bytes(spark):
+    texts = spark.createDataFrame([("ab",), (None,), ("é",)], "t string")
+    empty = spark.createDataFrame([], "t string")
+    assert measured_bytes(texts, empty) == [3 * 32 + 4, 0]
+    assert measured_bytes() == []
+
+
+def test_one_per_key_takes_the_smallest_row(spark, rows):
+    df = spark.createDataFrame([(1, "b", 1), (1, "a", 9), (1, "a", 2), (2, None, 3), (2, "a", 1)], "k int, t string, n int")
+    assert rows(one_per_key(df, ["k"])) == [(1, "a", 2), (2, None, 3)]
+    assert rows(one_per_key(df.select("k"), ["k"])) == [(1,), (2,)]
+
+
+def test_current_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    spark.createDataFrame([(1, True), (2, False)], "k int, current_flag boolean").write.parquet(path)
+    open_rows = current(spark.read.parquet(path)).select("k")
+    assert [r.k for r in open_rows.collect()] == [1]
+    plan = open_rows._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(current_flag,true)" in plan or "current_flag" in plan.split("PushedFilters")[1]
