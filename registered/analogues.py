@@ -42,7 +42,7 @@ def _text(name: str) -> Column:
 
 def _routes(spark: SparkSession, sf_dir: str, order: bool = True, origin: bool = True, dest: bool = True) -> DataFrame:
     """Line items with, where asked for, their order and the nations of customer and supplier."""
-    rows = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    rows = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")

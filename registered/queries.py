@@ -72,7 +72,7 @@ def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     return profile_table(lines).withColumn("mean_value", F.round("mean_value", 4))
 
 

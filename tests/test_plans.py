@@ -1,0 +1,68 @@
+"""What the physical plans must look like to hold at scale."""
+
+from __future__ import annotations
+
+import re
+from datetime import date
+
+import pytest
+
+from registered.queries import QUERIES
+from starmill.operators.lookups import lookup
+from starmill.operators.scd2 import scd2_apply
+from starmill.schemas import DimSpec
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_cross_join_and_no_python(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|EvalPython|InPandas|Scan ExistingRDD", text)
+
+
+def test_narrow_questions_read_few_columns(spark):
+    text = plan(QUERIES["busiest_destinations"](spark, SF))
+    scans = [s for s in re.findall(r"ReadSchema: struct<([^>]*)>", text) if "l_" in s]
+    assert scans == ["l_orderkey:bigint,l_suppkey:bigint"]
+
+
+def test_dates_and_flags_reach_the_scan(spark):
+    assert "PushedFilters: [IsNotNull(current_flag), EqualTo(current_flag,true)" in plan(
+        QUERIES["airline_dashboard"](spark, SF)
+    )
+
+
+def test_large_tables_are_not_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(1000).selectExpr("id", "cast(id % 10 as string) as code")
+        table = spark.range(10).selectExpr("cast(id as string) as code", "id as key")
+        over = lookup(rows, table, {"code": "code"}, {"key": "key"}, limit_bytes=100)
+        under = lookup(rows, table, {"code": "code"}, {"key": "key"}, limit_bytes=10_000)
+        over, under = plan(over), plan(under)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in under
+    assert "BroadcastHashJoin" not in over
+    assert "SortMergeJoin [code" in over
+
+
+def test_a_small_delta_does_not_shuffle_the_dimension(spark, tmp_path):
+    spec = DimSpec("d", "d_key", ("code",), ("name",))
+    text = "code string, name string"
+    rows = spark.createDataFrame([("a", "x"), ("b", "y")], text)
+    dim = rows.selectExpr(
+        "1L as d_key", "*", "date '2024-01-01' as start_date", "date '9999-12-31' as end_date", "true as current_flag"
+    )
+    dim.write.parquet(str(tmp_path / "dim"))
+    rows.selectExpr("*", "true as _held").write.parquet(str(tmp_path / "delta"))
+    dim, delta = (spark.read.parquet(str(tmp_path / n)) for n in ("dim", "delta"))
+    branches = plan(scd2_apply(dim, delta, spec, date(2024, 2, 1)))
+    ended = branches[branches.index("_ended") :]
+    join = ended[ended.index("BroadcastHashJoin") :]
+    assert join.index("FileScan") < join.index("Exchange")
