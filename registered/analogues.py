@@ -40,70 +40,79 @@ def _text(name: str) -> Column:
     return F.col(name).cast("string")
 
 
-def _routes(spark: SparkSession, sf_dir: str, order: bool = True, origin: bool = True, dest: bool = True) -> DataFrame:
-    """Line items with, where asked for, their order and the nations of customer and supplier."""
-    rows = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    joins = []
-    if order or origin:
-        joins.append((orders, {"l_orderkey": "o_orderkey"}))
-    if origin:
-        joins.append((customers, {"o_custkey": "c_custkey"}))
-    if dest:
-        joins.append((suppliers, {"l_suppkey": "s_suppkey"}))
-    for (right, on), size in zip(joins, measured_bytes(*[right for right, _ in joins]), strict=True):
-        rows = lookup(rows, right, on, {c: c for c in right.columns[1:]}, table_bytes=size)
+def _routes(spark: SparkSession, sf_dir: str, columns: Collection[str]) -> DataFrame:
+    """Line items with, where asked for, their order and the nations of customer and supplier.
+
+    ``columns`` names the columns of the four tables that are needed.
+    """
+    found = {"o_orderdate", "o_orderpriority", "c_nationkey", "s_nationkey"} & set(columns)
+    keys = {"l_orderkey"} if found - {"s_nationkey"} else set()
+    keys |= {"l_suppkey"} if "s_nationkey" in found else set()
+    rows = table(spark, sf_dir, "lineitem").select(*sorted((set(columns) - found) | keys))
+    rows = spread(rows, *sorted(keys)[:1])
+    steps = []
+    if found - {"s_nationkey"}:
+        wanted = [c for c in ("o_orderdate", "o_orderpriority") if c in found]
+        wanted += ["o_custkey"] if "c_nationkey" in found else []
+        steps.append(("orders", "l_orderkey", "o_orderkey", wanted))
+    if "c_nationkey" in found:
+        steps.append(("customer", "o_custkey", "c_custkey", ["c_nationkey"]))
+    if "s_nationkey" in found:
+        steps.append(("supplier", "l_suppkey", "s_suppkey", ["s_nationkey"]))
+    tables = [table(spark, sf_dir, name).select(key, *wanted) for name, _, key, wanted in steps]
+    for right, size, (_, left, key, wanted) in zip(tables, measured_bytes(*tables), steps, strict=True):
+        rows = lookup(rows, right, {left: key}, {c: c for c in wanted}, table_bytes=size)
     return rows
 
 
-ORIGIN_COLUMNS = {"OriginAirportID", "OriginState", "OriginStateName", "OriginWac", "Div1AirportID"}
-ORDER_COLUMNS = {"FlightDate", "CancellationCode"}
-DEST_COLUMNS = {"DestAirportID"}
-
-
 def flights(spark: SparkSession, sf_dir: str, columns: Collection[str] | None = None) -> DataFrame:
-    """Line items as flights; with ``columns`` only what these need is joined."""
+    """Line items as flights; with ``columns`` only what these need is read and joined."""
     cancelled, diverted = F.col("l_returnflag") == "R", F.col("l_linestatus") == "O"
     price = F.floor("l_extendedprice")
+    # Flight column: its value, and the table columns this is made of.
     values = {
-        "l_orderkey": F.col("l_orderkey"),
-        "l_linenumber": F.col("l_linenumber"),
-        "FlightDate": F.to_date("o_orderdate"),
-        "Carrier": _text("l_suppkey"),
-        "TailNum": _text("l_partkey"),
-        "OriginAirportID": _text("c_nationkey"),
-        "OriginState": F.concat(F.lit("S"), _text("c_nationkey")),
-        "OriginStateName": F.concat(F.lit("State "), _text("c_nationkey")),
-        "OriginWac": F.pmod("c_nationkey", F.lit(5)) + 1,
-        "DestAirportID": _text("s_nationkey"),
-        "CRSDepTime": F.pmod(price, F.lit(2401)).cast("int"),
-        "DepTime": F.when(~cancelled, F.pmod(price * 7, F.lit(2460)).cast("double")),
-        "Cancelled": cancelled.cast("double"),
-        "CancellationCode": F.when(cancelled, F.col("o_orderpriority")),
-        "Diverted": diverted.cast("double"),
-        "AirTime": F.col("l_quantity") * 10,
-        "WeatherDelay": F.col("l_quantity"),
-        "NASDelay": F.round(F.col("l_discount") * 100),
-        "SecurityDelay": F.when(F.col("l_returnflag") != "N", F.round(F.col("l_tax") * 100)),
-        "LateAircraftDelay": F.col("l_linenumber").cast("double"),
-        "TaxiIn": F.col("l_linenumber").cast("double"),
-        "TaxiOut": (F.col("l_linenumber") * 2).cast("double"),
-        "Div1AirportID": F.when(diverted, _text("c_nationkey")),
-        "Div1TailNum": F.when(diverted, _text("l_partkey")),
-        "Div2AirportID": F.when(diverted & cancelled, _text("l_linenumber")),
-        "Div2TailNum": F.when(diverted & cancelled, _text("l_orderkey")),
+        "l_orderkey": (F.col("l_orderkey"), "l_orderkey"),
+        "l_linenumber": (F.col("l_linenumber"), "l_linenumber"),
+        "FlightDate": (F.to_date("o_orderdate"), "o_orderdate"),
+        "Carrier": (_text("l_suppkey"), "l_suppkey"),
+        "TailNum": (_text("l_partkey"), "l_partkey"),
+        "OriginAirportID": (_text("c_nationkey"), "c_nationkey"),
+        "OriginState": (F.concat(F.lit("S"), _text("c_nationkey")), "c_nationkey"),
+        "OriginStateName": (F.concat(F.lit("State "), _text("c_nationkey")), "c_nationkey"),
+        "OriginWac": (F.pmod("c_nationkey", F.lit(5)) + 1, "c_nationkey"),
+        "DestAirportID": (_text("s_nationkey"), "s_nationkey"),
+        "CRSDepTime": (F.pmod(price, F.lit(2401)).cast("int"), "l_extendedprice"),
+        "DepTime": (
+            F.when(~cancelled, F.pmod(price * 7, F.lit(2460)).cast("double")),
+            "l_extendedprice l_returnflag",
+        ),
+        "Cancelled": (cancelled.cast("double"), "l_returnflag"),
+        "CancellationCode": (F.when(cancelled, F.col("o_orderpriority")), "o_orderpriority l_returnflag"),
+        "Diverted": (diverted.cast("double"), "l_linestatus"),
+        "AirTime": (F.col("l_quantity") * 10, "l_quantity"),
+        "WeatherDelay": (F.col("l_quantity"), "l_quantity"),
+        "NASDelay": (F.round(F.col("l_discount") * 100), "l_discount"),
+        "SecurityDelay": (
+            F.when(F.col("l_returnflag") != "N", F.round(F.col("l_tax") * 100)),
+            "l_returnflag l_tax",
+        ),
+        "LateAircraftDelay": (F.col("l_linenumber").cast("double"), "l_linenumber"),
+        "TaxiIn": (F.col("l_linenumber").cast("double"), "l_linenumber"),
+        "TaxiOut": ((F.col("l_linenumber") * 2).cast("double"), "l_linenumber"),
+        "Div1AirportID": (F.when(diverted, _text("c_nationkey")), "l_linestatus c_nationkey"),
+        "Div1TailNum": (F.when(diverted, _text("l_partkey")), "l_linestatus l_partkey"),
+        "Div2AirportID": (
+            F.when(diverted & cancelled, _text("l_linenumber")),
+            "l_linestatus l_returnflag l_linenumber",
+        ),
+        "Div2TailNum": (
+            F.when(diverted & cancelled, _text("l_orderkey")),
+            "l_linestatus l_returnflag l_orderkey",
+        ),
     }
-    names = set(columns if columns is not None else values)
-    rows = _routes(
-        spark,
-        sf_dir,
-        order=bool(names & ORDER_COLUMNS),
-        origin=bool(names & ORIGIN_COLUMNS),
-        dest=bool(names & DEST_COLUMNS),
-    )
-    return rows.select(*[value.alias(name) for name, value in values.items() if name in names])
+    names = [name for name in values if columns is None or name in columns]
+    needed = {c for name in names for c in values[name][1].split()}
+    return _routes(spark, sf_dir, needed).select(*[values[name][0].alias(name) for name in names])
 
 
 def airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +166,8 @@ def engines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _routes(spark, sf_dir).select(
+    needed = ["l_suppkey", "l_quantity", "l_linenumber", "c_nationkey", "s_nationkey", "o_orderdate"]
+    return _routes(spark, sf_dir, needed).select(
         _text("l_suppkey").alias("carrier"),
         _text("c_nationkey").alias("origin_airport_id"),
         _text("s_nationkey").alias("dest_airport_id"),

@@ -3,9 +3,11 @@
 A lookup table is broadcast only after its bytes were summed and found below a limit.  Beyond the limit the
 large side is shuffled, and keys that hold a large share of its rows are salted: Spark's frequent-item count
 finds every key above the given share (at most ``1 / share`` of them, plus some harmless false hits), rows
-with such a key are spread over ``salts`` partitions by a hash of the row, and only the few table rows of these
+with such a key are spread over ``SALTS`` partitions by a hash of the row, and only the few table rows of these
 keys are repeated.  Rows without a key match nothing and are spread over all partitions.  Identical copies
 of one row share a hash; adaptive execution splits the partition they fall into.
+
+The salt hashes all columns of the large side, so select the ones needed before looking anything up.
 """
 
 from __future__ import annotations
@@ -60,10 +62,18 @@ def measured_bytes(*tables: DataFrame) -> list[int]:
     return [measured[i] for i in range(len(tables))]
 
 
-def hot_keys(rows: DataFrame, names: Sequence[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of all keys that hold more than ``share`` of the rows; at most ``1 / share`` values."""
-    hashed = rows.where(_all_set(names)).select(F.xxhash64(*names).alias("h"))
-    return list(hashed.stat.freqItems(["h"], share).first()[0] or [])
+def hot_keys(
+    rows: DataFrame, keys: Mapping[str, Sequence[str]], share: float = HOT_SHARE
+) -> dict[str, list[int]]:
+    """For each named key, the hashes of all values that hold more than ``share`` of the rows.
+
+    At most ``1 / share`` hashes per key; one job for all keys.
+    """
+    if not keys:
+        return {}
+    hashes = [F.when(_all_set(names), F.xxhash64(*names)).alias(key) for key, names in keys.items()]
+    found = rows.select(*hashes).stat.freqItems(list(keys), share).first()
+    return {key: [h for h in hashed or [] if h is not None] for key, hashed in zip(keys, found, strict=True)}
 
 
 def _all_set(names: Sequence[str]) -> Column:
@@ -77,12 +87,15 @@ def lookup(
     take: Mapping[str, str],
     how: str = "left",
     table_bytes: int | None = None,
+    hot: Sequence[int] | None = None,
     limit_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``table`` (unique on its key) to ``rows``.
 
     ``on`` maps columns of ``rows`` to key columns of ``table``; ``take`` maps new columns to columns of
-    ``table``.  ``table_bytes`` is the measured size where the caller has it already.
+    ``table``.  ``table_bytes`` and ``hot`` are the measured size of the table and the frequent keys of the
+    rows where the caller has them already; a caller that looks up several keys finds the frequent ones of
+    all in one pass, before the first join.
     """
     types = {f.name: f.dataType for f in rows.schema.fields}
     right_keys = {left: f"_key{i}" for i, left in enumerate(on)}
@@ -92,28 +105,32 @@ def lookup(
     )
     if table_bytes is None:
         table_bytes = measured_bytes(right)[0]
-
-    matches = reduce(and_, [rows[left] == right[alias] for left, alias in right_keys.items()])
     if table_bytes <= limit_bytes:
+        matches = _equal(rows, right, right_keys)
         return rows.join(F.broadcast(right), matches, how).drop(*right_keys.values())
-    return _shuffled(rows, right, right_keys, how)
+    if hot is None:
+        hot = hot_keys(rows, {"key": list(on)})["key"]
+    return _shuffled(rows, right, right_keys, how, hot)
 
 
-def _shuffled(rows: DataFrame, right: DataFrame, right_keys: Mapping[str, str], how: str) -> DataFrame:
+def _equal(rows: DataFrame, right: DataFrame, right_keys: Mapping[str, str]) -> Column:
+    return reduce(and_, [rows[left] == right[alias] for left, alias in right_keys.items()])
+
+
+def _shuffled(
+    rows: DataFrame, right: DataFrame, right_keys: Mapping[str, str], how: str, hot: Sequence[int]
+) -> DataFrame:
     left_names, right_names = list(right_keys), list(right_keys.values())
-    hot = hot_keys(rows, left_names)
-    row_hash = F.xxhash64(*rows.columns)
+    row_hash, salts = F.xxhash64(*rows.columns), F.lit(SALTS).cast("long")
     zero = F.lit(0).cast("long")
+    row_salt, table_salts = zero, F.array(zero)
     if hot:
-        row_salt = F.when(F.xxhash64(*left_names).isin(hot), F.pmod(row_hash, F.lit(SALTS).cast("long")))
-        table_salts = F.when(F.xxhash64(*right_names).isin(hot), F.sequence(zero, F.lit(SALTS - 1).cast("long")))
-        row_salt, table_salts = row_salt.otherwise(zero), table_salts.otherwise(F.array(zero))
-    else:
-        row_salt, table_salts = zero, F.array(zero)
+        row_salt = F.when(F.xxhash64(*left_names).isin(hot), F.pmod(row_hash, salts)).otherwise(zero)
+        table_salts = F.when(
+            F.xxhash64(*right_names).isin(hot), F.sequence(zero, salts - 1)
+        ).otherwise(F.array(zero))
 
     left = rows.withColumn("_salt", F.when(_all_set(left_names), row_salt).otherwise(row_hash))
     salted = right.where(_all_set(right_names)).withColumn("_table_salt", F.explode(table_salts))
-    matches = reduce(and_, [left[name] == salted[alias] for name, alias in right_keys.items()])
-    return left.join(salted, matches & (F.col("_salt") == F.col("_table_salt")), how).drop(
-        "_salt", "_table_salt", *right_names
-    )
+    matches = _equal(left, salted, right_keys) & (left["_salt"] == salted["_table_salt"])
+    return left.join(salted, matches, how).drop("_salt", "_table_salt", *right_names)

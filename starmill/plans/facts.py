@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clock import hhmm_hour, hhmm_minute
 from ..functions.measures import DELAY_PARTS, total_delay
-from ..operators.lookups import current, lookup, measured_bytes
+from ..operators.lookups import BROADCAST_BYTES, current, hot_keys, lookup, measured_bytes
 
 
 @dataclass(frozen=True)
@@ -117,13 +117,29 @@ def _key_tables(dims: Dimensions, names: set[str]) -> dict[str, tuple[DataFrame,
     return {name: build[name]() for name in sorted(names)}
 
 
-def _find_keys(rows: DataFrame, dims: Dimensions, roles: dict[str, Role], inner: Sequence[str] = ()) -> DataFrame:
+def _find_keys(
+    rows: DataFrame,
+    dims: Dimensions,
+    roles: dict[str, Role],
+    inner: Sequence[str] = (),
+    limit_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
     tables = _key_tables(dims, {role.dimension for role in roles.values()})
     sizes = dict(zip(tables, measured_bytes(*[table for table, _ in tables.values()]), strict=True))
+    large = {target: list(role.on) for target, role in roles.items() if sizes[role.dimension] > limit_bytes}
+    hot = hot_keys(rows, large)
     for target, role in roles.items():
         table, surrogate = tables[role.dimension]
-        how = "inner" if target in inner else "left"
-        rows = lookup(rows, table, role.on, {target: surrogate}, how, table_bytes=sizes[role.dimension])
+        rows = lookup(
+            rows,
+            table,
+            role.on,
+            {target: surrogate},
+            how="inner" if target in inner else "left",
+            table_bytes=sizes[role.dimension],
+            hot=hot.get(target),
+            limit_bytes=limit_bytes,
+        )
     return rows
 
 
@@ -145,7 +161,12 @@ def flight_columns(columns: Sequence[str] = DAILY_COLUMNS) -> set[str]:
     return raw | set(DELAY_PARTS if "total_delay" in columns else ())
 
 
-def daily_fact(flights: DataFrame, dims: Dimensions, columns: Sequence[str] = DAILY_COLUMNS) -> DataFrame:
+def daily_fact(
+    flights: DataFrame,
+    dims: Dimensions,
+    columns: Sequence[str] = DAILY_COLUMNS,
+    limit_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
     """One row per flight: dimension keys and measures.
 
     ``columns`` narrows the result; lookups whose key is not asked for are not run.  A key with no open
@@ -153,16 +174,17 @@ def daily_fact(flights: DataFrame, dims: Dimensions, columns: Sequence[str] = DA
     """
     roles = _daily_roles(columns)
     decoded = {c: CLOCKS[c] for role in roles.values() for c in role.on if c in CLOCKS}
-    flights = flights.withColumns(
-        {name: part(F.col(source).cast("int")) for name, (source, part) in decoded.items()}
-    )
-    keyed = _find_keys(flights, dims, roles, inner=["flight_date_key"])
+    clocks = {name: part(F.col(source).cast("int")) for name, (source, part) in decoded.items()}
+    flights = flights.select(*sorted(flight_columns(columns))).withColumns(clocks)
+    keyed = _find_keys(flights, dims, roles, ["flight_date_key"], limit_bytes)
     measures = {name: F.col(source) for name, source in DAILY_MEASURES.items()}
     measures["total_delay"] = total_delay(*DELAY_PARTS)
     return keyed.select(*[measures[c].alias(c) if c in measures else F.col(c) for c in columns])
 
 
-def monthly_fact(passengers: DataFrame, dims: Dimensions, dedupe: bool = False) -> DataFrame:
+def monthly_fact(
+    passengers: DataFrame, dims: Dimensions, dedupe: bool = False, limit_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Freight, passengers and mail per airline, route and month.
 
     Deliveries of the same airline, route and month are added up before any key is looked up.  With
@@ -174,7 +196,7 @@ def monthly_fact(passengers: DataFrame, dims: Dimensions, dedupe: bool = False)
         passengers = passengers.groupBy(*grain).agg(*[F.sum(m).alias(m) for m in MONTHLY_MEASURES])
     else:
         passengers = passengers.select(*grain, *MONTHLY_MEASURES)
-    keyed = _find_keys(passengers, dims, MONTHLY_ROLES).select(
+    keyed = _find_keys(passengers, dims, MONTHLY_ROLES, limit_bytes=limit_bytes).select(
         "airline_key", *MONTHLY_MEASURES, "origin_airport_key", "dest_airport_key", "monthly_key"
     )
     return keyed.distinct() if dedupe else keyed

@@ -90,6 +90,10 @@ def test_narrow_fact_has_the_same_rows(flights, dims, rows):
     assert flight_columns(["actual_dep_time_key"]) == {"FlightDate", "DepTime"}
 
 
+def test_shuffled_lookups_give_the_same_fact(flights, dims, rows):
+    assert rows(daily_fact(flights, dims, limit_bytes=0)) == rows(daily_fact(flights, dims))
+
+
 def test_monthly_fact(spark, dims):
     delivered = spark.createDataFrame(
         [

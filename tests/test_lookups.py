@@ -50,8 +50,10 @@ def test_several_key_columns(spark, rows):
 
 def test_hot_keys_are_found(skewed, spark):
     hot = spark.createDataFrame([("hot",)], "code string").select(F.xxhash64("code")).first()[0]
-    assert hot in hot_keys(skewed, ["code"])
-    assert len(hot_keys(skewed, ["code"], share=0.1)) <= 10
+    found = hot_keys(skewed, {"a": ["code"], "b": ["id"], "c": ["payload", "code"]}, share=0.1)
+    assert hot in found["a"]
+    assert all(len(hashes) <= 10 and None not in hashes for hashes in found.values())
+    assert hot_keys(skewed, {}) == {}
 
 
 def test_measured_bytes(spark):
