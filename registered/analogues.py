@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from starmill.operators.calendar import date_dimension, date_span, monthly_dimension, time_dimension
-from starmill.operators.lookups import lookup, measured_bytes
+from starmill.operators.lookups import BROADCAST_BYTES, hot_keys, lookup, measured_bytes
 from starmill.plans.facts import Dimensions
 from starmill.plans.staging import stage_airline, stage_airport, stage_plane
 from starmill.plans.warehouse import load_dimension
@@ -43,25 +43,36 @@ def _text(name: str) -> Column:
 def _routes(spark: SparkSession, sf_dir: str, columns: Collection[str]) -> DataFrame:
     """Line items with, where asked for, their order and the nations of customer and supplier.
 
-    ``columns`` names the columns of the four tables that are needed.
+    ``columns`` names the columns of the four tables that are needed.  Customers are joined to the orders
+    before the orders are joined to the much longer line items.
     """
-    found = {"o_orderdate", "o_orderpriority", "c_nationkey", "s_nationkey"} & set(columns)
-    keys = {"l_orderkey"} if found - {"s_nationkey"} else set()
-    keys |= {"l_suppkey"} if "s_nationkey" in found else set()
-    rows = table(spark, sf_dir, "lineitem").select(*sorted((set(columns) - found) | keys))
-    rows = spread(rows, *sorted(keys)[:1])
-    steps = []
-    if found - {"s_nationkey"}:
-        wanted = [c for c in ("o_orderdate", "o_orderpriority") if c in found]
-        wanted += ["o_custkey"] if "c_nationkey" in found else []
-        steps.append(("orders", "l_orderkey", "o_orderkey", wanted))
-    if "c_nationkey" in found:
-        steps.append(("customer", "o_custkey", "c_custkey", ["c_nationkey"]))
-    if "s_nationkey" in found:
-        steps.append(("supplier", "l_suppkey", "s_suppkey", ["s_nationkey"]))
-    tables = [table(spark, sf_dir, name).select(key, *wanted) for name, _, key, wanted in steps]
-    for right, size, (_, left, key, wanted) in zip(tables, measured_bytes(*tables), steps, strict=True):
-        rows = lookup(rows, right, {left: key}, {c: c for c in wanted}, table_bytes=size)
+    of_order = [c for c in ("o_orderdate", "o_orderpriority", "c_nationkey") if c in columns]
+    of_supplier = [c for c in ("s_nationkey",) if c in columns]
+    keys = {"orders": "l_orderkey"} if of_order else {}
+    keys |= {"supplier": "l_suppkey"} if of_supplier else {}
+    own = set(columns) - {*of_order, *of_supplier} | set(keys.values())
+    rows = spread(table(spark, sf_dir, "lineitem").select(*sorted(own)), *sorted(own)[:1])
+
+    from_orders = ["o_custkey" if c == "c_nationkey" else c for c in of_order]
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", *from_orders)
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    used = {"orders": orders} if of_order else {}
+    used |= {"customer": customers} if "c_nationkey" in of_order else {}
+    used |= {"supplier": suppliers} if of_supplier else {}
+    sizes = dict(zip(used, measured_bytes(*used.values()), strict=True))
+    hot = hot_keys(rows, {name: [key] for name, key in keys.items() if sizes[name] > BROADCAST_BYTES})
+
+    if "customer" in used:
+        nation = {"c_nationkey": "c_nationkey"}
+        orders = lookup(orders, customers, {"o_custkey": "c_custkey"}, nation, table_bytes=sizes["customer"])
+    for name, right, key, wanted in (
+        ("orders", orders, "o_orderkey", of_order),
+        ("supplier", suppliers, "s_suppkey", of_supplier),
+    ):
+        if name in keys:
+            take, size = {c: c for c in wanted}, sizes[name]
+            rows = lookup(rows, right, {keys[name]: key}, take, table_bytes=size, hot=hot.get(name))
     return rows
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 0.005
-SALTS = 256
+SALTS = 256  # a power of two: the salt is the low bits of a hash
 _ROW_OVERHEAD = 32
 
 
@@ -121,14 +121,12 @@ def _shuffled(
     rows: DataFrame, right: DataFrame, right_keys: Mapping[str, str], how: str, hot: Sequence[int]
 ) -> DataFrame:
     left_names, right_names = list(right_keys), list(right_keys.values())
-    row_hash, salts = F.xxhash64(*rows.columns), F.lit(SALTS).cast("long")
-    zero = F.lit(0).cast("long")
+    row_hash = F.xxhash64(*rows.columns)
+    zero, last = F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")
     row_salt, table_salts = zero, F.array(zero)
     if hot:
-        row_salt = F.when(F.xxhash64(*left_names).isin(hot), F.pmod(row_hash, salts)).otherwise(zero)
-        table_salts = F.when(
-            F.xxhash64(*right_names).isin(hot), F.sequence(zero, salts - 1)
-        ).otherwise(F.array(zero))
+        row_salt = F.when(F.xxhash64(*left_names).isin(hot), row_hash.bitwiseAND(last)).otherwise(zero)
+        table_salts = F.when(F.xxhash64(*right_names).isin(hot), F.sequence(zero, last)).otherwise(F.array(zero))
 
     left = rows.withColumn("_salt", F.when(_all_set(left_names), row_salt).otherwise(row_hash))
     salted = right.where(_all_set(right_names)).withColumn("_table_salt", F.explode(table_salts))
