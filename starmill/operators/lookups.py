@@ -76,6 +76,19 @@ def hot_keys(
     return {key: [h for h in hashed or [] if h is not None] for key, hashed in zip(keys, found, strict=True)}
 
 
+def keep_listed(
+    rows: DataFrame, listed: DataFrame, names: Sequence[str], limit_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Drop rows whose key is not in ``listed`` before they are shuffled, where the list is small enough.
+
+    A saving for a join that follows, not a filter to rely on: with a longer list all rows come back.
+    """
+    keys = listed.select(*names)
+    if measured_bytes(keys)[0] > limit_bytes:
+        return rows
+    return rows.join(F.broadcast(keys.distinct()), list(names), "left_semi")
+
+
 def _all_set(names: Sequence[str]) -> Column:
     return reduce(and_, [F.col(n).isNotNull() for n in names])
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import DimSpec
 from .keys import dense_key
-from .lookups import current, lookup, one_per_key
+from .lookups import current, keep_listed, lookup, one_per_key
 
 OPEN_END = date(9999, 12, 31)
 CHANGE_MODES = ("attributes", "always")
@@ -112,8 +112,12 @@ def scd2_initial(staging: DataFrame, spec: DimSpec, as_of: date) -> DataFrame:
 
 
 def scd2_delta(dim: DataFrame, staging: DataFrame, spec: DimSpec, change: str = "attributes") -> DataFrame:
-    """Staged rows that need a new version; ``_held`` tells changed members from new ones."""
-    matched = _matched(dim, staging, spec, "right")
+    """Staged rows that need a new version; ``_held`` tells changed members from new ones.
+
+    A small delivery shuffles only the versions of its own members, not the whole dimension.
+    """
+    own = keep_listed(current(dim), staging, spec.natural_key)
+    matched = _matched(own, staging, spec, "right")
     held = F.col(spec.natural_key[0]).isNotNull()
     needed = matched.where(~held | _differs(spec, change))
     return needed.select(*_staged_columns(spec), held.alias("_held"))
@@ -125,7 +129,8 @@ def scd2_apply(dim: DataFrame, delta: DataFrame, spec: DimSpec, as_of: date) ->
     A delta that was measured to be small is broadcast, so that the dimension is not shuffled.
     """
     ended = delta.where("_held").select(*spec.natural_key, F.lit(True).alias("flag"))
-    versions = lookup(current(dim), ended, {n: n for n in spec.natural_key}, {"_ended": "flag"})
+    # Members are unique on both sides, so no key is frequent.
+    versions = lookup(current(dim), ended, {n: n for n in spec.natural_key}, {"_ended": "flag"}, hot=())
     is_ended = F.coalesce("_ended", F.lit(False))
     versions = versions.withColumns(
         {

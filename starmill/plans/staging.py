@@ -19,14 +19,17 @@ def stage_airline(airlines: DataFrame) -> DataFrame:
 
 
 def flight_airports(flights: DataFrame) -> DataFrame:
-    """State and world area of each airport flights leave from, one row per airport."""
+    """State and world area of each airport flights leave from, one row per airport.
+
+    Equal rows are dropped first, hashed where they lie, so that only a few per airport are left to compare.
+    """
     seen = flights.select(
         F.col("OriginAirportID").alias("code"),
         F.col("OriginState").alias("state_code"),
         F.col("OriginStateName").alias("state_name"),
         F.col("OriginWac").alias("wac"),
     )
-    return one_per_key(seen.where(F.col("code").isNotNull()), ["code"])
+    return one_per_key(seen.where(F.col("code").isNotNull()).distinct(), ["code"])
 
 
 def stage_airport(airports: DataFrame, flights: DataFrame, wac: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """The load on storage: raw extracts -> staging tables -> dimensions and facts.
 
 ``lake/staging/<table>`` holds the last staged delivery, ``lake/presentation/<table>`` the warehouse.  Every
-staged delivery is written before it is merged, so the merge reads narrow Parquet instead of parsing text again.
+staged delivery is written before it is merged, and flights are written once as Parquet, so the text of an
+extract is parsed one time only.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators.audit import load_audit
 from ..operators.calendar import date_dimension, date_span, monthly_dimension, parse_calendar, time_dimension
+from ..operators.lookups import one_per_key
 from ..operators.scd2 import scd2_initial, scd2_merge
 from ..schemas import AIRLINE, AIRPORT, PLANE, DimSpec
 from ..sources import current_version, read_delimited, read_table, replace_table, write_table
@@ -85,9 +87,19 @@ def load_dimension(
     return replace_table(scd2_merge(read_table(spark, root), staging, spec, as_of, change, store), root)
 
 
-def stage_all(spark: SparkSession, raw: RawZone, lake: str) -> dict[str, DataFrame]:
-    """Write the three staged deliveries and return them read back."""
-    flights = _read(spark, raw.flights, schemas.FLIGHTS)
+def _staged(rows: DataFrame, lake: str, name: str) -> DataFrame:
+    path = f"{lake}/staging/{name}"
+    write_table(rows, path)
+    return rows.sparkSession.read.parquet(path)
+
+
+def stage_flights(spark: SparkSession, raw: RawZone, lake: str) -> DataFrame:
+    """The flight columns the warehouse uses, out of the many delivered, as Parquet."""
+    return _staged(_read(spark, raw.flights, schemas.FLIGHTS), lake, "flights")
+
+
+def stage_dimensions(spark: SparkSession, raw: RawZone, lake: str, flights: DataFrame) -> dict[str, DataFrame]:
+    """Write the three staged dimension deliveries and return them read back."""
     staged = {
         AIRLINE.name: stage_airline(_read(spark, raw.airlines, schemas.AIRLINES)),
         AIRPORT.name: stage_airport(
@@ -97,18 +109,25 @@ def stage_all(spark: SparkSession, raw: RawZone, lake: str) -> dict[str, DataFra
             _read(spark, raw.planes, schemas.PLANES), _read(spark, raw.engines, schemas.ENGINES)
         ),
     }
-    for name, rows in staged.items():
-        write_table(rows, f"{lake}/staging/{name}")
-    return {name: spark.read.parquet(f"{lake}/staging/{name}") for name in staged}
+    return {name: _staged(rows, lake, name) for name, rows in staged.items()}
 
 
-def load_calendars(spark: SparkSession, raw: RawZone, lake: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Date, time and month dimensions, delivered or generated over the days of the flights."""
+def load_calendars(
+    spark: SparkSession, raw: RawZone, lake: str, flights: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Date, time and month dimensions, delivered or generated over the days of the flights.
+
+    A delivered calendar keeps one row per day and per clock time: a second one would double the flights.
+    """
     if raw.dates is not None:
-        dates = parse_calendar(_read(spark, raw.dates, schemas.DATES), raw.dates.date_format)
+        delivered = parse_calendar(_read(spark, raw.dates, schemas.DATES), raw.dates.date_format)
+        dates = one_per_key(delivered, ["date"])
+    else:
+        dates = date_dimension(date_span(flights, "FlightDate"))
+    if raw.times is not None:
+        times = one_per_key(_read(spark, raw.times, schemas.TIMES), ["hour", "minute", "second"])
     else:
-        dates = date_dimension(date_span(_read(spark, raw.flights, schemas.FLIGHTS), "FlightDate"))
-    times = _read(spark, raw.times, schemas.TIMES) if raw.times is not None else time_dimension(spark)
+        times = time_dimension(spark)
     dates = replace_table(dates, f"{lake}/presentation/date_dimension")
     times = replace_table(times, f"{lake}/presentation/time_dimension")
     months = replace_table(monthly_dimension(dates), f"{lake}/presentation/monthly_dimension")
@@ -119,16 +138,16 @@ def load_warehouse(
     spark: SparkSession, raw: RawZone, lake: str, as_of: date, plane_change: str = "attributes"
 ) -> DataFrame:
     """One delivery from raw to presentation; returns an audit row per table."""
-    staged = stage_all(spark, raw, lake)
+    flights = stage_flights(spark, raw, lake)
+    staged = stage_dimensions(spark, raw, lake, flights)
     modes = {AIRLINE: "attributes", AIRPORT: "attributes", PLANE: plane_change}
     loaded = {
         spec: load_dimension(spark, f"{lake}/presentation/{spec.name}", staged[spec.name], spec, as_of, mode)
         for spec, mode in modes.items()
     }
-    dates, times, months = load_calendars(spark, raw, lake)
+    dates, times, months = load_calendars(spark, raw, lake, flights)
     dims = Dimensions(loaded[AIRLINE], loaded[AIRPORT], loaded[PLANE], dates, times, months)
 
-    flights = _read(spark, raw.flights, schemas.FLIGHTS)
     daily, monthly = f"{lake}/presentation/flight_fact", f"{lake}/presentation/monthly_flight_fact"
     write_table(daily_fact(flights, dims), daily, partition_by=["flight_date_key"])
     write_table(monthly_fact(_read(spark, raw.passengers, schemas.PASSENGERS), dims), monthly)

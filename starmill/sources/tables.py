@@ -12,12 +12,18 @@ import re
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 _VERSION = re.compile(r"v(\d{10})")
 
 
+@lru_cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="starmill-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """A new directory below the shared folder the session names in ``spark.checkpoint.dir``.
 
@@ -27,8 +33,7 @@ def scratch_root(spark: SparkSession) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="starmill-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _local_folder(spark.sparkContext.applicationId)
     return f"{shared.rstrip('/')}/starmill-{uuid.uuid4().hex}"
 
 

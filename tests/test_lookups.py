@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from starmill.operators.lookups import current, hot_keys, lookup, measured_bytes, one_per_key
+from starmill.operators.lookups import current, hot_keys, keep_listed, lookup, measured_bytes, one_per_key
 
 
 @pytest.fixture
@@ -56,6 +56,12 @@ def test_hot_keys_are_found(skewed, spark):
     assert hot_keys(skewed, {}) == {}
 
 
+def test_keep_listed_is_only_a_saving(spark, rows):
+    all_rows, listed = spark.range(10), spark.createDataFrame([(3,), (3,), (99,)], "id long")
+    assert rows(keep_listed(all_rows, listed, ["id"])) == [(3,)]
+    assert keep_listed(all_rows, listed, ["id"], limit_bytes=0) is all_rows
+
+
 def test_measured_bytes(spark):
     texts = spark.createDataFrame([("ab",), (None,), ("é",)], "t string")
     empty = spark.createDataFrame([], "t string")

@@ -142,6 +142,7 @@ def test_delivered_calendars(spark, tmp_path):
         "date_key;full_date_description;date;day_of_week;calendar_month;calenda_quarter;calendar_year;"
         "holiday_indicator;weekday_indicator",
         "500;January 1, 2016;01/01/2016;5;1;1;2016;Holiday;1",
+        "501;January 1, 2016;01/01/2016;5;1;1;2016;Holiday;1",
     )
     write(
         tmp_path / "raw",
