@@ -3,8 +3,8 @@
 A lookup table is broadcast only after its bytes were summed and found below a limit.  Beyond the limit the
 large side is shuffled, and keys that hold a large share of its rows are salted: Spark's frequent-item count
 finds every key above the given share (at most ``1 / share`` of them, plus some harmless false hits), rows
-with such a key are spread over ``SALTS`` partitions by a hash of the row, and only the few table rows of these
-keys are repeated.  Rows without a key match nothing and are spread over all partitions.  Identical copies
+with such a key are spread over all partitions by a hash of the row, and only the few table rows of these keys
+are repeated.  Rows without a key match nothing and are spread over all partitions.  Identical copies
 of one row share a hash; adaptive execution splits the partition they fall into.
 
 The salt hashes all columns of the large side, so select the ones needed before looking anything up.
@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 0.005
-SALTS = 256  # a power of two: the salt is the low bits of a hash
+MIN_SALTS = 256
 _ROW_OVERHEAD = 32
 
 
@@ -130,12 +130,18 @@ def _equal(rows: DataFrame, right: DataFrame, right_keys: Mapping[str, str]) ->
     return reduce(and_, [rows[left] == right[alias] for left, alias in right_keys.items()])
 
 
+def _salts(rows: DataFrame) -> int:
+    """As many as there are shuffle partitions, rounded up so that a salt is the low bits of a hash."""
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return 1 << (max(partitions, MIN_SALTS) - 1).bit_length()
+
+
 def _shuffled(
     rows: DataFrame, right: DataFrame, right_keys: Mapping[str, str], how: str, hot: Sequence[int]
 ) -> DataFrame:
     left_names, right_names = list(right_keys), list(right_keys.values())
     row_hash = F.xxhash64(*rows.columns)
-    zero, last = F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")
+    zero, last = F.lit(0).cast("long"), F.lit(_salts(rows) - 1).cast("long")
     row_salt, table_salts = zero, F.array(zero)
     if hot:
         row_salt = F.when(F.xxhash64(*left_names).isin(hot), row_hash.bitwiseAND(last)).otherwise(zero)

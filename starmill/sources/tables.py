@@ -70,8 +70,7 @@ def read_table(spark: SparkSession, root: str) -> DataFrame:
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
-    complete = [n for n in _versions(spark, root) if _exists(spark, f"{_version_path(root, n)}/_SUCCESS")]
-    return max(complete, default=None)
+    return max((n for n in _versions(spark, root) if _is_complete(spark, root, n)), default=None)
 
 
 def replace_table(df: DataFrame, root: str) -> DataFrame:
@@ -83,6 +82,22 @@ def replace_table(df: DataFrame, root: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
+    """Remove all but the ``keep`` newest complete versions and return the numbers removed.
+
+    Directories newer than the current version are left alone: a load may be writing one.
+    """
+    if keep < 1:
+        raise ValueError("the current version cannot be removed")
+    complete = [n for n in sorted(_versions(spark, root)) if _is_complete(spark, root, n)]
+    kept = complete[-keep:]
+    removed = [n for n in sorted(_versions(spark, root)) if kept and n < kept[-1] and n not in kept]
+    for number in removed:
+        path, fs = _filesystem(spark, _version_path(root, number))
+        fs.delete(path, True)
+    return removed
+
+
 def _version_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/v{version:010d}"
 
@@ -95,9 +110,9 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
     return [int(m.group(1)) for m in map(_VERSION.fullmatch, names) if m]
 
 
-def _exists(spark: SparkSession, location: str) -> bool:
-    path, fs = _filesystem(spark, location)
-    return fs.exists(path)
+def _is_complete(spark: SparkSession, root: str, version: int) -> bool:
+    marker, fs = _filesystem(spark, f"{_version_path(root, version)}/_SUCCESS")
+    return fs.exists(marker)
 
 
 def _filesystem(spark: SparkSession, location: str):

@@ -34,6 +34,26 @@ def test_both_ways_give_the_same_rows(skewed, table, rows, how):
         assert len(small) == 30_000
 
 
+def test_hot_and_missing_keys_are_spread(spark, skewed, table):
+    """Without salt the partition of the hot key and that of the missing ones hold a third of the rows each."""
+    settings = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        found = lookup(skewed, table, {"code": "code"}, {"key": "dim_key"}, limit_bytes=0)
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+    assert sum(sizes) == 30_000
+    assert max(sizes) < 2 * 30_000 / 16
+
+
 def test_copies_of_one_row_are_all_kept(spark, table):
     copies = spark.range(9_000).select(F.when(F.col("id") < 3_000, F.lit("hot")).otherwise("k1").alias("code"))
     found = lookup(copies, table, {"code": "code"}, {"key": "dim_key"}, limit_bytes=0)

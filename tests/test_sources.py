@@ -4,6 +4,7 @@ import pytest
 
 from starmill.sources import (
     current_version,
+    prune_versions,
     read_delimited,
     read_table,
     replace_table,
@@ -88,6 +89,18 @@ def test_an_unfinished_version_is_never_read(spark, tmp_path):
     assert (current_version(spark, root), read_table(spark, root).count()) == (3, 5)
 
 
+def test_old_versions_can_be_removed(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for n in range(1, 5):
+        replace_table(spark.range(n), root)
+    (tmp_path / "t" / "v0000000005").mkdir()
+    assert prune_versions(spark, root) == [1, 2]
+    assert sorted(p.name[-1] for p in (tmp_path / "t").iterdir()) == ["3", "4", "5"]
+    assert read_table(spark, root).count() == 4
+    with pytest.raises(ValueError, match="current version"):
+        prune_versions(spark, root, keep=0)
+
+
 def test_scratch_lies_in_the_shared_folder(spark):
     one, two = scratch_root(spark), scratch_root(spark)
     assert one != two
