@@ -216,7 +216,7 @@ def presentation(spark: SparkSession, sf_dir: str) -> Dimensions:
             date=days,
             time=replace_table(time_dimension(spark), f"{root}/time_dimension"),
             month=replace_table(monthly_dimension(days), f"{root}/monthly_dimension"),
-        )
+        ).measured()
     return _presentation[known]
 
 

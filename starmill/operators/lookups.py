@@ -105,29 +105,23 @@ def lookup(
 ) -> DataFrame:
     """Join ``table`` (unique on its key) to ``rows``.
 
-    ``on`` maps columns of ``rows`` to key columns of ``table``; ``take`` maps new columns to columns of
-    ``table``.  ``table_bytes`` and ``hot`` are the measured size of the table and the frequent keys of the
+    ``on`` maps columns of ``rows`` to key columns of ``table``, and the result starts with them; ``take`` maps
+    new columns to columns of ``table``.  ``table_bytes`` and ``hot`` are the measured size of the table and the frequent keys of the
     rows where the caller has them already; a caller that looks up several keys finds the frequent ones of
     all in one pass, before the first join.
     """
     types = {f.name: f.dataType for f in rows.schema.fields}
-    right_keys = {left: f"_key{i}" for i, left in enumerate(on)}
     right = table.select(
-        *[F.col(on[left]).cast(types[left]).alias(alias) for left, alias in right_keys.items()],
+        *[F.col(column).cast(types[left]).alias(left) for left, column in on.items()],
         *[F.col(source).alias(target) for target, source in take.items()],
     )
     if table_bytes is None:
         table_bytes = measured_bytes(right)[0]
     if table_bytes <= limit_bytes:
-        matches = _equal(rows, right, right_keys)
-        return rows.join(F.broadcast(right), matches, how).drop(*right_keys.values())
+        return rows.join(F.broadcast(right), list(on), how)
     if hot is None:
         hot = hot_keys(rows, {"key": list(on)})["key"]
-    return _shuffled(rows, right, right_keys, how, hot)
-
-
-def _equal(rows: DataFrame, right: DataFrame, right_keys: Mapping[str, str]) -> Column:
-    return reduce(and_, [rows[left] == right[alias] for left, alias in right_keys.items()])
+    return _shuffled(rows, right, list(on), how, hot)
 
 
 def _salts(rows: DataFrame) -> int:
@@ -137,17 +131,15 @@ def _salts(rows: DataFrame) -> int:
 
 
 def _shuffled(
-    rows: DataFrame, right: DataFrame, right_keys: Mapping[str, str], how: str, hot: Sequence[int]
+    rows: DataFrame, right: DataFrame, names: Sequence[str], how: str, hot: Sequence[int]
 ) -> DataFrame:
-    left_names, right_names = list(right_keys), list(right_keys.values())
-    row_hash = F.xxhash64(*rows.columns)
+    row_hash, is_hot = F.xxhash64(*rows.columns), F.xxhash64(*names).isin(list(hot))
     zero, last = F.lit(0).cast("long"), F.lit(_salts(rows) - 1).cast("long")
     row_salt, table_salts = zero, F.array(zero)
     if hot:
-        row_salt = F.when(F.xxhash64(*left_names).isin(hot), row_hash.bitwiseAND(last)).otherwise(zero)
-        table_salts = F.when(F.xxhash64(*right_names).isin(hot), F.sequence(zero, last)).otherwise(F.array(zero))
+        row_salt = F.when(is_hot, row_hash.bitwiseAND(last)).otherwise(zero)
+        table_salts = F.when(is_hot, F.sequence(zero, last)).otherwise(F.array(zero))
 
-    left = rows.withColumn("_salt", F.when(_all_set(left_names), row_salt).otherwise(row_hash))
-    salted = right.where(_all_set(right_names)).withColumn("_table_salt", F.explode(table_salts))
-    matches = _equal(left, salted, right_keys) & (left["_salt"] == salted["_table_salt"])
-    return left.join(salted, matches, how).drop("_salt", "_table_salt", *right_names)
+    left = rows.withColumn("_salt", F.when(_all_set(names), row_salt).otherwise(row_hash))
+    salted = right.where(_all_set(names)).withColumn("_salt", F.explode(table_salts))
+    return left.join(salted, [*names, "_salt"], how).drop("_salt")

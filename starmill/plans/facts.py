@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, fields, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,10 @@ from ..operators.lookups import BROADCAST_BYTES, current, hot_keys, lookup, meas
 
 @dataclass(frozen=True)
 class Dimensions:
-    """The dimension tables a fact load looks its keys up in; one it does not use may be left out."""
+    """The dimension tables a fact load looks its keys up in; one it does not use may be left out.
+
+    ``sizes`` holds the measured bytes of the keys, see :meth:`measured`; without it every load measures anew.
+    """
 
     airline: DataFrame | None = None
     airport: DataFrame | None = None
@@ -23,6 +26,12 @@ class Dimensions:
     date: DataFrame | None = None
     time: DataFrame | None = None
     month: DataFrame | None = None
+    sizes: Mapping[str, int] = field(default_factory=dict)
+
+    def measured(self) -> Dimensions:
+        """The same tables with the sizes of their keys, for several loads over one stored version."""
+        tables = _key_tables(self, {f.name for f in fields(self)[:-1] if getattr(self, f.name) is not None})
+        return replace(self, sizes=_sizes(tables))
 
 
 @dataclass(frozen=True)
@@ -117,6 +126,10 @@ def _key_tables(dims: Dimensions, names: set[str]) -> dict[str, tuple[DataFrame,
     return {name: build[name]() for name in sorted(names)}
 
 
+def _sizes(tables: Mapping[str, tuple[DataFrame, str]]) -> dict[str, int]:
+    return dict(zip(tables, measured_bytes(*[table for table, _ in tables.values()]), strict=True))
+
+
 def _find_keys(
     rows: DataFrame,
     dims: Dimensions,
@@ -125,7 +138,7 @@ def _find_keys(
     limit_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     tables = _key_tables(dims, {role.dimension for role in roles.values()})
-    sizes = dict(zip(tables, measured_bytes(*[table for table, _ in tables.values()]), strict=True))
+    sizes = dims.sizes or _sizes(tables)
     large = {target: list(role.on) for target, role in roles.items() if sizes[role.dimension] > limit_bytes}
     hot = hot_keys(rows, large)
     for target, role in roles.items():

@@ -146,7 +146,7 @@ def load_warehouse(
         for spec, mode in modes.items()
     }
     dates, times, months = load_calendars(spark, raw, lake, flights)
-    dims = Dimensions(loaded[AIRLINE], loaded[AIRPORT], loaded[PLANE], dates, times, months)
+    dims = Dimensions(loaded[AIRLINE], loaded[AIRPORT], loaded[PLANE], dates, times, months).measured()
 
     daily, monthly = f"{lake}/presentation/flight_fact", f"{lake}/presentation/monthly_flight_fact"
     write_table(daily_fact(flights, dims), daily, partition_by=["flight_date_key"])
