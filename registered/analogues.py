@@ -51,7 +51,7 @@ def _routes(spark: SparkSession, sf_dir: str, columns: Collection[str]) -> DataF
     keys = {"orders": "l_orderkey"} if of_order else {}
     keys |= {"supplier": "l_suppkey"} if of_supplier else {}
     own = set(columns) - {*of_order, *of_supplier} | set(keys.values())
-    rows = spread(table(spark, sf_dir, "lineitem").select(*sorted(own)), *sorted(own)[:1])
+    rows = spread(table(spark, sf_dir, "lineitem").select(*sorted(own)), *(keys.values() or sorted(own)))
 
     from_orders = ["o_custkey" if c == "c_nationkey" else c for c in of_order]
     orders = table(spark, sf_dir, "orders").select("o_orderkey", *from_orders)

@@ -36,7 +36,8 @@ def dense_key(
     """Add ``key`` = ``base`` + 1, 2, 3 ... in digest order.
 
     ``natural_key`` must be unique and not NULL in ``df``.  The frame is read twice, the first time for the
-    natural key alone.
+    natural key alone, so it must give the same rows both times: a stored table, or computed from stored ones
+    without chance.
     """
     digest = key_digest(natural_key)
     bucket = F.conv(F.substring(digest, 1, _DIGITS), 16, 10).cast("int")

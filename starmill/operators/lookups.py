@@ -43,13 +43,18 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _row_bytes(df: DataFrame) -> Column:
-    sizes = [
-        F.coalesce(F.octet_length(f.name), F.lit(0)) if isinstance(f.dataType, T.StringType) else F.lit(8)
-        for f in df.schema.fields
-    ]
+    sizes = [_value_bytes(f) for f in df.schema.fields]
     return F.sum(reduce(lambda a, b: a + b, sizes, F.lit(_ROW_OVERHEAD)).cast("long"))
 
 
+def _value_bytes(field: T.StructField) -> Column:
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(field.name), F.lit(0))
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.octet_length(F.to_json(F.struct(field.name)))
+    return F.lit(8)
+
+
 def measured_bytes(*tables: DataFrame) -> list[int]:
     """Bytes of each table, summed over all its rows; one job for all tables."""
     if not tables:

@@ -56,10 +56,15 @@ def _differs(spec: DimSpec, change: str) -> Column:
 
 
 def _matched(dim: DataFrame, staging: DataFrame, spec: DimSpec, how: str) -> DataFrame:
-    """Open versions next to the staged row of the same member; staged columns carry a prefix."""
+    """Open versions next to the staged row of the same member; staged columns carry a prefix.
+
+    Unless all versions are wanted, a small delivery shuffles only those of its own members.
+    """
     staged = _members(staging, spec)
     staged = staged.select(*[F.col(c).alias(_staged(c)) for c in staged.columns])
     versions = current(dim).select(*spec.columns)
+    if how != "left":
+        versions = keep_listed(versions, staging, spec.natural_key)
     same_member = reduce(
         lambda a, b: a & b, [F.col(n) == F.col(_staged(n)) for n in spec.natural_key]
     )
@@ -112,12 +117,8 @@ def scd2_initial(staging: DataFrame, spec: DimSpec, as_of: date) -> DataFrame:
 
 
 def scd2_delta(dim: DataFrame, staging: DataFrame, spec: DimSpec, change: str = "attributes") -> DataFrame:
-    """Staged rows that need a new version; ``_held`` tells changed members from new ones.
-
-    A small delivery shuffles only the versions of its own members, not the whole dimension.
-    """
-    own = keep_listed(current(dim), staging, spec.natural_key)
-    matched = _matched(own, staging, spec, "right")
+    """Staged rows that need a new version; ``_held`` tells changed members from new ones."""
+    matched = _matched(dim, staging, spec, "right")
     held = F.col(spec.natural_key[0]).isNotNull()
     needed = matched.where(~held | _differs(spec, change))
     return needed.select(*_staged_columns(spec), held.alias("_held"))

@@ -10,6 +10,7 @@ from starmill.operators.scd2 import scd2_initial, scd2_merge
 from starmill.plans import dashboards
 from starmill.plans.facts import DAILY_COLUMNS, Dimensions, daily_fact, flight_columns, monthly_fact
 from starmill.schemas import AIRLINE, AIRPORT, FLIGHTS, PASSENGERS, PLANE
+from starmill.sources import scratch_root, write_table
 
 D1, D2 = date(2024, 1, 1), date(2024, 2, 1)
 
@@ -18,9 +19,15 @@ def plane(n_number):
     return (n_number, "s", "a", "m", 2000, "c", "st", "str", 1, "e", "em", 100)
 
 
+def stored(df):
+    path = scratch_root(df.sparkSession)
+    write_table(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 @pytest.fixture(scope="module")
 def dims(spark):
-    """Dimensions with a closed version of every kind, so that a lookup of closed ones would show."""
+    """Dimensions with closed versions among them, so that a lookup of closed ones would show."""
     carriers = "carrier string, airline_name string"
     airlines = scd2_initial(spark.createDataFrame([("AA", "old name"), ("BB", "b")], carriers), AIRLINE, D1)
     airlines = scd2_merge(airlines, spark.createDataFrame([("AA", "new name")], carriers), AIRLINE, D2)
@@ -33,7 +40,8 @@ def dims(spark):
     kinds = ", ".join(f"{c} {'int' if c in whole else 'string'}" for c in ("n_number", *PLANE.attributes))
     planes = scd2_initial(spark.createDataFrame([plane("N1"), plane("N2")], kinds), PLANE, D1)
     days = date_dimension(literal_span(spark, date(2016, 1, 1), date(2016, 3, 31)))
-    return Dimensions(airlines, airports, planes, days, time_dimension(spark), monthly_dimension(days))
+    tables = (airlines, airports, planes, days, time_dimension(spark), monthly_dimension(days))
+    return Dimensions(*map(stored, tables))
 
 
 def flight(**given):
@@ -94,6 +102,13 @@ def test_shuffled_lookups_give_the_same_fact(flights, dims, rows):
     assert rows(daily_fact(flights, dims, limit_bytes=0)) == rows(daily_fact(flights, dims))
 
 
+def test_sizes_measured_before_give_the_same_fact(flights, dims, rows):
+    sized = dims.measured()
+    assert set(sized.sizes) == {"airline", "airport", "plane", "date", "time", "month"}
+    assert sized.sizes["date"] == 91 * 48
+    assert rows(daily_fact(flights, sized)) == rows(daily_fact(flights, dims))
+
+
 def test_monthly_fact(spark, dims):
     delivered = spark.createDataFrame(
         [

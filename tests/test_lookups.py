@@ -87,6 +87,8 @@ def test_measured_bytes(spark):
     empty = spark.createDataFrame([], "t string")
     assert measured_bytes(texts, empty) == [3 * 32 + 4, 0]
     assert measured_bytes() == []
+    nested = spark.createDataFrame([([1, 22],)], "a array<int>")
+    assert measured_bytes(nested)[0] >= 32 + len('{"a":[1,22]}')
 
 
 def test_one_per_key_takes_the_smallest_row(spark, rows):
