@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field, fields, replace
 
 from pyspark.sql import DataFrame
@@ -112,22 +112,25 @@ DAILY_COLUMNS = (
 )
 
 
-def _key_tables(dims: Dimensions, names: set[str]) -> dict[str, tuple[DataFrame, str]]:
-    """For each dimension used, its natural key and surrogate key alone, and the surrogate's name."""
+def _key_tables(dims: Dimensions, names: Collection[str]) -> dict[str, DataFrame]:
+    """For each dimension used, its natural key and its surrogate key alone, the latter always named alike.
+
+    Roles of one dimension then differ in column names only, so Spark can reuse one broadcast for several.
+    """
     build = {
-        "airline": lambda: (current(dims.airline).select("carrier", "airline_key"), "airline_key"),
-        "airport": lambda: (current(dims.airport).select("code", "airport_key"), "airport_key"),
-        "plane": lambda: (current(dims.plane).select("n_number", "plane_key"), "plane_key"),
-        "date": lambda: (dims.date.select("date", "date_key"), "date_key"),
+        "airline": lambda: current(dims.airline).select("carrier", F.col("airline_key").alias("surrogate")),
+        "airport": lambda: current(dims.airport).select("code", F.col("airport_key").alias("surrogate")),
+        "plane": lambda: current(dims.plane).select("n_number", F.col("plane_key").alias("surrogate")),
+        "date": lambda: dims.date.select("date", F.col("date_key").alias("surrogate")),
         # Clock values have no seconds, so only the full minutes can be met.
-        "time": lambda: (dims.time.where("second = 0").select("hour", "minute", "time_key"), "time_key"),
-        "month": lambda: (dims.month.select("year", "month", "monthly_key"), "monthly_key"),
+        "time": lambda: dims.time.where("second = 0").select("hour", "minute", F.col("time_key").alias("surrogate")),
+        "month": lambda: dims.month.select("year", "month", F.col("monthly_key").alias("surrogate")),
     }
     return {name: build[name]() for name in sorted(names)}
 
 
-def _sizes(tables: Mapping[str, tuple[DataFrame, str]]) -> dict[str, int]:
-    return dict(zip(tables, measured_bytes(*[table for table, _ in tables.values()]), strict=True))
+def _sizes(tables: Mapping[str, DataFrame]) -> dict[str, int]:
+    return dict(zip(tables, measured_bytes(*tables.values()), strict=True))
 
 
 def _find_keys(
@@ -142,12 +145,11 @@ def _find_keys(
     large = {target: list(role.on) for target, role in roles.items() if sizes[role.dimension] > limit_bytes}
     hot = hot_keys(rows, large)
     for target, role in roles.items():
-        table, surrogate = tables[role.dimension]
         rows = lookup(
             rows,
-            table,
+            tables[role.dimension],
             role.on,
-            {target: surrogate},
+            {target: "surrogate"},
             how="inner" if target in inner else "left",
             table_bytes=sizes[role.dimension],
             hot=hot.get(target),
