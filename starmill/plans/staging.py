@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import fill_undefined, lower_columns, parse_place
 from ..operators.lookups import lookup, one_per_key
+from ..schemas import PLANE
 
 
 def stage_airline(airlines: DataFrame) -> DataFrame:
@@ -21,15 +22,18 @@ def stage_airline(airlines: DataFrame) -> DataFrame:
 def flight_airports(flights: DataFrame) -> DataFrame:
     """State and world area of each airport flights leave from, one row per airport.
 
-    Equal rows are dropped first, hashed where they lie, so that only a few per airport are left to compare.
+    Where flights disagree, what most of them say counts, and the smallest of what equally many say.
+    Counting hashes the flights where they lie; only a few rows per airport are shuffled and compared.
     """
-    seen = flights.select(
+    said = ["state_code", "state_name", "wac"]
+    seen = flights.where(F.col("OriginAirportID").isNotNull()).groupBy(
         F.col("OriginAirportID").alias("code"),
         F.col("OriginState").alias("state_code"),
         F.col("OriginStateName").alias("state_name"),
         F.col("OriginWac").alias("wac"),
     )
-    return one_per_key(seen.where(F.col("code").isNotNull()).distinct(), ["code"])
+    counted = seen.agg((-F.count("*")).alias("rank"))
+    return one_per_key(counted.select("code", "rank", *said), ["code"]).select("code", *said)
 
 
 def stage_airport(airports: DataFrame, flights: DataFrame, wac: DataFrame) -> DataFrame:
@@ -73,4 +77,4 @@ def stage_plane(planes: DataFrame, engines: DataFrame) -> DataFrame:
     )
     take = ["eng_mfr_name", "eng_model_name", "eng_horse_power"]
     powered = lookup(registered.distinct(), makes, on={"eng_mfr_model_code": "code"}, take={c: c for c in take})
-    return fill_undefined(powered)
+    return fill_undefined(powered.select("n_number", *PLANE.attributes))
