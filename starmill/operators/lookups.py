@@ -1,11 +1,10 @@
 """Dimension lookups: turn natural keys of a large frame into columns of a dimension.
 
 A lookup table is broadcast only after its bytes were summed and found below a limit.  Beyond the limit the
-large side is shuffled, and keys that hold a large share of its rows are salted: Spark's frequent-item count
-finds every key above the given share (at most ``1 / share`` of them, plus some harmless false hits), rows
-with such a key are spread over all partitions by a hash of the row, and only the few table rows of these keys
-are repeated.  Rows without a key match nothing and are spread over all partitions.  Identical copies
-of one row share a hash; adaptive execution splits the partition they fall into.
+large side is shuffled.  Keys that hold a large share of its rows, the missing key included, are found and counted
+first; where there are any, their rows are spread over all partitions by a hash of the row and only their few
+table rows are repeated, while all other rows stay unsalted.  Identical copies of one row share a hash; adaptive
+execution splits the partition they fall into.
 
 The salt hashes all columns of the large side, so select the ones needed before looking anything up.
 """
@@ -70,15 +69,26 @@ def measured_bytes(*tables: DataFrame) -> list[int]:
 def hot_keys(
     rows: DataFrame, keys: Mapping[str, Sequence[str]], share: float = HOT_SHARE
 ) -> dict[str, list[int]]:
-    """For each named key, the hashes of all values that hold more than ``share`` of the rows.
+    """For each named key, the hashes of the values that hold more than ``share`` of the rows.
 
-    At most ``1 / share`` hashes per key; one job for all keys.
+    At most ``1 / share`` hashes per key.  Spark's frequent-item count names the candidates, false ones among
+    them; a second pass over the key columns counts just these.  Two jobs for all keys together.
     """
     if not keys:
         return {}
-    hashes = [F.when(_all_set(names), F.xxhash64(*names)).alias(key) for key, names in keys.items()]
-    found = rows.select(*hashes).stat.freqItems(list(keys), share).first()
-    return {key: [h for h in hashed or [] if h is not None] for key, hashed in zip(keys, found, strict=True)}
+    hashed = rows.select(*[F.xxhash64(*names).alias(key) for key, names in keys.items()])
+    candidates = hashed.stat.freqItems(list(keys), share).first()
+    listed = [
+        F.struct(F.lit(key).alias("key"), F.when(F.col(key).isin(found), F.col(key)).alias("hash"))
+        for key, found in zip(keys, candidates, strict=True)
+    ]
+    counts = hashed.select(F.inline(F.array(*listed))).groupBy("key", "hash").count().collect()
+    total = sum(r["count"] for r in counts) / len(keys)
+    hot: dict[str, list[int]] = {key: [] for key in keys}
+    for r in counts:
+        if r.hash is not None and r["count"] > share * total:
+            hot[r.key].append(r.hash)
+    return hot
 
 
 def keep_listed(
@@ -138,13 +148,13 @@ def _salts(rows: DataFrame) -> int:
 def _shuffled(
     rows: DataFrame, right: DataFrame, names: Sequence[str], how: str, hot: Sequence[int]
 ) -> DataFrame:
+    if not hot:
+        return rows.join(right, list(names), how)
     row_hash, is_hot = F.xxhash64(*rows.columns), F.xxhash64(*names).isin(list(hot))
     zero, last = F.lit(0).cast("long"), F.lit(_salts(rows) - 1).cast("long")
-    row_salt, table_salts = zero, F.array(zero)
-    if hot:
-        row_salt = F.when(is_hot, row_hash.bitwiseAND(last)).otherwise(zero)
-        table_salts = F.when(is_hot, F.sequence(zero, last)).otherwise(F.array(zero))
-
-    left = rows.withColumn("_salt", F.when(_all_set(names), row_salt).otherwise(row_hash))
+    # A row without a key meets no table row, so any salt will do for it.
+    row_salt = F.when(~is_hot, zero).when(_all_set(names), row_hash.bitwiseAND(last)).otherwise(row_hash)
+    table_salts = F.when(is_hot, F.sequence(zero, last)).otherwise(F.array(zero))
+    left = rows.withColumn("_salt", row_salt)
     salted = right.where(_all_set(names)).withColumn("_salt", F.explode(table_salts))
     return left.join(salted, [*names, "_salt"], how).drop("_salt")

@@ -69,11 +69,20 @@ def test_several_key_columns(spark, rows):
 
 
 def test_hot_keys_are_found(skewed, spark):
-    hot = spark.createDataFrame([("hot",)], "code string").select(F.xxhash64("code")).first()[0]
-    found = hot_keys(skewed, {"a": ["code"], "b": ["id"], "c": ["payload", "code"]}, share=0.1)
-    assert hot in found["a"]
-    assert all(len(hashes) <= 10 and None not in hashes for hashes in found.values())
+    codes = spark.createDataFrame([("x", "hot"), ("x", None)], "payload string, code string")
+    single = {r[0] for r in codes.select(F.xxhash64("code")).collect()}
+    double = {r[0] for r in codes.select(F.xxhash64("payload", "code")).collect()}
+    found = hot_keys(skewed, {"a": ["code"], "b": ["id"], "c": ["payload", "code"]})
+    assert {key: set(hashes) for key, hashes in found.items()} == {"a": single, "b": set(), "c": double}
     assert hot_keys(skewed, {}) == {}
+    assert hot_keys(skewed.limit(0), {"a": ["code"]}) == {"a": []}
+
+
+def test_even_keys_are_not_salted(spark):
+    rows = spark.range(5_000).select((F.col("id") % 1000).alias("k"))
+    found = lookup(rows, spark.range(1000).select("id", F.lit(1).alias("v")), {"k": "id"}, {"v": "v"}, limit_bytes=0)
+    assert "_salt" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 5_000
 
 
 def test_keep_listed_is_only_a_saving(spark, rows):

@@ -40,7 +40,7 @@ def test_dates_and_flags_reach_the_scan(spark):
 def test_large_tables_are_not_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        rows = spark.range(1000).selectExpr("id", "cast(id % 10 as string) as code")
+        rows = spark.range(1000).selectExpr("id", "if(id % 2 = 0, 'hot', cast(id as string)) as code")
         table = spark.range(10).selectExpr("cast(id as string) as code", "id as key")
         over = lookup(rows, table, {"code": "code"}, {"key": "key"}, limit_bytes=100)
         under = lookup(rows, table, {"code": "code"}, {"key": "key"}, limit_bytes=10_000)
