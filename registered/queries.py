@@ -17,7 +17,15 @@ from starmill.operators.calendar import date_dimension, literal_span, monthly_di
 from starmill.operators.keys import dense_key, next_key
 from starmill.operators.lookups import current, lookup
 from starmill.plans import dashboards, facts, staging
-from starmill.sources import read_delimited, read_table, replace_table, scratch_root, spread, write_delimited, write_table
+from starmill.sources import (
+    read_delimited,
+    read_table,
+    replace_table,
+    scratch_root,
+    spread,
+    write_delimited,
+    write_table,
+)
 
 from .analogues import (
     BUYER,

@@ -120,10 +120,10 @@ def lookup(
 ) -> DataFrame:
     """Join ``table`` (unique on its key) to ``rows``.
 
-    ``on`` maps columns of ``rows`` to key columns of ``table``, and the result starts with them; ``take`` maps
-    new columns to columns of ``table``.  ``table_bytes`` and ``hot`` are the measured size of the table and the frequent keys of the
-    rows where the caller has them already; a caller that looks up several keys finds the frequent ones of
-    all in one pass, before the first join.
+    ``on`` maps columns of ``rows`` to key columns of ``table``, and the result starts with them; ``take``
+    maps new columns to columns of ``table``.  ``table_bytes`` and ``hot`` are the measured size of the table
+    and the frequent keys of the rows where the caller has them already; a caller that looks up several keys
+    finds the frequent ones of all in one go, before the first join.
     """
     types = {f.name: f.dataType for f in rows.schema.fields}
     right = table.select(
