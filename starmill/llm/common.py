@@ -56,6 +56,36 @@ def in_groups(batches: Iterator, key: str) -> Iterator:
         yield last, pa.Table.from_batches(held)
 
 
+def text_slices(batches: Iterator, text: str = "text", most: int = 4 << 20) -> Iterator:
+    """Cut Arrow batches into runs of rows with about ``most`` bytes of text, so that what Python makes of them is small."""
+    import numpy as np
+
+    for batch in batches:
+        column = batch.column(text)
+        width = np.cumsum(np.fromiter((len(v.as_buffer()) if v.is_valid else 0 for v in column), np.int64, len(column)))
+        start = 0
+        while start < batch.num_rows:
+            end = max(start + 1, int(np.searchsorted(width, (width[start - 1] if start else 0) + most, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
+def merged(root, i, j):
+    """``root`` names a smaller or equal row for each row; the same after rows i and j (arrays) are linked."""
+    import numpy as np
+
+    while True:
+        low = np.minimum(root[i], root[j])
+        new = root.copy()
+        np.minimum.at(new, root[i], low)
+        np.minimum.at(new, root[j], low)
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b): one row (node, component) for each node, component its smallest node.
 

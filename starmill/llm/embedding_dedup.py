@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, stored
+from .common import components, merged, stored
 
 #: What double rounding may add to a bound or a unit length.
 SLACK = 1e-9
@@ -61,21 +61,6 @@ def linked(x: dict, y: dict, threshold: float, same: bool) -> tuple[np.ndarray,
     return i[keep], j[keep]
 
 
-def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """For n nodes and links (i, j): the smallest node that each node is connected with."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[i], root[j])
-        new = root.copy()
-        np.minimum.at(new, root[i], low)
-        np.minimum.at(new, root[j], low)
-        while (deeper := new[new] != new).any():
-            new = np.where(deeper, new[new], new)
-        if (new == root).all():
-            return root
-        root = new
-
-
 TILE = "label_key {label}, dim int, tile long, ids binary, weights binary, codes binary, scale binary, error binary, full binary"
 PARTS = "node long, n_links long, root long"
 
@@ -120,7 +105,7 @@ def _compared(threshold: float):
                     j = j + len(x["ids"])
                 met = np.bincount(i, weights[j], len(ids)) + np.bincount(j, weights[i], len(ids))
                 touched = np.nonzero(met)[0]
-                root = forest(len(ids), i, j)
+                root = merged(np.arange(len(ids)), i, j)
                 yield pa.RecordBatch.from_pydict(
                     {"node": ids[touched], "n_links": met[touched].astype(np.int64), "root": ids[root[touched]]}
                 )

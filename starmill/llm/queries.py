@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, lines, mixing
+from . import embedding_dedup, lines, mixing, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = mixing.sized(table(spark, sf_dir, "documents"))
     mix = mixing.mixed(sizes, mixing.thresholds(sizes))
@@ -31,6 +35,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_simhash_dedup": op2_simhash_dedup,
     "op8_mix_sources": op8_mix_sources,
     "op9_line_dedup": op9_line_dedup,
 }
