@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 
 def _lines(text: str = "text") -> Column:
     return F.split(F.col(text), "\n")
@@ -40,7 +42,7 @@ def drop_boilerplate(
     A null text stays null with 0 lines; an empty one has one blank line, which stays.  A page left without any line has
     an empty text; the page itself is kept.  Pages of a null host are one site.  Repeated rows are pages of their own.
     """
-    common = boilerplate(docs, host, ratio, min_pages)
+    common = stored(boilerplate(docs, host, ratio, min_pages))
     docs = docs.drop("n_lines", "n_dropped")
     joined = docs.alias("d").join(common.alias("b"), F.col(f"d.{host}").eqNullSafe(F.col("b.host")), "left")
     lines = F.split(F.col("d.text"), "\n")
