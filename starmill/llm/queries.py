@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embedding_dedup, lines, mixing, simhash, warc
+from . import chat, embedding_dedup, language_id, lines, mixing, quality, simhash, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,12 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_and_read(turns.unionByName(added))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.fit(docs))
+    return found.select("doc_id", (~language_id.for_training(F.col("doc_id"))).alias("held_out"), "lang_pred", "score")
+
+
 def op6_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
@@ -47,13 +53,21 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.withColumn("held_out", ~quality.for_training(F.col("doc_id")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_chat_format": op3_chat_format,
+    "op5_language_id": op5_language_id,
     "op6_warc_archive": op6_warc_archive,
     "op8_mix_sources": op8_mix_sources,
     "op9_line_dedup": op9_line_dedup,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE: dict[str, str] = {
