@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embedding_dedup, language_id, lines, mixing, quality, simhash, warc
+from . import chat, decontaminate, embedding_dedup, language_id, lines, mixing, quality, simhash, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,11 @@ def op6_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contaminated documents, each with the items it holds."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = mixing.sized(table(spark, sf_dir, "documents"))
     mix = mixing.mixed(sizes, mixing.thresholds(sizes))
@@ -65,12 +70,65 @@ QUERIES: dict[str, Query] = {
     "op3_chat_format": op3_chat_format,
     "op5_language_id": op5_language_id,
     "op6_warc_archive": op6_warc_archive,
+    "op7_decontaminate": op7_decontaminate,
     "op8_mix_sources": op8_mix_sources,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
+#: Tokens as a list of texts.
+_TOKENS = r"""list_filter(string_split(translate(lower(coalesce(text, '')),
+    chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || '!"#$%&''()*+,-./:;<=>?@[\]^_`{|}~', '     '), ' '),
+    lambda word: word <> '')"""
+
 ORACLE: dict[str, str] = {
+    "op7_decontaminate": f"""
+        with docs as (
+            select doc_id, row_number() over () as doc, {_TOKENS} as t from documents
+        ), items as (
+            select *, row_number() over () as item from (select distinct item_id, {_TOKENS} as t from benchmark)
+            where len(t) >= 5
+        ), masks as (
+            select * from (values (0, [0, 1, 2, 3, 4, 5, 6]), (1, [0, 1, 2, 6, 7, 8, 10]),
+                (2, [0, 1, 3, 4, 7, 10, 11]), (3, [0, 1, 2, 3, 4])) as v(mask, picks)
+        ), doc_seeds as (
+            select doc, mask, pos, list_transform(picks, lambda k: t[pos + k + 1]) as seed
+            from (select doc, t, unnest(range(0, len(t))) as pos from docs), masks
+            where pos + list_max(picks) < len(t)
+        ), item_seeds as (
+            select item, mask, pos, list_transform(picks, lambda k: t[pos + k + 1]) as seed
+            from (select item, t, unnest(range(0, len(t))) as pos from items), masks
+            where pos + list_max(picks) < len(t) and (mask < 3 or len(t) < 8)
+        ), offsets as (
+            select distinct doc, item, d.pos - i.pos as shift
+            from doc_seeds d join item_seeds i on d.mask = i.mask and d.seed = i.seed
+        ), laid as (
+            select doc, item, shift, unnest(range(greatest(0, -shift), least(len(i.t), len(d.t) - shift))) as k,
+                d.t as dt, i.t as it, least(13, len(i.t)) as width
+            from offsets join docs d using (doc) join items i using (item)
+        ), counted as (
+            select doc, item, shift, width, k - min(k) over whole + 1 as nth,
+                sum(cast(dt[k + shift + 1] = it[k + 1] as integer)) over whole as overlap,
+                sum(cast(dt[k + shift + 1] = it[k + 1] as integer)) over upto as head
+            from laid
+            window whole as (partition by doc, item, shift),
+                upto as (partition by doc, item, shift order by k)
+        ), windows as (
+            select a.doc, a.item, a.shift, a.width, a.overlap, a.head - coalesce(b.head, 0) as matched
+            from counted a left join counted b
+                on a.doc = b.doc and a.item = b.item and a.shift = b.shift and b.nth = a.nth - a.width
+            where a.nth >= a.width
+        ), best as (
+            select doc, item, shift, width, overlap, max(matched) as matched from windows group by all
+            having max(matched) >= case when width < 8 then width else ceil(width * 0.8) end
+        )
+        select doc_id, item_id, cast(b.m.matched as integer) as matched, cast(b.m.width as integer) as window,
+            cast(b.m.overlap as integer) as overlap
+        from (
+            select docs.doc_id, items.item_id, max(struct_pack(matched, width, overlap)) as m
+            from best join docs using (doc) join items using (item) group by all
+        ) b
+    """,
     "op8_mix_sources": r"""
         with sized as (
             select doc_id, source,
