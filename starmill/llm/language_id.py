@@ -203,34 +203,52 @@ class Labeller:
 _labellers: dict[str, Labeller] = {}
 
 
+def _labeller(model: Model) -> Labeller:
+    """The one of this worker for this model; a worker goes on using it in its next task."""
+    key = model.digest()
+    if key not in _labellers:
+        _labellers.clear()
+        _labellers[key] = Labeller(model)
+    return _labellers[key]
+
+
+def _judged(labeller: Labeller | None, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text."""
+    names, scores = ["und"] * len(texts), np.zeros(len(texts))
+    if labeller:
+        words = [t.encode().split() if t and _LETTER.search(t) else [] for t in texts]
+        rows = labeller.of([w for doc in words for w in doc])
+        ends = np.cumsum([len(doc) for doc in words])
+        total = np.concatenate([np.zeros((1, rows.shape[1])), np.cumsum(rows, axis=0)])
+        for k, doc in enumerate(words):
+            if doc:
+                pooled = total[ends[k]] - total[ends[k] - len(doc)]
+                best = int(pooled.argmax())
+                names[k], scores[k] = labeller.model.languages[best], min(1.0, pooled[best] / pooled.sum())
+    return names, scores
+
+
 def _predicted(model: Model | None):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = None
-        if model is not None:
-            key = model.digest()
-            if key not in _labellers:
-                _labellers.clear()
-                _labellers[key] = Labeller(model)
-            labeller = _labellers[key]
+        labeller = _labeller(model) if model is not None else None
         for part in text_slices(batches):
-            texts = part.column("text").to_pylist()
-            names, scores = ["und"] * len(texts), np.zeros(len(texts))
-            if labeller:
-                words = [t.encode().split() if t and _LETTER.search(t) else [] for t in texts]
-                rows = labeller.of([w for doc in words for w in doc])
-                ends = np.cumsum([len(doc) for doc in words])
-                total = np.concatenate([np.zeros((1, rows.shape[1])), np.cumsum(rows, axis=0)])
-                for k, doc in enumerate(words):
-                    if doc:
-                        pooled = total[ends[k]] - total[ends[k] - len(doc)]
-                        best = int(pooled.argmax())
-                        names[k], scores[k] = model.languages[best], min(1.0, pooled[best] / pooled.sum())
+            names, scores = _judged(labeller, part.column("text").to_pylist())
             ids = part.column("doc_id")
-            yield pa.RecordBatch.from_pydict({"doc_id": ids, "lang_pred": pa.array(names), "score": scores})
+            yield pa.RecordBatch.from_pydict({"doc_id": ids, "lang_pred": pa.array(names, pa.string()), "score": scores})
 
     return predict
 
 
+def _told(model: Model | None):
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labeller = _labeller(model) if model is not None else None
+        for part in text_slices(batches):
+            names, _ = _judged(labeller, part.column("text").to_pylist())
+            yield part.filter(pa.array([name != "und" for name in names], pa.bool_()))
+
+    return tell
+
+
 def for_training(doc_id: Column) -> Column:
     """Rows of the training part: CRC-32 of the id as text, modulo 3, is not 1."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 3 != 1
@@ -271,3 +289,8 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 def fit(docs: DataFrame, **bounds: int) -> Model | None:
     """A network trained on a bounded sample of the training part of ``docs`` (doc_id, text, lang)."""
     return train(sample(docs, **bounds))
+
+
+def with_language(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of ``docs`` whose language can be told, all columns unchanged; without a model none."""
+    return docs.mapInArrow(_told(model), docs.schema)
