@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, embedding_dedup, language_id, lines, mixing, quality, simhash, warc
+from . import chat, decontaminate, embedding_dedup, language_id, lines, mixing, quality, simhash, substring, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_and_read(turns.unionByName(added))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring.drop_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language_id.identify(docs, language_id.fit(docs))
@@ -68,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_chat_format": op3_chat_format,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_language_id": op5_language_id,
     "op6_warc_archive": op6_warc_archive,
     "op7_decontaminate": op7_decontaminate,
