@@ -43,7 +43,8 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archived(table(spark, sf_dir, "pages"))
+    """The records of all pages, in the order of their capture histories."""
+    return warc.archived(table(spark, sf_dir, "pages")).drop("urlkey")
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +89,74 @@ _TOKENS = r"""list_filter(string_split(translate(lower(coalesce(text, '')),
     lambda word: word <> '')"""
 
 ORACLE: dict[str, str] = {
+    "op1_embedding_dedup": """
+        with recursive vectors as (
+            select row_number() over () as n, vec_id, label, cast(embedding as double[]) as v from embeddings
+        ), usable as (
+            select * from vectors where label is not null and vec_id is not null and v is not null
+                and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0
+                and len(list_filter(v, lambda x: x <> 0)) > 0
+        ), links as (
+            select a.n, a.vec_id as a, b.vec_id as b
+            from usable a join usable b on a.label = b.label and a.n <> b.n and len(a.v) = len(b.v)
+            where list_inner_product(a.v, b.v)
+                / sqrt(list_inner_product(a.v, a.v) * list_inner_product(b.v, b.v)) >= 0.98
+        ), reached as (
+            select distinct a, b from links
+            union
+            select r.a, l.b from reached r join links l on r.b = l.a
+        ), smallest as (
+            select a as vec_id, least(a, min(b)) as component_id from reached group by a
+        ), counted as (
+            select n, count(*) as n_links from links group by n
+        )
+        select v.vec_id, coalesce(c.n_links, 0) as n_links, coalesce(s.component_id, v.vec_id) as component_id,
+            coalesce(v.vec_id = coalesce(s.component_id, v.vec_id), true) as kept
+        from vectors v left join counted c using (n) left join smallest s on v.vec_id = s.vec_id
+    """,
+    "op4_substring_dedup": r"""
+        with docs as (
+            select row_number() over () as n, doc_id,
+                coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as words
+            from documents
+        ), windows as (
+            select n, doc_id, k, list_slice(words, k, k + 12) as seen
+            from (select *, unnest(range(1, len(words) - 11)) as k from docs)
+        ), firsts as (
+            select seen, min(doc_id) as doc_id from windows group by seen
+        ), covered as (
+            select distinct n, unnest(range(k, k + 13)) as k
+            from windows join firsts using (seen) where windows.doc_id > firsts.doc_id
+        ), removed as (
+            select n, count(*) as n_removed from covered group by n
+        ), kept as (
+            select n, string_agg(word, ' ' order by k) as kept
+            from (select n, unnest(words) as word, generate_subscripts(words, 1) as k from docs)
+            anti join covered using (n, k) group by n
+        )
+        select doc_id, len(words) as n_words, coalesce(n_removed, 0) as n_removed,
+            sha256(coalesce(kept, '')) as kept_sha256
+        from docs left join removed using (n) left join kept using (n)
+    """,
+    "op6_warc_archive": """
+        with payloads as (
+            select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as digest from pages
+        ), halves as (
+            select *, list_transform(range(40), lambda i: strpos('0123456789abcdef', digest[i + 1]) - 1) as h
+            from payloads
+        ), bits as (
+            select *, list_transform(range(160), lambda b: (h[b // 4 + 1] >> (3 - b % 4)) & 1) as b from halves
+        ), firsts as (
+            select html, max(page_id) as first from payloads group by html
+        )
+        select page_id, octet_length(encode(bits.html)) as payload_bytes,
+            array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                cast(16 * b[5 * i + 1] + 8 * b[5 * i + 2] + 4 * b[5 * i + 3] + 2 * b[5 * i + 4] + b[5 * i + 5] + 1
+                    as bigint), 1)), '') as payload_digest,
+            case when page_id is not distinct from first then 'response' else 'revisit' end as record_type,
+            case when page_id is distinct from first then first end as refers_to
+        from bits join firsts on bits.html = firsts.html
+    """,
     "op7_decontaminate": f"""
         with docs as (
             select doc_id, row_number() over () as doc, {_TOKENS} as t from documents
