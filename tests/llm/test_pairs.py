@@ -1,0 +1,281 @@
+"""Near duplicates, substrings and benchmark passages against plain Python over all pairs."""
+
+from __future__ import annotations
+
+import random
+import re
+from itertools import combinations
+
+import numpy as np
+import pytest
+import xxhash
+
+from starmill.llm import decontaminate, embedding_dedup, simhash, substring
+from starmill.llm.common import components, merged
+
+WORDS = [f"w{i}" for i in range(60)]
+
+
+def text_of(rng: random.Random, n: int) -> str:
+    return " ".join(rng.choice(WORDS) for _ in range(n))
+
+
+def smallest_reachable(nodes, links):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    return {n: find(n) for n in nodes}
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    edges = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 130)] + [(7, 7), (200, 50), (200, 50)]
+    found = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    linked = [(a, b) for a, b in edges if a != b]
+    assert found == smallest_reachable({n for e in linked for n in e}, linked)
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_merged_names_the_smallest_row():
+    assert merged(np.arange(6), np.array([4, 1]), np.array([2, 4])).tolist() == [0, 1, 1, 3, 1, 5]
+
+
+# Embeddings
+
+
+def embedding_rows(rng: np.random.Generator):
+    base = rng.standard_normal((30, 16))
+    vectors = [b + rng.standard_normal(16) * s for b in base for s in (0.0, 0.03, 0.05, 0.2)]
+    rows = [(i, [float(np.float32(x)) for x in v], int(rng.integers(0, 3))) for i, v in enumerate(vectors)]
+    rows += [(1000 + i, rows[0][1], rows[0][2]) for i in range(9)]
+    return rows + [
+        (2000, None, 1),
+        (2001, [0.0] * 16, 1),
+        (2002, [float("nan")] + [1.0] * 15, 1),
+        (2003, [None] + [1.0] * 15, 1),
+        (2004, [float("inf")] * 16, 1),
+        (2005, rows[0][1], None),
+        (2006, rows[0][1][:8], rows[0][2]),
+        (2007, [], 1),
+        (None, rows[0][1], rows[0][2]),
+        (0, rows[0][1], rows[0][2]),
+    ]
+
+
+@pytest.mark.parametrize("tile", [7, 1024])
+def test_embeddings_equal_all_pairs(spark, tile):
+    rows = embedding_rows(np.random.default_rng(3))
+    good = [
+        (n, i, np.array(v), label)
+        for n, (i, v, label) in enumerate(rows)
+        if i is not None and label is not None and v and None not in v and np.isfinite(v).all() and any(v)
+    ]
+    links = [
+        (a, b)
+        for a, b in combinations(good, 2)
+        if a[3] == b[3]
+        and len(a[2]) == len(b[2])
+        and a[2] @ b[2] / np.sqrt((a[2] @ a[2]) * (b[2] @ b[2])) >= 0.98
+    ]
+    root = smallest_reachable({r[0] for r in rows if r[0] is not None}, [(a[1], b[1]) for a, b in links])
+    want = []
+    for n, (i, _, _) in enumerate(rows):
+        met = sum(n in (a[0], b[0]) for a, b in links)
+        want.append((i, met, root.get(i), i is None or root[i] == i))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    crowded = df.selectExpr("*", "1 as node", "'x' as weight", "0 as tile", "label as component")
+    found = [tuple(r) for r in embedding_dedup.near_duplicates(crowded, tile=tile).collect()]
+    assert sorted(map(str, found)) == sorted(map(str, want))
+    assert len(links) > 60
+
+
+def test_no_embeddings(spark):
+    empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
+    assert embedding_dedup.near_duplicates(empty).count() == 0
+
+
+def test_int8_bounds_hold():
+    rng = np.random.default_rng(0)
+    x = rng.standard_normal((200, 1500)) ** 3
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    codes, scale, error = embedding_dedup.quantised(x)
+    near = embedding_dedup.products(codes, codes) * scale[:, None] * scale
+    bound = error[:, None] + error * (1 + error[:, None])
+    assert (np.abs(near - x @ x.T) <= bound).all()
+    assert (embedding_dedup.products(codes, codes) == codes.astype(np.int64) @ codes.astype(np.int64).T).all()
+
+
+# SimHash
+
+
+def fingerprint(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def simhash_rows():
+    rng = random.Random(5)
+    rows, base = [], [text_of(rng, 400) for _ in range(12)]
+    for k, text in enumerate(base * 6):
+        words = text.split()
+        for _ in range(k % 5):
+            words[rng.randrange(len(words))] = rng.choice(WORDS)
+        rows.append((500 - k, " ".join(words)))
+    rows += [(1000, None), (1001, ""), (1002, " \t\n"), (1003, "One"), (1004, "one"), (1005, "É\x0bone  TWO\r\nthree")]
+    return rows + [(500, base[0]), (None, base[0]), (1006, "ok " * 30000), (1007, " x y")]
+
+
+@pytest.mark.parametrize("bucket", [4, simhash.BUCKET])
+def test_simhash_equals_all_pairs(spark, monkeypatch, bucket):
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    rows = simhash_rows()
+    prints = [fingerprint(t) for _, t in rows]
+    named = [(i, p) for (i, _), p in zip(rows, prints, strict=True) if i is not None]
+    links = [(a, b) for (a, p), (b, q) in combinations(named, 2) if (p ^ q).bit_count() <= 3]
+    root = smallest_reachable({i for i, _ in named}, links)
+    want = [(i, f"{p:016x}", root.get(i), i is None or root[i] == i) for (i, _), p in zip(rows, prints, strict=True)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as fp", "'x' as node", "0 as kept")
+    found = [tuple(r) for r in simhash.near_duplicates(df).collect()]
+    assert sorted(map(str, found)) == sorted(map(str, want))
+    assert len({p for p in prints}) > len({root[i] for i, _ in named})
+
+
+def test_no_documents_for_simhash(spark):
+    assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize("radius", [1, 3, 4])
+@pytest.mark.parametrize("distinct", [10, 10**8])
+def test_blocks_lose_no_pair(radius, distinct):
+    rng = random.Random(1)
+    masks = simhash.block_masks(distinct, radius)
+    for _ in range(300):
+        x = rng.getrandbits(64)
+        y = x
+        for bit in rng.sample(range(64), radius):
+            y ^= 1 << bit
+        assert any(x & m == y & m for m in masks)
+
+
+@pytest.mark.parametrize("radius", [1, 2, 3, 6])
+def test_bit_planes_count_distances(radius):
+    rng = np.random.default_rng(2)
+    fps = rng.integers(0, 1 << 63, 300, np.uint64)
+    for i in range(1, 300, 2):
+        fps[i] = fps[i - 1]
+        for bit in rng.integers(0, 64, i % 8):
+            fps[i] ^= np.uint64(1 << int(bit))
+    root = simhash.linked_rows(np.repeat([4, 9], 150), fps, radius)
+    links = [
+        (i, j) for i, j in combinations(range(300), 2)
+        if i // 150 == j // 150 and int(fps[i] ^ fps[j]).bit_count() <= radius
+    ]
+    assert root.tolist() == list(smallest_reachable(range(300), links).values())
+
+
+# Substrings
+
+
+def cut(rows, n):
+    docs = [(i, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in rows]
+    first = {}
+    for i, words in docs:
+        for p in range(len(words) - n + 1) if i is not None else ():
+            key = tuple(words[p : p + n])
+            first[key] = min(first.get(key, i), i)
+    want = []
+    for i, words in docs:
+        gone = [False] * len(words)
+        for p in range(len(words) - n + 1) if i is not None else ():
+            if first[tuple(words[p : p + n])] < i:
+                gone[p : p + n] = [True] * n
+        want.append((i, len(words), sum(gone), " ".join(w for w, g in zip(words, gone, strict=True) if not g)))
+    return want
+
+
+def substring_rows():
+    rng = random.Random(8)
+    passages = [text_of(rng, n) for n in (12, 13, 14, 40, 90)]
+    rows = []
+    for i in range(40):
+        parts = [text_of(rng, rng.randrange(0, 30)) for _ in range(3)]
+        rows.append((100 - i, f"{parts[0]} {rng.choice(passages)}\n\t{parts[1]} {rng.choice(passages)} {parts[2]}"))
+    rows += [(200, "a b " * 60), (201, "x " + "a b " * 9), (7, "b a " * 12), (300, None), (301, ""), (302, " \n ")]
+    rows += [(303, passages[4]), (304, passages[4]), (None, passages[4]), (None, passages[4])]
+    rows += [(400, "A" + passages[3]), (401, passages[3].upper()), (402, text_of(rng, 20000)), (402, None)]
+    return rows + [rows[0], rows[0]]
+
+
+@pytest.mark.parametrize("heavy", [1, substring.HEAVY])
+@pytest.mark.parametrize("window", [6, 13])
+def test_substrings_equal_plain_python(spark, monkeypatch, heavy, window):
+    monkeypatch.setattr(substring, "HEAVY", heavy)
+    rows = substring_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as place", "'x' as prefix", "0 as deep")
+    found = substring.drop_repeats(df, window).collect()
+    assert sorted(str(tuple(r)[:4]) for r in found) == sorted(map(str, cut(rows, window)))
+    for r in found:
+        assert sum(s["end"] - s["start"] for s in r["removed"]) == r["n_removed"]
+        assert all(s["end"] - s["start"] >= window for s in r["removed"])
+
+
+def test_no_documents_to_cut(spark):
+    assert substring.drop_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+# Benchmark
+
+
+def replaced(rng, text, n):
+    words = text.split()
+    for k in rng.sample(range(len(words)), n):
+        words[k] = "other"
+    return " ".join(words)
+
+
+def test_passages_of_the_benchmark_are_found(spark):
+    rng = random.Random(4)
+    items = [(i, text_of(rng, n)) for i, n in enumerate([40, 25, 13, 9, 6, 5, 4, 1])] + [(8, None), (9, ""), (None, text_of(rng, 30))]
+    filler = lambda: " ".join(f"f{rng.randrange(10**6)}" for _ in range(50))
+    planted = lambda text: f"{filler()} {text} {filler()}"
+    docs = [(k, planted(text)) for k, (_, text) in enumerate(items) if text]
+    docs += [(20, planted(items[0][1].upper().replace(" ", ",  "))), (21, planted(replaced(rng, items[0][1], 6)))]
+    docs += [(22, planted(replaced(rng, items[1][1], 3))), (23, planted(" ".join(items[0][1].split()[10:28])))]
+    docs += [(30, filler()), (31, None), (32, ""), (33, planted(" ".join(items[0][1].split()[:6])))]
+    docs += [(34, planted(" ".join(reversed(items[0][1].split())))), (0, docs[0][1]), (None, docs[0][1])]
+    schema = "doc_id long, text string"
+    df = spark.createDataFrame(docs, schema).selectExpr("*", "1 as item", "'x' as tokens", "0 as at", "2 as seed")
+    bench = spark.createDataFrame(items + items[:1], "item_id long, text string").selectExpr("*", "1 as item", "0 as mask")
+    pairs = sorted(map(str, ((r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(df, bench).collect())))
+    want = [(k, k) for k in range(6)] + [(10, None), (20, 0), (21, 0), (22, 1), (23, 0), (None, 0)]
+    assert pairs == sorted(map(str, want))
+    left = sorted(r["doc_id"] for r in decontaminate.clean(df, bench).collect())
+    assert left == [6, 7, 30, 31, 32, 33, 34]
+    assert decontaminate.clean(df, bench).columns == df.columns
+
+
+def test_blocks_of_a_large_benchmark_find_the_same(spark, monkeypatch):
+    rng = random.Random(6)
+    items = [(i, text_of(rng, 30)) for i in range(12)]
+    docs = [(i, f"x y {t} z") for i, t in items]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    one = sorted(map(tuple, decontaminate.contaminated(df, bench).collect()))
+    monkeypatch.setattr(decontaminate, "SEEDS", 200)
+    assert sorted(map(tuple, decontaminate.contaminated(df, bench).collect())) == one
+    assert {(r[0], r[1]) for r in one} >= {(i, i) for i in range(12)}
+
+
+def test_decontamination_of_empty_tables(spark):
+    docs, bench = (spark.createDataFrame([], s) for s in ("doc_id long, text string", "item_id long, text string"))
+    some = spark.createDataFrame([(1, text_of(random.Random(1), 30))], "doc_id long, text string")
+    assert decontaminate.contaminated(docs, bench).count() == 0
+    assert decontaminate.clean(some, bench).count() == 1
