@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from registered.oracle import ORACLE
+from registered.queries import QUERIES
 from tests.oracle_check import database, mismatch
 
 SF = "/root/testdata/sf0.001"
@@ -16,10 +18,11 @@ def con():
 
 
 def test_each_query_has_its_sql():
-    assert list(queries()) == list(oracle_sql())
+    assert list(QUERIES) == list(ORACLE)
+    assert queries().keys() >= QUERIES.keys() and oracle_sql().keys() >= ORACLE.keys()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert mismatch(spark, con, SF, name) is None
 
