@@ -154,17 +154,18 @@ def _monthly(rows: str) -> str:
     left join months m on d.year = m.year and d.month = m.month"""
 
 
-_LOADS = ("1996-05-01", "1997-06-01", "1998-06-01")
+_LOADS = ("1996-05-01", "1997-06-01", "2002-01-01")
 
 
 def _delivery(number: int) -> str:
-    since = _LOADS[number - 1] if number else "0001-01-01"
+    since = f"o_orderdate >= date '{_LOADS[number - 1]}'" if number else "true"
+    until = f"o_orderdate < date '{_LOADS[number]}'" if number < len(_LOADS) - 1 else "true"
     return f"""
 delivery{number} as (
     select o_custkey as c_custkey, nullif(o_orderstatus, 'P') as last_status, o_orderpriority as last_priority
     from (
         select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as n
-        from orders where o_orderdate >= date '{since}' and o_orderdate < date '{_LOADS[number]}'
+        from orders where {since} and {until}
     ) where n = 1
 )"""
 

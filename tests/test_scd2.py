@@ -165,3 +165,14 @@ def test_random_loads_against_a_plain_model(spark, change):
     assert sorted(got, key=str) == sorted(map(tuple, history), key=str)
     assert sorted(r.thing_key for r in dim.collect()) == list(range(1, len(history) + 1))
     assert all(r.current_flag == (r.end_date == OPEN) for r in dim.collect())
+
+
+def test_registered_deliveries_hold_every_order(spark):
+    from registered import analogues
+
+    sf_dir = "/root/testdata/sf0.001"
+    buyers = {r["o_custkey"] for r in analogues.table(spark, sf_dir, "orders").select("o_custkey").collect()}
+    delivered = [analogues.delivery(spark, sf_dir, n).collect() for n in range(len(analogues.LOADS))]
+    assert {r["c_custkey"] for part in delivered for r in part} == buyers
+    last = analogues.table(spark, sf_dir, "orders").agg({"o_orderdate": "max"}).first()[0].date()
+    assert last < analogues.LOADS[-1]
