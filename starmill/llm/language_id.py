@@ -8,7 +8,6 @@ counts it as often as it occurs.  Training is back-propagation through time in n
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,8 +21,8 @@ from .common import text_slices
 
 #: Bytes of a word that are read in one go.
 SEGMENT = 24
-#: Words whose labels a task remembers before it forgets all and starts again.
-REMEMBERED = 400_000
+#: Words whose labels a task remembers before it forgets all and starts again; about 50 MB.
+REMEMBERED = 250_000
 #: Words that go through the network together; their states stay in the processor's cache.
 TOGETHER = 2048
 _LETTER = re.compile(r"[^\W\d_]")
@@ -53,9 +52,6 @@ class Model:
     def weights(self) -> list[np.ndarray]:
         return [*self.inputs, *self.states, self.out, self.bias]
 
-    def digest(self) -> str:
-        return hashlib.sha256(b"".join(w.tobytes() for w in self.weights())).hexdigest()
-
     def positions(self, data: np.ndarray) -> np.ndarray:
         """Probabilities (words, bytes, languages) for words of equal length given as rows of bytes."""
         states = np.concatenate([_run(self, 0, data)[0], _run(self, 1, data)[0]], axis=2)
@@ -200,18 +196,6 @@ class Labeller:
         return sums
 
 
-_labellers: dict[str, Labeller] = {}
-
-
-def _labeller(model: Model) -> Labeller:
-    """The one of this worker for this model; a worker goes on using it in its next task."""
-    key = model.digest()
-    if key not in _labellers:
-        _labellers.clear()
-        _labellers[key] = Labeller(model)
-    return _labellers[key]
-
-
 def _judged(labeller: Labeller | None, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
     """Language and score of each text."""
     names, scores = ["und"] * len(texts), np.zeros(len(texts))
@@ -230,7 +214,7 @@ def _judged(labeller: Labeller | None, texts: list[str | None]) -> tuple[list[st
 
 def _predicted(model: Model | None):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = _labeller(model) if model is not None else None
+        labeller = Labeller(model) if model is not None else None
         for part in text_slices(batches):
             names, scores = _judged(labeller, part.column("text").to_pylist())
             ids = part.column("doc_id")
@@ -239,14 +223,18 @@ def _predicted(model: Model | None):
     return predict
 
 
-def _told(model: Model | None):
-    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = _labeller(model) if model is not None else None
-        for part in text_slices(batches):
-            names, _ = _judged(labeller, part.column("text").to_pylist())
-            yield part.filter(pa.array([name != "und" for name in names], pa.bool_()))
+def language(model: Model | None):
+    """A function of a text column: the language of each text, ``und`` where there is none."""
+
+    @F.arrow_udf("string")
+    def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        labeller = Labeller(model) if model is not None else None
+        for column in texts:
+            whole = pa.RecordBatch.from_arrays([column], ["text"])
+            parts = text_slices(iter([whole]))
+            yield pa.array([n for p in parts for n in _judged(labeller, p.column("text").to_pylist())[0]], pa.string())
 
-    return tell
+    return of
 
 
 def for_training(doc_id: Column) -> Column:
@@ -293,4 +281,4 @@ def fit(docs: DataFrame, **bounds: int) -> Model | None:
 
 def with_language(docs: DataFrame, model: Model | None) -> DataFrame:
     """The rows of ``docs`` whose language can be told, all columns unchanged; without a model none."""
-    return docs.mapInArrow(_told(model), docs.schema)
+    return docs.where(language(model)(F.col("text")) != "und")
