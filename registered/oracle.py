@@ -213,6 +213,14 @@ _DELAYS = """cast(count(case when total_delay > 0 then 1 end) as bigint) as dela
 _DIVERTED = "cast(coalesce(sum(diverted), 0) as bigint) as diverted_flights"
 _CANCELLED = "cast(coalesce(sum(cancelled), 0) as bigint) as cancelled_flights"
 
+_USES = """
+        uses as (
+            select origin_airport_key as airport_key, 1 as departures, cancelled, 0 as diverted, 0 as received from fact
+            union all select dest_airport_key, 0, 0, diverted, 0 from fact
+            union all select div1_airport_key, 0, 0, 0, 1 from fact where div1_airport_key is not null
+            union all select div2_airport_key, 0, 0, 0, 1 from fact where div2_airport_key is not null
+        )"""
+
 _PROFILED = (
     "l_orderkey",
     "l_partkey",
@@ -375,7 +383,8 @@ ORACLE: dict[str, str] = {
         select cancellation_code as reason, count(*) as flights from flights where cancelled = 1 group by 1""",
     "busiest_destinations": f"""
         with {FACT}
-        select code, airport_name, city, count(*) as flights from fact join airport on dest_airport_key = airport_key
+        select code, airport_name, city, cast(count(*) as bigint) as flights
+        from fact left join airport on dest_airport_key = airport_key
         group by 1, 2, 3 order by flights desc, code limit 10""",
     "airline_dashboard": f"""
         with {FACT}
@@ -383,16 +392,14 @@ ORACLE: dict[str, str] = {
             avg(taxi_in) as avg_taxi_in, avg(taxi_out) as avg_taxi_out
         from fact left join airline on fact.airline_key = airline.airline_key group by 1, 2""",
     "airport_dashboard": f"""
-        with {FACT},
-        uses as (
-            select origin_airport_key as airport_key, 1 as departures, cancelled, 0 as diverted, 0 as received from fact
-            union all select dest_airport_key, 0, 0, diverted, 0 from fact
-            union all select div1_airport_key, 0, 0, 0, 1 from fact
-            union all select div2_airport_key, 0, 0, 0, 1 from fact
-        )
+        with {FACT}, {_USES}
         select code, airport_name, city, cast(sum(departures) as bigint) as departures, {_CANCELLED}, {_DIVERTED},
             cast(sum(received) as bigint) as diversions_received
-        from uses join airport on uses.airport_key = airport.airport_key group by 1, 2, 3""",
+        from uses left join airport on uses.airport_key = airport.airport_key group by 1, 2, 3""",
+    "city_diversions": f"""
+        with {FACT}, {_USES}
+        select city, {_DIVERTED}, cast(sum(received) as bigint) as diversions_received
+        from uses left join airport on uses.airport_key = airport.airport_key group by 1""",
     "plane_dashboard": f"""
         with {FACT}
         select eng_mfr_name, eng_model_name, year_mfr, registrant_city, count(distinct fact.plane_key) as planes,
@@ -413,5 +420,5 @@ ORACLE: dict[str, str] = {
     "monthly_dashboard": f"""
         with {MONTHLY}
         select m.year, quarter, m.month, sum(freight) as freight, sum(passengers) as passengers, sum(mail) as mail
-        from delivered d join months m on d.year = m.year and d.month = m.month group by 1, 2, 3""",
+        from delivered d left join months m on d.year = m.year and d.month = m.month group by 1, 2, 3""",
 }

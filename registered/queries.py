@@ -326,6 +326,16 @@ QUERIES: dict[str, Query] = {
         "cancelled",
         "diverted",
     ),
+    "city_diversions": _asked(
+        dashboards.city_diversions,
+        "airport",
+        "origin_airport_key",
+        "dest_airport_key",
+        "div1_airport_key",
+        "div2_airport_key",
+        "cancelled",
+        "diverted",
+    ),
     "plane_dashboard": _asked(
         dashboards.plane_dashboard, "plane", "plane_key", "diverted", "cancelled", "total_delay"
     ),

@@ -1,12 +1,16 @@
 """The questions the dashboards answer, asked of the fact tables.
 
 Each question adds up the fact by surrogate key first, so that what is joined to a dimension afterwards has
-one row per key rather than one per flight.
+one row per key rather than one per flight.  Answers are per member, under its newest description: versions of one
+airport or plane count together.  Rows whose member was not found are a group of their own, without a name, so the
+groups add up to the fact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,8 +51,7 @@ def cancellation_reasons(flights: DataFrame) -> DataFrame:
 def busiest_destinations(fact: DataFrame, airports: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` airports most flights go to."""
     arrivals = fact.groupBy(F.col("dest_airport_key").alias("airport_key")).agg(F.count("*").alias("flights"))
-    named = arrivals.join(airports.select("airport_key", "code", "airport_name", "city"), "airport_key")
-    return named.select("code", "airport_name", "city", "flights").orderBy(F.desc("flights"), "code").limit(k)
+    return _per_airport(arrivals, airports).orderBy(F.desc("flights"), "code").limit(k)
 
 
 def airline_dashboard(fact: DataFrame, airlines: DataFrame) -> DataFrame:
@@ -65,26 +68,41 @@ def airline_dashboard(fact: DataFrame, airlines: DataFrame) -> DataFrame:
     return named.drop("airline_key").select("carrier", "airline_name", *sums.columns[1:])
 
 
-def airport_dashboard(fact: DataFrame, airports: DataFrame) -> DataFrame:
-    """Per airport: departures, cancelled departures, arrivals that were diverted, diversions it took in."""
+def _per_airport(sums: DataFrame, airports: DataFrame) -> DataFrame:
+    """Sums by ``airport_key`` as sums by airport; the newest version of one has the largest key."""
+    named = sums.join(airports.select("airport_key", "code", "airport_name", "city"), "airport_key", "left")
+    newest = [F.max_by(c, "airport_key").alias(c) for c in ("airport_name", "city")]
+    return named.groupBy("code").agg(*newest, *[F.sum(c).alias(c) for c in sums.columns if c != "airport_key"])
+
+
+AIRPORT_SUMS = ("departures", "cancelled_flights", "diverted_flights", "diversions_received")
+
+
+def _airport_sums(fact: DataFrame) -> DataFrame:
+    """Each use of an airport by the flights, added up by ``airport_key`` in one pass."""
     zero = F.lit(0.0)
     uses = [
-        # airport, departures, cancelled, diverted away, diverted here
+        # airport, departures, cancelled, diverted away, diverted here; flights without a diversion name no airport
         (F.col("origin_airport_key"), F.lit(1.0), F.col("cancelled"), zero, zero),
         (F.col("dest_airport_key"), zero, zero, F.col("diverted"), zero),
-        (F.col("div1_airport_key"), zero, zero, zero, F.lit(1.0)),
-        (F.col("div2_airport_key"), zero, zero, zero, F.lit(1.0)),
+        (F.col("div1_airport_key"), zero, zero, zero, F.col("div1_airport_key").isNotNull().cast("double")),
+        (F.col("div2_airport_key"), zero, zero, zero, F.col("div2_airport_key").isNotNull().cast("double")),
     ]
-    names = ["airport_key", "departures", "cancelled_flights", "diverted_flights", "diversions_received"]
+    names = ["airport_key", *AIRPORT_SUMS]
     rows = [F.struct(*[c.alias(n) for c, n in zip(use, names, strict=True)]) for use in uses]
-    sums = (
-        fact.select(F.inline(F.array(*rows)))
-        .where(F.col("airport_key").isNotNull())
-        .groupBy("airport_key")
-        .agg(*[_flagged(n).alias(n) for n in names[1:]])
-    )
-    named = sums.join(airports.select("airport_key", "code", "airport_name", "city"), "airport_key")
-    return named.select("code", "airport_name", "city", *names[1:])
+    sums = fact.select(F.inline(F.array(*rows))).groupBy("airport_key").agg(*[_flagged(n).alias(n) for n in AIRPORT_SUMS])
+    return sums.where(F.col("airport_key").isNotNull() | reduce(or_, [F.col(n) != 0 for n in AIRPORT_SUMS]))
+
+
+def airport_dashboard(fact: DataFrame, airports: DataFrame) -> DataFrame:
+    """Per airport: departures, cancelled departures, arrivals that were diverted, diversions it took in."""
+    return _per_airport(_airport_sums(fact), airports).select("code", "airport_name", "city", *AIRPORT_SUMS)
+
+
+def city_diversions(fact: DataFrame, airports: DataFrame) -> DataFrame:
+    """Per city: flights to it that were diverted, and diversions its airports took in."""
+    per_airport = _per_airport(_airport_sums(fact), airports)
+    return per_airport.groupBy("city").agg(*[F.sum(c).alias(c) for c in ("diverted_flights", "diversions_received")])
 
 
 PLANE_TRAITS = ("eng_mfr_name", "eng_model_name", "year_mfr", "registrant_city")
@@ -99,9 +117,9 @@ def plane_dashboard(fact: DataFrame, planes: DataFrame, by: Sequence[str] = PLAN
         _delayed().alias("delayed_flights"),
         _minutes("total_delay").alias("delay_minutes"),
     )
-    traits = per_plane.join(planes.select("plane_key", *by), "plane_key", "left")
+    traits = per_plane.join(planes.select("plane_key", "n_number", *by), "plane_key", "left")
     return traits.groupBy(*by).agg(
-        F.count("plane_key").alias("planes"), *[F.sum(c).alias(c) for c in per_plane.columns[1:]]
+        F.count_distinct("n_number").alias("planes"), *[F.sum(c).alias(c) for c in per_plane.columns[1:]]
     )
 
 
@@ -148,4 +166,4 @@ def route_dashboard(fact: DataFrame, airports: DataFrame) -> DataFrame:
 def monthly_dashboard(fact: DataFrame, months: DataFrame) -> DataFrame:
     """Freight, passengers and mail per month."""
     sums = fact.groupBy("monthly_key").agg(*[F.sum(m).alias(m) for m in ("freight", "passengers", "mail")])
-    return sums.join(months, "monthly_key").select("year", "quarter", "month", "freight", "passengers", "mail")
+    return sums.join(months, "monthly_key", "left").select("year", "quarter", "month", "freight", "passengers", "mail")

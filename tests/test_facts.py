@@ -125,9 +125,10 @@ def test_monthly_fact(spark, dims):
     merged = monthly_fact(delivered, dims, dedupe=True)
     assert sorted(r.freight for r in merged.collect()) == [1.0, 7.0, 10.0]
     per_month = dashboards.monthly_dashboard(monthly_fact(delivered, dims), dims.month)
-    assert sorted((r.year, r.quarter, r.month, r.freight) for r in per_month.collect()) == [
+    assert sorted(((r.year, r.quarter, r.month, r.freight) for r in per_month.collect()), key=str) == [
         (2016, 1, 1, 20.0),
         (2016, 1, 2, 7.0),
+        (None, None, None, 1.0),
     ]
 
 
@@ -137,7 +138,9 @@ def test_dashboards(flights, dims, rows):
     assert (per_airline["AA"].airline_name, per_airline["AA"].flights) == ("new name", 4)
     assert (per_airline[None].flights, per_airline["AA"].delayed_flights) == (1, 3)
     per_airport = {r.code: tuple(r)[3:] for r in dashboards.airport_dashboard(fact, dims.airport).collect()}
-    assert per_airport == {"1": (4, 1, 0, 1), "2": (0, 0, 1, 0), "3": (0, 0, 0, 1)}
+    assert per_airport == {"1": (4, 1, 0, 1), "2": (0, 0, 1, 0), "3": (0, 0, 0, 1), None: (1, 0, 0, 0)}
+    cities = {r.city: tuple(r)[1:] for r in dashboards.city_diversions(fact, dims.airport).collect()}
+    assert cities == {"other city": (0, 1), "city 2": (1, 0), "city 3": (0, 1), None: (0, 0)}
     assert rows(dashboards.busiest_destinations(fact, dims.airport)) == [("2", "2", "city 2", 5)]
     trend = {r.holiday_indicator: r for r in dashboards.holiday_trend(fact, dims.date).collect()}
     assert (trend["Holiday"].days, trend["Holiday"].flights, trend["Holiday"].flights_per_day) == (1, 5, 5.0)
@@ -148,3 +151,25 @@ def test_dashboards(flights, dims, rows):
     assert dashboards.least_delayed_month(fact, dims.date).first().calendar_month == 1
     reasons = dashboards.cancellation_reasons(flights)
     assert [tuple(r) for r in reasons.collect()] == [(None, 1)]
+
+
+def test_versions_of_one_member_count_together(spark, dims):
+    """A fact that spans loads holds keys of closed versions too."""
+    first, second = (r.airport_key for r in dims.airport.where("code = '1'").orderBy("start_date").collect())
+    fact = spark.createDataFrame(
+        [(first, second, None), (second, first, None), (second, None, first)],
+        "origin_airport_key long, dest_airport_key long, div1_airport_key long",
+    ).selectExpr("*", "cast(null as long) as div2_airport_key", "0D as cancelled", "1D as diverted")
+    assert [tuple(r) for r in dashboards.busiest_destinations(fact, dims.airport).collect()] == [
+        ("1", "1", "other city", 2),
+        (None, None, None, 1),
+    ]
+    per_airport = {r.code: tuple(r)[1:] for r in dashboards.airport_dashboard(fact, dims.airport).collect()}
+    assert per_airport == {"1": ("1", "other city", 3, 0, 2, 1), None: (None, None, 0, 0, 1, 0)}
+    planes = dims.plane.where("n_number = 'N1'")
+    twice = planes.unionByName(planes.withColumn("plane_key", F.lit(99).cast("long")))
+    keys = [r.plane_key for r in twice.collect()]
+    flown = spark.createDataFrame([(k,) for k in keys], "plane_key long").selectExpr(
+        "*", "0D as diverted", "0D as cancelled", "1D as total_delay"
+    )
+    assert [(r.planes, r.flights) for r in dashboards.plane_dashboard(flown, twice).collect()] == [(1, 2)]
