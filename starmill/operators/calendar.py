@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import date
 from functools import reduce
 from operator import or_
@@ -45,11 +45,14 @@ def date_dimension(
 ) -> DataFrame:
     """One row per day of ``span`` (a row of ``first_day``, ``last_day``), keyed 1 for the first day.
 
+    If the span has a day ``key_one``, that day has key 1 instead, and earlier ones keys down from 0, so that a calendar
+    which is extended at either end keeps its keys.
     ``moving_holidays`` is a table with a ``holiday_date`` column.  Weeks start on Monday (1);
     ``weekday_indicator`` is ``"1"`` from Monday to Friday.  The table has one row per calendar day, so its
     size is set by the years covered, not by the facts.
     """
-    days = span.select("first_day", F.explode(F.sequence("first_day", "last_day")).alias("date"))
+    key_one = F.coalesce("key_one", "first_day") if "key_one" in span.columns else F.col("first_day")
+    days = span.select(key_one.alias("key_one"), F.explode(F.sequence("first_day", "last_day")).alias("date"))
     day = F.col("date")
     is_holiday = _on_fixed_holiday(day, holidays)
     if moving_holidays is not None:
@@ -58,7 +61,7 @@ def date_dimension(
         is_holiday = is_holiday | F.col("_listed").isNotNull()
     iso_day = F.weekday(day) + 1
     return days.select(
-        (F.date_diff(day, F.col("first_day")) + 1).alias("date_key"),
+        (F.date_diff(day, F.col("key_one")) + 1).alias("date_key"),
         F.date_format(day, "MMMM d, yyyy").alias("full_date_description"),
         day,
         iso_day.alias("day_of_week"),
@@ -102,6 +105,37 @@ def time_dimension(spark: SparkSession) -> DataFrame:
     )
 
 
+def extended_span(spans: Sequence[DataFrame], stored: DataFrame | None = None) -> DataFrame:
+    """The span from the first to the last day of all ``spans`` and of a ``stored`` calendar, which keeps its keys."""
+    if stored is not None:
+        known = date_span(stored, "date").withColumn(
+            "key_one", stored.agg(F.min(F.date_add("date", 1 - F.col("date_key")))).scalar()
+        )
+        spans = [known, *spans]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), spans)
+    key_one = [F.min("key_one").alias("key_one")] if stored is not None else []
+    return rows.agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"), *key_one)
+
+
+def month_span(df: DataFrame, year: str, month: str) -> DataFrame:
+    """One row with the first and last day of the months that occur in two columns."""
+    first = F.make_date(F.col(year), F.col(month), F.lit(1))
+    return df.agg(F.min(first).alias("first_day"), F.max(F.last_day(first)).alias("last_day"))
+
+
+def extended_months(dates: DataFrame, stored: DataFrame) -> DataFrame:
+    """The months of ``dates``, those in the ``stored`` dimension with the key they have there.
+
+    Months are keyed by their distance, so that months added before or after the stored ones fit in.
+    """
+    index = (F.col("year") * 12 + F.col("month")).cast("long")
+    key_one = stored.agg(F.min(index - F.col("monthly_key") + 1)).scalar()
+    key = F.coalesce("_known", index - key_one + 1)
+    known = stored.select("year", "month", F.col("monthly_key").alias("_known"))
+    months = monthly_dimension(dates).drop("monthly_key").join(known, ["year", "month"], "left")
+    return months.select("month", "quarter", "year", key.alias("monthly_key"))
+
+
 def monthly_dimension(dates: DataFrame) -> DataFrame:
     """Months of a date dimension, keyed 1, 2, 3 ... in calendar order.
 

@@ -36,7 +36,8 @@ def _members(staging: DataFrame, spec: DimSpec) -> DataFrame:
     """One row per member.  A NULL natural key names no member and stops the load."""
     missing = F.raise_error(F.lit(f"{spec.name}: NULL in the natural key of the staged rows"))
     keys = [F.coalesce(F.col(n), missing).alias(n) for n in spec.natural_key]
-    return one_per_key(staging.select(*keys, *spec.attributes), spec.natural_key)
+    # Copies go by hashing before the smallest row of a member is sought, which sorts.
+    return one_per_key(staging.select(*keys, *spec.attributes).distinct(), spec.natural_key)
 
 
 def _closed(dim: DataFrame) -> DataFrame:
@@ -110,9 +111,16 @@ def untouched_rows(dim: DataFrame, staging: DataFrame, spec: DimSpec, change: st
     return _closed(dim).select(*spec.columns).unionByName(kept)
 
 
-def scd2_initial(staging: DataFrame, spec: DimSpec, as_of: date) -> DataFrame:
-    """First load: one open version per staged member, keys 1, 2, 3 ..."""
-    members = dense_key(_members(staging, spec), spec.natural_key, spec.key)
+def scd2_initial(
+    staging: DataFrame, spec: DimSpec, as_of: date, store: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """First load: one open version per staged member, keys 1, 2, 3 ...
+
+    Numbering reads the members twice.  ``store`` writes them somewhere and returns them read back, so that the delivery
+    is read once.
+    """
+    members = _members(staging, spec)
+    members = dense_key(store(members) if store else members, spec.natural_key, spec.key)
     return open_version(members, as_of).select(*spec.columns)
 
 
@@ -127,15 +135,18 @@ def scd2_delta(dim: DataFrame, staging: DataFrame, spec: DimSpec, change: str =
 def scd2_apply(dim: DataFrame, delta: DataFrame, spec: DimSpec, as_of: date) -> DataFrame:
     """End the versions ``delta`` replaces and append its rows, numbered on from the largest key.
 
-    A delta that was measured to be small is broadcast, so that the dimension is not shuffled.
+    A delta that was measured to be small is broadcast, so that the dimension is not shuffled.  A load that would end a
+    version on or before its first day fails.
     """
     ended = delta.where("_held").select(*spec.natural_key, F.lit(True).alias("flag"))
     # Members are unique on both sides, so no key is frequent.
     versions = lookup(current(dim), ended, {n: n for n in spec.natural_key}, {"_ended": "flag"}, hot=())
     is_ended = F.coalesce("_ended", F.lit(False))
+    too_early = F.raise_error(F.lit(f"{spec.name}: a version to be closed on {as_of} starts no earlier"))
+    end = F.when(F.col("start_date") < F.lit(as_of), F.lit(as_of)).otherwise(too_early.cast("date"))
     versions = versions.withColumns(
         {
-            "end_date": F.when(is_ended, F.lit(as_of)).otherwise(F.col("end_date")),
+            "end_date": F.when(is_ended, end).otherwise(F.col("end_date")),
             "current_flag": ~is_ended,
         }
     )

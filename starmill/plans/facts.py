@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field, fields, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import hhmm_hour, hhmm_minute
@@ -112,6 +112,16 @@ DAILY_COLUMNS = (
 )
 
 
+MONTHLY_COLUMNS = ("airline_key", *MONTHLY_MEASURES, "origin_airport_key", "dest_airport_key", "monthly_key")
+
+
+def fact_schema(columns: Sequence[str]) -> str:
+    """The types of fact columns: calendar keys are int, other keys long, measures double."""
+    small = ("flight_date_key", "actual_dep_time_key", "crs_dep_time_key")
+    kinds = {c: "int" if c in small else "long" if c.endswith("_key") else "double" for c in columns}
+    return ", ".join(f"{c} {kind}" for c, kind in kinds.items())
+
+
 def _key_tables(dims: Dimensions, names: Collection[str]) -> dict[str, DataFrame]:
     """For each dimension used, its natural key and its surrogate key alone, the latter always named alike.
 
@@ -176,6 +186,11 @@ def flight_columns(columns: Sequence[str] = DAILY_COLUMNS) -> set[str]:
     return raw | set(DELAY_PARTS if "total_delay" in columns else ())
 
 
+def _airport_codes(roles: Mapping[str, Role]) -> dict[str, Column]:
+    """Airport codes in the case of the dimension."""
+    return {c: F.lower(c) for role in roles.values() if role.dimension == "airport" for c in role.on}
+
+
 def daily_fact(
     flights: DataFrame,
     dims: Dimensions,
@@ -190,7 +205,7 @@ def daily_fact(
     roles = _daily_roles(columns)
     decoded = {c: CLOCKS[c] for role in roles.values() for c in role.on if c in CLOCKS}
     clocks = {name: part(F.col(source).cast("int")) for name, (source, part) in decoded.items()}
-    flights = flights.select(*sorted(flight_columns(columns))).withColumns(clocks)
+    flights = flights.select(*sorted(flight_columns(columns))).withColumns(clocks | _airport_codes(roles))
     keyed = _find_keys(flights, dims, roles, ["flight_date_key"], limit_bytes)
     measures = {name: F.col(source) for name, source in DAILY_MEASURES.items()}
     measures["total_delay"] = total_delay(*DELAY_PARTS)
@@ -207,11 +222,10 @@ def monthly_fact(
     deliveries.
     """
     grain = [column for role in MONTHLY_ROLES.values() for column in role.on]
+    passengers = passengers.withColumns(_airport_codes(MONTHLY_ROLES))
     if not dedupe:
         passengers = passengers.groupBy(*grain).agg(*[F.sum(m).alias(m) for m in MONTHLY_MEASURES])
     else:
         passengers = passengers.select(*grain, *MONTHLY_MEASURES)
-    keyed = _find_keys(passengers, dims, MONTHLY_ROLES, limit_bytes=limit_bytes).select(
-        "airline_key", *MONTHLY_MEASURES, "origin_airport_key", "dest_airport_key", "monthly_key"
-    )
+    keyed = _find_keys(passengers, dims, MONTHLY_ROLES, limit_bytes=limit_bytes).select(*MONTHLY_COLUMNS)
     return keyed.distinct() if dedupe else keyed

@@ -1,4 +1,7 @@
-"""Raw extracts to staged dimension rows."""
+"""Raw extracts to staged dimension rows.
+
+Rows without natural key name no member and are left out; NULLs in attributes become the filler word.
+"""
 
 from __future__ import annotations
 
@@ -16,7 +19,7 @@ def stage_airline(airlines: DataFrame) -> DataFrame:
     Flights contribute neither rows nor columns to this table, so they are not read.
     """
     named = airlines.select(F.col("Code").alias("carrier"), F.lower("Description").alias("airline_name"))
-    return fill_undefined(named.distinct())
+    return fill_undefined(named.where("carrier IS NOT NULL").distinct())
 
 
 def flight_airports(flights: DataFrame) -> DataFrame:
@@ -27,7 +30,7 @@ def flight_airports(flights: DataFrame) -> DataFrame:
     """
     said = ["state_code", "state_name", "wac"]
     seen = flights.where(F.col("OriginAirportID").isNotNull()).groupBy(
-        F.col("OriginAirportID").alias("code"),
+        F.lower("OriginAirportID").alias("code"),
         F.col("OriginState").alias("state_code"),
         F.col("OriginStateName").alias("state_name"),
         F.col("OriginWac").alias("wac"),
@@ -37,16 +40,19 @@ def flight_airports(flights: DataFrame) -> DataFrame:
 
 
 def stage_airport(airports: DataFrame, flights: DataFrame, wac: DataFrame) -> DataFrame:
-    """Airports with their place text taken apart, their state from the flights and their country."""
+    """Airports with their place text taken apart, their state from the flights and their country.
+
+    Codes are lower-cased, as are those of flights and passengers wherever they are looked up.
+    """
     countries = one_per_key(wac.select("world_area_code", "country"), ["world_area_code"])
-    placed = parse_place(airports, "Description").select(
-        F.col("Code").alias("code"), F.col("place_name").alias("airport_name"), "city"
+    placed = parse_place(airports.where("Code IS NOT NULL"), "Description").select(
+        F.lower("Code").alias("code"), F.col("place_name").alias("airport_name"), "city"
     )
     # The flight side has one row per airport and is shuffled by code already.  Measuring it for a broadcast
     # would read the flights a second time; adaptive execution sees its size when it is there.
     located = placed.distinct().join(flight_airports(flights), "code", "left")
     with_country = lookup(located, countries, on={"wac": "world_area_code"}, take={"country": "country"})
-    text = ["code", "airport_name", "city", "state_code", "state_name", "country"]
+    text = ["airport_name", "city", "state_code", "state_name", "country"]
     staged = lower_columns(with_country, text)
     return fill_undefined(
         staged.select("code", "airport_name", "city", "state_code", "state_name", "wac", "country").distinct()
@@ -55,7 +61,7 @@ def stage_airport(airports: DataFrame, flights: DataFrame, wac: DataFrame) -> Da
 
 def stage_plane(planes: DataFrame, engines: DataFrame) -> DataFrame:
     """Registered aircraft with the make, model and power of their engine."""
-    registered = planes.select(
+    registered = planes.where("`N-Number` IS NOT NULL").select(
         F.col("N-Number").alias("n_number"),
         F.col("Serial Number").alias("serial_number"),
         F.lower("Name").alias("aircraft_name"),

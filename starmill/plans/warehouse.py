@@ -3,6 +3,10 @@
 ``lake/staging/<table>`` holds the last staged delivery, ``lake/presentation/<table>`` the warehouse.  Every
 staged delivery is written before it is merged, and flights are written once as Parquet, so the text of an
 extract is parsed one time only.
+
+A delivery replaces the days and months it has rows for and leaves the facts of all others as they are.  Calendars are
+extended, never numbered anew, so the keys in older facts stay right.  Staged tables, dimensions and calendars are
+written as complete versions; of each the last two are kept.
 """
 
 from __future__ import annotations
@@ -16,12 +20,21 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.audit import load_audit
-from ..operators.calendar import date_dimension, date_span, monthly_dimension, parse_calendar, time_dimension
+from ..operators.calendar import (
+    date_dimension,
+    date_span,
+    extended_months,
+    extended_span,
+    month_span,
+    monthly_dimension,
+    parse_calendar,
+    time_dimension,
+)
 from ..operators.lookups import one_per_key
 from ..operators.scd2 import scd2_initial, scd2_merge
 from ..schemas import AIRLINE, AIRPORT, PLANE, DimSpec
-from ..sources import current_version, read_delimited, read_table, replace_table, write_table
-from .facts import Dimensions, daily_fact, monthly_fact
+from ..sources import current_version, exists, prune_versions, read_delimited, read_table, replace_table, write_table
+from .facts import DAILY_COLUMNS, MONTHLY_COLUMNS, Dimensions, daily_fact, fact_schema, monthly_fact
 from .staging import stage_airline, stage_airport, stage_plane
 
 
@@ -49,16 +62,24 @@ class RawZone:
     times: Extract | None = None
 
 
-def raw_zone(root: str, flights_sep: str = ",") -> RawZone:
-    """The usual layout below one directory."""
+def raw_zone(
+    root: str,
+    flights_sep: str = ",",
+    date_format: str = "yyyy-MM-dd",
+    calendars: bool = False,
+    calendar_format: str = "dd/MM/yyyy",
+) -> RawZone:
+    """The usual layout below one directory; with ``calendars`` the date and time tables are delivered too."""
+    delivered = {"dates": Extract(f"{root}/date", ";", calendar_format), "times": Extract(f"{root}/time", ";")}
     return RawZone(
-        flights=Extract(f"{root}/flights", flights_sep),
+        flights=Extract(f"{root}/flights", flights_sep, date_format),
         airlines=Extract(f"{root}/airline"),
         airports=Extract(f"{root}/airports"),
         wac=Extract(f"{root}/wac", ";"),
         planes=Extract(f"{root}/planes"),
         engines=Extract(f"{root}/engines"),
         passengers=Extract(f"{root}/passengers"),
+        **(delivered if calendars else {}),
     )
 
 
@@ -76,21 +97,19 @@ def load_dimension(
 ) -> DataFrame:
     """First load or merge of one dimension; returns the new version as stored.
 
-    The delta of a merge is kept next to the table, as ``<root>_delta``.
+    The members of a first load and the delta of a merge are kept next to the table, as ``<root>_delta``.
     """
-    if current_version(spark, root) is None:
-        return replace_table(scd2_initial(staging, spec, as_of), root)
 
     def store(delta: DataFrame) -> DataFrame:
         return replace_table(delta, f"{root}_delta")
 
+    if current_version(spark, root) is None:
+        return replace_table(scd2_initial(staging, spec, as_of, store), root)
     return replace_table(scd2_merge(read_table(spark, root), staging, spec, as_of, change, store), root)
 
 
 def _staged(rows: DataFrame, lake: str, name: str) -> DataFrame:
-    path = f"{lake}/staging/{name}"
-    write_table(rows, path)
-    return rows.sparkSession.read.parquet(path)
+    return replace_table(rows, f"{lake}/staging/{name}")
 
 
 def stage_flights(spark: SparkSession, raw: RawZone, lake: str) -> DataFrame:
@@ -113,54 +132,120 @@ def stage_dimensions(spark: SparkSession, raw: RawZone, lake: str, flights: Data
 
 
 def load_calendars(
-    spark: SparkSession, raw: RawZone, lake: str, flights: DataFrame
+    spark: SparkSession, raw: RawZone, lake: str, flights: DataFrame, passengers: DataFrame
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Date, time and month dimensions, delivered or generated over the days of the flights.
+    """Date, time and month dimensions, delivered or generated over the days of the flights and months of passengers.
 
-    A delivered calendar keeps one row per day and per clock time: a second one would double the flights.
+    What is stored stays with its keys.  A delivered calendar keeps one row per day and per clock time, as a second one
+    would double the flights; stored days it does not have are kept beside it.
     """
+    roots = [f"{lake}/presentation/{name}_dimension" for name in ("date", "time", "monthly")]
+    old_dates, old_times, old_months = (
+        read_table(spark, root) if current_version(spark, root) is not None else None for root in roots
+    )
     if raw.dates is not None:
         delivered = parse_calendar(_read(spark, raw.dates, schemas.DATES), raw.dates.date_format)
-        dates = one_per_key(delivered, ["date"])
+        dates = _besides(one_per_key(delivered, ["date"]), old_dates, ["date"])
     else:
-        dates = date_dimension(date_span(flights, "FlightDate"))
+        spans = [date_span(flights, "FlightDate"), month_span(passengers, "year", "month")]
+        dates = date_dimension(extended_span(spans, old_dates))
     if raw.times is not None:
-        times = one_per_key(_read(spark, raw.times, schemas.TIMES), ["hour", "minute", "second"])
+        clock = ["hour", "minute", "second"]
+        times = _besides(one_per_key(_read(spark, raw.times, schemas.TIMES), clock), old_times, clock)
     else:
         times = time_dimension(spark)
-    dates = replace_table(dates, f"{lake}/presentation/date_dimension")
-    times = replace_table(times, f"{lake}/presentation/time_dimension")
-    months = replace_table(monthly_dimension(dates), f"{lake}/presentation/monthly_dimension")
-    return dates, times, months
+    dates, times = replace_table(dates, roots[0]), replace_table(times, roots[1])
+    months = monthly_dimension(dates) if old_months is None else extended_months(dates, old_months)
+    return dates, times, replace_table(months, roots[2])
+
+
+def _besides(delivered: DataFrame, stored: DataFrame | None, key: list[str]) -> DataFrame:
+    """The delivered rows and the stored ones whose key was not delivered."""
+    if stored is None:
+        return delivered
+    return delivered.unionByName(stored.join(delivered.select(*key), key, "left_anti"))
+
+
+def read_fact(spark: SparkSession, lake: str, name: str) -> DataFrame:
+    """The rows of all deliveries of ``flight_fact`` or ``monthly_flight_fact``."""
+    return spark.read.schema(fact_schema(FACT_COLUMNS[name])).parquet(f"{lake}/presentation/{name}")
+
+
+#: The fact tables and the column that says which part of them a delivery replaces.
+FACTS = {"flight_fact": "flight_date_key", "monthly_flight_fact": "monthly_key"}
+FACT_COLUMNS = {"flight_fact": DAILY_COLUMNS, "monthly_flight_fact": MONTHLY_COLUMNS}
 
 
 def load_warehouse(
     spark: SparkSession, raw: RawZone, lake: str, as_of: date, plane_change: str = "attributes"
 ) -> DataFrame:
-    """One delivery from raw to presentation; returns an audit row per table."""
+    """One delivery from raw to presentation; returns an audit row per table.
+
+    ``rows_before`` and ``row_count`` are the rows of the table before and after the load; ``rows_read`` those of its
+    extract, ``rows_rejected`` those of them that could not be used: without natural key, further rows of a member, or
+    on a day the calendar does not have.  Passengers are added up, so their rows read are more than those written.
+    """
     flights = stage_flights(spark, raw, lake)
+    passengers = _staged(_read(spark, raw.passengers, schemas.PASSENGERS), lake, "passengers")
     staged = stage_dimensions(spark, raw, lake, flights)
+    before = _row_counts(spark, lake)
     modes = {AIRLINE: "attributes", AIRPORT: "attributes", PLANE: plane_change}
     loaded = {
         spec: load_dimension(spark, f"{lake}/presentation/{spec.name}", staged[spec.name], spec, as_of, mode)
         for spec, mode in modes.items()
     }
-    dates, times, months = load_calendars(spark, raw, lake, flights)
+    dates, times, months = load_calendars(spark, raw, lake, flights, passengers)
     dims = Dimensions(loaded[AIRLINE], loaded[AIRPORT], loaded[PLANE], dates, times, months).measured()
-
-    daily, monthly = f"{lake}/presentation/flight_fact", f"{lake}/presentation/monthly_flight_fact"
-    write_table(daily_fact(flights, dims), daily, partition_by=["flight_date_key"])
-    write_table(monthly_fact(_read(spark, raw.passengers, schemas.PASSENGERS), dims), monthly)
+    facts = {"flight_fact": daily_fact(flights, dims), "monthly_flight_fact": monthly_fact(passengers, dims)}
+    for name, rows in facts.items():
+        write_table(rows, f"{lake}/presentation/{name}", partition_by=[FACTS[name]], keep_others=True)
+    for name in [*(spec.name for spec in modes), "date_dimension", "time_dimension", "monthly_dimension"]:
+        for root in (f"{lake}/presentation/{name}", f"{lake}/presentation/{name}_delta", f"{lake}/staging/{name}"):
+            prune_versions(spark, root)
+    for name in ("flights", "passengers"):
+        prune_versions(spark, f"{lake}/staging/{name}")
 
     tables = {spec.name: (frame, spec.key) for spec, frame in loaded.items()}
-    tables |= {
-        "date_dimension": (dates, "date_key"),
-        "time_dimension": (times, "time_key"),
-        "monthly_dimension": (months, "monthly_key"),
-        "flight_fact": (spark.read.parquet(daily), "flight_date_key"),
-        "monthly_flight_fact": (spark.read.parquet(monthly), "monthly_key"),
+    tables |= {"date_dimension": (dates, "date_key"), "time_dimension": (times, "time_key")}
+    tables |= {"monthly_dimension": (months, "monthly_key")}
+    tables |= {name: (read_fact(spark, lake, name), key) for name, key in FACTS.items()}
+    members = {spec.name: staged[spec.name].select(*spec.natural_key).distinct() for spec in modes}
+    lost = flights.join(dates.select(F.col("date").alias("FlightDate")), "FlightDate", "left_anti")
+    read = {
+        AIRLINE.name: _read(spark, raw.airlines, schemas.AIRLINES).select("Code"),
+        AIRPORT.name: _read(spark, raw.airports, schemas.AIRPORTS).select("Code"),
+        PLANE.name: _read(spark, raw.planes, schemas.PLANES).select("N-Number"),
+        "flight_fact": flights,
+        "monthly_flight_fact": passengers,
     }
-    audits = [
-        load_audit(frame, key).select(F.lit(name).alias("table_name"), "*") for name, (frame, key) in tables.items()
-    ]
+    audits = []
+    for name, (frame, key) in tables.items():
+        rows_read = read[name].agg(F.count("*")).scalar() if name in read else F.lit(None).cast("long")
+        rejected = F.lit(None).cast("long")
+        if name in members:
+            rejected = rows_read - members[name].agg(F.count("*")).scalar()
+        elif name == "flight_fact":
+            rejected = lost.agg(F.count("*")).scalar()
+        audits.append(
+            load_audit(frame, key).select(
+                F.lit(name).alias("table_name"),
+                "*",
+                F.lit(before.get(name, 0)).cast("long").alias("rows_before"),
+                rows_read.alias("rows_read"),
+                rejected.alias("rows_rejected"),
+            )
+        )
     return reduce(DataFrame.unionByName, audits)
+
+
+def _row_counts(spark: SparkSession, lake: str) -> dict[str, int]:
+    """Rows of the tables that are already there."""
+    counts = {}
+    for name in (AIRLINE.name, AIRPORT.name, PLANE.name, "date_dimension", "time_dimension", "monthly_dimension"):
+        root = f"{lake}/presentation/{name}"
+        if current_version(spark, root) is not None:
+            counts[name] = read_table(spark, root).count()
+    for name in FACTS:
+        if exists(spark, f"{lake}/presentation/{name}"):
+            counts[name] = read_fact(spark, lake, name).count()
+    return counts

@@ -1,10 +1,20 @@
 """Delimited extracts in, Parquet tables in and out."""
 
 from .delimited import read_delimited, write_delimited
-from .tables import current_version, prune_versions, read_table, replace_table, scratch_root, spread, write_table
+from .tables import (
+    current_version,
+    exists,
+    prune_versions,
+    read_table,
+    replace_table,
+    scratch_root,
+    spread,
+    write_table,
+)
 
 __all__ = [
     "current_version",
+    "exists",
     "prune_versions",
     "read_delimited",
     "read_table",

@@ -12,15 +12,17 @@ def read_delimited(
     schema: str,
     sep: str = ",",
     date_format: str = "yyyy-MM-dd",
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """Read the columns of ``schema`` with their declared types; the header says where they are.
 
+    A field that is not of its type stops the read; with ``mode="PERMISSIVE"`` it becomes NULL.  Empty fields are NULL.
     Names are matched without regard to case, so an extract may carry more columns and in any order.  Files
     of one directory whose headers disagree are refused rather than read by position.
     """
     wanted = T.StructType.fromDDL(schema)
     types = {f.name.lower(): f.dataType for f in wanted.fields}
-    reader = spark.read.options(sep=sep, header=True, dateFormat=date_format, enforceSchema=False)
+    reader = spark.read.options(sep=sep, header=True, dateFormat=date_format, enforceSchema=False, mode=mode)
     in_file_order = T.StructType(
         [T.StructField(name, types.get(name.lower(), T.StringType())) for name in reader.csv(path).columns]
     )

@@ -17,6 +17,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 _VERSION = re.compile(r"v(\d{10})")
+_TAKEN = re.compile(r"\.?v(\d{10})(?:\.claim)?")
 
 
 @lru_cache
@@ -47,15 +48,19 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(cores, *columns) if 2 * df.rdd.getNumPartitions() <= cores else df
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), keep_others: bool = False) -> None:
     """Overwrite the Parquet table at ``path``.
 
     With ``partition_by`` the rows are rebalanced first: few files per partition value, and adaptive execution
-    splits a value that holds very many rows.
+    splits a value that holds very many rows.  With ``keep_others`` only partitions that ``df`` has rows for are
+    replaced; Spark writes them aside and moves them when all are complete, so a write that dies leaves the table as it
+    was.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").option("compression", "snappy")
+    if keep_others:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -76,12 +81,33 @@ def current_version(spark: SparkSession, root: str) -> int | None:
 def replace_table(df: DataFrame, root: str) -> DataFrame:
     """Write ``df`` as the next version of ``root`` and return that version, read back."""
     spark = df.sparkSession
-    path = _version_path(root, max(_versions(spark, root), default=0) + 1)
-    # Two loads that pick the same number collide here instead of mixing their files.
+    number = _claimed(spark, root)
+    path = _version_path(root, number)
     df.write.mode("errorifexists").option("compression", "snappy").parquet(path)
+    claim, fs = _filesystem(spark, _claim_path(root, number))
+    fs.delete(claim, False)
     return spark.read.parquet(path)
 
 
+def _claim_path(root: str, number: int) -> str:
+    return f"{root.rstrip('/')}/.v{number:010d}.claim"
+
+
+def _claimed(spark: SparkSession, root: str) -> int:
+    """The number of the next version, taken by creating a file that only one load can create.
+
+    A load that dies leaves its file, so that its number is not used again.
+    """
+    folder, fs = _filesystem(spark, root)
+    names = [status.getPath().getName() for status in fs.listStatus(folder)] if fs.exists(folder) else []
+    taken = [int(m.group(1)) for m in map(_TAKEN.fullmatch, names) if m]
+    number = max(taken, default=0) + 1
+    claim, fs = _filesystem(spark, _claim_path(root, number))
+    if not fs.createNewFile(claim):
+        raise RuntimeError(f"another load is writing version {number} of {root}")
+    return number
+
+
 def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
     """Remove all but the ``keep`` newest complete versions and return the numbers removed.
 
@@ -93,8 +119,9 @@ def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
     kept = complete[-keep:]
     removed = [n for n in sorted(_versions(spark, root)) if kept and n < kept[-1] and n not in kept]
     for number in removed:
-        path, fs = _filesystem(spark, _version_path(root, number))
-        fs.delete(path, True)
+        for location in (_version_path(root, number), _claim_path(root, number)):
+            path, fs = _filesystem(spark, location)
+            fs.delete(path, True)
     return removed
 
 
@@ -115,6 +142,11 @@ def _is_complete(spark: SparkSession, root: str, version: int) -> bool:
     return fs.exists(marker)
 
 
+def exists(spark: SparkSession, location: str) -> bool:
+    path, fs = _filesystem(spark, location)
+    return fs.exists(path)
+
+
 def _filesystem(spark: SparkSession, location: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(location)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -7,8 +7,8 @@ from datetime import date
 
 import pytest
 
-from starmill.plans.warehouse import Extract, load_warehouse, raw_zone
-from starmill.sources import current_version, read_table
+from starmill.plans.warehouse import Extract, load_warehouse, raw_zone, read_fact
+from starmill.sources import current_version, read_table, write_table
 
 HEADER = (
     "Year,FlightDate,Carrier,TailNum,OriginAirportID,OriginState,OriginStateName,OriginWac,DestAirportID,CRSDepTime,"
@@ -69,17 +69,18 @@ def lake(spark, tmp_path_factory):
 
 def test_audits(lake):
     _, (first, second) = lake
-    assert first["airline_dimension"] == (3, 3, 0)
-    assert first["airport_dimension"] == (3, 3, 0)
-    assert first["plane_dimension"] == (2, 2, 0)
-    assert first["date_dimension"] == (32, 32, 0)
-    assert first["monthly_dimension"] == (2, 2, 0)
-    assert first["flight_fact"] == (3, 3, 0)
-    assert first["monthly_flight_fact"] == (1, 1, 0)
-    assert second["airline_dimension"] == (4, 4, 0)
-    assert second["airport_dimension"] == first["airport_dimension"]
-    assert second["plane_dimension"] == (3, 3, 0)
-    assert second["flight_fact"] == first["flight_fact"]
+    # rows, distinct keys, NULL keys; rows before, read and rejected
+    assert first["airline_dimension"] == (3, 3, 0, 0, 4, 1)
+    assert first["airport_dimension"] == (3, 3, 0, 0, 3, 0)
+    assert first["plane_dimension"] == (2, 2, 0, 0, 2, 0)
+    assert first["date_dimension"] == (32, 32, 0, 0, None, None)
+    assert first["monthly_dimension"] == (2, 2, 0, 0, None, None)
+    assert first["flight_fact"] == (3, 3, 0, 0, 3, 0)
+    assert first["monthly_flight_fact"] == (1, 1, 0, 0, 2, None)
+    assert second["airline_dimension"] == (4, 4, 0, 3, 4, 1)
+    assert second["airport_dimension"] == (3, 3, 0, 3, 3, 0)
+    assert second["plane_dimension"] == (3, 3, 0, 2, 2, 0)
+    assert second["flight_fact"] == (3, 3, 0, 3, 3, 0)
 
 
 def test_airports(spark, lake):
@@ -120,7 +121,7 @@ def test_planes_and_airlines_keep_history(spark, lake):
 
 
 def test_facts(spark, lake):
-    fact = spark.read.parquet(f"{lake[0]}/presentation/flight_fact")
+    fact = read_fact(spark, lake[0], "flight_fact")
     rows = {r.flight_date_key: r for r in fact.collect()}
     assert sorted(rows) == [1, 2, 32]
     assert (rows[1].actual_dep_time_key, rows[1].total_delay, rows[1].air_time) == (31500, 10.0, 60.0)
@@ -130,7 +131,7 @@ def test_facts(spark, lake):
     assert (rows[32].airline_key, rows[32].plane_key, rows[32].actual_dep_time_key) == (None, None, None)
     planes = read_table(spark, f"{lake[0]}/presentation/plane_dimension").where("n_number = 'N1' and current_flag")
     assert rows[1].plane_key == planes.first().plane_key
-    monthly = spark.read.parquet(f"{lake[0]}/presentation/monthly_flight_fact").first()
+    monthly = read_fact(spark, lake[0], "monthly_flight_fact").first()
     assert (monthly.freight, monthly.passengers, monthly.mail, monthly.monthly_key) == (200.0, 100.0, 14.0, 1)
 
 
@@ -158,3 +159,108 @@ def test_delivered_calendars(spark, tmp_path):
     load_warehouse(spark, raw, str(tmp_path / "lake"), date(2024, 1, 1), plane_change="always")
     fact = spark.read.parquet(f"{tmp_path}/lake/presentation/flight_fact").collect()
     assert [(r.flight_date_key, r.actual_dep_time_key, r.crs_dep_time_key) for r in fact] == [(500, 77, 77)]
+
+
+def flight(day, carrier="AA", tail="N1", origin="10"):
+    return f"2016,{day},{carrier},{tail},{origin},NJ,New Jersey,21,11,845,0845,0,,0,60,1,2,3,4,9,5,6,,,,,"
+
+
+def load(spark, tmp_path, number, as_of, flights, passengers=(), planes=None):
+    root = tmp_path / f"raw{number}"
+    raw = deliver(root)
+    write(root, "flights", HEADER, *flights)
+    write(root, "passengers", "carrier,origin_airport_id,dest_airport_id,year,month,freight,passengers,mail", *passengers)
+    if planes:
+        write(root, "planes", *planes)
+    rows = load_warehouse(spark, raw, str(tmp_path / "lake"), as_of).collect()
+    return {r.table_name: r.asDict() for r in rows}
+
+
+def days_of(spark, lake):
+    dates = read_table(spark, f"{lake}/presentation/date_dimension")
+    joined = read_fact(spark, lake, "flight_fact").withColumnRenamed("flight_date_key", "date_key").join(dates, "date_key")
+    return sorted((str(r.date), r.plane_key is not None) for r in joined.collect())
+
+
+def months_of(spark, lake):
+    months = read_table(spark, f"{lake}/presentation/monthly_dimension")
+    joined = read_fact(spark, lake, "monthly_flight_fact").join(months, "monthly_key")
+    return sorted((r.year, r.month, r.freight) for r in joined.collect())
+
+
+def test_facts_of_earlier_deliveries_stay(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    load(spark, tmp_path, 1, date(2024, 1, 1), [flight("2016-03-05"), flight("2016-03-05"), flight("2016-03-07")], ["AA,10,11,2016,3,5,1,1"])
+    keys = {r.date: r.date_key for r in read_table(spark, f"{lake}/presentation/date_dimension").collect()}
+    # Days before and after the first delivery, one day again, and passengers of a month without flights.
+    again = [flight("2016-03-07", tail="N2"), flight("2016-01-01"), flight("2016-05-01")]
+    audit = load(spark, tmp_path, 2, date(2024, 2, 1), again, ["AA,10,11,2015,12,7,1,1", "AA,10,11,2016,3,6,1,1"])
+    assert days_of(spark, lake) == [
+        ("2016-01-01", True), ("2016-03-05", True), ("2016-03-05", True), ("2016-03-07", True), ("2016-05-01", True)
+    ]
+    assert months_of(spark, lake) == [(2015, 12, 7.0), (2016, 3, 6.0)]
+    extended = {r.date: r.date_key for r in read_table(spark, f"{lake}/presentation/date_dimension").collect()}
+    assert keys.items() <= extended.items() and extended[date(2016, 1, 1)] == keys[date(2016, 3, 5)] - 64
+    assert len(set(extended.values())) == len(extended)
+    assert (audit["flight_fact"]["rows_before"], audit["flight_fact"]["row_count"]) == (3, 5)
+    assert audit["monthly_dimension"]["row_count"] == 6
+
+
+def test_only_two_versions_are_left(spark, tmp_path):
+    for number in range(1, 4):
+        load(spark, tmp_path, number, date(2024, number, 1), [flight("2016-03-05")])
+    left = {p: sorted(x.name for x in p.iterdir() if not x.name.endswith("crc")) for p in (tmp_path / "lake").glob("*/*")}
+    versioned = {p.name: names for p, names in left.items() if p.name not in ("flight_fact", "monthly_flight_fact")}
+    assert versioned["plane_dimension"] == ["v0000000002", "v0000000003"]
+    assert all(len(names) <= 2 for names in versioned.values())
+
+
+def test_a_load_dated_before_open_versions_stops(spark, tmp_path):
+    load(spark, tmp_path, 1, date(2024, 2, 1), [flight("2016-03-05")])
+    planes = ["N-Number,Serial Number,Name,MFR MDL Code,Year MFR,City,State,Street 1,Eng MFR Code", "N1,156H,NEW OWNER,720282,1973,X,TN,Y,95"]
+    for day in (date(2024, 1, 1), date(2024, 2, 1)):
+        with pytest.raises(Exception, match="starts no earlier"):
+            load(spark, tmp_path, 2, day, [flight("2016-03-05")], planes=planes)
+    load(spark, tmp_path, 3, date(2024, 2, 1), [flight("2016-03-05")])
+    assert load(spark, tmp_path, 4, date(2024, 2, 2), [flight("2016-03-05")], planes=planes)["plane_dimension"]["row_count"] == 3
+
+
+def test_letter_codes_and_missing_keys(spark, tmp_path):
+    root = tmp_path / "raw1"
+    raw = deliver(root)
+    write(root, "airports", "Code,Description", '10,"Atlantic City, NJ: Atlantic City"', 'ADK,"Adak, AK: Adak Airport"', ",Nowhere")
+    write(root, "flights", HEADER, flight("2016-03-05", origin="ADK"))
+    header = "N-Number,Serial Number,Name,MFR MDL Code,Year MFR,City,State,Street 1,Eng MFR Code"
+    write(root, "planes", header, ",1,A,,,,,,", ",2,B,,,,,,", "N1,3,C,,,,,,", "N1,4,C,,,,,,")
+    audit = {r.table_name: r for r in load_warehouse(spark, raw, str(tmp_path / "lake"), date(2024, 1, 1)).collect()}
+    assert (audit["plane_dimension"].row_count, audit["plane_dimension"].rows_read, audit["plane_dimension"].rows_rejected) == (1, 4, 3)
+    assert (audit["airport_dimension"].row_count, audit["airport_dimension"].rows_rejected) == (2, 1)
+    fact = read_fact(spark, str(tmp_path / "lake"), "flight_fact").first()
+    code = read_table(spark, f"{tmp_path}/lake/presentation/airport_dimension").where("code = 'adk'").first()
+    assert fact.origin_airport_key == code.airport_key and code.state_code == "nj"
+
+
+@pytest.mark.parametrize("line", [flight("01/01/2016"), flight("2016-01-01").replace(",845,", ",845.0,")])
+def test_fields_of_another_type_stop_the_load(spark, tmp_path, line):
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST|parse"):
+        load(spark, tmp_path, 1, date(2024, 1, 1), [line])
+
+
+def test_dates_may_have_another_form(spark, tmp_path):
+    raw = deliver(tmp_path / "raw")
+    write(tmp_path / "raw", "flights", HEADER, flight("31/12/2016"))
+    raw = raw_zone(str(tmp_path / "raw"), date_format="dd/MM/yyyy")
+    assert raw_zone("r", calendars=True).dates == Extract("r/date", ";", "dd/MM/yyyy")
+    load_warehouse(spark, raw, str(tmp_path / "lake"), date(2024, 1, 1))
+    assert days_of(spark, str(tmp_path / "lake")) == [("2016-12-31", True)]
+
+
+def test_a_fact_load_that_dies_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    write_table(spark.range(4).selectExpr("id", "id % 2 as day"), path, ["day"], keep_others=True)
+    dying = spark.range(4).selectExpr("if(id = 3, cast(raise_error('dies') as bigint), id + 10) as id", "0L as day")
+    with pytest.raises(Exception, match="dies"):
+        write_table(dying, path, ["day"], keep_others=True)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2, 3]
+    write_table(spark.range(1).selectExpr("id + 10 as id", "0L as day"), path, ["day"], keep_others=True)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 3, 10]
