@@ -7,6 +7,7 @@ documents, at the depth of a window or deeper.  Only suffixes that can lie below
    word in five starts an anchor.  Anchors that only one document has cannot lie in a repeat.
 2. The suffixes at windows with a shared anchor are partitioned by prefix: by the anchor's k words, and by a whole window
    where very many suffixes have the same anchor, so that a partition has many small groups however common one is.
+   What a document repeats, anchor or window, is one row of it.
 3. Within a partition the suffixes are sorted, which walks the subtree of each prefix depth first: neighbours of equal
    window are the leaves below one deep internal node, its smallest document first.  All later documents lose them.
 
@@ -29,7 +30,9 @@ from .common import text_slices
 #: Words of an anchor.
 ANCHOR = 5
 #: Suffixes with one anchor above which the whole window is their prefix.
-HEAVY = 1 << 20
+HEAVY = 1 << 16
+#: Bits of a prefix's hash that tell the partitions apart.
+PREFIX_BITS = 24
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -75,17 +78,36 @@ class _Texts:
             self.anchor = inside + picks[inside]
 
 
+def _in_text(hashes: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Hashes that are also different in different texts."""
+    return _mixed(hashes + owner.astype(np.uint64) * _MIX)
+
+
+def _once(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first place of each hash in its text, in order, and whether the text has it again."""
+    _, first, times = np.unique(_in_text(hashes, owner), return_index=True, return_counts=True)
+    order = np.argsort(first)
+    return first[order], times[order] > 1
+
+
+def _marked(place: np.ndarray, again: np.ndarray) -> np.ndarray:
+    """Places in a text; a negative one stands for all places with what is there."""
+    return np.where(again, -1 - place, place).astype(np.int32)
+
+
 def _anchors(window: int):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
             texts = _Texts(part.column("text").to_pylist(), window)
             at = np.unique(texts.anchor)
+            first, again = _once(texts.short[at], texts.owner[at])
+            at = at[first]
             owner = texts.owner[at]
             yield pa.RecordBatch.from_pydict(
                 {
                     "prefix": texts.short[at].view(np.int64),
                     "doc_id": part.column("doc_id").to_numpy(zero_copy_only=False)[owner],
-                    "place": (at - texts.start[owner]).astype(np.int32),
+                    "place": _marked(at - texts.start[owner], again),
                 }
             )
 
@@ -100,21 +122,34 @@ def _suffixes(window: int):
             places = part.column("places")
             flat = places.flatten()
             owner = np.repeat(np.arange(part.num_rows), places.value_lengths().to_numpy())
-            at = texts.start[owner] + flat.field("place").to_numpy()
+            place = flat.field("place").to_numpy()
+            at = texts.start[owner] + np.where(place < 0, -1 - place, place)
             # Rows that repeat an id may be shorter than the one a place comes from.
-            fits = at < texts.start[owner + 1]
-            shared[at[fits]] = True
-            heavy[at[fits]] = flat.field("heavy").to_numpy(zero_copy_only=False)[fits]
+            fits = at + ANCHOR <= texts.start[owner + 1]
+            at, owner, again = at[fits], owner[fits], place[fits] < 0
+            full = flat.field("heavy").to_numpy(zero_copy_only=False)[fits]
+            shared[at] = True
+            heavy[at] = full
+            if again.any():
+                here = np.unique(texts.anchor)
+                here = here[np.isin(texts.owner[here], owner[again])]
+                here_key, key = _in_text(texts.short[here], texts.owner[here]), _in_text(texts.short[at], owner)
+                shared[here[np.isin(here_key, key[again])]] = True
+                heavy[here[np.isin(here_key, key[again & full])]] = True
             keep = shared[texts.anchor]
             start, anchor = texts.window[keep], texts.anchor[keep]
             deep = _runs(texts.hashes, window)[start] if len(start) else np.empty(0, np.uint64)
             owner = texts.owner[start]
+            first, again = _once(deep, owner)
+            owner, anchor, deep = owner[first], anchor[first], deep[first]
+            place = start[first] - texts.start[owner]
+            prefix = np.where(heavy[anchor], deep, texts.short[anchor]) >> np.uint64(64 - PREFIX_BITS)
             yield pa.RecordBatch.from_pydict(
                 {
-                    "prefix": np.where(heavy[anchor], deep, texts.short[anchor]).view(np.int64),
+                    "prefix": prefix.astype(np.int32),
                     "deep": deep.view(np.int64),
                     "doc_id": part.column("doc_id").to_numpy(zero_copy_only=False)[owner],
-                    "place": (start - texts.start[owner]).astype(np.int32),
+                    "place": _marked(place, again),
                 }
             )
 
@@ -139,6 +174,17 @@ def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"doc_id": doc[later], "place": place[later]})
 
 
+def _everywhere(places: np.ndarray, words: list[bytes], window: int) -> np.ndarray:
+    """Where all the windows start that ``places`` stand for."""
+    last = len(words) - window
+    again = -1 - places[places < 0]
+    places = places[(places >= 0) & (places <= last)]
+    if len(again):
+        deep = _runs(np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64), window)
+        places = np.concatenate([places, np.nonzero(np.isin(deep, deep[again[again <= last]]))[0]])
+    return places
+
+
 def _cut(window: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
@@ -147,7 +193,7 @@ def _cut(window: int):
             for text, starts in zip(texts, places, strict=True):
                 words = (text or "").encode().split()
                 change = np.zeros(len(words) + window + 1, np.int64)
-                starts = np.array([p for p in starts or [] if p + window <= len(words)], np.int64)
+                starts = _everywhere(np.array(starts or [], np.int64), words, window)
                 np.add.at(change, starts, 1)
                 np.add.at(change, starts + window, -1)
                 gone = np.cumsum(change)[: len(words)] > 0
@@ -202,7 +248,7 @@ def drop_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
     ).where("shared")
     shared = met.groupBy("doc_id").agg(F.collect_list(F.struct("place", "heavy")).alias("places"))
     suffixes = by_id.join(shared.hint("shuffle_hash"), "doc_id").mapInArrow(
-        _suffixes(window), "prefix long, deep long, doc_id long, place int"
+        _suffixes(window), "prefix int, deep long, doc_id long, place int"
     )
     subtrees = suffixes.repartition("prefix").sortWithinPartitions("prefix", "deep", "doc_id")
     repeats = subtrees.mapInArrow(_leaves, "doc_id long, place int")
