@@ -371,6 +371,10 @@ ORACLE: dict[str, str] = {
         with {FACT}
         select origin_airport_key, dest_airport_key, div1_airport_key, div2_airport_key, air_time from fact""",
     "daily_fact": f"with {FACT} select * exclude (cancellation_code) from fact",
+    "two_deliveries": """
+        select cast(o_orderdate as date) as date, count(*) as flights, count(s_suppkey) as with_airline,
+            sum(l_quantity * 10) as air_time
+        from lineitem join orders on l_orderkey = o_orderkey left join supplier on l_suppkey = s_suppkey group by 1""",
     "monthly_fact": f"with {MONTHLY} {_monthly('summed')}",
     "monthly_fact_distinct": f"with {MONTHLY} select distinct * from ({_monthly('delivered')})",
     "least_delayed_month": f"""

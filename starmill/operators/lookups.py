@@ -15,12 +15,15 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_SHARE = 0.005
+#: A key is frequent if it holds more than this share of a shuffle partition's even part of the rows.
+HOT_PART = 0.5
+#: The largest and the smallest share of all rows that counts as frequent; the latter bounds the hashes collected.
+HOT_SHARES = (0.005, 0.0001)
 MIN_SALTS = 256
 _ROW_OVERHEAD = 32
 
@@ -66,16 +69,24 @@ def measured_bytes(*tables: DataFrame) -> list[int]:
     return [measured[i] for i in range(len(tables))]
 
 
+def hot_share(spark: SparkSession) -> float:
+    """The share of the rows from which a key is frequent: the more partitions, the smaller."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(HOT_SHARES[0], max(HOT_SHARES[1], HOT_PART / partitions))
+
+
 def hot_keys(
-    rows: DataFrame, keys: Mapping[str, Sequence[str]], share: float = HOT_SHARE
+    rows: DataFrame, keys: Mapping[str, Sequence[str]], share: float | None = None
 ) -> dict[str, list[int]]:
     """For each named key, the hashes of the values that hold more than ``share`` of the rows.
 
+    Give stored rows, or rows that are cheap to compute: they are read twice.
     At most ``1 / share`` hashes per key.  Spark's frequent-item count names the candidates, false ones among
     them; a second pass over the key columns counts just these.  Two jobs for all keys together.
     """
     if not keys:
         return {}
+    share = share or hot_share(rows.sparkSession)
     hashed = rows.select(*[F.xxhash64(*names).alias(key) for key, names in keys.items()])
     candidates = hashed.stat.freqItems(list(keys), share).first()
     listed = [
@@ -108,6 +119,16 @@ def _all_set(names: Sequence[str]) -> Column:
     return reduce(and_, [F.col(n).isNotNull() for n in names])
 
 
+def within(sizes: Mapping[str, int], limit_bytes: int = BROADCAST_BYTES) -> set[str]:
+    """The tables, smallest first, that may be broadcast together: their bytes add up to ``limit_bytes`` at most."""
+    chosen, total = set(), 0
+    for name in sorted(sizes, key=sizes.get):
+        total += sizes[name]
+        if total <= limit_bytes:
+            chosen.add(name)
+    return chosen
+
+
 def lookup(
     rows: DataFrame,
     table: DataFrame,

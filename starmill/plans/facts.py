@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, field, fields, replace
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clock import hhmm_hour, hhmm_minute
 from ..functions.measures import DELAY_PARTS, total_delay
-from ..operators.lookups import BROADCAST_BYTES, current, hot_keys, lookup, measured_bytes
+from ..operators.lookups import BROADCAST_BYTES, current, hot_keys, lookup, measured_bytes, within
 
 
 @dataclass(frozen=True)
@@ -149,10 +149,19 @@ def _find_keys(
     roles: dict[str, Role],
     inner: Sequence[str] = (),
     limit_bytes: int = BROADCAST_BYTES,
+    store: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
+    """Look up all roles.  The tables that are broadcast have ``limit_bytes`` together.
+
+    If others are left, the frequent keys of ``rows`` are counted before ``rows`` is joined; ``store`` writes computed
+    rows somewhere first, so that what computes them runs once.
+    """
     tables = _key_tables(dims, {role.dimension for role in roles.values()})
     sizes = dims.sizes or _sizes(tables)
-    large = {target: list(role.on) for target, role in roles.items() if sizes[role.dimension] > limit_bytes}
+    small = within({name: sizes[name] for name in tables}, limit_bytes)
+    large = {target: list(role.on) for target, role in roles.items() if role.dimension not in small}
+    if large and store:
+        rows = store(rows)
     hot = hot_keys(rows, large)
     for target, role in roles.items():
         rows = lookup(
@@ -161,7 +170,7 @@ def _find_keys(
             role.on,
             {target: "surrogate"},
             how="inner" if target in inner else "left",
-            table_bytes=sizes[role.dimension],
+            table_bytes=0 if role.dimension in small else limit_bytes + 1,
             hot=hot.get(target),
             limit_bytes=limit_bytes,
         )
@@ -196,24 +205,29 @@ def daily_fact(
     dims: Dimensions,
     columns: Sequence[str] = DAILY_COLUMNS,
     limit_bytes: int = BROADCAST_BYTES,
+    store: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per flight: dimension keys and measures.
 
     ``columns`` narrows the result; lookups whose key is not asked for are not run.  A key with no open
-    member is NULL.
+    member is NULL.  Give ``store`` where the flights are computed rather than stored, see :func:`_find_keys`.
     """
     roles = _daily_roles(columns)
     decoded = {c: CLOCKS[c] for role in roles.values() for c in role.on if c in CLOCKS}
     clocks = {name: part(F.col(source).cast("int")) for name, (source, part) in decoded.items()}
     flights = flights.select(*sorted(flight_columns(columns))).withColumns(clocks | _airport_codes(roles))
-    keyed = _find_keys(flights, dims, roles, ["flight_date_key"], limit_bytes)
+    keyed = _find_keys(flights, dims, roles, ["flight_date_key"], limit_bytes, store)
     measures = {name: F.col(source) for name, source in DAILY_MEASURES.items()}
     measures["total_delay"] = total_delay(*DELAY_PARTS)
     return keyed.select(*[measures[c].alias(c) if c in measures else F.col(c) for c in columns])
 
 
 def monthly_fact(
-    passengers: DataFrame, dims: Dimensions, dedupe: bool = False, limit_bytes: int = BROADCAST_BYTES
+    passengers: DataFrame,
+    dims: Dimensions,
+    dedupe: bool = False,
+    limit_bytes: int = BROADCAST_BYTES,
+    store: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Freight, passengers and mail per airline, route and month.
 
@@ -227,5 +241,5 @@ def monthly_fact(
         passengers = passengers.groupBy(*grain).agg(*[F.sum(m).alias(m) for m in MONTHLY_MEASURES])
     else:
         passengers = passengers.select(*grain, *MONTHLY_MEASURES)
-    keyed = _find_keys(passengers, dims, MONTHLY_ROLES, limit_bytes=limit_bytes).select(*MONTHLY_COLUMNS)
+    keyed = _find_keys(passengers, dims, MONTHLY_ROLES, limit_bytes=limit_bytes, store=store).select(*MONTHLY_COLUMNS)
     return keyed.distinct() if dedupe else keyed
