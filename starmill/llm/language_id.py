@@ -26,6 +26,7 @@ REMEMBERED = 250_000
 #: Words that go through the network together; their states stay in the processor's cache.
 TOGETHER = 2048
 _LETTER = re.compile(r"[^\W\d_]")
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 @dataclass
@@ -163,6 +164,22 @@ def train(
     return model
 
 
+def position_labels(model: Model, words: list[bytes]) -> dict[bytes, np.ndarray]:
+    """The number of the language of each byte, for each different word."""
+    parts: dict[int, list[tuple[bytes, int]]] = {}
+    found = {word: np.empty(len(word), np.int64) for word in words}
+    for word in found:
+        for at, part in enumerate(segments(word)):
+            parts.setdefault(len(part), []).append((word, at * SEGMENT))
+    for n, places in parts.items():
+        for k in range(0, len(places), TOGETHER):
+            some = places[k : k + TOGETHER]
+            data = np.frombuffer(b"".join(word[at : at + n] for word, at in some), np.uint8).reshape(-1, n)
+            for (word, at), labels in zip(some, model.positions(data).argmax(axis=2), strict=True):
+                found[word][at : at + n] = labels
+    return found
+
+
 class Labeller:
     """Sums of position probabilities of words, each word labelled once while it is remembered."""
 
@@ -279,6 +296,42 @@ def fit(docs: DataFrame, **bounds: int) -> Model | None:
     return train(sample(docs, **bounds))
 
 
+def _spanned(model: Model):
+    def span(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches):
+            texts = [(t or "").encode() for t in part.column("text").to_pylist()]
+            known = position_labels(model, list({w for t in texts for w in t.split()}))
+            rows = []
+            for text in texts:
+                spans: list[dict] = []
+                for word in _WORD.finditer(text):
+                    labels = known[word[0]]
+                    cuts = [0, *(np.nonzero(np.diff(labels))[0] + 1).tolist(), len(labels)]
+                    for a, b in zip(cuts, cuts[1:], strict=False):
+                        name, start, end = model.languages[labels[a]], word.start() + a, word.start() + b
+                        if spans and spans[-1]["lang"] == name:
+                            spans[-1]["end"] = end
+                        else:
+                            spans.append({"start": start, "end": end, "lang": name})
+                rows.append(spans)
+            yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "spans": pa.array(rows, _SPANS)})
+
+    return span
+
+
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
+
+
+def language_spans(docs: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, spans): the runs of bytes of each text that have the same language; white space joins its neighbours.
+
+    Null and empty texts have no spans.
+    """
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        _spanned(model), "doc_id long, spans array<struct<start: long, end: long, lang: string>>"
+    )
+
+
 def with_language(docs: DataFrame, model: Model | None) -> DataFrame:
     """The rows of ``docs`` whose language can be told, all columns unchanged; without a model none."""
     return docs.where(language(model)(F.col("text")) != "und")

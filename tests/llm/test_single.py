@@ -278,6 +278,25 @@ def test_repeated_words_are_labelled_like_single_ones():
     assert rows.sum() == pytest.approx(69, rel=1e-4)
 
 
+def test_spans_label_every_byte_once(spark):
+    rng = random.Random(9)
+    texts = [(k, " ".join(prose(rng, name, 30) for name in ("xx", "yy", "zz"))) for k in range(40)]
+    model = language_id.train([(prose(rng, name, 400), name) for name in ("xx", "yy", "zz")], steps=300)
+    docs = spark.createDataFrame([*texts, (90, None), (91, " \n"), (92, "x" * 60)], "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in language_id.language_spans(docs, model).collect()}
+    assert found[90] == [] and found[91] == [] and found[92][-1]["end"] == 60
+    covered = Counter()
+    for k, text in texts:
+        data, spans = text.encode(), found[k]
+        ends = [s["end"] for s in spans]
+        assert spans[0]["start"] == 0 and ends[-1] == len(data)
+        assert all(not data[a:b["start"]].strip() for a, b in zip(ends, spans[1:], strict=False))
+        assert all(a["lang"] != b["lang"] for a, b in zip(spans, spans[1:], strict=False))
+        for s in spans:
+            covered[s["lang"]] += s["end"] - s["start"]
+    assert all(covered[name] > 0.2 * sum(covered.values()) for name in ("xx", "yy", "zz"))
+
+
 def test_language_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert language_id.fit(empty) is None
