@@ -239,10 +239,11 @@ _PROFILED_TEXT = ("l_returnflag", "l_linestatus", "l_shipdate")
 
 def _profile(column: str) -> str:
     number = "null::double" if column in _PROFILED_TEXT else f"cast({column} as double)"
+    text = f"cast({column} as varchar)" if column in _PROFILED_TEXT else "null::varchar"
     return f"""
     select '{column}' as column_name, count(*) as row_count, count(*) - count({column}) as null_count,
         count(distinct {column}) as distinct_count, min({number}) as min_value, max({number}) as max_value,
-        round(avg({number}), 4) as mean_value
+        round(avg({number}), 4) as mean_value, min({text}) as min_text, max({text}) as max_text
     from lineitem"""
 
 
@@ -261,8 +262,11 @@ ORACLE: dict[str, str] = {
     "sink_parquet_roundtrip": "select * from customer",
     "sink_swap": "select c_custkey, c_name, c_nationkey, c_acctbal * 2 as c_acctbal, c_mktsegment from customer",
     "load_audit": """
+        with read as (select nullif(o_orderstatus, 'P') as status from orders)
         select count(*) as row_count, count(distinct l_orderkey) as distinct_keys,
-            count(*) - count(l_orderkey) as null_keys
+            count(*) - count(l_orderkey) as null_keys, (select count(*) from read) as rows_read,
+            (select count(*) from read where status is null) as rows_without_key,
+            (select count(status) - count(distinct status) from read) as rows_repeated
         from lineitem""",
     "profile_table": " union all ".join(_profile(c) for c in _PROFILED),
     "fill_undefined": """

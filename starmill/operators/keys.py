@@ -1,7 +1,7 @@
 """Dense surrogate keys numbered without a single-task window.
 
-Members are ordered by the MD5 of their natural key.  The first three hex digits cut that order into 4096
-intervals that fill evenly whatever the natural keys look like, so no bounds have to be sampled and no
+Members are ordered by the MD5 of their natural key.  Its first hex digits, three or as many as the shuffle partitions
+ask for, cut that order into 4096 or more intervals that fill evenly whatever the natural keys look like, so no bounds have to be sampled and no
 interval runs hot.  A row's number is its rank inside the interval plus the number of members in all earlier
 intervals, which is exactly ``row_number() over (order by md5(natural key), natural key)``: gap-free, and the
 same on every run, for any number of partitions.
@@ -14,8 +14,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_DIGITS = 3
-BUCKETS = 16**_DIGITS
+_LEAST_DIGITS, _MOST_DIGITS = 3, 5
+#: Intervals for each shuffle partition, so that the partitions are filled evenly.
+_PER_PARTITION = 4
+
+
+def _digits(partitions: int) -> int:
+    """Hex digits that cut enough intervals for so many partitions."""
+    digits = _LEAST_DIGITS
+    while digits < _MOST_DIGITS and 16**digits < _PER_PARTITION * partitions:
+        digits += 1
+    return digits
 
 
 def key_digest(names: Sequence[str]) -> Column:
@@ -40,10 +49,11 @@ def dense_key(
     without chance.
     """
     digest = key_digest(natural_key)
-    bucket = F.conv(F.substring(digest, 1, _DIGITS), 16, 10).cast("int")
+    digits = _digits(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    bucket = F.conv(F.substring(digest, 1, digits), 16, 10).cast("int")
     base_column = F.lit(base) if isinstance(base, int) else base
 
-    # At most BUCKETS rows, so the window without partitions and the broadcast are both bounded.
+    # At most a row per interval, so the window without partitions and the broadcast are both bounded.
     counts = df.select(bucket.alias("_bucket")).groupBy("_bucket").agg(F.count("*").alias("_n"))
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
