@@ -35,18 +35,28 @@ flights as (
     left join supplier on l_suppkey = s_suppkey
 )"""
 
-AIRLINE = """
+
+
+def _key(table: str, number: str, divisor: int) -> str:
+    """The key of a member's open version: that of the first load, or if the second changed it, one after all of them."""
+    order = f"order by md5(cast({number} as varchar))"
+    return f"""cast(case when {number} % {divisor} = 0
+            then (select count(*) from {table}) + row_number() over (partition by {number} % {divisor} = 0 {order})
+            else row_number() over ({order}) end as bigint)"""
+
+
+AIRLINE = f"""
 airline as (
     select cast(s_suppkey as varchar) as carrier, lower(s_name) as airline_name,
-        cast(row_number() over (order by md5(cast(s_suppkey as varchar))) as bigint) as airline_key
+        {_key("supplier", "s_suppkey", 7)} as airline_key
     from supplier
 )"""
 
-AIRPORT = """
+AIRPORT = f"""
 airport as (
     select cast(n_nationkey as varchar) as code, lower(n_name) || ' field, north' as airport_name,
         lower(n_name) as city,
-        cast(row_number() over (order by md5(cast(n_nationkey as varchar))) as bigint) as airport_key
+        {_key("nation", "n_nationkey", 3)} as airport_key
     from nation
 )"""
 
@@ -65,9 +75,9 @@ plane_staged as (
 
 PLANE = (
     PLANE_STAGED
-    + """,
+    + f""",
 plane as (
-    select *, cast(row_number() over (order by md5(n_number)) as bigint) as plane_key from plane_staged
+    select *, {_key("part", "cast(n_number as bigint)", 5)} as plane_key from plane_staged
 )"""
 )
 

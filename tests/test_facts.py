@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmill.operators.calendar import date_dimension, literal_span, monthly_dimension, time_dimension
+from starmill.operators.lookups import within
 from starmill.operators.scd2 import scd2_initial, scd2_merge
 from starmill.plans import dashboards
 from starmill.plans.facts import DAILY_COLUMNS, Dimensions, daily_fact, flight_columns, monthly_fact
@@ -173,3 +174,22 @@ def test_versions_of_one_member_count_together(spark, dims):
         "*", "0D as diverted", "0D as cancelled", "1D as total_delay"
     )
     assert [(r.planes, r.flights) for r in dashboards.plane_dashboard(flown, twice).collect()] == [(1, 2)]
+
+
+def test_computed_flights_are_stored_once_where_keys_are_counted(flights, dims, rows):
+    calls = []
+
+    def store(df):
+        calls.append(df)
+        return stored(df)
+
+    plain = rows(daily_fact(flights, dims))
+    assert rows(daily_fact(flights, dims, store=store)) == plain and not calls
+    assert rows(daily_fact(flights, dims, limit_bytes=0, store=store)) == plain and len(calls) == 1
+
+
+def test_broadcast_tables_share_one_limit(flights, dims, rows):
+    sizes = dims.measured().sizes
+    assert within({"a": 10, "b": 20, "c": 30}, 35) == {"a", "b"}
+    some = sizes["airline"] + sizes["airport"]
+    assert rows(daily_fact(flights, dims, limit_bytes=some)) == rows(daily_fact(flights, dims))

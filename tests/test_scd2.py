@@ -176,3 +176,24 @@ def test_registered_deliveries_hold_every_order(spark):
     assert {r["c_custkey"] for part in delivered for r in part} == buyers
     last = analogues.table(spark, sf_dir, "orders").agg({"o_orderdate": "max"}).first()[0].date()
     assert last < analogues.LOADS[-1]
+
+
+def test_first_load_reads_the_delivery_once(spark, tmp_path):
+    spec = DimSpec("d", "d_key", ("code",), ("name",))
+    path = str(tmp_path / "delivery")
+    spark.createDataFrame([("a", "x"), ("a", "x"), ("a", None), ("b", "y")], "code string, name string").write.parquet(path)
+    plans = []
+
+    def store(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        df.write.parquet(str(tmp_path / "members"))
+        return spark.read.parquet(str(tmp_path / "members"))
+
+    loaded = scd2.scd2_initial(spark.read.parquet(path), spec, date(2024, 1, 1), store)
+    assert sorted((r.code, r.name) for r in loaded.collect()) == [("a", None), ("b", "y")]
+    (plan,) = plans
+    final = plan[plan.index("Initial Plan") :] if "Initial Plan" in plan else plan
+    assert final.count("FileScan") == 1
+    # Copies are hashed away below whatever sorts.
+    assert final.rindex("SortAggregate") < final.rindex("HashAggregate") < final.rindex("FileScan")
+    assert "delivery" not in loaded._jdf.queryExecution().executedPlan().toString()
