@@ -31,31 +31,6 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def in_groups(batches: Iterator, key: str) -> Iterator:
-    """Cut Arrow batches that are sorted by ``key`` into one batch list per key value, never holding more than one."""
-    import pyarrow as pa
-    import pyarrow.compute as pc
-
-    held, last = [], None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        column = batch.column(key)
-        starts = [0]
-        if batch.num_rows > 1:
-            changed = pc.not_equal(column.slice(1), column.slice(0, batch.num_rows - 1))
-            starts += [i + 1 for i, c in enumerate(changed.to_pylist()) if c]
-        for start, end in zip(starts, [*starts[1:], batch.num_rows], strict=True):
-            value = column[start].as_py()
-            if held and value != last:
-                yield last, pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(start, end - start))
-            last = value
-    if held:
-        yield last, pa.Table.from_batches(held)
-
-
 def text_slices(batches: Iterator, text: str = "text", most: int = 4 << 20) -> Iterator:
     """Cut Arrow batches into runs of rows with about ``most`` bytes of text, so that what Python makes of them is small."""
     import numpy as np

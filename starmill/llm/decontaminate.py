@@ -46,8 +46,8 @@ def _seeds(rows: DataFrame, masks: tuple[str, ...], *columns: str) -> DataFrame:
     """A row per position and mask: ``columns``, ``at``, ``mask`` (its number) and ``seed``."""
     last = F.size("tokens") - FEWEST
     at = rows.withColumn("at", F.explode(F.when(last >= 0, F.sequence(F.lit(0), last))))
-    found = F.array(*[F.struct(F.lit(k).alias("mask"), _seed(k, m, F.col("at")).alias("seed")) for k, m in enumerate(masks)])
-    return at.select(*columns, "at", F.inline(found)).where("seed is not null")
+    found = [F.struct(F.lit(k).alias("mask"), _seed(k, m, F.col("at")).alias("seed")) for k, m in enumerate(masks)]
+    return at.select(*columns, "at", F.inline(F.array(*found))).where("seed is not null")
 
 
 def _before(mask: Column, masks: tuple[str, ...], at: Column) -> Column:

@@ -61,7 +61,8 @@ def linked(x: dict, y: dict, threshold: float, same: bool) -> tuple[np.ndarray,
     return i[keep], j[keep]
 
 
-TILE = "label_key {label}, dim int, tile long, ids binary, weights binary, codes binary, scale binary, error binary, full binary"
+_MEMBER = ("ids", "weights", "codes", "scale", "error", "full")
+TILE = ", ".join(["label_key {label}, dim int, tile long", *[f"{name} binary" for name in _MEMBER]])
 PARTS = "node long, n_links long, root long"
 
 
@@ -135,7 +136,8 @@ def near_duplicates(
     usable = F.col("label_key").isNotNull() & F.col("id").isNotNull() & finite & F.exists("vec", lambda v: v != 0)
     good = F.coalesce(usable, F.lit(False))
     # 128 bits stand for a vector: equal vectors are one node, named by the smallest id.
-    rows = rows.withColumn("copy_key", F.when(good, F.struct("label_key", F.xxhash64("vec"), F.xxhash64(F.lit(1), "vec"))))
+    copy_key = F.struct("label_key", F.xxhash64("vec"), F.xxhash64(F.lit(1), "vec"))
+    rows = rows.withColumn("copy_key", F.when(good, copy_key))
     nodes = stored(
         rows.where("copy_key is not null")
         .groupBy("copy_key", "label_key")
@@ -152,10 +154,9 @@ def near_duplicates(
         .groupBy("label_key", "dim", "tile")
         .applyInArrow(_packed, TILE.format(label=kind))
     )
-    member = F.struct("ids", "weights", "codes", "scale", "error", "full")
-    left = tiles.join(counts, ["label_key", "dim"]).select(
-        "label_key", "dim", "tile", F.explode(F.sequence("tile", F.col("tiles") - 1)).alias("other"), member.alias("x")
-    )
+    member = F.struct(*_MEMBER)
+    other = F.explode(F.sequence("tile", F.col("tiles") - 1)).alias("other")
+    left = tiles.join(counts, ["label_key", "dim"]).select("label_key", "dim", "tile", other, member.alias("x"))
     right = tiles.select("label_key", "dim", F.col("tile").alias("other"), member.alias("y"))
     pairs = left.join(right, ["label_key", "dim", "other"])
     parts = stored(pairs.mapInArrow(_compared(threshold), PARTS))

@@ -151,9 +151,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 3000) -> Model | None:
     unlabelled = _chosen(rows.join(marked, "doc_id", "left_anti"), most)
     if unlabelled.isEmpty():
         unlabelled = _chosen(rows, most)
-    picked = stored(
-        trusted.select("doc_id", F.lit(True).alias("good")).unionByName(unlabelled.select("doc_id", F.lit(False).alias("good")))
-    )
+    sides = [ids.select("doc_id", F.lit(good).alias("good")) for ids, good in ((trusted, True), (unlabelled, False))]
+    picked = stored(sides[0].unionByName(sides[1]))
     texts = docs.select("doc_id", "text").join(picked, "doc_id").select("doc_id", "good", "text")
     found = texts.select("good", "text").mapInArrow(_measured, "good boolean, features array<double>").toArrow()
     x = np.array(found["features"].to_pylist()).reshape(-1, FEATURES)

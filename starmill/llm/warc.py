@@ -199,8 +199,10 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not held:
         return
     rows = pa.Table.from_batches(held).sort_by([("run", "ascending"), ("place", "ascending")]).combine_chunks()
-    keys = list(zip(rows["urlkey"].to_pylist(), rows["captured"].to_pylist(), map(_first, rows["page_id"].to_pylist())))
-    starts = [0, *(i + 1 for i, c in enumerate(pc.not_equal(rows["run"].slice(1), rows["run"].slice(0, len(rows) - 1)).to_pylist()) if c)]
+    columns = (rows[c].to_pylist() for c in ("urlkey", "captured", "page_id"))
+    keys = [(urlkey, captured, _first(page)) for urlkey, captured, page in zip(*columns, strict=True)]
+    changed = pc.not_equal(rows["run"].slice(1), rows["run"].slice(0, len(rows) - 1)).to_pylist()
+    starts = [0, *(i + 1 for i, c in enumerate(changed) if c)]
     ends = [*starts[1:], len(rows)]
     runs = [((key, at) for at, key in enumerate(keys[a:b], a)) for a, b in zip(starts, ends, strict=True)]
     order = pa.array([at for _, (_, at) in LoserTree(runs)], pa.int64())
