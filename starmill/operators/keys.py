@@ -1,8 +1,8 @@
 """Dense surrogate keys numbered without a single-task window.
 
 Members are ordered by the MD5 of their natural key.  Its first hex digits, three or as many as the shuffle partitions
-ask for, cut that order into 4096 or more intervals that fill evenly whatever the natural keys look like, so no bounds have to be sampled and no
-interval runs hot.  A row's number is its rank inside the interval plus the number of members in all earlier
+ask for, cut that order into 4096 or more intervals that fill evenly whatever the natural keys look like, so no
+bounds have to be sampled and no interval runs hot.  A row's number is its rank inside the interval plus the number of members in all earlier
 intervals, which is exactly ``row_number() over (order by md5(natural key), natural key)``: gap-free, and the
 same on every run, for any number of partitions.
 """
