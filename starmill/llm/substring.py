@@ -6,7 +6,8 @@ documents, at the depth of a window or deeper.  Only suffixes that can lie below
 1. Each window picks an anchor, the k words in it whose hash is smallest, so equal windows pick equal anchors.  About one
    word in five starts an anchor.  Anchors that only one document has cannot lie in a repeat.
 2. The suffixes at windows with a shared anchor are partitioned by prefix: by the anchor's k words, and by a whole window
-   where very many suffixes have the same anchor, so that a partition has many small groups however common one is.
+   where many suffixes have the same anchor.  Documents of such a window are dealt into parts, so that no partition
+   gets all of a passage that very many documents hold; the first document of each part is compared with the others'.
    What a document repeats, anchor or window, is one row of it.
 3. Within a partition the suffixes are sorted, which walks the subtree of each prefix depth first: neighbours of equal
    window are the leaves below one deep internal node, its smallest document first.  All later documents lose them.
@@ -30,9 +31,13 @@ from .common import text_slices
 #: Words of an anchor.
 ANCHOR = 5
 #: Suffixes with one anchor above which the whole window is their prefix.
-HEAVY = 1 << 16
+HEAVY = 1 << 9
 #: Bits of a prefix's hash that tell the partitions apart.
 PREFIX_BITS = 24
+#: Parts into which the documents of a heavy anchor's windows are dealt.
+PARTS = 32
+#: Set in the prefix of a window that is dealt into parts.
+SPLIT = 1 << PREFIX_BITS
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -143,12 +148,14 @@ def _suffixes(window: int):
             first, again = _once(deep, owner)
             owner, anchor, deep = owner[first], anchor[first], deep[first]
             place = start[first] - texts.start[owner]
-            prefix = np.where(heavy[anchor], deep, texts.short[anchor]) >> np.uint64(64 - PREFIX_BITS)
+            doc, split = part.column("doc_id").to_numpy(zero_copy_only=False)[owner], heavy[anchor]
+            dealt = _mixed(deep + _mixed(doc.astype(np.uint64)) % np.uint64(PARTS) * _MIX)
+            prefix = np.where(split, dealt, texts.short[anchor]) >> np.uint64(64 - PREFIX_BITS)
             yield pa.RecordBatch.from_pydict(
                 {
-                    "prefix": prefix.astype(np.int32),
+                    "prefix": (prefix.astype(np.int32) | np.where(split, SPLIT, 0)).astype(np.int32),
                     "deep": deep.view(np.int64),
-                    "doc_id": part.column("doc_id").to_numpy(zero_copy_only=False)[owner],
+                    "doc_id": doc,
                     "place": _marked(place, again),
                 }
             )
@@ -156,8 +163,8 @@ def _suffixes(window: int):
     return emit
 
 
-def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of suffixes sorted by prefix, window and document, those whose node has a leaf in an earlier document."""
+def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Suffixes sorted by prefix, window and document: their columns, and the first document below the same node."""
     last: tuple[int, int, int] | None = None
     for batch in batches:
         if not batch.num_rows:
@@ -170,10 +177,23 @@ def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if last and last[:2] == (prefix[0], deep[0]):
             first[: starts[1] if len(starts) > 1 else len(doc)] = last[2]
         last = (prefix[-1], deep[-1], first[-1])
+        yield prefix, deep, doc, place, first
+
+
+def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Suffixes whose node has a leaf in an earlier document."""
+    for _, _, doc, place, first in _walked(batches):
         later = doc > first
         yield pa.RecordBatch.from_pydict({"doc_id": doc[later], "place": place[later]})
 
 
+def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first leaves of nodes of which other parts lie elsewhere."""
+    for prefix, deep, doc, place, first in _walked(batches):
+        open_ = (doc == first) & (prefix & SPLIT != 0)
+        yield pa.RecordBatch.from_pydict({"deep": deep[open_], "doc_id": doc[open_], "place": place[open_]})
+
+
 def _everywhere(places: np.ndarray, words: list[bytes], window: int) -> np.ndarray:
     """Where all the windows start that ``places`` stand for."""
     last = len(words) - window
@@ -251,7 +271,11 @@ def drop_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
         _suffixes(window), "prefix int, deep long, doc_id long, place int"
     )
     subtrees = suffixes.repartition("prefix").sortWithinPartitions("prefix", "deep", "doc_id")
-    repeats = subtrees.mapInArrow(_leaves, "doc_id long, place int")
+    # Of a node in parts, each part's first leaf is compared with those of the other parts: at most PARTS rows a node.
+    firsts = subtrees.mapInArrow(_firsts, "deep long, doc_id long, place int")
+    earliest = F.min("doc_id").over(Window.partitionBy("deep"))
+    beaten = firsts.withColumn("later", F.col("doc_id") > earliest).where("later").select("doc_id", "place")
+    repeats = subtrees.mapInArrow(_leaves, "doc_id long, place int").unionByName(beaten)
     covered = repeats.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
     marked = by_id.join(covered.hint("shuffle_hash"), "doc_id", "left")
     unnamed = texts.where("doc_id is null").withColumn("places", F.array().cast("array<int>"))
