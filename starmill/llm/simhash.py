@@ -31,16 +31,23 @@ CROWDED = 64
 PENDING = 1 << 20
 
 
-def fingerprint(text: str | None, width: int = 3) -> int:
-    """Unsigned 64-bit SimHash of the ``width``-word shingles of a text, A-Z lower-cased; 0 without a word."""
+def shingle_hashes(text: str | None, width: int) -> list[int]:
+    """A hash of each ``width``-word shingle of a text, A-Z lower-cased; of all words if there are fewer."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return []
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     ends = ends[min(width, len(words)) - 1 :].tolist()
-    hashes = [xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends, strict=False)]
+    return [xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends, strict=False)]
+
+
+def fingerprint(text: str | None, width: int = 3) -> int:
+    """Unsigned 64-bit SimHash of the ``width``-word shingles of a text, A-Z lower-cased; 0 without a word."""
+    hashes = shingle_hashes(text, width)
+    if not hashes:
+        return 0
     ones = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     bits = 2 * ones.sum(axis=0, dtype=np.int64) > len(hashes)
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from starmill.llm import decontaminate, embedding_dedup, simhash, substring
+from starmill.llm import decontaminate, embedding_dedup, neardup, simhash, substring
 from starmill.llm.common import components, merged
 
 WORDS = [f"w{i}" for i in range(60)]
@@ -166,6 +166,41 @@ def test_blocks_lose_no_pair(radius, distinct):
         assert any(x & m == y & m for m in masks)
 
 
+def jaccard_rows():
+    """Near copies of every similarity, two large groups of them, copies, chains and odd texts."""
+    rng = random.Random(8)
+    rows, texts = [], [[f"v{rng.randrange(5000)}" for _ in range(n)] for n in (120, 60, 30, 12)]
+    for words in texts:
+        for k in range(40):
+            changed = list(words)
+            for at in rng.sample(range(len(words)), rng.randrange(0, 1 + len(words) // 12)):
+                changed[at] = f"new{k}"
+            rows.append(" ".join(changed[: len(changed) - k % 5]))
+    rows += [rows[3].upper(), rows[3], "one two", "One\ttwo", "one three", "", " ", None]
+    rng.shuffle(rows)
+    return [(100 + k, text) for k, text in enumerate(rows)] + [(None, "one two"), (100, rows[0])]
+
+
+@pytest.mark.parametrize("tile", [100, 1 << 15])
+def test_near_duplicates_equal_all_pairs(spark, monkeypatch, tile):
+    monkeypatch.setattr(neardup, "TILE", tile)
+    rows = jaccard_rows()
+
+    def shingles(text):
+        words = (text or "").lower().split()
+        return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+
+    sets = {i: shingles(t) for i, t in rows if i is not None}
+    links = [(i, j) for i, j in combinations(sets, 2) if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8]
+    root = smallest_reachable(set(sets), links)
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"] or 0, r["kept"]) for r in found) == sorted(
+        (i or 0, root.get(i, 0), i is None or root[i] == i) for i, _ in rows
+    )
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert neardup.near_duplicates(empty).count() == 0
+
+
 @pytest.mark.parametrize("radius", [1, 2, 3, 6])
 def test_bit_planes_count_distances(radius):
     rng = np.random.default_rng(2)
