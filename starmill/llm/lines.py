@@ -17,32 +17,41 @@ def _key(line: Column) -> Column:
     return F.xxhash64(F.trim(line))
 
 
-def boilerplate(docs: DataFrame, host: str = "source", ratio: float = 0.02, min_pages: int = 5) -> DataFrame:
+def boilerplate(
+    docs: DataFrame, host: str = "source", ratio: float = 0.02, min_pages: int = 5, copies: bool = True
+) -> DataFrame:
     """(host, keys): for each host the hashes of the lines that more than ``ratio`` of its pages contain.
 
     A page counts a line once.  Blank lines are never boilerplate, nor are lines on fewer than ``min_pages`` pages.
     Only hashes are shuffled, summed up before; a host has at most lines per page / ``ratio`` such lines, so
-    the array of one host stays small however many pages it has.
+    the array of one host stays small however many pages it has.  Without ``copies`` pages of equal text on one host are
+    one page, so that a text is not taken for boilerplate because it was copied; texts are compared by 128 bits.
     """
     spoken = F.filter(_lines(), lambda line: F.trim(line) != "")
     per_page = F.array_distinct(F.transform(spoken, _key))
-    seen = docs.select(F.col(host).alias("host"), F.explode(per_page).alias("key"))
+    pages = docs.select(F.col(host).alias("host"), F.col("text"), per_page.alias("lines"))
+    if not copies:
+        digest = [F.xxhash64("text").alias("high"), F.xxhash64(F.lit(1), "text").alias("low")]
+        pages = pages.select("host", "lines", *digest).groupBy("host", "high", "low").agg(F.first("lines").alias("lines"))
+        pages = stored(pages.select("host", "lines"))
+    seen = pages.select("host", F.explode("lines").alias("key"))
     counts = seen.groupBy("host", "key").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
-    totals = docs.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("total"))
+    totals = pages.groupBy("host").agg(F.count("*").alias("total"))
     common = counts.alias("c").join(totals.alias("t"), F.col("c.host").eqNullSafe(F.col("t.host")))
     common = common.where(F.col("c.pages") > F.col("t.total") * F.lit(ratio))
     return common.groupBy("c.host").agg(F.collect_list("c.key").alias("keys"))
 
 
 def drop_boilerplate(
-    docs: DataFrame, host: str = "source", ratio: float = 0.02, min_pages: int = 5
+    docs: DataFrame, host: str = "source", ratio: float = 0.02, min_pages: int = 5, copies: bool = True
 ) -> DataFrame:
     """``docs`` without boilerplate lines in ``text``; ``n_lines`` and ``n_dropped`` are added or replaced.
 
     A null text stays null with 0 lines; an empty one has one blank line, which stays.  A page left without any line has
-    an empty text; the page itself is kept.  Pages of a null host are one site.  Repeated rows are pages of their own.
+    an empty text; the page itself is kept.  Pages of a null host are one site.  Repeated rows are pages of their own,
+    with ``copies``; without, pages of equal text count once, and all of them lose what is boilerplate.
     """
-    common = stored(boilerplate(docs, host, ratio, min_pages))
+    common = stored(boilerplate(docs, host, ratio, min_pages, copies))
     docs = docs.drop("n_lines", "n_dropped")
     joined = docs.alias("d").join(common.alias("b"), F.col(f"d.{host}").eqNullSafe(F.col("b.host")), "left")
     lines = F.split(F.col("d.text"), "\n")

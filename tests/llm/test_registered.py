@@ -80,6 +80,19 @@ def test_pipeline_equals_plain_python(spark):
         assert abs(taken[source] - target) <= max(len(t.split()) for t, s in kept.values() if s == source)
 
 
+def test_one_document_of_a_large_group_of_copies_stays_whole(spark):
+    words = [f"w{k}" for k in range(60)]
+    copied = "\n".join(" ".join(words[k : k + 20]) for k in (0, 20, 40))
+    near = copied.replace("w30", "other")  # shares 51 of 61 shingles
+    rows = [(k, copied, "a") for k in range(30)] + [(40, near, "a")]
+    rows += [(100 + k, f"menu\nown x{k} y{k} z{k} u{k} v{k}", "a") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs = docs.selectExpr("*", "'en' as lang", "0L as n_chars")
+    left = corpus_pipeline.near_dedup(spark, corpus_pipeline.line_dedup(spark, docs, SF), SF).collect()
+    assert {r["doc_id"] for r in left} == {0, *range(100, 160)}
+    assert next(r["text"] for r in left if r["doc_id"] == 0) == copied
+
+
 def test_stages_keep_the_columns_and_accept_odd_rows(spark):
     rows = [(1, None, "en", "a", 0), (2, "", None, None, None), (None, "some words here", "en", "a", 3)]
     rows += [(3, "some words here", "en", "a", 3), (3, "some words here", "en", "a", 3)]

@@ -215,6 +215,17 @@ def test_boilerplate_is_relative_to_its_site(spark):
     assert out.columns == ["doc_id", "text", "source", "host", "keys", "line", "n_lines", "n_dropped"]
 
 
+def test_a_copied_text_is_not_boilerplate(spark):
+    copied = "its first line\nits second line\nmenu"
+    rows = [(k, copied, "a") for k in range(30)] + [(100 + k, f"menu\nown {k}", "a") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    cut = lines.drop_boilerplate(docs, copies=False)
+    found = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in cut.collect()}
+    assert found == {k: ("its first line\nits second line", 1) for k in range(30)} | {100 + k: (f"own {k}", 1) for k in range(60)}
+    # Without copies there are 61 pages; with them the copied text is more than a fiftieth of 90.
+    assert {r["text"] for r in lines.drop_boilerplate(docs).collect() if r["doc_id"] < 30} == {""}
+
+
 def test_lines_of_nothing(spark):
     assert lines.drop_boilerplate(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
 
