@@ -4,6 +4,9 @@ A seed is the hash of the tokens that a fixed mask selects; tokens it skips may
 benchmark, a bounded table, meet those of every position of the documents.  Where they meet, the item is laid along the
 document at that offset and equal tokens are counted, so that passages with substitutions are found and chance hits are
 not.  Of a run of hits along one offset only the first is verified.
+
+Some mask fits every passage that the rule of ``contaminated`` allows: one of 13 tokens or more has a window of 13 with
+two replaced at most, and lighter masks serve shorter items.
 """
 
 from __future__ import annotations
@@ -15,16 +18,23 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-#: Fixed masks, 1 for tokens that count: seven tokens each.  For 20 tokens with 4 replaced they find 98 of 100.
-MASKS = ("1111111", "11100011101", "110110010011")
-#: For items too short for a whole window; only these items have seeds of it.
-SHORT_MASK = "11111"
+#: (mask, fewest, most tokens of an item it is used for); 1 for tokens that count.  Each length has masks that fit all
+#: places of the replaced tokens: one of 8 or 9, two of 10 to 13.
+COMPLETE = (
+    ("11101111", 13, None), ("1111010011", 13, None), ("100100110111", 13, None),
+    ("111011", 10, 12), ("11010011", 10, 12), ("1100001011", 10, 12),
+    ("111111", 8, 9), ("11110011", 8, 9), ("11001111", 8, 9),
+    ("11111", 5, 7),
+)
+#: The masks that the SQL of op7_decontaminate names.  They miss some passages that the rule allows, see README.
+OF_SQL = (("1111111", 7, None), ("11100011101", 11, None), ("110110010011", 12, None), ("11111", 5, 7))
 #: Items with fewer tokens say too little to be matched.
-FEWEST = len(SHORT_MASK)
+FEWEST = 5
 #: Tokens in which ``SHARE`` must agree; all of them in items of fewer than ``EXACT`` tokens.
 WINDOW, SHARE, EXACT = 13, 0.8, 8
 #: Seeds of the benchmark that are broadcast at a time, about 50 MB; a larger benchmark is taken in blocks.
 SEEDS = 1_000_000
+Seeding = tuple[str, int, int | None]
 _SPACES, _DELETED = "\t\n\x0b\x0c\r", "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -55,29 +65,37 @@ def _before(mask: Column, masks: tuple[str, ...], at: Column) -> Column:
     return F.coalesce(*[F.when(mask == k, _seed(k, m, at - 1)) for k, m in enumerate(masks)])
 
 
+def _used(mask: Column, seeding: tuple[Seeding, ...], length: Column) -> Column:
+    """Whether items of ``length`` tokens have seeds of a mask."""
+    fits = [(mask == k) & length.between(low, high or 1 << 30) for k, (_, low, high) in enumerate(seeding)]
+    return reduce(Column.__or__, fits)
+
+
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
     """(item, item_id, tokens) of distinct items with enough tokens; ``item`` identifies one."""
     rows = benchmark.select("item_id", tokens(F.col("text")).alias("tokens")).where(F.size("tokens") >= FEWEST)
     return stored(rows.distinct().withColumn("item", F.xxhash64("item_id", "tokens")))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, seeding: tuple[Seeding, ...] = COMPLETE) -> DataFrame:
     """Pairs (doc_id, item_id, matched, window, overlap) of documents that hold a passage of a benchmark item.
 
     Along one offset of item and document, ``matched`` of ``window`` consecutive tokens agree, at least four fifths of 13
     tokens, or of the whole item if that is shorter, or all of an item of fewer than 8; ``overlap`` tokens agree along
-    the whole offset.  The best offset of each pair is returned, one row per pair.
+    the whole offset.  The best offset of each pair is returned, one row per pair.  Offsets without a seed of ``seeding``
+are not looked at; with ``COMPLETE`` none that meets the rule is without.
 
     Null and empty texts match nothing, nor do items of fewer than 5 tokens.  Repeated documents give one pair, repeated
     items of one id too; a null id is a value like others.  Other columns are ignored.  With an empty table on either
     side there are no pairs.
     """
     items = benchmark_items(benchmark)
-    masks = MASKS if items.where(F.size("tokens") < EXACT).isEmpty() else (*MASKS, SHORT_MASK)
-    seeds = _seeds(items, masks, "item", "tokens")
-    short = F.col("mask") == len(MASKS)
+    lengths = {r[0] for r in items.select(F.least(F.size("tokens"), F.lit(WINDOW))).distinct().collect()}
+    seeding = tuple(x for x in seeding if any(x[1] <= n <= (x[2] or n) for n in lengths)) or seeding
+    masks = tuple(mask for mask, _, _ in seeding)
+    seeds = _seeds(items, masks, "item", "tokens").where(_used(F.col("mask"), seeding, F.size("tokens")))
     seeds = stored(
-        seeds.where(~short | (F.size("tokens") < EXACT)).select(
+        seeds.select(
             "item", "seed", F.col("at").alias("item_at"), _before(F.col("mask"), masks, F.col("at")).alias("item_before")
         )
     )

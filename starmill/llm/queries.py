@@ -48,8 +48,9 @@ def op6_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The contaminated documents, each with the items it holds."""
-    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    """The contaminated documents, each with the items it holds, as far as the masks of the SQL find them."""
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(docs, benchmark, decontaminate.OF_SQL)
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

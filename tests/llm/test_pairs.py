@@ -298,6 +298,29 @@ def test_passages_of_the_benchmark_are_found(spark):
     assert decontaminate.clean(df, bench).columns == df.columns
 
 
+@pytest.mark.parametrize("n", range(5, 14))
+def test_masks_fit_every_place_of_replaced_tokens(n):
+    masks = [[k for k, x in enumerate(m) if x == "1"] for m, low, high in decontaminate.COMPLETE if low <= n <= (high or n)]
+    most = 0 if n < 8 else n - -(-8 * n // 10)
+    for gone in combinations(range(n), most):
+        assert any(
+            not {at + k for k in mask} & set(gone) for mask in masks for at in range(n - mask[-1])
+        ), (n, gone)
+
+
+def test_every_passage_that_the_rule_allows_is_found(spark):
+    rng = random.Random(9)
+    cases = [(8, (k,)) for k in range(8)] + [(10, g) for g in combinations(range(10), 2)] + [(13, g) for g in combinations(range(13), 2)]
+    items, docs = [], []
+    for i, (n, gone) in enumerate(cases):
+        words = [f"t{rng.randrange(10**9)}" for _ in range(n)]
+        items.append((i, " ".join(words)))
+        docs.append((i, "a b c " + " ".join("other" if k in gone else w for k, w in enumerate(words)) + " d e f"))
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(df, bench).collect()}
+    assert found == {(i, i) for i in range(len(cases))}
+
+
 def test_blocks_of_a_large_benchmark_find_the_same(spark, monkeypatch):
     rng = random.Random(6)
     items = [(i, text_of(rng, 30)) for i in range(12)]
