@@ -4,10 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, embedding_dedup, language_id, lines, mixing, quality, simhash, substring, warc
+from . import (
+    chat,
+    decontaminate,
+    embedding_dedup,
+    language_id,
+    lines,
+    mixing,
+    packing,
+    quality,
+    simhash,
+    substring,
+    warc,
+)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +84,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", ~quality.for_training(F.col("doc_id")))
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    packed = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.select(
+        "doc_id", "piece", "start", "length", F.crc32("tokens").alias("ids_crc32"), "sequence_id", "offset"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -82,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
 
 #: Tokens as a list of texts.
