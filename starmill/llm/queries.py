@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from . import (
     chat,
+    collocation,
     decontaminate,
     embedding_dedup,
     language_id,
     lines,
     mixing,
     packing,
+    prefix_trie,
     quality,
     simhash,
     substring,
@@ -84,6 +86,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", ~quality.for_training(F.col("doc_id")))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("node", "parent")
+
+
 def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     packed = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -103,6 +113,8 @@ QUERIES: dict[str, Query] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_collocations": op11_collocations,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_best_fit_packing": op13_best_fit_packing,
 }
 
@@ -293,4 +305,97 @@ ORACLE: dict[str, str] = {
             sha256(array_to_string(kept, chr(10))) as kept_sha256
         from cut
     """,
+    "op11_collocations": r"""
+        with texts as (
+            select coalesce(lang, 'und') as lang,
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+            from documents
+        ), pieces as (
+            select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as p from texts
+        ), worded as (
+            select lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda w: w <> '') as w from pieces
+        ), grams as (
+            select lang, size, array_to_string(list_slice(w, i, i + size - 1), ' ') as phrase
+            from (select *, unnest(range(1, len(w) - size + 2)) as i
+                from (select *, unnest([1, 2, 3]) as size from worded))
+        ), counts as (
+            select lang, size, phrase, count(*) as a from grams group by all
+        ), totals as (
+            select lang, cast(sum(a) as bigint) as n from counts where size = 1 group by lang
+        ), candidates as (
+            select *, string_split(phrase, ' ') as w from counts where size > 1 and a >= 10
+        ), cuts as (
+            select *, array_to_string(list_slice(w, 1, k), ' ') as head,
+                array_to_string(list_slice(w, k + 1, size), ' ') as tail
+            from (select *, unnest(range(1, size)) as k from candidates)
+        ), scored as (
+            select c.lang, c.phrase, c.a, min(struct_pack(score :=
+                cast((1000000::hugeint * c.a * c.a) // (h.a::hugeint * t.a) as bigint), k, l := h.a, r := t.a)) as best
+            from cuts c join counts h on h.lang = c.lang and h.phrase = c.head
+                join counts t on t.lang = c.lang and t.phrase = c.tail
+            group by all
+        ), longer as (
+            select lang, array_to_string(list_slice(w, i, i + 1), ' ') as phrase, max(a) as longer
+            from (select *, unnest([1, 2]) as i from candidates where size = 3) group by all
+        ), ranked as (
+            select *, row_number() over (partition by lang order by best.score desc, a desc, phrase) as rank
+            from scored left join longer using (lang, phrase) where longer is null or 100 * longer < 50 * a
+        )
+        select lang, rank, phrase, a, best.l as l, best.r as r, n, best.score as score
+        from ranked join totals using (lang) where rank <= 2000
+    """,
+    "op12_prefix_trie": r"""
+        with given as (
+            select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (
+                partition by conv_id order by turn nulls first, coalesce(role, ''),
+                    sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))
+            ) as nth
+            from conversations where conv_id is not null
+        ), bytes as (
+            select conv_id, cast(conv_id as varchar) as c from (select distinct conv_id from given)
+        ), crc as (
+            select conv_id, xor(list_reduce(list_prepend(4294967295::ubigint,
+                list_transform(range(1, len(c) + 1), lambda i: ascii(substr(c, i, 1))::ubigint)),
+                lambda s, b: list_reduce(list_prepend(xor(s, b), [0::ubigint, 0, 0, 0, 0, 0, 0, 0]),
+                    lambda x, z: xor(x >> 1, (x & 1) * 3988292384::ubigint))), 4294967295::ubigint) as crc
+            from bytes
+        ), convs as (
+            select conv_id, conv_id - conv_id % 20 as base, cast(crc % 4 as bigint) as h from crc
+        ), joined as (
+            select c.conv_id, g.nth, g.role, g.text from convs c join given g on g.conv_id = c.base where g.nth <= h
+            union all
+            select c.conv_id, g.nth, g.role, g.text from convs c join given g on g.conv_id = c.conv_id where g.nth > h
+        ), lists as (
+            select conv_id, coalesce(list(struct_pack(role, text) order by nth) filter (nth is not null), []) as turns
+            from convs left join joined using (conv_id) group by conv_id
+        ), prefixes as (
+            select conv_id, turns, unnest(range(0, len(turns) + 1)) as depth from lists
+        ), keyed as (
+            select conv_id, depth, depth = len(turns) as ends, list_slice(turns, 1, depth) as prefix from prefixes
+        ), nodes as (
+            select depth, prefix, min(conv_id) as conv_id, count(*) as n_convs,
+                sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (ends), ''))
+                    as ends_sha256,
+                (count(*) - 1) * coalesce(len(regexp_extract_all(any_value(prefix)[-1].text, '[^\x20\x09-\x0D]+')), 0)
+                    as own
+            from keyed group by depth, prefix
+        ), paths as (
+            select k.conv_id, k.depth, n.conv_id as node_conv
+            from keyed k join nodes n on k.depth = n.depth and k.prefix = n.prefix
+        ), children as (
+            select p.node_conv as conv_id, p.depth, count(*) as n_children
+            from nodes n join paths p on p.conv_id = n.conv_id and p.depth = n.depth - 1 group by all
+        ), full_nodes as (
+            select n.*, coalesce(c.n_children, 0) as n_children
+            from nodes n left join children c on c.conv_id = n.conv_id and c.depth = n.depth
+        ), sums as (
+            select p.node_conv as conv_id, p.depth, cast(sum(n.own) as bigint) as saved_tokens,
+                count(*) filter (n.n_children = 0) as n_leaves
+            from full_nodes n join paths p on p.conv_id = n.conv_id and p.depth <= n.depth group by all
+        )
+        select n.conv_id, n.depth, p.node_conv as parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens,
+            n.ends_sha256
+        from full_nodes n join sums s on s.conv_id = n.conv_id and s.depth = n.depth
+        left join paths p on p.conv_id = n.conv_id and p.depth = n.depth - 1
+    """,
 }
