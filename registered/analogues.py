@@ -233,6 +233,28 @@ def presentation(spark: SparkSession, sf_dir: str) -> Dimensions:
     return _presentation[known]
 
 
+# Three loads within the days of the flights; a member that changes says something else at each.
+HISTORY = (date(1995, 7, 1), date(1997, 3, 1), date(1999, 9, 1))
+
+
+def history(spark: SparkSession, sf_dir: str) -> Dimensions:
+    """Airlines, airports and planes as three loads left them while flights went on, with the calendars."""
+    root, present = scratch_root(spark), presentation(spark, sf_dir)
+    staged = {
+        AIRLINE: stage_airline(airlines(spark, sf_dir)),
+        AIRPORT: staged_airports(spark, sf_dir),
+        PLANE: stage_plane(planes(spark, sf_dir), engines(spark, sf_dir)),
+    }
+    loaded = {}
+    for spec, rows in staged.items():
+        attribute, divisor = CHANGED[spec]
+        changed = F.pmod(F.col(spec.natural_key[0]).cast("int"), F.lit(divisor)) == 0
+        for number, day in enumerate(HISTORY):
+            told = F.when(changed, F.lit(f"load {number}")).otherwise(F.col(attribute))
+            loaded[spec] = load_dimension(spark, f"{root}/{spec.name}", rows.withColumn(attribute, told), spec, day)
+    return Dimensions(loaded[AIRLINE], loaded[AIRPORT], loaded[PLANE], present.date, present.time, present.month)
+
+
 # Customers as a dimension with history: what their latest order of a delivery period says about them.
 BUYER = DimSpec("buyer_dimension", "buyer_key", ("c_custkey",), ("last_status", "last_priority"))
 # The last delivery has no end: together the deliveries hold every order.

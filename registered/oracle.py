@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 FLIGHTS = """
 flights as (
     select l_orderkey, l_linenumber,
@@ -109,7 +111,7 @@ months as (
 )"""
 )
 
-FACT = ",".join([FLIGHTS, AIRLINE, AIRPORT, PLANE, DATES]) + """,
+_FACT_ROWS = """
 clock as (
     select cast(s * 60 as integer) as time_key, cast(s // 60 as integer) as hour, cast(s % 60 as integer) as minute
     from range(1440) as r(s)
@@ -136,6 +138,8 @@ fact as (
         and crs.hour = case when f.crs_dep_time = 2400 then 0 when f.crs_dep_time < 2400 then f.crs_dep_time // 100 end
 )"""
 
+FACT = ",".join([FLIGHTS, AIRLINE, AIRPORT, PLANE, DATES, _FACT_ROWS])
+
 MONTHLY = ",".join([AIRLINE, AIRPORT, MONTHS]) + """,
 delivered as (
     select cast(l_suppkey as varchar) as carrier, cast(c_nationkey as varchar) as origin_id,
@@ -164,6 +168,48 @@ def _monthly(rows: str) -> str:
     left join months m on d.year = m.year and d.month = m.month"""
 
 
+_HISTORY = ("1995-07-01", "1997-03-01", "1999-09-01")
+
+
+def _versions(name: str, natural: str, table: str, number: str, divisor: int) -> str:
+    """All versions after three loads, of which each changed the members whose number the divisor divides."""
+    order, changes = f"order by md5(cast({number} as varchar))", f"({number} % {divisor} = 0)"
+    return f"""
+{name}_members as (
+    select cast({number} as varchar) as {natural}, {changes} as changes, row_number() over ({order}) as first_key,
+        row_number() over (partition by {changes} {order}) as nth, (select count(*) from {table}) as members,
+        (select count(*) from {table} where {changes}) as changed
+    from {table}
+),
+{name} as (
+    select {natural}, date '{_HISTORY[0]}' as start_date,
+        case when changes then date '{_HISTORY[1]}' else date '9999-12-31' end as end_date, first_key as {name}_key
+    from {name}_members
+    union all
+    select {natural}, date '{_HISTORY[1]}', date '{_HISTORY[2]}', members + nth from {name}_members where changes
+    union all
+    select {natural}, date '{_HISTORY[2]}', date '9999-12-31', members + changed + nth from {name}_members where changes
+)"""
+
+
+VERSIONS = ",".join(
+    [
+        _versions("airline", "carrier", "supplier", "s_suppkey", 7),
+        _versions("airport", "code", "nation", "n_nationkey", 3),
+        _versions("plane", "n_number", "part", "p_partkey", 5),
+    ]
+)
+
+
+def _valid_on(joins: str, day: str) -> str:
+    """Joins with the dimensions that keep versions, each with the version of the day."""
+    return re.sub(
+        r"left join (airline|airport|plane) (\w+) on (.*)",
+        rf"left join \1 \2 on \3 and {day} >= \2.start_date and {day} < \2.end_date",
+        joins,
+    )
+
+
 _LOADS = ("1996-05-01", "1997-06-01", "2002-01-01")
 
 
@@ -218,6 +264,79 @@ dim1 as ({_merge(1, "changed")}),
 {_steps(2)}"""
 
 
+# The versions that all deliveries give at once: what is seen of a customer in order of days, equal neighbours as one.
+TIMELINE = ",".join([_delivery(0), _delivery(1), _delivery(2)]) + f""",
+seen as (
+    select date '{_LOADS[0]}' as day, * from delivery0
+    union all select date '{_LOADS[1]}', * from delivery1
+    union all select date '{_LOADS[2]}', * from delivery2
+),
+marked as (
+    select *, lag(day) over w is null or last_status is distinct from lag(last_status) over w
+        or last_priority is distinct from lag(last_priority) over w as starts
+    from seen window w as (partition by c_custkey order by day)
+),
+placed as (select *, sum(starts::int) over (partition by c_custkey order by day) as nth from marked),
+states as (
+    select c_custkey, nth, any_value(last_status) as last_status, any_value(last_priority) as last_priority,
+        min(day) as start_date, cast(count(*) as integer) as seen
+    from placed group by c_custkey, nth
+)"""
+
+
+def _typed_counts(table: str, position: int, column: str, kind: str, source: str) -> str:
+    """Values of one column by their least type: whole numbers by size, others as ``kind``."""
+    small = f"count(*) filter ({column} between -2147483648 and 2147483647)"
+    whole = kind == "whole"
+    counts = {
+        "n_empty": f"count(*) - count({column})",
+        "n_int": small if whole else "0",
+        "n_long": f"count({column}) - {small}" if whole else "0",
+        **{f"n_{k}": f"count({column})" if kind == k else "0" for k in ("double", "date", "text")},
+    }
+    resolved = f"case when {counts['n_long']} > 0 then 'long' when count({column}) > 0 then 'int' else 'empty' end"
+    kind = resolved if whole else f"case when count({column}) > 0 then '{kind}' else 'empty' end"
+    values = ", ".join(f"cast({v} as bigint) as {k}" for k, v in counts.items())
+    return f"""
+    select '{table}' as table_name, {position} as position, '{column}' as column_name, {values}, {kind} as kind
+    from {source}"""
+
+
+_ORDER_TYPES = {
+    "o_orderkey": "whole",
+    "o_custkey": "whole",
+    "o_orderstatus": "text",
+    "o_totalprice": "double",
+    "o_orderdate": "date",
+    "o_orderpriority": "text",
+}
+_LINE_TYPES = {
+    "l_orderkey": "whole",
+    "l_partkey": "whole",
+    "l_suppkey": "whole",
+    "l_linenumber": "whole",
+    **dict.fromkeys(("l_quantity", "l_extendedprice", "l_discount", "l_tax"), "double"),
+    "l_returnflag": "text",
+    "l_linestatus": "text",
+    "l_shipdate": "date",
+}
+_TYPES = [
+    *[_typed_counts("orders", n, c, kind, "orders") for n, (c, kind) in enumerate(_ORDER_TYPES.items())],
+    *[_typed_counts("lineitem", n, c, kind, "lineitem") for n, (c, kind) in enumerate(_LINE_TYPES.items())],
+    _typed_counts("orders", 7, "wide", "whole", """(
+        select case when o_orderkey % 3 <> 0 then o_orderkey * 3000000000 end as wide from orders)"""),
+    _typed_counts("orders", 9, "void", "text", "(select null::varchar as void from orders)"),
+    """
+    select 'orders', 6, 'mixed', count(*) filter (o_orderstatus <> 'P' and o_custkey is null),
+        count(*) filter (o_orderstatus is distinct from 'P' and o_custkey is not null), 0, 0, 0,
+        count(*) filter (o_orderstatus = 'P'), 'text'
+    from orders""",
+    """
+    select 'orders', 8, 'number', 0, count(*) filter (o_orderkey % 2 = 0), 0, count(*) filter (o_orderkey % 2 <> 0), 0, 0,
+        'double'
+    from orders""",
+]
+
 _DELAYS = """cast(count(case when total_delay > 0 then 1 end) as bigint) as delayed_flights,
         coalesce(sum(total_delay), 0.0::double) as delay_minutes"""
 _DIVERTED = "cast(coalesce(sum(diverted), 0) as bigint) as diverted_flights"
@@ -269,6 +388,26 @@ ORACLE: dict[str, str] = {
         select o_orderkey, o_custkey, o_orderstatus, o_totalprice, cast(o_orderdate as date) as o_orderdate,
             o_orderpriority
         from orders""",
+    "source_csv_quoted": """
+        select p_partkey, 'of "' || p_brand || '", ' || p_type || ', size ' || cast(p_size as varchar) as told,
+            nullif(p_size, 1) as p_size, case when p_size > 2 then p_retailprice end as price,
+            nullif(p_type, 'ECONOMY') as p_type
+        from part""",
+    "reject_bad_rows": """
+        with sent as (
+            select *, case o_orderkey % 50 when 3 then 'number of fields' when 1 then 'o_totalprice: not double'
+                when 2 then 'o_orderdate: not date' when 4 then 'o_custkey: missing' end as reason
+            from orders
+        )
+        select o_orderkey, case when reason is null then o_custkey end as o_custkey,
+            case when reason is null then o_totalprice end as o_totalprice,
+            case when reason is null then cast(o_orderdate as date) end as o_orderdate,
+            case when reason is null then o_orderpriority end as o_orderpriority, reason
+        from sent""",
+    "infer_types": f"""
+        select *, case kind when 'int' then 'int' when 'long' then 'bigint' when 'double' then 'double'
+            when 'date' then 'date' else 'string' end as data_type
+        from ({" union all ".join(_TYPES)})""",
     "sink_parquet_roundtrip": "select * from customer",
     "sink_swap": "select c_custkey, c_name, c_nationkey, c_acctbal * 2 as c_acctbal, c_mktsegment from customer",
     "load_audit": """
@@ -353,8 +492,15 @@ ORACLE: dict[str, str] = {
         with {BUYERS}
         select * from dim1 where not current_flag or c_custkey not in (select c_custkey from changed2)""",
     "scd2_merge": f"with {BUYERS} {_merge(2, 'changed')}",
+    "scd2_merge_digests": f"with {BUYERS} {_merge(2, 'changed')}",
     "scd2_merge_always": f"with {BUYERS} {_merge(2, 'again')}",
     "scd2_current": f"with {BUYERS} select * from ({_merge(2, 'changed')}) where current_flag",
+    "scd2_late_delivery": f"""
+        with {TIMELINE}
+        select c_custkey, last_status, last_priority, start_date,
+            coalesce(lead(start_date) over w, date '9999-12-31') as end_date, lead(start_date) over w is null as current_flag,
+            seen
+        from states window w as (partition by c_custkey order by start_date)""",
     "date_dimension": f"with {DATES} select * from dates",
     "time_dimension": """
         with seconds as (select cast(s as integer) as s from range(86400) as r(s)),
@@ -377,6 +523,61 @@ ORACLE: dict[str, str] = {
             events
         from parts""",
     "monthly_dimension": f"with {MONTHS} select * from months",
+    "calendar_redelivery": """
+        with days as (select cast(o_orderdate as date) as date, count(*) as n from orders group by 1),
+        generated as (
+            select cast(unnest(generate_series(min(date), max(date), interval 1 day)) as date) as date
+            from days where date < date '1998-01-01'
+        ),
+        known as (
+            select date from generated
+            union select date from days where date >= date '1997-06-01' and day(date) % 3 <> 0
+        )
+        select date, cast(1 as bigint) as days_of_key, cast(coalesce(n, 0) as bigint) as flights
+        from known left join days using (date)""",
+    "holiday_calendar": """
+        with years as (select distinct year(o_orderdate) as y from orders),
+        days as (
+            select y, cast(unnest(generate_series(make_date(y, 1, 1), make_date(y, 12, 31), interval 1 day)) as date) as d
+            from years
+        ),
+        ranked as (
+            select *, isodow(d) as w, row_number() over (partition by y, month(d), isodow(d) order by d) as nth,
+                row_number() over (partition by y, month(d), isodow(d) order by d desc) as from_last
+            from days
+        ),
+        rules as (
+            select * from (values ('Martin Luther King Jr. Day', 1, 1, 3), ('Washington''s Birthday', 2, 1, 3),
+                ('Labor Day', 9, 1, 1), ('Columbus Day', 10, 1, 2), ('Thanksgiving Day', 11, 4, 4)) as r(name, m, w, nth)
+        ),
+        fixed as (
+            select * from (values ('New Year''s Day', 1, 1, 0), ('Juneteenth', 6, 19, 2021), ('Independence Day', 7, 4, 0),
+                ('Veterans Day', 11, 11, 0), ('Christmas Day', 12, 25, 0)) as r(name, m, dm, since)
+        ),
+        fixed_days as (
+            select name, make_date(y, m, dm) as d, isodow(make_date(y, m, dm)) as w from years, fixed where y >= since
+        ),
+        easter as (
+            select y, a, (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30 as h, b, c
+            from (select y, y % 19 as a, y // 100 as b, y % 100 as c from years)
+        ),
+        sundays as (
+            select make_date(y, (h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114) // 31,
+                (h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114) % 31 + 1) as d
+            from (select *, (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7 as l from easter)
+        ),
+        listed as (
+            select d, name, false as is_observed from ranked join rules r
+                on month(d) = r.m and ranked.w = r.w and ranked.nth = r.nth
+            union all select d, 'Memorial Day', false from ranked where month(d) = 5 and w = 1 and from_last = 1
+            union all select d, name, false from fixed_days
+            union all select d + case w when 6 then -1 else 1 end, name, true from fixed_days where w >= 6
+            union all select d, 'Easter Sunday', false from sundays
+            union all select d - 2, 'Good Friday', false from sundays
+        )
+        select d as holiday_date, name as holiday_name, is_observed, (
+            select count(*) from orders where cast(o_orderdate as date) = d) as orders
+        from listed""",
     "fact_date_lookup": f"""
         with {_calendar("dates", "date '1996-01-01'", "date '2000-12-31'")}
         select date_key as flight_date_key, count(*) as flights
@@ -389,6 +590,25 @@ ORACLE: dict[str, str] = {
         select cast(o_orderdate as date) as date, count(*) as flights, count(s_suppkey) as with_airline,
             sum(l_quantity * 10) as air_time
         from lineitem join orders on l_orderkey = o_orderkey left join supplier on l_suppkey = s_suppkey group by 1""",
+    "point_in_time_fact": f"""
+        with {",".join([FLIGHTS, VERSIONS, DATES, _valid_on(_FACT_ROWS, "f.flight_date")])}
+        select * exclude (cancellation_code) from fact""",
+    "point_in_time_monthly": f"""
+        with {MONTHLY.replace(AIRLINE, VERSIONS).replace(AIRPORT + ",", "")}
+        {_valid_on(_monthly("summed"), "make_date(d.year, d.month, 1)")}""",
+    "fact_late_rows": f"""
+        with {FLIGHTS},
+        delivered as (
+            select *, 0 as more, date '2002-01-01' as delivered_on from flights where l_orderkey % 10 <> 0
+            union all
+            select *, 1, date '2002-03-01' from flights
+            where l_orderkey % 7 = 0 or (l_orderkey % 10 = 0 and l_linenumber % 2 = 1)
+            union all
+            select *, 2, date '2002-02-01' from flights where l_orderkey % 5 = 0
+        )
+        select l_orderkey, l_linenumber, flight_date as FlightDate, air_time + more as AirTime, delivered_on
+        from delivered
+        qualify delivered_on = max(delivered_on) over (partition by l_orderkey, l_linenumber)""",
     "monthly_fact": f"with {MONTHLY} {_monthly('summed')}",
     "monthly_fact_distinct": f"with {MONTHLY} select distinct * from ({_monthly('delivered')})",
     "least_delayed_month": f"""
@@ -439,4 +659,12 @@ ORACLE: dict[str, str] = {
         with {MONTHLY}
         select m.year, quarter, m.month, sum(freight) as freight, sum(passengers) as passengers, sum(mail) as mail
         from delivered d left join months m on d.year = m.year and d.month = m.month group by 1, 2, 3""",
+    "kept_up_dashboard": f"""
+        with {FLIGHTS}, {AIRLINE}
+        select al.carrier, airline_name, count(*) as flights, {_DELAYS}, {_DIVERTED},
+            avg(taxi_in + case when l_orderkey % 7 = 0 and year(flight_date) = 1997 then 1 else 0 end) as avg_taxi_in,
+            avg(taxi_out) as avg_taxi_out
+        from flights left join airline al on flights.carrier = al.carrier
+        where flight_date is not null
+        group by 1, 2""",
 }

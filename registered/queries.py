@@ -18,17 +18,27 @@ from starmill.operators.calendar import (
     date_dimension,
     date_span,
     extended_span,
+    holiday_calendar,
+    keep_keys,
     literal_span,
     monthly_dimension,
     time_dimension,
 )
+from starmill.operators.corrections import DELIVERED, IDENTITY, identity, merge_fact
+from starmill.operators.digests import scd2_merge_changed
 from starmill.operators.keys import dense_key, next_key
 from starmill.operators.lookups import current, lookup
+from starmill.operators.sketches import merged_profiles, profile_report, profile_states
+from starmill.operators.timeline import SEEN, timeline_initial, timeline_merge
 from starmill.plans import dashboards, facts, staging
+from starmill.plans.kept_up import keep_up, kept_dashboard
 from starmill.sources import (
+    file_states,
+    land,
     read_delimited,
     read_table,
     replace_table,
+    resolved,
     scratch_root,
     spread,
     write_delimited,
@@ -42,8 +52,10 @@ from .analogues import (
     airlines,
     buyers,
     dates,
+    delivery,
     engines,
     flights,
+    history,
     passengers,
     planes,
     presentation,
@@ -71,6 +83,65 @@ def source_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_delimited(spark, path, schema, sep=";")
 
 
+def source_csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commas, quotes and NULLs in comma-separated text, under a header in another order than the schema."""
+    path = scratch_root(spark)
+    told = F.concat(F.lit('of "'), "p_brand", F.lit('", '), "p_type", F.lit(", size "), F.col("p_size").cast("string"))
+    parts = table(spark, sf_dir, "part").select(
+        told.alias("told"),
+        "p_partkey",
+        F.nullif("p_size", F.lit(1)).alias("p_size"),
+        F.when(F.col("p_size") > 2, F.col("p_retailprice")).alias("price"),
+        F.nullif("p_type", F.lit("ECONOMY")).alias("p_type"),
+    )
+    write_delimited(parts, path)
+    return read_delimited(spark, path, "p_partkey long, told string, p_size int, price double, p_type string")
+
+
+def reject_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a delivery with fields of another type, fields too many and missing ones: each with its reason, if any."""
+    path, number = scratch_root(spark), F.col("o_orderkey")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    sent = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(number % 50 != 4, F.col("o_custkey")).alias("o_custkey"),
+        F.when(number % 50 == 1, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+        F.when(number % 50 == 2, F.lit("1996-13-45")).otherwise(day).alias("o_orderdate"),
+        F.when(number % 50 == 3, F.lit("one,two")).otherwise(F.col("o_orderpriority")).alias("o_orderpriority"),
+    )
+    sent.write.options(sep=",", header=True, quote="").csv(path)
+    schema = "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate date, o_orderpriority string"
+    landed = land(spark, path, scratch_root(spark), schema, required=["o_custkey"], max_rejected=0.2)
+    if landed.rows.count() + landed.rejects.count() != landed.rows_read:
+        raise AssertionError("good and rejected rows do not add up to the lines read")
+    key = F.coalesce(F.get_json_object("_line", "$.o_orderkey"), F.split("_line", ",")[0]).cast("long")
+    rejects = landed.rejects.select(key.alias("o_orderkey"), F.col("_reject_reason").alias("reason"))
+    good = landed.rows.withColumn("reason", F.lit(None).cast("string"))
+    return good.unionByName(rejects, allowMissingColumns=True)
+
+
+def infer_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the values of delimited tables are: counts of each least type and the type that holds them all."""
+    orders = table(spark, sf_dir, "orders").withColumns(
+        {
+            "o_orderdate": F.to_date("o_orderdate"),
+            "mixed": F.when(F.col("o_orderstatus") == "P", F.lit("n/a")).otherwise(F.col("o_custkey").cast("string")),
+            "wide": F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey") * 3000000000),
+            "number": F.when(F.col("o_orderkey") % 2 == 0, F.col("o_custkey").cast("string")).otherwise(
+                F.col("o_totalprice").cast("string")
+            ),
+            "void": F.lit(None).cast("string"),
+        }
+    )
+    lines = table(spark, sf_dir, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
+    states = []
+    for name, rows in (("orders", orders), ("lineitem", lines)):
+        path = scratch_root(spark)
+        write_delimited(rows, path, sep=";")
+        states.append(resolved(file_states(spark, path, ";")).withColumn("table_name", F.lit(name)))
+    return states[0].unionByName(states[1])
+
+
 def sink_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_root(spark)
     write_table(table(spark, sf_dir, "customer"), path)
@@ -96,6 +167,18 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile_table(lines).withColumn("mean_value", F.round("mean_value", 4))
 
 
+def profile_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items in two deliveries, each profiled once; the profile of both comes from the stored states alone."""
+    lines = table(spark, sf_dir, "lineitem")
+    first = F.col("l_orderkey") % 3 == 0
+    states = [stored(profile_states(lines.where(part))) for part in (first, ~first)]
+    report = profile_report(merged_profiles(*states))
+    quartiles = [F.col("quantiles")[n].alias(f"quartile_{n + 1}") for n in range(3)]
+    most = F.col("frequent")[0]
+    most = [most["item"].alias("most_frequent"), most["count"].alias("most_frequent_count")]
+    return report.select("*", *quartiles, *most).drop("quantiles", "frequent")
+
+
 # Projection, filter, scalar functions
 
 
@@ -217,9 +300,47 @@ def scd2_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current(_of_both(scd2.scd2_merge, LOADS[2], "attributes", stored)(spark, sf_dir))
 
 
+def scd2_late_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three deliveries of customers, the last one loaded first and the first one last."""
+    root = scratch_root(spark)
+    dim = replace_table(timeline_initial(delivery(spark, sf_dir, 2), BUYER, LOADS[2], stored), root)
+    for number in (1, 0):
+        dim = replace_table(timeline_merge(dim, delivery(spark, sf_dir, number), BUYER, LOADS[number], stored), root)
+    return dim.select(
+        "c_custkey", "last_status", "last_priority", "start_date", "end_date", "current_flag", F.size(SEEN).alias("seen")
+    )
+
+
 # Calendars
 
 
+def calendar_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flights per day after a generated calendar and a delivered one with gaps, which numbers its days from 1 again."""
+    root = scratch_root(spark)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("FlightDate"))
+    later = F.col("FlightDate") >= F.lit(date(1998, 1, 1))
+    generated = replace_table(date_dimension(date_span(orders.where(~later), "FlightDate")), root)
+    facts.date_lookup(orders.where(~later), generated).write.parquet(f"{root}/fact/load=1")
+    sent_days = orders.where((F.col("FlightDate") >= F.lit(date(1997, 6, 1))) & (F.dayofmonth("FlightDate") % 3 != 0))
+    span = literal_span(spark, date(1997, 6, 1), date(2002, 1, 1))
+    sent = date_dimension(span).join(sent_days.select(F.col("FlightDate").alias("date")).distinct(), "date")
+    merged = replace_table(keep_keys(sent, generated, "date_key", ["date"]), root)
+    facts.date_lookup(orders.where(later), merged).write.parquet(f"{root}/fact/load=2")
+    fact = spark.read.parquet(f"{root}/fact").groupBy(F.col("flight_date_key").alias("date_key")).count()
+    sharing = merged.groupBy("date_key").agg(F.count("*").alias("days_of_key"))
+    days = merged.join(sharing, "date_key").join(fact, "date_key", "left")
+    return days.select("date", "days_of_key", F.coalesce("count", F.lit(0)).alias("flights"))
+
+
+def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The holidays of the years of the orders, by rule, with the orders of each."""
+    orders = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("holiday_date"))
+    days = holiday_calendar(orders.select(F.year("holiday_date").alias("year")))
+    placed = orders.groupBy("holiday_date").agg(F.count("*").alias("orders"))
+    joined = days.join(placed, "holiday_date", "left")
+    return joined.select("holiday_date", "holiday_name", "is_observed", F.coalesce("orders", F.lit(0)).alias("orders"))
+
+
 def date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dates(spark, sf_dir)
 
@@ -281,6 +402,36 @@ def two_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("date", "flights", "with_airline", "air_time")
 
 
+def point_in_time_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flights with the versions of their day, of dimensions that changed while flights went on."""
+    rows = flights(spark, sf_dir, facts.flight_columns())
+    return facts.daily_fact(rows, history(spark, sf_dir), store=stored, point_in_time=True)
+
+
+def point_in_time_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dims = history(spark, sf_dir)
+    return facts.monthly_fact(passengers(spark, sf_dir), dims, store=stored, point_in_time=True)
+
+
+def fact_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored fact after a delivery, a later one with late and corrected flights, and an older one that comes last."""
+    wanted = ["l_orderkey", "l_linenumber", "FlightDate", "AirTime"]
+    month = F.year("FlightDate") * 12 + F.month("FlightDate")
+    rows = flights(spark, sf_dir, wanted).withColumn("month", month)
+    rows = rows.withColumn(IDENTITY, identity("l_orderkey", "l_linenumber"))
+    number, root = F.col("l_orderkey"), scratch_root(spark)
+    first = rows.where(number % 10 != 0)
+    late = (number % 10 == 0) & (F.col("l_linenumber") % 2 == 1)
+    second = rows.where((number % 7 == 0) | late).withColumn("AirTime", F.col("AirTime") + 1)
+    third = rows.where(number % 5 == 0).withColumn("AirTime", F.col("AirTime") + 2)
+    schema = "l_orderkey long, l_linenumber int, FlightDate date, AirTime double, month int"
+    deliveries = ((first, date(2002, 1, 1)), (second, date(2002, 3, 1)), (third, date(2002, 2, 1)))
+    for delivered, day in deliveries:
+        merge_fact(spark, f"{root}/fact", delivered, "month", day, schema, f"{root}/work")
+    fact = spark.read.schema(f"{schema}, {DELIVERED} date").parquet(f"{root}/fact")
+    return fact.select("l_orderkey", "l_linenumber", "FlightDate", "AirTime", DELIVERED)
+
+
 def monthly_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.monthly_fact(passengers(spark, sf_dir), presentation(spark, sf_dir), store=stored)
 
@@ -307,16 +458,41 @@ def cancellation_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboards.cancellation_reasons(flights(spark, sf_dir, ["Cancelled", "CancellationCode"]))
 
 
+def kept_up_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Airlines from sums kept per month, after two deliveries and a correction of flights of some airlines."""
+    dims, root = presentation(spark, sf_dir), scratch_root(spark)
+    columns = ["flight_date_key", "airline_key", "total_delay", "diverted", "taxi_in", "taxi_out"]
+    wanted = ["l_orderkey", "l_linenumber", *facts.flight_columns(columns)]
+    month = F.year("FlightDate") * 12 + F.month("FlightDate")
+    rows = stored(flights(spark, sf_dir, wanted).withColumn("month", month))
+    rows = rows.withColumn(IDENTITY, identity("l_orderkey", "l_linenumber"))
+    later = F.col("FlightDate") >= F.lit(SECOND_DELIVERY)
+    wrong = (F.col("l_orderkey") % 7 == 0) & (F.year("FlightDate") == 1997)
+    deliveries = (rows.where(~later), rows.where(later), rows.where(wrong).withColumn("TaxiIn", F.col("TaxiIn") + 1))
+    schema = f"{facts.fact_schema(columns)}, month int"
+    for number, delivered in enumerate(deliveries):
+        loaded = facts.daily_fact(delivered, dims, columns, keep=["month", IDENTITY])
+        day = date(2002, 1, 1 + number)
+        done = merge_fact(spark, f"{root}/fact", loaded, "month", day, schema, f"{root}/work")
+        fact = spark.read.schema(schema).parquet(f"{root}/fact")
+        keep_up(fact, f"{root}/sums", "month", done.touched, ["airlines"])
+    return kept_dashboard(spark, f"{root}/sums", "airline_dashboard", dims.airline)
+
+
 def monthly_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboards.monthly_dashboard(monthly_fact(spark, sf_dir), presentation(spark, sf_dir).month)
 
 
 QUERIES: dict[str, Query] = {
     "source_csv_roundtrip": source_csv_roundtrip,
+    "source_csv_quoted": source_csv_quoted,
+    "reject_bad_rows": reject_bad_rows,
+    "infer_types": infer_types,
     "sink_parquet_roundtrip": sink_parquet_roundtrip,
     "sink_swap": sink_swap,
     "load_audit": audit,
     "profile_table": profile,
+    "profile_sketch": profile_sketch,
     "fill_undefined": fill,
     "normalize_lower": lower,
     "parse_place_description": place,
@@ -337,15 +513,22 @@ QUERIES: dict[str, Query] = {
     "scd2_closed_rows": _of_both(scd2.closed_rows, LOADS[2]),
     "scd2_untouched_rows": _of_both(scd2.untouched_rows),
     "scd2_merge": _of_both(scd2.scd2_merge, LOADS[2], "attributes", stored),
+    "scd2_merge_digests": _of_both(scd2_merge_changed, LOADS[2], stored),
     "scd2_merge_always": _of_both(scd2.scd2_merge, LOADS[2], "always", stored),
     "scd2_current": scd2_current,
+    "scd2_late_delivery": scd2_late_delivery,
     "date_dimension": date_dim,
     "time_dimension": time_dim,
     "monthly_dimension": monthly_dim,
+    "calendar_redelivery": calendar_redelivery,
+    "holiday_calendar": holidays,
     "fact_date_lookup": fact_date_lookup,
     "role_playing_lookup": role_playing_lookup,
     "daily_fact": daily_fact,
     "two_deliveries": two_deliveries,
+    "point_in_time_fact": point_in_time_fact,
+    "point_in_time_monthly": point_in_time_monthly,
+    "fact_late_rows": fact_late_rows,
     "monthly_fact": monthly_fact,
     "monthly_fact_distinct": monthly_fact_distinct,
     "least_delayed_month": _asked(dashboards.least_delayed_month, "date", "flight_date_key", "total_delay"),
@@ -390,4 +573,5 @@ QUERIES: dict[str, Query] = {
         "total_delay",
     ),
     "monthly_dashboard": monthly_dashboard,
+    "kept_up_dashboard": kept_up_dashboard,
 }

@@ -15,6 +15,25 @@ from ..functions.clock import seconds_of_day
 # Fixed values: (month, day) of the United States holidays that never move.
 FIXED_HOLIDAYS = ((1, 1), (7, 4), (11, 11), (12, 25))
 
+# Fixed values: (name, month, weekday from Monday = 1, which one of the month; -1 the last) of the United States holidays
+# that fall on a weekday.
+WEEKDAY_HOLIDAYS = (
+    ("Martin Luther King Jr. Day", 1, 1, 3),
+    ("Washington's Birthday", 2, 1, 3),
+    ("Memorial Day", 5, 1, -1),
+    ("Labor Day", 9, 1, 1),
+    ("Columbus Day", 10, 1, 2),
+    ("Thanksgiving Day", 11, 4, 4),
+)
+
+# Names of the holidays that never move, and the first year of one that came later.
+FIXED_NAMES = {(1, 1): "New Year's Day", (6, 19): "Juneteenth", (7, 4): "Independence Day", (11, 11): "Veterans Day"}
+FIXED_NAMES[(12, 25)] = "Christmas Day"
+FIRST_YEARS = {(6, 19): 2021}
+
+#: Days before and after Easter Sunday that are looked for by default.
+EASTER_DAYS = (("Good Friday", -2), ("Easter Sunday", 0))
+
 SECONDS_PER_DAY = 86400
 
 # First hour of each part of the day.
@@ -38,6 +57,62 @@ def _on_fixed_holiday(day: Column, holidays: Iterable[tuple[int, int]]) -> Colum
     return reduce(or_, hits, F.lit(False))
 
 
+def nth_weekday(year: Column, month: int, weekday: int, nth: int) -> Column:
+    """The ``nth`` ``weekday`` (Monday is 1) of a month, the last one for -1.  NULL where the month has no such day."""
+    first = F.make_date(year, F.lit(month), F.lit(1))
+    if nth < 0:
+        last = F.last_day(first)
+        return F.date_sub(last, F.pmod(F.weekday(last) + 1 - weekday, F.lit(7)) - 7 * (nth + 1))
+    day = F.date_add(first, F.pmod(F.lit(weekday) - 1 - F.weekday(first), F.lit(7)) + 7 * (nth - 1))
+    return F.when(F.month(day) == month, day)
+
+
+def easter_sunday(year: Column) -> Column:
+    """Easter Sunday of the Gregorian calendar, from the age of the moon (epact) and the day of the week."""
+    whole = lambda value: F.floor(value).cast("int")
+    century = whole(year / 100)
+    golden = year % 19
+    leap_days, moon = century - whole(century / 4), whole((8 * century + 13) / 25)
+    epact = F.pmod(leap_days - moon + 19 * golden + 15, F.lit(30))
+    # The full moon falls 21 March plus this many days; the longest two months are cut by a day.
+    late = (epact == 29) | ((epact == 28) & (golden > 10))
+    full_moon = epact - late.cast("int")
+    weekday = F.pmod(year + whole(year / 4) + full_moon + 2 - leap_days, F.lit(7))
+    return F.date_add(F.make_date(year, F.lit(3), F.lit(28)), full_moon - weekday)
+
+
+def holiday_calendar(
+    years: DataFrame,
+    year: str = "year",
+    weekday_rules: Iterable[tuple[str, int, int, int]] = WEEKDAY_HOLIDAYS,
+    fixed: Iterable[tuple[int, int]] = (*FIXED_HOLIDAYS, (6, 19)),
+    easter_days: Iterable[tuple[str, int]] = EASTER_DAYS,
+    observed: bool = True,
+) -> DataFrame:
+    """The holidays of each year in ``years``: ``holiday_date``, ``holiday_name`` and ``is_observed``.
+
+    With ``observed`` a fixed holiday on a Saturday has a second row for the Friday before, one on a Sunday for the Monday after.
+    """
+    y = F.col(year).cast("int")
+    days = [(name, nth_weekday(y, month, weekday, nth), False) for name, month, weekday, nth in weekday_rules]
+    sunday = easter_sunday(y)
+    days += [(name, F.date_add(sunday, offset), False) for name, offset in easter_days]
+    for month, day in fixed:
+        date_ = F.when(y >= FIRST_YEARS.get((month, day), 0), F.make_date(y, F.lit(month), F.lit(day)))
+        name = FIXED_NAMES.get((month, day), f"{month}/{day}")
+        days.append((name, date_, False))
+        if observed:
+            weekday = F.weekday(date_)
+            moved = F.when(weekday == 5, F.date_sub(date_, 1)).when(weekday == 6, F.date_add(date_, 1))
+            days.append((name, moved, True))
+    rows = [
+        F.struct(d.alias("holiday_date"), F.lit(n).alias("holiday_name"), F.lit(o).alias("is_observed"))
+        for n, d, o in days
+    ]
+    each = years.select(y.alias(year)).distinct().where(F.col(year).isNotNull())
+    return each.select(F.inline(F.array(*rows))).where("holiday_date IS NOT NULL")
+
+
 def date_dimension(
     span: DataFrame,
     holidays: Iterable[tuple[int, int]] = FIXED_HOLIDAYS,
@@ -123,28 +198,53 @@ def month_span(df: DataFrame, year: str, month: str) -> DataFrame:
     return df.agg(F.min(first).alias("first_day"), F.max(F.last_day(first)).alias("last_day"))
 
 
-def extended_months(dates: DataFrame, stored: DataFrame) -> DataFrame:
-    """The months of ``dates``, those in the ``stored`` dimension with the key they have there.
+def keep_keys(rows: DataFrame, stored: DataFrame | None, key: str, on: Sequence[str]) -> DataFrame:
+    """A calendar of ``rows`` and of the ``stored`` rows that ``rows`` does not have; each day, month or time has one key.
 
-    Months are keyed by their distance, so that months added before or after the stored ones fit in.
+    ``on`` says what a row is about; rows without it are dropped.  What is stored keeps its key, and new rows keep theirs
+    unless another row has it, stored or earlier among the new ones; those are numbered on after the largest key.  Calendars
+    have as many rows as there are days, months or seconds, so numbering them in one window is bounded.
     """
-    index = (F.col("year") * 12 + F.col("month")).cast("long")
-    key_one = stored.agg(F.min(index - F.col("monthly_key") + 1)).scalar()
-    key = F.coalesce("_known", index - key_one + 1)
-    known = stored.select("year", "month", F.col("monthly_key").alias("_known"))
-    months = monthly_dimension(dates).drop("monthly_key").join(known, ["year", "month"], "left")
-    return months.select("month", "quarter", "year", key.alias("monthly_key"))
+    rows = rows.dropna(subset=list(on))
+    stored = rows.limit(0) if stored is None else stored
+    known = stored.select(*on, F.col(key).alias("_known"))
+    taken = stored.select(F.col(key).alias("_taken")).distinct()
+    joined = rows.join(known, list(on), "left").join(taken, F.col(key) == F.col("_taken"), "left")
+    new = F.col("_known").isNull()
+    claim = new & F.col("_taken").isNull() & F.col(key).isNotNull()
+    first = F.row_number().over(Window.partitionBy(key, claim).orderBy(*on)) == 1
+    kept = joined.withColumn("_kept", F.when(new, F.when(claim & first, F.col(key))).otherwise(F.col("_known")))
+    last = F.greatest(
+        F.coalesce(stored.agg(F.max(key)).scalar(), F.lit(0)), F.coalesce(rows.agg(F.max(key)).scalar(), F.lit(0))
+    )
+    nth = F.row_number().over(Window.partitionBy(F.col("_kept").isNull()).orderBy(*on))
+    numbered = F.coalesce("_kept", last + nth).cast(rows.schema[key].dataType)
+    result = kept.withColumn(key, numbered).select(*rows.columns)
+    others = stored.join(rows.select(*on), list(on), "left_anti").select(*rows.columns)
+    return result.unionByName(others)
 
 
 def monthly_dimension(dates: DataFrame) -> DataFrame:
-    """Months of a date dimension, keyed 1, 2, 3 ... in calendar order.
+    """Months of a date dimension, keyed by their distance from the first, which has key 1.
 
-    Twelve rows per calendar year, so numbering them in one window is bounded.
+    Without gaps these are 1, 2, 3 ... in calendar order; a month that is added in a gap later finds its key free.
     """
     months = dates.select(
         F.col("calendar_month").alias("month"),
         F.col("calenda_quarter").alias("quarter"),
         F.col("calendar_year").alias("year"),
     ).distinct()
-    in_order = Window.orderBy("year", "month")
-    return months.withColumn("monthly_key", F.row_number().over(in_order).cast("long"))
+    index = F.col("year") * 12 + F.col("month")
+    first = months.agg(F.min(index)).scalar()
+    return months.withColumn("monthly_key", (index - first + 1).cast("long"))
+
+
+def extended_months(dates: DataFrame, stored: DataFrame) -> DataFrame:
+    """The months of ``dates`` and of the ``stored`` dimension, those stored with the key they have there.
+
+    New months are keyed by their distance from the stored ones, as far as these keys are free.
+    """
+    index = (F.col("year") * 12 + F.col("month")).cast("long")
+    key_one = stored.agg(F.min(index - F.col("monthly_key") + 1)).scalar()
+    months = monthly_dimension(dates).withColumn("monthly_key", index - key_one + 1)
+    return keep_keys(months, stored, "monthly_key", ["year", "month"])

@@ -32,7 +32,7 @@ def open_version(df: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def _members(staging: DataFrame, spec: DimSpec) -> DataFrame:
+def delivered_members(staging: DataFrame, spec: DimSpec) -> DataFrame:
     """One row per member.  A NULL natural key names no member and stops the load."""
     missing = F.raise_error(F.lit(f"{spec.name}: NULL in the natural key of the staged rows"))
     keys = [F.coalesce(F.col(n), missing).alias(n) for n in spec.natural_key]
@@ -69,7 +69,7 @@ def _matched(dim: DataFrame, staging: DataFrame, spec: DimSpec, how: str) -> Dat
 
     Unless all versions are wanted, a small delivery shuffles only those of its own members.
     """
-    staged = _members(staging, spec)
+    staged = delivered_members(staging, spec)
     staged = staged.select(*[F.col(c).alias(_staged(c)) for c in staged.columns])
     versions = current(dim).select(*spec.columns)
     if how != "left":
@@ -86,12 +86,12 @@ def _staged_columns(spec: DimSpec) -> list[Column]:
 
 def new_members(dim: DataFrame, staging: DataFrame, spec: DimSpec) -> DataFrame:
     """Staged rows of members the dimension has never seen."""
-    return _members(staging, spec).join(current(dim).select(*spec.natural_key), list(spec.natural_key), "left_anti")
+    return delivered_members(staging, spec).join(current(dim).select(*spec.natural_key), list(spec.natural_key), "left_anti")
 
 
 def existing_members(dim: DataFrame, staging: DataFrame, spec: DimSpec) -> DataFrame:
     """Staged rows of members the dimension already holds."""
-    return _members(staging, spec).join(current(dim).select(*spec.natural_key), list(spec.natural_key), "left_semi")
+    return delivered_members(staging, spec).join(current(dim).select(*spec.natural_key), list(spec.natural_key), "left_semi")
 
 
 def changed_members(dim: DataFrame, staging: DataFrame, spec: DimSpec, change: str = "attributes") -> DataFrame:
@@ -127,7 +127,7 @@ def scd2_initial(
     Numbering reads the members twice.  ``store`` writes them somewhere and returns them read back, so that the delivery
     is read once.
     """
-    members = _members(staging, spec)
+    members = delivered_members(staging, spec)
     members = dense_key(store(members) if store else members, spec.natural_key, spec.key)
     return open_version(members, as_of).select(*spec.columns)
 

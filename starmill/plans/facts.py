@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, field, fields, replace
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.clock import hhmm_hour, hhmm_minute
 from ..functions.measures import DELAY_PARTS, total_delay
 from ..operators.lookups import BROADCAST_BYTES, current, hot_keys, lookup, measured_bytes, within
+from ..operators.validity import packed_versions, version_on
 
 
 @dataclass(frozen=True)
@@ -115,6 +118,10 @@ DAILY_COLUMNS = (
 MONTHLY_COLUMNS = ("airline_key", *MONTHLY_MEASURES, "origin_airport_key", "dest_airport_key", "monthly_key")
 
 
+#: The number of a stored row while its roles are looked up.
+_ROW = "_row_number"
+
+
 def fact_schema(columns: Sequence[str]) -> str:
     """The types of fact columns: calendar keys are int, other keys long, measures double."""
     small = ("flight_date_key", "actual_dep_time_key", "crs_dep_time_key")
@@ -122,11 +129,23 @@ def fact_schema(columns: Sequence[str]) -> str:
     return ", ".join(f"{c} {kind}" for c, kind in kinds.items())
 
 
-def _key_tables(dims: Dimensions, names: Collection[str]) -> dict[str, DataFrame]:
+#: Dimensions that keep versions: natural key and surrogate key.
+VERSIONED = {"airline": ("carrier", "airline_key"), "airport": ("code", "airport_key"), "plane": ("n_number", "plane_key")}
+
+
+def _key_tables(dims: Dimensions, names: Collection[str], packed: bool = False) -> dict[str, DataFrame]:
     """For each dimension used, its natural key and its surrogate key alone, the latter always named alike.
 
     Roles of one dimension then differ in column names only, so Spark can reuse one broadcast for several.
+    With ``packed`` the surrogate of a versioned dimension is the array of all its versions.
     """
+    if packed:
+        versioned = {
+            name: packed_versions(getattr(dims, name), [natural], key).withColumnRenamed("versions", "surrogate")
+            for name, (natural, key) in VERSIONED.items()
+            if name in names
+        }
+        return versioned | _key_tables(dims, set(names) - set(versioned))
     build = {
         "airline": lambda: current(dims.airline).select("carrier", F.col("airline_key").alias("surrogate")),
         "airport": lambda: current(dims.airport).select("code", F.col("airport_key").alias("surrogate")),
@@ -150,20 +169,32 @@ def _find_keys(
     inner: Sequence[str] = (),
     limit_bytes: int = BROADCAST_BYTES,
     store: Callable[[DataFrame], DataFrame] | None = None,
+    valid_on: Column | None = None,
+    reach_back: bool = False,
 ) -> DataFrame:
     """Look up all roles.  The tables that are broadcast have ``limit_bytes`` together.
 
     If others are left, the frequent keys of ``rows`` are counted before ``rows`` is joined; ``store`` writes computed
-    rows somewhere first, so that what computes them runs once.
+    rows somewhere first, so that what computes them runs once.  With the day ``valid_on`` the version of that day is
+    found among all versions of a member, else its open one.
     """
-    tables = _key_tables(dims, {role.dimension for role in roles.values()})
-    sizes = dims.sizes or _sizes(tables)
+    tables = _key_tables(dims, {role.dimension for role in roles.values()}, packed=valid_on is not None)
+    sizes = dims.sizes if valid_on is None and dims.sizes else _sizes(tables)
     small = within({name: sizes[name] for name in tables}, limit_bytes)
     large = {target: list(role.on) for target, role in roles.items() if role.dimension not in small}
+    shared = _shared(roles, large, inner) if store else {}
     if large and store:
-        rows = store(rows)
-    hot = hot_keys(rows, large)
+        # Rows that are joined with themselves need a number that stays.
+        rows = store(rows.withColumn(_ROW, F.monotonically_increasing_id()) if shared else rows)
+    at_once = [target for targets in shared.values() for target in targets]
+    hot = hot_keys(rows, {target: columns for target, columns in large.items() if target not in at_once})
+    for dimension, targets in shared.items():
+        rows = _roles_at_once(rows, tables[dimension], {t: roles[t] for t in targets}, limit_bytes)
     for target, role in roles.items():
+        if target in at_once:
+            if valid_on is not None and role.dimension in VERSIONED:
+                rows = rows.withColumn(target, version_on(F.col(target), valid_on, reach_back))
+            continue
         rows = lookup(
             rows,
             tables[role.dimension],
@@ -174,7 +205,38 @@ def _find_keys(
             hot=hot.get(target),
             limit_bytes=limit_bytes,
         )
-    return rows
+        if valid_on is not None and role.dimension in VERSIONED:
+            rows = rows.withColumn(target, version_on(F.col(target), valid_on, reach_back))
+    return rows.drop(_ROW)
+
+
+def _shared(roles: Mapping[str, Role], large: Collection[str], inner: Sequence[str]) -> dict[str, list[str]]:
+    """Large dimensions that several roles look for a key in, and these roles."""
+    found: dict[str, list[str]] = {}
+    for target, role in roles.items():
+        if target in large and target not in inner:
+            found.setdefault(role.dimension, []).append(target)
+    return {dimension: targets for dimension, targets in found.items() if len(targets) > 1}
+
+
+def _roles_at_once(rows: DataFrame, table: DataFrame, roles: Mapping[str, Role], limit_bytes: int) -> DataFrame:
+    """Look up several roles of one large dimension while ``rows``, which have a number, are shuffled once.
+
+    Each key that is there becomes a row of its own, (row number, role, key), and only these narrow rows meet the
+    dimension.  What they find is put side by side per row number and joined to the rows by it.
+    """
+    names = list(next(iter(roles.values())).on.values())
+    uses = [
+        F.struct(F.lit(target).alias("role"), *[F.col(c).alias(n) for c, n in role.on.items()])
+        for target, role in roles.items()
+    ]
+    there = F.filter(F.array(*uses), lambda use: reduce(and_, [use[n].isNotNull() for n in names]))
+    keys = rows.select(_ROW, F.inline(there))
+    hot = hot_keys(keys, {"key": names})["key"]
+    on = {n: n for n in names}
+    found = lookup(keys, table, on, {"surrogate": "surrogate"}, "inner", limit_bytes + 1, hot, limit_bytes)
+    side_by_side = [F.first(F.when(F.col("role") == t, F.col("surrogate")), ignorenulls=True).alias(t) for t in roles]
+    return rows.join(found.groupBy(_ROW).agg(*side_by_side), _ROW, "left")
 
 
 def date_lookup(flights: DataFrame, dates: DataFrame) -> DataFrame:
@@ -206,20 +268,28 @@ def daily_fact(
     columns: Sequence[str] = DAILY_COLUMNS,
     limit_bytes: int = BROADCAST_BYTES,
     store: Callable[[DataFrame], DataFrame] | None = None,
+    point_in_time: bool = False,
+    reach_back: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """One row per flight: dimension keys and measures.
 
     ``columns`` narrows the result; lookups whose key is not asked for are not run.  A key with no open
     member is NULL.  Give ``store`` where the flights are computed rather than stored, see :func:`_find_keys`.
+
+    With ``point_in_time`` airlines, airports and planes are those of the flight's day: a load of old flights gets the
+    versions of then.  A flight before the first version of a member has a NULL key, or with ``reach_back`` that version.
+    ``keep`` names further columns of the flights that the result has after ``columns``.
     """
     roles = _daily_roles(columns)
     decoded = {c: CLOCKS[c] for role in roles.values() for c in role.on if c in CLOCKS}
     clocks = {name: part(F.col(source).cast("int")) for name, (source, part) in decoded.items()}
-    flights = flights.select(*sorted(flight_columns(columns))).withColumns(clocks | _airport_codes(roles))
-    keyed = _find_keys(flights, dims, roles, ["flight_date_key"], limit_bytes, store)
+    flights = flights.select(*sorted(flight_columns(columns)), *keep).withColumns(clocks | _airport_codes(roles))
+    valid_on = F.col("FlightDate") if point_in_time else None
+    keyed = _find_keys(flights, dims, roles, ["flight_date_key"], limit_bytes, store, valid_on, reach_back)
     measures = {name: F.col(source) for name, source in DAILY_MEASURES.items()}
     measures["total_delay"] = total_delay(*DELAY_PARTS)
-    return keyed.select(*[measures[c].alias(c) if c in measures else F.col(c) for c in columns])
+    return keyed.select(*[measures[c].alias(c) if c in measures else F.col(c) for c in (*columns, *keep)])
 
 
 def monthly_fact(
@@ -228,18 +298,25 @@ def monthly_fact(
     dedupe: bool = False,
     limit_bytes: int = BROADCAST_BYTES,
     store: Callable[[DataFrame], DataFrame] | None = None,
+    point_in_time: bool = False,
+    reach_back: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Freight, passengers and mail per airline, route and month.
 
     Deliveries of the same airline, route and month are added up before any key is looked up.  With
     ``dedupe`` rows stay as delivered and only equal ones are merged, which loses the second of two equal
-    deliveries.
+    deliveries.  With ``point_in_time`` keys are those of the versions valid on the first of the month, see
+    :func:`daily_fact`.  ``keep`` names columns that airline, route and month determine.
     """
     grain = [column for role in MONTHLY_ROLES.values() for column in role.on]
     passengers = passengers.withColumns(_airport_codes(MONTHLY_ROLES))
     if not dedupe:
-        passengers = passengers.groupBy(*grain).agg(*[F.sum(m).alias(m) for m in MONTHLY_MEASURES])
+        passengers = passengers.groupBy(*grain, *keep).agg(*[F.sum(m).alias(m) for m in MONTHLY_MEASURES])
     else:
-        passengers = passengers.select(*grain, *MONTHLY_MEASURES)
-    keyed = _find_keys(passengers, dims, MONTHLY_ROLES, limit_bytes=limit_bytes, store=store).select(*MONTHLY_COLUMNS)
+        passengers = passengers.select(*grain, *keep, *MONTHLY_MEASURES)
+    valid_on = F.make_date("year", "month", F.lit(1)) if point_in_time else None
+    keyed = _find_keys(
+        passengers, dims, MONTHLY_ROLES, (), limit_bytes, store, valid_on, reach_back
+    ).select(*MONTHLY_COLUMNS, *keep)
     return keyed.distinct() if dedupe else keyed

@@ -1,16 +1,18 @@
 """The load on storage: raw extracts -> staging tables -> dimensions and facts.
 
-``lake/staging/<table>`` holds the last staged delivery, ``lake/presentation/<table>`` the warehouse.  Every
-staged delivery is written before it is merged, and flights are written once as Parquet, so the text of an
-extract is parsed one time only.
-
-A delivery replaces the days and months it has rows for and leaves the facts of all others as they are.  Calendars are
-extended, never numbered anew, so the keys in older facts stay right.  Staged tables, dimensions and calendars are
-written as complete versions; of each the last two are kept.
+``lake/landing/<table>`` holds the last extract of each table as Parquet, rejected lines beside it, ``lake/staging/<table>``
+the staged dimensions, ``lake/presentation/<table>`` the warehouse.  The text of an extract is parsed one time only, and its
+lines are counted by the job that lands them.
+
+Facts are merged: of a flight, or of an airline, route and month, the latest delivery counts, and a late row leaves the
+others of its day alone.  Only days and months with delivered rows are read and written.  Calendars are extended, never
+numbered anew, so the keys in older facts stay right.  Landed and staged tables, dimensions and calendars are written as
+complete versions; of each the last two are kept.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -25,15 +27,17 @@ from ..operators.calendar import (
     date_span,
     extended_months,
     extended_span,
+    keep_keys,
     month_span,
     monthly_dimension,
     parse_calendar,
     time_dimension,
 )
+from ..operators.corrections import IDENTITY, MERGE_STEPS, Merge, identity, merge_fact
 from ..operators.lookups import one_per_key
 from ..operators.scd2 import scd2_initial, scd2_merge
 from ..schemas import AIRLINE, AIRPORT, PLANE, DimSpec
-from ..sources import current_version, exists, prune_versions, read_delimited, read_table, replace_table, write_table
+from ..sources import Landed, current_version, exists, land, prune_versions, read_table, replace_table
 from .facts import DAILY_COLUMNS, MONTHLY_COLUMNS, Dimensions, daily_fact, fact_schema, monthly_fact
 from .staging import stage_airline, stage_airport, stage_plane
 
@@ -83,8 +87,34 @@ def raw_zone(
     )
 
 
-def _read(spark: SparkSession, extract: Extract, schema: str) -> DataFrame:
-    return read_delimited(spark, extract.path, schema, extract.sep, extract.date_format)
+#: The columns that say which flight, or which monthly figure, a row is about.
+FLIGHT_IDENTITY = ("FlightDate", "Carrier", "OriginAirportID", "DestAirportID", "CRSDepTime")
+MONTHLY_IDENTITY = ("carrier", "origin_airport_id", "dest_airport_id", "year", "month")
+
+_SCHEMAS = {
+    "flights": schemas.FLIGHTS,
+    "airlines": schemas.AIRLINES,
+    "airports": schemas.AIRPORTS,
+    "wac": schemas.WAC,
+    "planes": schemas.PLANES,
+    "engines": schemas.ENGINES,
+    "passengers": schemas.PASSENGERS,
+    "dates": schemas.DATES,
+    "times": schemas.TIMES,
+}
+
+
+def land_extracts(spark: SparkSession, raw: RawZone, lake: str, max_rejected: float = 0.0) -> dict[str, Landed]:
+    """All extracts of a delivery as Parquet; one with more than the share ``max_rejected`` of bad lines stops the load."""
+    landed = {}
+    for name, schema in _SCHEMAS.items():
+        extract = getattr(raw, name)
+        if extract is not None:
+            # The days of a calendar stay text here, in a form of their own.
+            form = "yyyy-MM-dd" if name == "dates" else extract.date_format
+            root = f"{lake}/landing/{name}"
+            landed[name] = land(spark, extract.path, root, schema, extract.sep, form, max_rejected=max_rejected)
+    return landed
 
 
 def load_dimension(
@@ -112,60 +142,44 @@ def _staged(rows: DataFrame, lake: str, name: str) -> DataFrame:
     return replace_table(rows, f"{lake}/staging/{name}")
 
 
-def stage_flights(spark: SparkSession, raw: RawZone, lake: str) -> DataFrame:
-    """The flight columns the warehouse uses, out of the many delivered, as Parquet."""
-    return _staged(_read(spark, raw.flights, schemas.FLIGHTS), lake, "flights")
-
-
-def stage_dimensions(spark: SparkSession, raw: RawZone, lake: str, flights: DataFrame) -> dict[str, DataFrame]:
+def stage_dimensions(landed: Mapping[str, Landed], lake: str) -> dict[str, DataFrame]:
     """Write the three staged dimension deliveries and return them read back."""
+    rows = {name: extract.rows for name, extract in landed.items()}
     staged = {
-        AIRLINE.name: stage_airline(_read(spark, raw.airlines, schemas.AIRLINES)),
-        AIRPORT.name: stage_airport(
-            _read(spark, raw.airports, schemas.AIRPORTS), flights, _read(spark, raw.wac, schemas.WAC)
-        ),
-        PLANE.name: stage_plane(
-            _read(spark, raw.planes, schemas.PLANES), _read(spark, raw.engines, schemas.ENGINES)
-        ),
+        AIRLINE.name: stage_airline(rows["airlines"]),
+        AIRPORT.name: stage_airport(rows["airports"], rows["flights"], rows["wac"]),
+        PLANE.name: stage_plane(rows["planes"], rows["engines"]),
     }
-    return {name: _staged(rows, lake, name) for name, rows in staged.items()}
+    return {name: _staged(frame, lake, name) for name, frame in staged.items()}
 
 
 def load_calendars(
-    spark: SparkSession, raw: RawZone, lake: str, flights: DataFrame, passengers: DataFrame
+    spark: SparkSession, raw: RawZone, lake: str, landed: Mapping[str, Landed]
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Date, time and month dimensions, delivered or generated over the days of the flights and months of passengers.
 
-    What is stored stays with its keys.  A delivered calendar keeps one row per day and per clock time, as a second one
-    would double the flights; stored days it does not have are kept beside it.
+    What is stored stays with its keys, also where a delivered calendar numbers a day otherwise, and no two days share one,
+    see :func:`keep_keys`.  A delivered calendar keeps one row per day and per clock time, as a second one would double the
+    flights; stored days it does not have are kept beside it.
     """
     roots = [f"{lake}/presentation/{name}_dimension" for name in ("date", "time", "monthly")]
     old_dates, old_times, old_months = (
         read_table(spark, root) if current_version(spark, root) is not None else None for root in roots
     )
     if raw.dates is not None:
-        delivered = parse_calendar(_read(spark, raw.dates, schemas.DATES), raw.dates.date_format)
-        dates = _besides(one_per_key(delivered, ["date"]), old_dates, ["date"])
+        delivered = parse_calendar(landed["dates"].rows, raw.dates.date_format)
+        dates = one_per_key(delivered, ["date"])
     else:
-        spans = [date_span(flights, "FlightDate"), month_span(passengers, "year", "month")]
+        spans = [date_span(landed["flights"].rows, "FlightDate"), month_span(landed["passengers"].rows, "year", "month")]
         dates = date_dimension(extended_span(spans, old_dates))
-    if raw.times is not None:
-        clock = ["hour", "minute", "second"]
-        times = _besides(one_per_key(_read(spark, raw.times, schemas.TIMES), clock), old_times, clock)
-    else:
-        times = time_dimension(spark)
-    dates, times = replace_table(dates, roots[0]), replace_table(times, roots[1])
+    clock = ["hour", "minute", "second"]
+    times = time_dimension(spark) if raw.times is None else one_per_key(landed["times"].rows, clock)
+    dates = replace_table(keep_keys(dates, old_dates, "date_key", ["date"]), roots[0])
+    times = replace_table(keep_keys(times, old_times, "time_key", clock), roots[1])
     months = monthly_dimension(dates) if old_months is None else extended_months(dates, old_months)
     return dates, times, replace_table(months, roots[2])
 
 
-def _besides(delivered: DataFrame, stored: DataFrame | None, key: list[str]) -> DataFrame:
-    """The delivered rows and the stored ones whose key was not delivered."""
-    if stored is None:
-        return delivered
-    return delivered.unionByName(stored.join(delivered.select(*key), key, "left_anti"))
-
-
 def read_fact(spark: SparkSession, lake: str, name: str) -> DataFrame:
     """The rows of all deliveries of ``flight_fact`` or ``monthly_flight_fact``."""
     return spark.read.schema(fact_schema(FACT_COLUMNS[name])).parquet(f"{lake}/presentation/{name}")
@@ -176,63 +190,86 @@ FACTS = {"flight_fact": "flight_date_key", "monthly_flight_fact": "monthly_key"}
 FACT_COLUMNS = {"flight_fact": DAILY_COLUMNS, "monthly_flight_fact": MONTHLY_COLUMNS}
 
 
+def _merged_facts(
+    spark: SparkSession, lake: str, landed: Mapping[str, Landed], dims: Dimensions, as_of: date, point_in_time: bool
+) -> dict[str, Merge]:
+    flights = landed["flights"].rows.withColumn(IDENTITY, identity(*FLIGHT_IDENTITY))
+    codes = {c: F.lower(c) for c in MONTHLY_IDENTITY if c.endswith("airport_id")}
+    passengers = landed["passengers"].rows.withColumns(codes).withColumn(IDENTITY, identity(*MONTHLY_IDENTITY))
+    facts = {
+        "flight_fact": daily_fact(flights, dims, point_in_time=point_in_time, keep=[IDENTITY]),
+        "monthly_flight_fact": monthly_fact(passengers, dims, point_in_time=point_in_time, keep=[IDENTITY]),
+    }
+    done = {}
+    for name, rows in facts.items():
+        path, work = f"{lake}/presentation/{name}", f"{lake}/work/{name}"
+        schema = fact_schema(FACT_COLUMNS[name])
+        done[name] = merge_fact(spark, path, rows, FACTS[name], as_of, schema, work)
+        for step in MERGE_STEPS:
+            prune_versions(spark, f"{work}/{step}", keep=1)
+    return done
+
+
 def load_warehouse(
-    spark: SparkSession, raw: RawZone, lake: str, as_of: date, plane_change: str = "attributes"
+    spark: SparkSession,
+    raw: RawZone,
+    lake: str,
+    as_of: date,
+    plane_change: str = "attributes",
+    max_rejected: float = 0.0,
+    point_in_time: bool = False,
 ) -> DataFrame:
     """One delivery from raw to presentation; returns an audit row per table.
 
-    ``rows_before`` and ``row_count`` are the rows of the table before and after the load; ``rows_read`` those of its
-    extract, ``rows_rejected`` those of them that could not be used: without natural key, further rows of a member, or
-    on a day the calendar does not have.  Passengers are added up, so their rows read are more than those written.
+    ``rows_before`` and ``row_count`` are the rows of the table before and after the load; ``rows_read`` the lines of its
+    extract, ``rows_rejected`` those of them that could not be used: malformed, without natural key, further rows of a
+    member, or on a day the calendar does not have; ``rows_replaced`` the rows of a fact that later ones took the place
+    of.  Passengers are added up, so their rows read are more than those written.
+
+    A load goes on if at most the share ``max_rejected`` of each extract is malformed.  With ``point_in_time`` the facts get
+    the versions that were valid on their day, else the open ones.
     """
-    flights = stage_flights(spark, raw, lake)
-    passengers = _staged(_read(spark, raw.passengers, schemas.PASSENGERS), lake, "passengers")
-    staged = stage_dimensions(spark, raw, lake, flights)
+    landed = land_extracts(spark, raw, lake, max_rejected)
+    staged = stage_dimensions(landed, lake)
     before = _row_counts(spark, lake)
     modes = {AIRLINE: "attributes", AIRPORT: "attributes", PLANE: plane_change}
     loaded = {
         spec: load_dimension(spark, f"{lake}/presentation/{spec.name}", staged[spec.name], spec, as_of, mode)
         for spec, mode in modes.items()
     }
-    dates, times, months = load_calendars(spark, raw, lake, flights, passengers)
+    dates, times, months = load_calendars(spark, raw, lake, landed)
     dims = Dimensions(loaded[AIRLINE], loaded[AIRPORT], loaded[PLANE], dates, times, months).measured()
-    facts = {"flight_fact": daily_fact(flights, dims), "monthly_flight_fact": monthly_fact(passengers, dims)}
-    for name, rows in facts.items():
-        write_table(rows, f"{lake}/presentation/{name}", partition_by=[FACTS[name]], keep_others=True)
+    merges = _merged_facts(spark, lake, landed, dims, as_of, point_in_time)
     for name in [*(spec.name for spec in modes), "date_dimension", "time_dimension", "monthly_dimension"]:
         for root in (f"{lake}/presentation/{name}", f"{lake}/presentation/{name}_delta", f"{lake}/staging/{name}"):
             prune_versions(spark, root)
-    for name in ("flights", "passengers"):
-        prune_versions(spark, f"{lake}/staging/{name}")
+    for name in landed:
+        prune_versions(spark, f"{lake}/landing/{name}")
 
     tables = {spec.name: (frame, spec.key) for spec, frame in loaded.items()}
     tables |= {"date_dimension": (dates, "date_key"), "time_dimension": (times, "time_key")}
     tables |= {"monthly_dimension": (months, "monthly_key")}
     tables |= {name: (read_fact(spark, lake, name), key) for name, key in FACTS.items()}
+    extracts = {AIRLINE.name: "airlines", AIRPORT.name: "airports", PLANE.name: "planes"}
+    extracts |= {"flight_fact": "flights", "monthly_flight_fact": "passengers"}
     members = {spec.name: staged[spec.name].select(*spec.natural_key).distinct() for spec in modes}
-    lost = flights.join(dates.select(F.col("date").alias("FlightDate")), "FlightDate", "left_anti")
-    read = {
-        AIRLINE.name: _read(spark, raw.airlines, schemas.AIRLINES).select("Code"),
-        AIRPORT.name: _read(spark, raw.airports, schemas.AIRPORTS).select("Code"),
-        PLANE.name: _read(spark, raw.planes, schemas.PLANES).select("N-Number"),
-        "flight_fact": flights,
-        "monthly_flight_fact": passengers,
-    }
     audits = []
     for name, (frame, key) in tables.items():
-        rows_read = read[name].agg(F.count("*")).scalar() if name in read else F.lit(None).cast("long")
-        rejected = F.lit(None).cast("long")
+        read = landed[extracts[name]].rows_read if name in extracts else None
+        malformed = landed[extracts[name]].rows_rejected if name in extracts else None
+        rejected = F.lit(malformed).cast("long")
         if name in members:
-            rejected = rows_read - members[name].agg(F.count("*")).scalar()
+            rejected = F.lit(read).cast("long") - members[name].agg(F.count("*")).scalar()
         elif name == "flight_fact":
-            rejected = lost.agg(F.count("*")).scalar()
+            rejected = F.lit(read - merges[name].rows_delivered).cast("long")
         audits.append(
             load_audit(frame, key).select(
                 F.lit(name).alias("table_name"),
                 "*",
                 F.lit(before.get(name, 0)).cast("long").alias("rows_before"),
-                rows_read.alias("rows_read"),
+                F.lit(read).cast("long").alias("rows_read"),
                 rejected.alias("rows_rejected"),
+                F.lit(merges[name].rows_replaced if name in merges else None).cast("long").alias("rows_replaced"),
             )
         )
     return reduce(DataFrame.unionByName, audits)

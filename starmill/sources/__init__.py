@@ -1,6 +1,8 @@
 """Delimited extracts in, Parquet tables in and out."""
 
 from .delimited import read_delimited, write_delimited
+from .inference import drift, file_states, inferred_schema, merged_states, resolved, type_states
+from .landing import Landed, TooManyRejects, land
 from .tables import (
     current_version,
     exists,
@@ -13,14 +15,23 @@ from .tables import (
 )
 
 __all__ = [
+    "Landed",
+    "TooManyRejects",
     "current_version",
+    "drift",
     "exists",
+    "file_states",
+    "inferred_schema",
+    "land",
+    "merged_states",
     "prune_versions",
     "read_delimited",
     "read_table",
     "replace_table",
+    "resolved",
     "scratch_root",
     "spread",
+    "type_states",
     "write_delimited",
     "write_table",
 ]

@@ -193,3 +193,18 @@ def test_broadcast_tables_share_one_limit(flights, dims, rows):
     assert within({"a": 10, "b": 20, "c": 30}, 35) == {"a", "b"}
     some = sizes["airline"] + sizes["airport"]
     assert rows(daily_fact(flights, dims, limit_bytes=some)) == rows(daily_fact(flights, dims))
+
+
+def test_roles_of_one_large_dimension_share_one_shuffle(flights, dims):
+    columns = ["plane_key", "div1_plane_key", "div2_plane_key", "origin_airport_key", "div1_airport_key", "air_time"]
+    want = sorted(map(str, daily_fact(flights, dims, columns).collect()))
+    apart = daily_fact(flights, dims, columns, limit_bytes=0)
+    at_once = daily_fact(flights, dims, columns, limit_bytes=0, store=stored)
+    assert sorted(map(str, apart.collect())) == want and sorted(map(str, at_once.collect())) == want
+    planes = [c for c in columns if "plane" in c]
+    only_planes = daily_fact(flights, dims, planes + ["air_time"], limit_bytes=0, store=stored)
+    plan = only_planes._jdf.queryExecution().optimizedPlan().toString()
+    # The flights meet the planes in one join, by their number; the keys alone meet the dimension.
+    assert len([line for line in plan.splitlines() if "Join LeftOuter" in line]) == 1
+    point = daily_fact(flights, dims, columns, limit_bytes=0, store=stored, point_in_time=True, reach_back=True)
+    assert point.count() == len(want)

@@ -12,17 +12,21 @@ from tests.oracle_check import database, mismatch
 SF = "/root/testdata/sf0.001"
 
 
+#: Estimates of sketches, see test_sketches.py.
+NO_SQL = {"profile_sketch"}
+
+
 @pytest.fixture(scope="module")
 def con():
     return database(SF)
 
 
 def test_each_query_has_its_sql():
-    assert list(QUERIES) == list(ORACLE)
+    assert [name for name in QUERIES if name not in NO_SQL] == list(ORACLE)
     assert queries().keys() >= QUERIES.keys() and oracle_sql().keys() >= ORACLE.keys()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, con, name):
     assert mismatch(spark, con, SF, name) is None
 

@@ -8,7 +8,7 @@ from datetime import date
 import pytest
 
 from starmill.plans.warehouse import Extract, load_warehouse, raw_zone, read_fact
-from starmill.sources import current_version, read_table, write_table
+from starmill.sources import TooManyRejects, current_version, read_table, write_table
 
 HEADER = (
     "Year,FlightDate,Carrier,TailNum,OriginAirportID,OriginState,OriginStateName,OriginWac,DestAirportID,CRSDepTime,"
@@ -69,18 +69,19 @@ def lake(spark, tmp_path_factory):
 
 def test_audits(lake):
     _, (first, second) = lake
-    # rows, distinct keys, NULL keys; rows before, read and rejected
-    assert first["airline_dimension"] == (3, 3, 0, 0, 4, 1)
-    assert first["airport_dimension"] == (3, 3, 0, 0, 3, 0)
-    assert first["plane_dimension"] == (2, 2, 0, 0, 2, 0)
-    assert first["date_dimension"] == (32, 32, 0, 0, None, None)
-    assert first["monthly_dimension"] == (2, 2, 0, 0, None, None)
-    assert first["flight_fact"] == (3, 3, 0, 0, 3, 0)
-    assert first["monthly_flight_fact"] == (1, 1, 0, 0, 2, None)
-    assert second["airline_dimension"] == (4, 4, 0, 3, 4, 1)
-    assert second["airport_dimension"] == (3, 3, 0, 3, 3, 0)
-    assert second["plane_dimension"] == (3, 3, 0, 2, 2, 0)
-    assert second["flight_fact"] == (3, 3, 0, 3, 3, 0)
+    # rows, distinct keys, NULL keys; rows before, read, rejected and replaced
+    assert first["airline_dimension"] == (3, 3, 0, 0, 4, 1, None)
+    assert first["airport_dimension"] == (3, 3, 0, 0, 3, 0, None)
+    assert first["plane_dimension"] == (2, 2, 0, 0, 2, 0, None)
+    assert first["date_dimension"] == (32, 32, 0, 0, None, None, None)
+    assert first["monthly_dimension"] == (2, 2, 0, 0, None, None, None)
+    assert first["flight_fact"] == (3, 3, 0, 0, 3, 0, 0)
+    assert first["monthly_flight_fact"] == (1, 1, 0, 0, 2, 0, 0)
+    assert second["airline_dimension"] == (4, 4, 0, 3, 4, 1, None)
+    assert second["airport_dimension"] == (3, 3, 0, 3, 3, 0, None)
+    assert second["plane_dimension"] == (3, 3, 0, 2, 2, 0, None)
+    assert second["flight_fact"] == (3, 3, 0, 3, 3, 0, 3)
+    assert second["monthly_flight_fact"] == (1, 1, 0, 1, 2, 0, 1)
 
 
 def test_airports(spark, lake):
@@ -206,6 +207,72 @@ def test_facts_of_earlier_deliveries_stay(spark, tmp_path):
     assert audit["monthly_dimension"]["row_count"] == 6
 
 
+def test_late_flights_leave_the_others_of_their_day(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    both = [flight("2016-03-05"), flight("2016-03-05", carrier="BB"), flight("2016-03-06")]
+    load(spark, tmp_path, 1, date(2024, 1, 1), both, ["AA,10,11,2016,3,5,1,1"])
+    late = [flight("2016-03-05", carrier="CC"), flight("2016-03-06").replace(",60,", ",75,")]
+    audit = load(spark, tmp_path, 2, date(2024, 2, 1), late, ["BB,10,11,2016,3,8,1,1"])
+    assert len(days_of(spark, lake)) == 4
+    assert (audit["flight_fact"]["row_count"], audit["flight_fact"]["rows_replaced"]) == (4, 1)
+    assert months_of(spark, lake) == [(2016, 3, 5.0), (2016, 3, 8.0)]
+    assert sorted(r.air_time for r in read_fact(spark, lake, "flight_fact").collect()) == [60.0, 60.0, 60.0, 75.0]
+
+
+def test_a_load_goes_on_below_a_share_of_bad_lines(spark, tmp_path):
+    root = tmp_path / "raw1"
+    raw = deliver(root)
+    write(root, "flights", HEADER, *[flight("2016-03-05")] * 3, flight("05/03/2016"))
+    with pytest.raises(TooManyRejects, match="1 of 4 lines are malformed: FlightDate: not date"):
+        load_warehouse(spark, raw, str(tmp_path / "lake"), date(2024, 1, 1), max_rejected=0.2)
+    rows = load_warehouse(spark, raw, str(tmp_path / "lake"), date(2024, 1, 1), max_rejected=0.25).collect()
+    audit = {r.table_name: r for r in rows}["flight_fact"]
+    assert (audit.row_count, audit.rows_read, audit.rows_rejected) == (3, 4, 1)
+    kept = read_table(spark, f"{tmp_path}/lake/landing/flights_rejected").collect()
+    assert [(r._reject_reason, r._file) for r in kept] == [("FlightDate: not date", "part.csv")]
+    assert "05/03/2016" in kept[0]._line
+
+
+def test_a_load_may_take_the_versions_of_the_day(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    header = "N-Number,Serial Number,Name,MFR MDL Code,Year MFR,City,State,Street 1,Eng MFR Code"
+    for number, (day, city) in enumerate(((date(2016, 1, 1), "A"), (date(2016, 3, 6), "B")), 1):
+        raw = deliver(tmp_path / f"raw{number}")
+        write(tmp_path / f"raw{number}", "planes", header, f"N1,1,A,M,1973,{city},TN,S,95")
+        write(tmp_path / f"raw{number}", "flights", HEADER, flight("2016-03-05"), flight("2016-03-06"), flight("2015-12-31"))
+        load_warehouse(spark, raw, lake, day, point_in_time=True)
+    planes = read_table(spark, f"{lake}/presentation/plane_dimension").select("plane_key", "registrant_city")
+    dates = read_table(spark, f"{lake}/presentation/date_dimension").withColumnRenamed("date_key", "flight_date_key")
+    fact = read_fact(spark, lake, "flight_fact").join(dates, "flight_date_key").join(planes, "plane_key", "left")
+    assert sorted((str(r.date), r.registrant_city) for r in fact.collect()) == [
+        ("2015-12-31", None), ("2016-03-05", "a"), ("2016-03-06", "b")
+    ]
+
+
+def test_no_two_days_months_or_times_share_a_key(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    load(spark, tmp_path, 1, date(2024, 1, 1), [flight("2016-01-01"), flight("2016-01-03")])
+    raw = deliver(tmp_path / "raw2")
+    write(tmp_path / "raw2", "flights", HEADER, flight("2016-02-01"), flight("2016-04-02"))
+    header = (
+        "date_key;full_date_description;date;day_of_week;calendar_month;calenda_quarter;calendar_year;"
+        "holiday_indicator;weekday_indicator"
+    )
+    days = ("01/01/2016", "01/02/2016", "02/04/2016")
+    months = (1, 2, 4)
+    lines = [f"{n};d;{d};1;{m};1;2016;Holiday;1" for n, (d, m) in enumerate(zip(days, months, strict=True), 1)]
+    write(tmp_path / "raw2", "date", header, *lines)
+    raw = replace(raw, dates=Extract(f"{tmp_path}/raw2/date", ";", "dd/MM/yyyy"))
+    load_warehouse(spark, raw, lake, date(2024, 2, 1))
+    load(spark, tmp_path, 3, date(2024, 3, 1), [flight("2016-03-31")])
+    assert [day for day, _ in days_of(spark, lake)] == ["2016-01-01", "2016-01-03", "2016-02-01", "2016-03-31", "2016-04-02"]
+    for name, key in (("date", "date_key"), ("time", "time_key"), ("monthly", "monthly_key")):
+        keys = [r[key] for r in read_table(spark, f"{lake}/presentation/{name}_dimension").collect()]
+        assert len(set(keys)) == len(keys) and None not in keys
+    first = read_table(spark, f"{lake}/presentation/date_dimension").where("date = '2016-01-01'").first()
+    assert (first.date_key, first.holiday_indicator) == (1, "Holiday")
+
+
 def test_only_two_versions_are_left(spark, tmp_path):
     for number in range(1, 4):
         load(spark, tmp_path, number, date(2024, number, 1), [flight("2016-03-05")])
