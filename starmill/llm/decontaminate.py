@@ -26,8 +26,6 @@ COMPLETE = (
     ("111111", 8, 9), ("11110011", 8, 9), ("11001111", 8, 9),
     ("11111", 5, 7),
 )
-#: The masks that the SQL of op7_decontaminate names.  They miss some passages that the rule allows, see README.
-OF_SQL = (("1111111", 7, None), ("11100011101", 11, None), ("110110010011", 12, None), ("11111", 5, 7))
 #: Items with fewer tokens say too little to be matched.
 FEWEST = 5
 #: Tokens in which ``SHARE`` must agree; all of them in items of fewer than ``EXACT`` tokens.
@@ -86,8 +84,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, seeding: tuple[Seeding,
 are not looked at; with ``COMPLETE`` none that meets the rule is without.
 
     Null and empty texts match nothing, nor do items of fewer than 5 tokens.  Repeated documents give one pair, repeated
-    items of one id too; a null id is a value like others.  Other columns are ignored.  With an empty table on either
-    side there are no pairs.
+    items of one id too; a null id is a value like others.  A very long text is one row and its tokens one array.
+    Other columns are ignored.  With an empty table on either side there are no pairs.
     """
     items = benchmark_items(benchmark)
     lengths = {r[0] for r in items.select(F.least(F.size("tokens"), F.lit(WINDOW))).distinct().collect()}

@@ -240,8 +240,12 @@ def _predicted(model: Model | None):
     return predict
 
 
-def language(model: Model | None):
-    """A function of a text column: the language of each text, ``und`` where there is none."""
+#: A text of which the network gives no language this share has no language.
+LEAST = 0.5
+
+
+def language(model: Model | None, least: float = 0.0):
+    """A function of a text column: the language of each text, ``und`` where there is none or its score is below ``least``."""
 
     @F.arrow_udf("string")
     def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -249,9 +253,11 @@ def language(model: Model | None):
         for column in texts:
             whole = pa.RecordBatch.from_arrays([column], ["text"])
             parts = text_slices(iter([whole]))
-            yield pa.array([n for p in parts for n in _judged(labeller, p.column("text").to_pylist())[0]], pa.string())
+            judged = [_judged(labeller, p.column("text").to_pylist()) for p in parts]
+            found = [name if score >= least else "und" for part in judged for name, score in zip(*part, strict=True)]
+            yield pa.array(found, pa.string())
 
-    return of
+    return of.asNondeterministic()  # so that a filter on the result does not run the network again
 
 
 def for_training(doc_id: Column) -> Column:
@@ -332,6 +338,14 @@ def language_spans(docs: DataFrame, model: Model) -> DataFrame:
     )
 
 
-def with_language(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The rows of ``docs`` whose language can be told, all columns unchanged; without a model none."""
-    return docs.where(language(model)(F.col("text")) != "und")
+def with_language(docs: DataFrame, model: Model | None, least: float = LEAST) -> DataFrame:
+    """The rows of ``docs`` whose language can be told, with the predicted language as ``lang``; other columns unchanged.
+
+    Null and empty texts and those without a letter go, and those whose score is below ``least``.  Without a model all texts
+    with a letter stay and keep their ``lang``.  Repeated rows and null ids are judged like others; a very long text
+    is read whole.
+    """
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    told = docs.withColumn("lang", language(model, least)(F.col("text")))
+    return told.where(F.col("lang") != "und")

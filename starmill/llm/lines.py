@@ -17,12 +17,17 @@ def _key(line: Column) -> Column:
     return F.xxhash64(F.trim(line))
 
 
+def floor(pages: Column, min_pages: int) -> Column:
+    """The fewest pages of boilerplate on a site of ``pages``: ``min_pages``, on a small site half of them, two at least."""
+    return F.least(F.lit(min_pages), F.greatest(F.lit(2), F.ceil(pages / 2)))
+
+
 def boilerplate(
-    docs: DataFrame, host: str = "source", ratio: float = 0.02, min_pages: int = 5, copies: bool = True
+    docs: DataFrame, host: str = "source", ratio: float = 0.02, min_pages: int = 5, copies: bool = False
 ) -> DataFrame:
     """(host, keys): for each host the hashes of the lines that more than ``ratio`` of its pages contain.
 
-    A page counts a line once.  Blank lines are never boilerplate, nor are lines on fewer than ``min_pages`` pages.
+    A page counts a line once.  Blank lines are never boilerplate, nor are lines on fewer pages than :func:`floor` says.
     Only hashes are shuffled, summed up before; a host has at most lines per page / ``ratio`` such lines, so
     the array of one host stays small however many pages it has.  Without ``copies`` pages of equal text on one host are
     one page, so that a text is not taken for boilerplate because it was copied; texts are compared by 128 bits.
@@ -35,21 +40,23 @@ def boilerplate(
         pages = pages.select("host", "lines", *digest).groupBy("host", "high", "low").agg(F.first("lines").alias("lines"))
         pages = stored(pages.select("host", "lines"))
     seen = pages.select("host", F.explode("lines").alias("key"))
-    counts = seen.groupBy("host", "key").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
+    counts = seen.groupBy("host", "key").agg(F.count("*").alias("pages")).where(F.col("pages") > 1)
     totals = pages.groupBy("host").agg(F.count("*").alias("total"))
     common = counts.alias("c").join(totals.alias("t"), F.col("c.host").eqNullSafe(F.col("t.host")))
-    common = common.where(F.col("c.pages") > F.col("t.total") * F.lit(ratio))
+    enough = F.col("c.pages") >= floor(F.col("t.total"), min_pages)
+    common = common.where(enough & (F.col("c.pages") > F.col("t.total") * F.lit(ratio)))
     return common.groupBy("c.host").agg(F.collect_list("c.key").alias("keys"))
 
 
 def drop_boilerplate(
-    docs: DataFrame, host: str = "source", ratio: float = 0.02, min_pages: int = 5, copies: bool = True
+    docs: DataFrame, host: str = "source", ratio: float = 0.02, min_pages: int = 5, copies: bool = False
 ) -> DataFrame:
     """``docs`` without boilerplate lines in ``text``; ``n_lines`` and ``n_dropped`` are added or replaced.
 
     A null text stays null with 0 lines; an empty one has one blank line, which stays.  A page left without any line has
-    an empty text; the page itself is kept.  Pages of a null host are one site.  Repeated rows are pages of their own,
-    with ``copies``; without, pages of equal text count once, and all of them lose what is boilerplate.
+    an empty text; the page itself is kept.  Pages of a null host are one site.  Pages of equal text on a host count once,
+    repeated rows too, and all of them lose what is boilerplate; with ``copies`` each is a page of its own.  A very long
+    text is one row and its lines one array.  Columns of any other name pass through.
     """
     common = stored(boilerplate(docs, host, ratio, min_pages, copies))
     docs = docs.drop("n_lines", "n_dropped")
@@ -58,10 +65,12 @@ def drop_boilerplate(
     kept = F.filter(lines, lambda line: (F.trim(line) == "") | ~F.array_contains(F.col("b.keys"), _key(line)))
     kept = F.when(F.col("b.keys").isNull(), lines).otherwise(kept)
     others = [F.col(f"d.`{c}`") for c in docs.columns if c != "text"]
-    cut = joined.select(*others, lines.alias("__lines"), kept.alias("__kept"))
-    size = lambda name: F.coalesce(F.size(name), F.lit(0)).cast("long")
+    beside = "".join(docs.columns) + "_"  # a name that no column has
+    cut = joined.select(*others, F.struct(lines.alias("all"), kept.alias("kept")).alias(beside))
+    size = lambda name: F.coalesce(F.size(F.col(f"`{beside}`")[name]), F.lit(0)).cast("long")
+    text = F.array_join(F.col(f"`{beside}`")["kept"], "\n").alias("text")
     return cut.select(
-        *[F.col(f"`{c}`") if c != "text" else F.array_join("__kept", "\n").alias("text") for c in docs.columns],
-        size("__lines").alias("n_lines"),
-        (size("__lines") - size("__kept")).alias("n_dropped"),
+        *[F.col(f"`{c}`") if c != "text" else text for c in docs.columns],
+        size("all").alias("n_lines"),
+        (size("all") - size("kept")).alias("n_dropped"),
     )

@@ -63,9 +63,8 @@ def op6_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The contaminated documents, each with the items it holds, as far as the masks of the SQL find them."""
-    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    return decontaminate.contaminated(docs, benchmark, decontaminate.OF_SQL)
+    """The contaminated documents, each with the items it holds."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,20 +197,15 @@ ORACLE: dict[str, str] = {
         ), items as (
             select *, row_number() over () as item from (select distinct item_id, {_TOKENS} as t from benchmark)
             where len(t) >= 5
-        ), masks as (
-            select * from (values (0, [0, 1, 2, 3, 4, 5, 6]), (1, [0, 1, 2, 6, 7, 8, 10]),
-                (2, [0, 1, 3, 4, 7, 10, 11]), (3, [0, 1, 2, 3, 4])) as v(mask, picks)
-        ), doc_seeds as (
-            select doc, mask, pos, list_transform(picks, lambda k: t[pos + k + 1]) as seed
-            from (select doc, t, unnest(range(0, len(t))) as pos from docs), masks
-            where pos + list_max(picks) < len(t)
-        ), item_seeds as (
-            select item, mask, pos, list_transform(picks, lambda k: t[pos + k + 1]) as seed
-            from (select item, t, unnest(range(0, len(t))) as pos from items), masks
-            where pos + list_max(picks) < len(t) and (mask < 3 or len(t) < 8)
+        ), doc_runs as (
+            select doc, pos, t[pos + 1:pos + 3] as run
+            from (select doc, t, unnest(range(0, len(t) - 2)) as pos from docs)
+        ), item_runs as (
+            select item, pos, t[pos + 1:pos + 3] as run
+            from (select item, t, unnest(range(0, len(t) - 2)) as pos from items)
         ), offsets as (
-            select distinct doc, item, d.pos - i.pos as shift
-            from doc_seeds d join item_seeds i on d.mask = i.mask and d.seed = i.seed
+            -- Every passage that the rule allows has three equal tokens in a row: 8 that are cut by 2 others, or more.
+            select distinct doc, item, d.pos - i.pos as shift from doc_runs d join item_runs i using (run)
         ), laid as (
             select doc, item, shift, unnest(range(greatest(0, -shift), least(len(i.t), len(d.t) - shift))) as k,
                 d.t as dt, i.t as it, least(13, len(i.t)) as width
@@ -283,23 +277,25 @@ ORACLE: dict[str, str] = {
         join points p on d.source is not distinct from p.source and d.point = p.point
     """,
     "op9_line_dedup": """
-        with pages as (
-            select doc_id, source, string_split(text, chr(10)) as ls from documents
+        with docs as (
+            select doc_id, source, text, string_split(text, chr(10)) as ls from documents
+        ), pages as (
+            select row_number() over () as page, * from (select distinct source, text, ls from docs)
         ), seen as (
             select source, trim(line) as line, count(*) as pages
-            from (select distinct doc_id, source, trim(unnest(ls)) as line from pages)
+            from (select distinct page, source, trim(unnest(ls)) as line from pages)
             where trim(line) <> '' group by all
         ), totals as (
-            select source, count(*) as total from documents group by source
+            select source, count(*) as total from pages group by source
         ), common as (
             select seen.source, list(line) as keys
             from seen join totals on seen.source is not distinct from totals.source
-            where pages >= 5 and pages > total * 0.02::double
+            where pages >= least(5, greatest(2, ceil(total / 2))) and pages > total * 0.02::double
             group by seen.source
         ), cut as (
             select doc_id, ls, list_filter(ls, lambda line: trim(line) = ''
                 or not list_contains(coalesce(keys, []::varchar[]), trim(line))) as kept
-            from pages left join common on pages.source is not distinct from common.source
+            from docs left join common on docs.source is not distinct from common.source
         )
         select doc_id, coalesce(len(ls), 0) as n_lines, coalesce(len(ls) - len(kept), 0) as n_dropped,
             sha256(array_to_string(kept, chr(10))) as kept_sha256

@@ -205,25 +205,40 @@ def test_boilerplate_is_relative_to_its_site(spark):
     rows += [(100 + k, f"head\nown {k}", "other") for k in range(4)] + [(200 + k, "foot\nhead", None) for k in range(6)]
     rows += [(300, None, "big"), (301, "", "big"), (302, "rare\nhead\nrare", "big"), (0, "head\nline 0", "big")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    docs = docs.selectExpr("*", "1 as host", "'x' as keys", "0 as n_lines", "0 as line")
+    docs = docs.selectExpr("*", "1 as host", "'x' as keys", "0 as n_lines", "0 as line", "1 as __lines", "2 as __kept")
     out = lines.drop_boilerplate(docs, ratio=0.5, min_pages=5)
     found = [(r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in out.collect()]
     want = [(k, f"line {k}\n\nline {k}", 5, 2) for k in range(50)]
-    want += [(100 + k, f"head\nown {k}", 2, 0) for k in range(4)] + [(200 + k, "", 2, 2) for k in range(6)]
+    # Half the pages of a small site are enough; copies are one page, and one page has no boilerplate.
+    want += [(100 + k, f"own {k}", 2, 1) for k in range(4)] + [(200 + k, "foot\nhead", 2, 0) for k in range(6)]
     want += [(300, None, 0, 0), (301, "", 1, 0), (302, "rare\nrare", 3, 1), (0, "line 0", 2, 1)]
     assert sorted(map(str, found)) == sorted(map(str, want))
-    assert out.columns == ["doc_id", "text", "source", "host", "keys", "line", "n_lines", "n_dropped"]
+    assert out.columns == ["doc_id", "text", "source", "host", "keys", "line", "__lines", "__kept", "n_lines", "n_dropped"]
 
 
 def test_a_copied_text_is_not_boilerplate(spark):
     copied = "its first line\nits second line\nmenu"
     rows = [(k, copied, "a") for k in range(30)] + [(100 + k, f"menu\nown {k}", "a") for k in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    cut = lines.drop_boilerplate(docs, copies=False)
+    cut = lines.drop_boilerplate(docs)
     found = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in cut.collect()}
     assert found == {k: ("its first line\nits second line", 1) for k in range(30)} | {100 + k: (f"own {k}", 1) for k in range(60)}
     # Without copies there are 61 pages; with them the copied text is more than a fiftieth of 90.
-    assert {r["text"] for r in lines.drop_boilerplate(docs).collect() if r["doc_id"] < 30} == {""}
+    assert {r["text"] for r in lines.drop_boilerplate(docs, copies=True).collect() if r["doc_id"] < 30} == {""}
+
+
+def test_lines_of_small_sites_and_of_a_long_page(spark):
+    rows = [(10 * n + k, f"menu\nown {n} {k}", f"s{n}") for n in range(1, 13) for k in range(n)]
+    rows += [(1000 + k, "\n".join(["menu", *[f"l{j} {k}" for j in range(20000)]]), "long") for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    dropped = {r["doc_id"]: r["n_dropped"] for r in lines.drop_boilerplate(docs).collect()}
+    assert dropped == {i: int(s != "s1") for i, _, s in rows}
+    some = spark.createDataFrame(
+        [(k, f"own {k}" + ("\nseen" if k < n else ""), f"s{size}") for size, n in ((4, 1), (6, 3), (8, 3), (40, 5), (41, 4)) for k in range(size)],
+        "doc_id long, text string, source string",
+    )
+    cut = lines.drop_boilerplate(some).groupBy("source").sum("n_dropped").collect()
+    assert dict(map(tuple, cut)) == {"s4": 0, "s6": 3, "s8": 0, "s40": 5, "s41": 0}
 
 
 def test_lines_of_nothing(spark):
@@ -276,7 +291,12 @@ def test_language_of_held_out_texts(spark, monkeypatch):
     assert [by_id[i]["lang_pred"] for i in (1000, 1001, 1002, 1003, None)] == ["und", "und", "und", "yy", "zz"]
     assert by_id[1002]["score"] == 0
     kept = language_id.with_language(docs, model)
-    assert kept.columns == docs.columns and kept.count() == len(rows) - 3
+    assert kept.columns == docs.columns
+    placed = {r["doc_id"]: r["lang_pred"] for r in found if r["lang_pred"] != "und" and r["score"] >= language_id.LEAST}
+    assert {r["doc_id"]: r["lang"] for r in kept.collect()} == placed and 1000 not in placed and len(placed) > 300
+    unlearnt = docs.withColumn("lang", F.lit(None).cast("string"))
+    left = language_id.with_language(unlearnt, language_id.fit(unlearnt)).collect()
+    assert len(left) == len(rows) - 3 and {r["lang"] for r in left} == {None}
     assert [(r["lang_pred"], r["score"]) for r in language_id.identify(docs.limit(1), None).collect()] == [("und", 0.0)]
 
 
