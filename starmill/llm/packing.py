@@ -15,6 +15,7 @@ from __future__ import annotations
 import bisect
 import os
 import re
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping
 from functools import lru_cache
@@ -38,8 +39,11 @@ BATCH = 4 << 20
 
 # In the pattern of the byte-level vocabularies a token holds white space only in front of anything else, and only the
 # end of a run of white space looks ahead.  So a token always ends before white space that follows anything else.  It also
-# ends between a letter and a mark other than the apostrophe.
-_STRETCH = re.compile(r"[ \t\n\r]*[A-Za-z]++(?=[ \t\n\r.,;:!?\"()-]|\Z)|[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+# ends between a letter and a mark other than the apostrophe, and between a single line feed and a letter.
+_LETTER = r"[^\W\d_\u0800-\U0010ffff]"
+_STRETCH = re.compile(
+    rf"[ \t\n\r]*{_LETTER}++(?=[ \t\n\r.,;:!?\"()-]|\Z)|\n(?={_LETTER})|[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+"
+)
 _RARE_SPACE = re.compile(r"[^\S \t\n\r]")
 _STRETCH_END = re.compile(r"(?<=\S)(?=[ \t\n\r])")
 
@@ -54,9 +58,79 @@ def _tokenizer(file: str):
     return tokenizer
 
 
+#: How byte-level vocabularies write a space.
+_SPACE = chr(256 + 32)
+
+
 @lru_cache
-def _memo(file: str) -> dict[str, bytes]:
-    return {}
+def _visible() -> dict[int, int]:
+    """How byte-level vocabularies write bytes: visible ones as the character of that number, others from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {byte: 256 + n for n, byte in enumerate(b for b in range(256) if b not in visible)}
+
+
+def _word_ids(tokenizer, part: str) -> list[int] | None:
+    """The ids of a word of letters, with or without a space before it, which no pattern cuts; None for anything else."""
+    spaced = part.startswith(" ")
+    body = part[1:] if spaced else part
+    if not body.isalpha():
+        return None
+    if not body.isascii():
+        if max(body) >= "\u0800":
+            return None
+        body = body.encode().decode("latin-1").translate(_visible())
+    return [token.id for token in tokenizer.model.tokenize(_SPACE + body if spaced else body)]
+
+
+class _Memo:
+    """The tokens of the stretches met last: two generations of which the older one goes when the newer one is full."""
+
+    def __init__(self, file: str) -> None:
+        self.tokenizer = _tokenizer(file)
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def of(self, parts: list[str]) -> bytes:
+        """The tokens of stretches, end to end; those that are not known are tokenised."""
+        if len(self.known) > MEMO // 2:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        rest = []
+        for part in set(parts).difference(known):
+            tokens = older.get(part)
+            if tokens is None:
+                ids = _word_ids(self.tokenizer, part)
+                if ids is None:
+                    rest.append(part)
+                    continue
+                tokens = array("I", ids).tobytes()
+            known[part] = tokens
+        for run in _runs(rest):
+            found = self.tokenizer.encode_batch_fast(run, add_special_tokens=False)
+            known.update((part, array("I", e.ids).tobytes()) for part, e in zip(run, found, strict=True))
+        tokens = b"".join(map(known.__getitem__, parts))
+        for part in rest:
+            if len(part) > SHORT:
+                del known[part]
+        return tokens
+
+
+def _runs(parts: list[str]) -> Iterator[list[str]]:
+    """Runs of parts with about ``CALL`` characters."""
+    run, size = [], 0
+    for part in parts:
+        run.append(part)
+        size += len(part)
+        if size > CALL:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
+@lru_cache
+def _memo(file: str) -> _Memo:
+    return _Memo(file)
 
 
 def stretches(text: str) -> list[str]:
@@ -66,23 +140,9 @@ def stretches(text: str) -> list[str]:
 
 def token_ids(file: str, text: str | None, end_id: int | None) -> np.ndarray:
     """The ids of a text, ``end_id`` after the last; a null text is empty.  Each new stretch is tokenised once."""
-    memo = _memo(file)
-    if len(memo) > MEMO:
-        memo.clear()
-    parts = stretches(text or "")
-    new = {part: b"" for part in parts if part not in memo}
-    run, size = [], 0
-    for part in [*new, None]:
-        if part is None or size > CALL:
-            found = _tokenizer(file).encode_batch_fast(run, add_special_tokens=False)
-            new.update((k, np.array(e.ids, "<u4").tobytes()) for k, e in zip(run, found, strict=True))
-            run, size = [], 0
-        if part is not None:
-            run.append(part)
-            size += len(part)
-    tokens = b"".join([memo[part] if part in memo else new[part] for part in parts])
-    memo.update((k, v) for k, v in new.items() if len(k) <= SHORT)
-    return np.frombuffer(tokens if end_id is None else tokens + np.array([end_id], "<u4").tobytes(), "<u4")
+    tokens = _memo(file).of(stretches(text or ""))
+    ids = np.frombuffer(tokens if end_id is None else tokens + array("I", [end_id]).tobytes(), np.uint32)
+    return ids.astype("<u4", copy=False)
 
 
 def pieces(docs: DataFrame, file: str, capacity: int, end_id: int | None = 0) -> DataFrame:
