@@ -1,18 +1,21 @@
 """Collocations by relational mining of word occurrences (SETM).
 
-Relation k holds the occurrences of frequent k-word phrases: (block, pos, phrase), the first place of each in its document.
-A place between two pieces of a text is left empty, so words on either side of a mark are never neighbours.  The relation
-of single words is written once, bucketed by block and sorted by place.  Each step merge-joins relation k with it at the
-next place, counts the groups, keeps the frequent ones by a semi-join and writes relation k + 1 in the same buckets, so that
-no occurrence is shuffled again.  Words and phrases are compared as text, never by a hash.
+Relation k holds the occurrences of frequent k-word phrases: (block, place, id), the place right behind the phrase in its
+document.  A place between two pieces of a text is left empty, so words on either side of a mark are never neighbours.  Ids
+stand for phrases one to one: those of words come from the table of frequent words, those of longer phrases from the pairs
+(id of the phrase without its last word, id of that word) that were counted.  The relation of single words is written once,
+bucketed by block and sorted by place.  Each step merge-joins relation k with it at that place, counts the groups, keeps
+the frequent ones by a semi-join, which gives them their id, and writes relation k + 1 in the same buckets, so that no
+occurrence is shuffled again.
 """
 
 from __future__ import annotations
 
 import string
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,39 +24,42 @@ from ..operators.lookups import BROADCAST_BYTES, hot_keys, lookup, measured_byte
 from ..sources import scratch_root
 from .common import stored
 
+#: Buckets of the relations for each shuffle partition.
+BUCKETS_PER_PARTITION = 4
+
 # Marks become line feeds, which end a piece, and tabs become spaces, which end a word.
 _FROM = string.ascii_uppercase + ".,;:!?\x0b\x0c\r\t"
 _TO = string.ascii_lowercase + "\n" * 9 + " "
 
 
 def _occurrences(blocks: DataFrame) -> DataFrame:
-    """(block, lang, pos, phrase) of each word of ``blocks`` (block, lang, text)."""
+    """(block, lang, place, word) of each word of ``blocks`` (block, lang, text); the place counts from 1."""
     piece_words = F.transform(
         F.split(F.translate("text", _FROM, _TO), "\n"),
         lambda piece: F.concat(F.array_remove(F.split(piece, " "), ""), F.array(F.lit(""))),
     )
-    placed = blocks.select("block", "lang", F.posexplode(F.flatten(piece_words)).alias("pos", "phrase"))
-    return placed.where("phrase <> ''")
-
-
-def _counts(occurrences: DataFrame) -> DataFrame:
-    return occurrences.groupBy("lang", "phrase").agg(F.count("*").alias("a"))
+    placed = blocks.select("block", "lang", F.posexplode(F.flatten(piece_words)).alias("at", "word"))
+    return placed.where("word <> ''").select("block", "lang", (F.col("at") + 1).alias("place"), "word")
 
 
 def _buckets(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """A few for each shuffle partition, so that a bucket is sorted in memory."""
+    return BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
 
+def _with_ids(occurrences: DataFrame, frequent: DataFrame, key: Sequence[str], limit_bytes: int) -> DataFrame:
+    """(block, place, id) of the occurrences whose ``key`` is in ``frequent`` (key, id).
 
-def _frequent_only(occurrences: DataFrame, frequent: DataFrame, limit_bytes: int) -> DataFrame:
-    """Occurrences of the phrases in ``frequent``; beyond the broadcast limit hot phrases are salted and rows dealt anew."""
-    on = {"lang": "lang", "phrase": "phrase"}
-    size = measured_bytes(frequent.select(*on))[0]
+    Beyond the broadcast limit hot keys are salted and the rows dealt to their buckets anew.
+    """
+    frequent = frequent.select(*key, "id")
+    size = measured_bytes(frequent)[0]
     if size <= limit_bytes:
-        return occurrences.join(F.broadcast(frequent.select(*on)), list(on), "left_semi")
+        return occurrences.join(F.broadcast(frequent), list(key)).select("block", "place", "id")
     rows = stored(occurrences)
-    hot = hot_keys(rows, {"phrase": list(on)})["phrase"]
-    kept = lookup(rows, frequent, on, {"_a": "a"}, "inner", size, hot, limit_bytes).drop("_a")
-    return kept.repartition(_buckets(occurrences.sparkSession), "block")
+    hot = hot_keys(rows, {"key": list(key)})["key"]
+    kept = lookup(rows, frequent, {c: c for c in key}, {"id": "id"}, "inner", size, hot, limit_bytes)
+    return kept.select("block", "place", "id").repartition(_buckets(occurrences.sparkSession), "block")
 
 
 class _Relations:
@@ -65,8 +71,8 @@ class _Relations:
     def write(self, occurrences: DataFrame) -> DataFrame:
         name, path = f"starmill_{uuid.uuid4().hex}", scratch_root(self.spark)
         self.tables[name] = path
-        writer = occurrences.select("block", "pos", "lang", "phrase").write.format("parquet").option("path", path)
-        writer.bucketBy(_buckets(self.spark), "block").sortBy("block", "pos").saveAsTable(name)
+        writer = occurrences.select("block", "place", "id").write.format("parquet").option("path", path)
+        writer.bucketBy(_buckets(self.spark), "block").sortBy("block", "place").saveAsTable(name)
         return self.spark.table(name)
 
     def drop(self) -> None:
@@ -76,25 +82,40 @@ class _Relations:
             folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+#: Within the mining, joins by block and place may use buckets that were dealt by block alone, and the order of a bucket.
+SETTINGS = {
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
+}
+
+
 @contextmanager
 def _relations(spark: SparkSession) -> Iterator[_Relations]:
-    """Within, joins by block and place may use buckets that were dealt by block alone."""
-    setting = "spark.sql.requireAllClusterKeysForCoPartition"
-    before, relations = spark.conf.get(setting), _Relations(spark)
-    spark.conf.set(setting, "false")
+    before, relations = {name: spark.conf.get(name, None) for name in SETTINGS}, _Relations(spark)
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         yield relations
     finally:
-        spark.conf.set(setting, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
         relations.drop()
 
 
-def _extended(relation: DataFrame, words: DataFrame, k: int) -> DataFrame:
-    """Occurrences of k + 1 words: those of k words merge-joined with the word at the next place of the same block."""
-    heads = relation.select("block", "pos", "lang", "phrase", (F.col("pos") + k).alias("next"))
-    tails = words.select("block", F.col("pos").alias("next"), F.col("phrase").alias("word"))
-    both = heads.hint("merge").join(tails, ["block", "next"])
-    return both.select("block", "pos", "lang", F.concat_ws(" ", "phrase", "word").alias("phrase"))
+def _extended(relation: DataFrame, words: DataFrame) -> DataFrame:
+    """Occurrences of one word more: each merge-joined with the word at its place; (block, place, head, tail).
+
+    The place behind a single word is one on from its own, which the relation of words is sorted by.
+    """
+    heads = relation.select("block", "place", F.col("id").alias("head"))
+    tails = words.select("block", "place", F.col("id").alias("tail"))
+    both = heads.hint("merge").join(tails, ["block", "place"])
+    return both.select("block", (F.col("place") + 1).alias("place"), "head", "tail")
+
+
+def _numbered(counts: DataFrame, least: int) -> DataFrame:
+    """Groups with ``least`` occurrences or more, written with an id."""
+    return stored(counts.where(F.col("a") >= least).withColumn("id", F.monotonically_increasing_id()))
 
 
 def phrase_counts(
@@ -108,23 +129,30 @@ def phrase_counts(
     lang, text = F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")
     blocks = docs.select(F.monotonically_increasing_id().alias("block"), lang, text)
     with _relations(spark) as relations:
-        all_words = stored(_counts(_occurrences(blocks)))
+        all_words = stored(_occurrences(blocks).groupBy("lang", "word").agg(F.count("*").alias("a")))
         totals = stored(all_words.groupBy("lang").agg(F.sum("a").alias("n")))
-        frequent = stored(all_words.where(F.col("a") >= least))
+        frequent = _numbered(all_words, least)
         # Whole texts are dealt to the buckets, not their words, which take more room.
         dealt = _occurrences(blocks.repartition(_buckets(spark), "block"))
-        words = relation = relations.write(_frequent_only(dealt, frequent, limit_bytes))
-        found = frequent.withColumn("words", F.lit(1))
+        words = relations.write(_with_ids(dealt, frequent, ["lang", "word"], limit_bytes))
+        relation = words.select("block", (F.col("place") + 1).alias("place"), "id")
+        named = frequent.select("id", "lang", F.col("word").alias("phrase"), "a")
+        word_names = named.select(F.col("id").alias("tail"), F.col("phrase").alias("word"))
+        found = [named.drop("id").withColumn("words", F.lit(1))]
         for k in range(1, longest):
-            longer = _extended(relation, words, k)
-            frequent = stored(_counts(longer).where(F.col("a") >= least))
-            found = found.unionByName(frequent.withColumn("words", F.lit(k + 1)))
+            longer = _extended(relation, words)
+            frequent = _numbered(longer.groupBy("head", "tail").agg(F.count("*").alias("a")), least)
+            spelt = lookup(frequent, word_names, {"tail": "tail"}, {"word": "word"}, "inner", limit_bytes=limit_bytes)
+            heads = {"lang": "lang", "phrase": "phrase"}
+            spelt = lookup(stored(spelt), named, {"head": "id"}, heads, "inner", limit_bytes=limit_bytes)
+            named = stored(spelt.select("id", "lang", F.concat_ws(" ", "phrase", "word").alias("phrase"), "a"))
+            found.append(named.drop("id").withColumn("words", F.lit(k + 1)))
             if k + 1 < longest:
-                relation = relations.write(_frequent_only(longer, frequent, limit_bytes))
-        return totals, stored(found)
+                relation = relations.write(_with_ids(longer, frequent, ["head", "tail"], limit_bytes))
+        return totals, stored(reduce(DataFrame.unionByName, found))
 
 
-def _scored(candidates: DataFrame, counts: DataFrame) -> DataFrame:
+def _scored(candidates: DataFrame, counts: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Add ``l``, ``r`` and ``score`` of the cut with the lowest score, of equal ones that with the shortest first part."""
     part = F.split("phrase", " ")
     cuts = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("words") - 1)))
@@ -134,8 +162,8 @@ def _scored(candidates: DataFrame, counts: DataFrame) -> DataFrame:
             "rest": F.array_join(F.slice(part, F.col("k") + 1, F.col("words") - F.col("k")), " "),
         }
     )
-    cuts = lookup(stored(cuts), counts, {"lang": "lang", "first": "phrase"}, {"l": "a"}, "inner")
-    cuts = lookup(stored(cuts), counts, {"lang": "lang", "rest": "phrase"}, {"r": "a"}, "inner")
+    cuts = lookup(stored(cuts), counts, {"lang": "lang", "first": "phrase"}, {"l": "a"}, "inner", limit_bytes=limit_bytes)
+    cuts = lookup(stored(cuts), counts, {"lang": "lang", "rest": "phrase"}, {"r": "a"}, "inner", limit_bytes=limit_bytes)
     exact = {c: F.col(c).cast("decimal(18,0)").alias(f"_{c}") for c in "alr"}
     cuts = cuts.select("*", *exact.values()).withColumn("score", F.expr("(_a * _a * 1000000) div (_l * _r)"))
     best = F.min(F.struct("score", "k", "l", "r")).alias("best")
@@ -156,11 +184,20 @@ def _contained(candidates: DataFrame, percent: int) -> DataFrame:
 
 
 def _first(rows: DataFrame, top: int) -> DataFrame:
-    """The first ``top`` rows of each language with their ``rank``: first within parts of a language, then of these."""
+    """The first ``top`` rows of each language with their ``rank``.
+
+    Steps of scores are counted first.  Only rows from the step down to which ``top`` rows of a language reach are sorted,
+    first within parts of a language, then the first of these.
+    """
+    rows = stored(rows.withColumn("step", F.floor(16 * F.log2(F.col("score") + 1))))
+    steps = rows.groupBy("lang", "step").agg(F.count("*").alias("n"))
+    above = F.sum("n").over(Window.partitionBy("lang").orderBy(F.desc("step"))) - F.col("n")
+    edges = steps.withColumn("above", above).where(F.col("above") < top).groupBy("lang").agg(F.min("step").alias("edge"))
+    few = rows.join(edges, "lang").where("step >= edge").drop("step", "edge")
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     part = F.pmod(F.xxhash64("phrase"), F.lit(_buckets(rows.sparkSession)))
     inside = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
-    few = rows.withColumn("part", part).withColumn("rank", inside).where(F.col("rank") <= top)
+    few = few.withColumn("part", part).withColumn("rank", inside).where(F.col("rank") <= top)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")
     return few.withColumn("rank", rank).where(F.col("rank") <= top)
 
@@ -185,6 +222,6 @@ def collocations(
     count each time; ties go by the bytes of the phrase.  Other columns are ignored; an empty table gives an empty result.
     """
     totals, counts = phrase_counts(docs, longest, least, limit_bytes)
-    candidates = counts.where("words > 1")
-    chosen = stored(_first(_scored(_contained(candidates, percent), counts), top))
+    kept = _contained(counts.where("words > 1"), percent)
+    chosen = stored(_first(_scored(kept, counts, limit_bytes), top))
     return chosen.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -77,18 +77,22 @@ def test_odd_rows(spark):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("starmill_")]
 
 
-def test_occurrences_are_not_shuffled_again(spark):
+def test_occurrences_are_not_shuffled_or_sorted_again(spark):
     blocks = spark.createDataFrame([(k, "en", "a b c d " * 50) for k in range(40)], "block long, lang string, text string")
+    ids = spark.createDataFrame([("en", w, n) for n, w in enumerate("abcd")], "lang string, word string, id long")
     with collocation._relations(spark) as relations:
         dealt = collocation._occurrences(blocks.repartition(collocation._buckets(spark), "block"))
-        words = relations.write(dealt)
-        pairs = collocation._extended(words, words, 1)
+        words = relations.write(collocation._with_ids(dealt, ids, ["lang", "word"], 1 << 20))
+        pairs = collocation._extended(words.withColumn("place", words["place"] + 1), words)
         plan = pairs._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Exchange" not in plan
         assert pairs.count() == 40 * 199
-        triples = collocation._extended(relations.write(pairs), words, 2)
+        named = pairs.select("head", "tail").distinct().selectExpr("*", "10 * head + tail as id")
+        longer = relations.write(collocation._with_ids(pairs, named, ["head", "tail"], 1 << 20))
+        triples = collocation._extended(longer, words)
         plan = triples._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert "Sort [" not in plan
         assert triples.count() == 40 * 198
 
 
