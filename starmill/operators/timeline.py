@@ -12,6 +12,9 @@ its member so.  A delivery then touches two versions of a member at most, the on
 
 So the versions are those that the same deliveries give in the order of their days, in whatever order they are loaded.
 A version that is cut keeps its key for the earlier part; keys are never used for another state, so older facts stay right.
+
+The days of a version that never changes grow with the deliveries.  With a ``horizon`` those before it are forgotten, but for
+the first of each version, and deliveries of earlier days are refused from then on.
 """
 
 from __future__ import annotations
@@ -100,11 +103,15 @@ def timeline_merge(
     spec: DimSpec,
     as_of: date,
     store: Callable[[DataFrame], DataFrame] | None = None,
+    horizon: date | None = None,
 ) -> DataFrame:
     """Bring the delivery of the day ``as_of`` into ``dim``, whatever days were delivered before.
 
-    The changes are read several times; ``store`` writes them somewhere and returns them read back.
+    The changes are read several times; ``store`` writes them somewhere and returns them read back.  A delivery before the
+    ``horizon`` fails, so give one that never moves back.
     """
+    if horizon is not None and as_of < horizon:
+        raise ValueError(f"{spec.name}: a delivery of {as_of} is older than {horizon}, from when on days are known")
     delta = timeline_delta(dim, staging, spec, as_of)
     delta = store(delta) if store else delta
     touched = delta.where(F.col(spec.key).isNotNull()).select(F.col(spec.key).alias("_key"), F.lit(True).alias("flag"))
@@ -116,4 +123,8 @@ def timeline_merge(
     changed = delta.where(F.col(spec.key).isNotNull()).unionByName(numbered)
     columns = [*spec.columns, SEEN]
     current = F.col("end_date") == F.lit(OPEN_END)
-    return left.select(*columns).unionByName(changed.withColumn("current_flag", current).select(*columns))
+    merged = left.select(*columns).unionByName(changed.withColumn("current_flag", current).select(*columns))
+    if horizon is None:
+        return merged
+    known = F.filter(SEEN, lambda d: (d >= F.lit(horizon)) | (d == F.col("start_date")))
+    return merged.withColumn(SEEN, known)

@@ -97,3 +97,18 @@ def test_empty_sides(spark):
     dim = stored(timeline_merge(empty, one, SPEC, DAYS[1]))
     assert found(dim) == [("a", "x", 1, DAYS[1], OPEN_END, True, (DAYS[1],))]
     assert found(timeline_merge(dim, nothing, SPEC, DAYS[0])) == found(dim)
+
+
+def test_days_before_the_horizon_are_forgotten(spark):
+    deliveries = {day: {"a": ("x", 1), "b": ("y", n)} for n, day in enumerate(DAYS[:4])}
+    dim = loaded(spark, deliveries, DAYS[:4])[-1]
+    late = spark.createDataFrame([("a", "z", 1)], STAGED)
+    merged = stored(timeline_merge(dim, late, SPEC, date(2024, 3, 15), stored, horizon=DAYS[2]))
+    told = [r for r in found(merged) if r[0] == "a"]
+    assert [(r[1], r[3], r[4], r[6]) for r in told] == [
+        ("x", DAYS[0], date(2024, 3, 15), (DAYS[0], DAYS[2])),
+        ("x", DAYS[3], OPEN_END, (DAYS[3],)),
+        ("z", date(2024, 3, 15), DAYS[3], (date(2024, 3, 15),)),
+    ]
+    with pytest.raises(ValueError, match="older than 2024-03-01"):
+        timeline_merge(dim, late, SPEC, DAYS[1], horizon=DAYS[2])
