@@ -20,7 +20,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told, with that language as ``lang``.
 
-    Those without a letter, empty and null texts go, and those of which the network cannot place half.  If no document has a
+    Those without a letter, empty and null texts go, and those of which the network gives no language 0.3.  If no document has a
     ``lang`` to learn from, those with a letter stay as they are.
     """
     return language_id.with_language(docs, language_id.fit(docs))
