@@ -240,8 +240,8 @@ def _predicted(model: Model | None):
     return predict
 
 
-#: A text of which the network gives no language this share has no language.
-LEAST = 0.5
+#: A text of which the network gives no language this share has no language.  Low, so that short clean texts stay.
+LEAST = 0.3
 
 
 def language(model: Model | None, least: float = 0.0):
