@@ -173,8 +173,9 @@ def profile_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.col("l_orderkey") % 3 == 0
     states = [stored(profile_states(lines.where(part))) for part in (first, ~first)]
     report = profile_report(merged_profiles(*states))
-    quartiles = [F.col("quantiles")[n].alias(f"quartile_{n + 1}") for n in range(3)]
-    most = F.col("frequent")[0]
+    quartiles = [F.get("quantiles", F.lit(n)).alias(f"quartile_{n + 1}") for n in range(3)]
+    # The list is empty where no value is surely frequent: in an empty column, or one of very many different values.
+    most = F.get("frequent", F.lit(0))
     most = [most["item"].alias("most_frequent"), most["count"].alias("most_frequent_count")]
     return report.select("*", *quartiles, *most).drop("quantiles", "frequent")
 

@@ -62,7 +62,11 @@ def merged_profiles(*states: DataFrame) -> DataFrame:
 
 
 def profile_report(states: DataFrame, ranks: Sequence[float] = (0.25, 0.5, 0.75), frequent: int = 5) -> DataFrame:
-    """What states say: counts and ranges, ``distinct_estimate``, ``quantiles`` at ``ranks`` and the ``frequent`` values."""
+    """What states say: counts and ranges, ``distinct_estimate``, ``quantiles`` at ``ranks`` and the ``frequent`` values.
+
+    A value is listed only if it is surely more frequent than the sketch's error, so a column whose values are all rare has
+    an empty list.
+    """
     has_numbers = F.kll_sketch_get_n_double("quantile_sketch") > 0
     at = F.kll_sketch_get_quantile_double("quantile_sketch", F.array(*[F.lit(float(r)) for r in ranks]))
     return states.select(
