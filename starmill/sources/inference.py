@@ -20,26 +20,47 @@ DDL = {"empty": "string", "int": "int", "long": "bigint", "double": "double", "d
 
 def least_kind(value: Column, date_format: str = "yyyy-MM-dd") -> Column:
     """The least type that holds one text value."""
-    whole = value.rlike(_WHOLE)
+    # A cast that fails costs a hundred times as much as one that does not, so whole numbers are told by their size.
+    size = F.length(F.regexp_extract(value, r"^[+-]?0*(\d*)", 1))
+    exact = value.try_cast("decimal(38,0)")
+    number = (
+        F.when(size < 10, F.lit("int"))
+        .when(size > 19, F.lit("double"))
+        .when(exact.between(-(2**31), 2**31 - 1), F.lit("int"))
+        .when(exact.between(-(2**63), 2**63 - 1), F.lit("long"))
+        .otherwise(F.lit("double"))
+    )
+    day = F.try_to_date(value, date_format).isNotNull()
     return (
         F.when(value.isNull() | (value == ""), F.lit("empty"))
-        .when(whole & value.try_cast("int").isNotNull(), F.lit("int"))
-        .when(whole & value.try_cast("bigint").isNotNull(), F.lit("long"))
+        .when(value.rlike(_WHOLE), number)
         .when(value.rlike(_NUMBER), F.lit("double"))
-        .when(F.try_to_date(value, date_format).isNotNull(), F.lit("date"))
+        .when(_may_be_day(value, date_format) & day, F.lit("date"))
         .otherwise(F.lit("text"))
     )
 
 
+def _may_be_day(value: Column, date_format: str) -> Column:
+    """Whether ``value`` looks like a day at all: parsing one that is none costs a hundred times as much as a look.
+
+    A date in ISO order has two hyphens and a digit, one of another form with a day or year in numbers has a digit.
+    """
+    if date_format == "yyyy-MM-dd":
+        return value.rlike(r"\d.*-.*-.*\d")
+    unquoted = "".join(date_format.split("'")[::2])
+    return value.rlike(r"\d") if set(unquoted) & set("yud") else F.lit(True)
+
+
 def type_states(text: DataFrame, date_format: str = "yyyy-MM-dd") -> DataFrame:
     """One row per column of ``text``, all of whose columns are text: ``position``, ``column_name`` and a count per type."""
+    # Types are found in a step of their own: the counts, one per type, would each find them again.
+    kinds = text.select(*[least_kind(F.col(f"`{c}`"), date_format).alias(f"kind_{n}") for n, c in enumerate(text.columns)])
 
     def state(position: int, name: str) -> Column:
-        kind = least_kind(F.col(f"`{name}`"), date_format)
-        counts = [F.count(F.when(kind == k, 1)).alias(f"n_{k}") for k in KINDS]
+        counts = [F.count(F.when(F.col(f"kind_{position}") == k, 1)).alias(f"n_{k}") for k in KINDS]
         return F.struct(F.lit(position).alias("position"), F.lit(name).alias("column_name"), *counts)
 
-    states = text.agg(F.array(*[state(n, c) for n, c in enumerate(text.columns)]).alias("states"))
+    states = kinds.agg(F.array(*[state(n, c) for n, c in enumerate(text.columns)]).alias("states"))
     return states.select(F.inline("states"))
 
 

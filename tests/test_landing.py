@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from starmill.sources import (
     TooManyRejects,
@@ -14,7 +15,9 @@ from starmill.sources import (
     read_delimited,
     read_table,
     resolved,
+    type_states,
 )
+from starmill.sources.inference import least_kind
 
 SCHEMA = "id long, day date, `the size` int, price double"
 
@@ -105,3 +108,25 @@ def test_an_inferred_schema_reads_the_file_it_came_from(spark, tmp_path):
     assert schema == "`a` int, `b` date, `c` string, `d` string, `e` double, `f` string"
     rows = read_delimited(spark, path, schema, ";")
     assert sorted(r.a for r in rows.collect()) == [-2147483648, 1, 7]
+
+
+def test_the_type_of_a_value_is_found_once(spark):
+    """Neither once for each type it could be, nor by casts that fail; both took most of the time."""
+    text = spark.createDataFrame([("1", "1-URGENT"), ("2147483648", "n/a")], "a string, b string")
+    plan = type_states(text)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("yyyy-MM-dd") == len(text.columns)
+    assert "as bigint)" not in plan.split("Aggregate")[-1]
+
+
+def test_types_at_the_edges(spark):
+    kinds_of = {
+        "int": ["+1", "-2147483648", "2147483647", "0" * 60 + "5"],
+        "long": ["2147483648", "-9223372036854775808", "9223372036854775807"],
+        "double": ["9223372036854775808", "1" * 400, ".5", "5.", "1e5"],
+        "date": ["2020-01-01", "+12020-01-01"],
+        "text": [" 5", "1-URGENT", "2020-02-30", "2020-1-1", "1-2-3", "NaN", "-"],
+        "empty": ["", None],
+    }
+    rows = [(kind, value) for kind, values in kinds_of.items() for value in values]
+    frame = spark.createDataFrame(rows, "kind string, value string").withColumn("found", least_kind(F.col("value")))
+    assert [tuple(r) for r in frame.where("kind <> found").collect()] == []
