@@ -174,7 +174,7 @@ def profile_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     states = [stored(profile_states(lines.where(part))) for part in (first, ~first)]
     report = profile_report(merged_profiles(*states))
     quartiles = [F.get("quantiles", F.lit(n)).alias(f"quartile_{n + 1}") for n in range(3)]
-    # The list is empty where no value is surely frequent: in an empty column, or one of very many different values.
+    # The list is empty where no value is surely frequent, as in a column of very many different values.
     most = F.get("frequent", F.lit(0))
     most = [most["item"].alias("most_frequent"), most["count"].alias("most_frequent_count")]
     return report.select("*", *quartiles, *most).drop("quantiles", "frequent")
@@ -418,7 +418,7 @@ def fact_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored fact after a delivery, a later one with late and corrected flights, and an older one that comes last."""
     wanted = ["l_orderkey", "l_linenumber", "FlightDate", "AirTime"]
     month = F.year("FlightDate") * 12 + F.month("FlightDate")
-    rows = flights(spark, sf_dir, wanted).withColumn("month", month)
+    rows = stored(flights(spark, sf_dir, wanted).withColumn("month", month))
     rows = rows.withColumn(IDENTITY, identity("l_orderkey", "l_linenumber"))
     number, root = F.col("l_orderkey"), scratch_root(spark)
     first = rows.where(number % 10 != 0)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import exists, replace_table, write_table
@@ -21,7 +21,7 @@ from .lookups import BROADCAST_BYTES, lookup
 #: Columns of a merged fact besides its own.
 IDENTITY, DELIVERED = "row_identity", "delivered_on"
 #: The intermediate tables of a merge, in their order.
-MERGE_STEPS = ("delivered", "both", "last", "kept")
+MERGE_STEPS = ("delivered", "last", "kept")
 
 
 def identity(*columns: str) -> Column:
@@ -54,13 +54,18 @@ def latest(
 ) -> DataFrame:
     """Rows of both, ``_new`` telling them apart, with ``_stays``: whether no later delivery has their identity.
 
-    All rows that a delivery has of one identity stay or go together; rows without an identity always stay.
+    All rows that a delivery has of one identity stay or go together; rows without an identity always stay.  Only
+    identities that came with more than one delivery are looked up, and these are read from ``store``.  ``old`` and ``new``
+    are read several times, so give stored rows.
     """
-    both = store(old.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True))))
-    when = F.struct(DELIVERED, "_new")
-    last = store(both.groupBy(IDENTITY).agg(F.max(when).alias("last")))
+    both = old.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
+    # The order of (day, new) as one number, which is compared by hashing; a row without a day is older than all others.
+    when = F.coalesce(F.unix_date(DELIVERED).cast("long"), F.lit(-(2**40))) * 2 + F.col("_new").cast("int")
+    told = both.where(F.col(IDENTITY).isNotNull()).groupBy(IDENTITY)
+    told = told.agg(F.min(when).alias("first"), F.max(when).alias("last"))
+    last = store(told.where("first < last").select(IDENTITY, "last"))
     joined = lookup(both, last, {IDENTITY: IDENTITY}, {"_last": "last"}, limit_bytes=limit_bytes)
-    stays = F.col(IDENTITY).isNull() | when.eqNullSafe(F.col("_last"))
+    stays = F.col("_last").isNull() | (when == F.col("_last"))
     return joined.withColumn("_stays", stays).drop("_last")
 
 
@@ -87,21 +92,21 @@ def merge_fact(
 
     new = store("delivered")(rows.withColumn(DELIVERED, F.lit(delivered_on)))
     touched = [r[0] for r in new.select(partition).distinct().collect()]
-    if exists(spark, path):
-        full = f"{schema}, {IDENTITY} string, {DELIVERED} date"
-        stored = spark.read.schema(full).parquet(path)
-        inside = F.col(partition).isin([v for v in touched if v is not None])
-        old = stored.where(inside | F.col(partition).isNull() if None in touched else inside).select(*new.columns)
-    else:
-        old = new.limit(0)
-    names = iter(MERGE_STEPS[1:3])
-    marked = latest(old, new, lambda df: store(next(names))(df), limit_bytes)
-    counts = marked.groupBy("_new", "_stays").count().collect()
-    n = {(r["_new"], r["_stays"]): r["count"] for r in counts}
-    kept = store("kept")(marked.where("_stays").drop("_new", "_stays"))
+    if not exists(spark, path):
+        # Nothing can be replaced: the delivery is the fact.
+        write_table(new, path, partition_by=[partition], keep_others=True)
+        return Merge(0, new.count(), 0, 0, tuple(touched))
+    full = f"{schema}, {IDENTITY} string, {DELIVERED} date"
+    stored = spark.read.schema(full).parquet(path)
+    inside = F.col(partition).isin([v for v in touched if v is not None])
+    old = stored.where(inside | F.col(partition).isNull() if None in touched else inside).select(*new.columns)
+    marked = latest(old, new, store("last"), limit_bytes)
+    # The rows are counted by the job that writes them.
+    counts, is_new, stays = Observation(), F.col("_new"), F.col("_stays")
+    kinds = {"kept": ~is_new & stays, "replaced": ~is_new & ~stays, "added": is_new & stays, "ignored": is_new & ~stays}
+    observed = marked.observe(counts, *[F.count_if(kind).alias(name) for name, kind in kinds.items()])
+    kept = store("kept")(observed.where("_stays").drop("_new", "_stays"))
     write_table(kept, path, partition_by=[partition], keep_others=True)
-    before = n.get((False, True), 0) + n.get((False, False), 0)
-    delivered = n.get((True, True), 0) + n.get((True, False), 0)
-    return Merge(before, delivered, n.get((False, False), 0), n.get((True, False), 0), tuple(touched))
-
-
+    n = counts.get
+    before, delivered = n["kept"] + n["replaced"], n["added"] + n["ignored"]
+    return Merge(before, delivered, n["replaced"], n["ignored"], tuple(touched))

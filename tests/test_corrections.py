@@ -72,3 +72,13 @@ def test_rows_without_an_identity_stay(spark, tmp_path):
     for day in DAYS[:2]:
         merge_fact(spark, f"{tmp_path}/fact", frame, "part", day, SCHEMA, f"{tmp_path}/work")
     assert len(stored(spark, tmp_path)) == 4
+
+
+def test_only_identities_of_several_deliveries_are_looked_up(spark, tmp_path):
+    work = tmp_path / "work"
+    merged(spark, tmp_path, [(n, n % 3, 1.0) for n in range(50)], DAYS[0])
+    assert sorted(p.name for p in work.iterdir()) == ["delivered"]  # there was nothing to merge with
+    done = merged(spark, tmp_path, [(n, n % 3, 2.0) for n in range(40, 60)], DAYS[1])
+    assert (done.rows_before, done.rows_delivered, done.rows_replaced, done.rows_ignored) == (50, 20, 10, 0)
+    assert sorted(p.name for p in work.iterdir()) == ["delivered", "kept", "last"]
+    assert spark.read.parquet(f"{work}/last/v*").count() == 10
