@@ -205,6 +205,22 @@ def _former(staged: DataFrame, spec: DimSpec) -> DataFrame:
     return staged.withColumn(attribute, F.when(changed, F.lit("former")).otherwise(F.col(attribute)))
 
 
+_staged: dict[tuple[str, str], dict[DimSpec, DataFrame]] = {}
+
+
+def staged_dimensions(spark: SparkSession, sf_dir: str) -> dict[DimSpec, DataFrame]:
+    """The staged deliveries, stored once per application: every load reads them several times, and airports come from all flights."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known not in _staged:
+        rows = {
+            AIRLINE: stage_airline(airlines(spark, sf_dir)),
+            AIRPORT: staged_airports(spark, sf_dir),
+            PLANE: stage_plane(planes(spark, sf_dir), engines(spark, sf_dir)),
+        }
+        _staged[known] = {spec: stored(frame) for spec, frame in rows.items()}
+    return _staged[known]
+
+
 _presentation: dict[tuple[str, str], Dimensions] = {}
 
 
@@ -213,11 +229,7 @@ def presentation(spark: SparkSession, sf_dir: str) -> Dimensions:
     known = (spark.sparkContext.applicationId, sf_dir)
     if known not in _presentation:
         root = scratch_root(spark)
-        staged = {
-            AIRLINE: stage_airline(airlines(spark, sf_dir)),
-            AIRPORT: staged_airports(spark, sf_dir),
-            PLANE: stage_plane(planes(spark, sf_dir), engines(spark, sf_dir)),
-        }
+        staged = staged_dimensions(spark, sf_dir)
         for spec, rows in staged.items():
             load_dimension(spark, f"{root}/{spec.name}", _former(rows, spec), spec, FORMER_LOAD)
         loaded = {s: load_dimension(spark, f"{root}/{s.name}", rows, s, LOAD_DATE) for s, rows in staged.items()}
@@ -240,11 +252,7 @@ HISTORY = (date(1995, 7, 1), date(1997, 3, 1), date(1999, 9, 1))
 def history(spark: SparkSession, sf_dir: str) -> Dimensions:
     """Airlines, airports and planes as three loads left them while flights went on, with the calendars."""
     root, present = scratch_root(spark), presentation(spark, sf_dir)
-    staged = {
-        AIRLINE: stage_airline(airlines(spark, sf_dir)),
-        AIRPORT: staged_airports(spark, sf_dir),
-        PLANE: stage_plane(planes(spark, sf_dir), engines(spark, sf_dir)),
-    }
+    staged = staged_dimensions(spark, sf_dir)
     loaded = {}
     for spec, rows in staged.items():
         attribute, divisor = CHANGED[spec]

@@ -39,7 +39,9 @@ def _started(versions: Column, day: Column) -> Column:
         )
 
     steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(versions) + 1)).cast("int"))
-    return F.aggregate(steps, whole, halved)["low"]
+    # Most members have one version, which needs no search.
+    first = F.coalesce((F.get(versions, F.lit(0))["start_date"] <= day).cast("int"), F.lit(0))
+    return F.when(F.size(versions) < 2, first).otherwise(F.aggregate(steps, whole, halved)["low"])
 
 
 def version_on(versions: Column, day: Column, reach_back: bool = False) -> Column:
@@ -48,9 +50,13 @@ def version_on(versions: Column, day: Column, reach_back: bool = False) -> Colum
     Intervals are half-open.  NULL without a member, without a day, in a gap between versions and after the last one.
     Before the first version NULL as well, or with ``reach_back`` the key of the first version.
     """
-    started = _started(versions, day)
-    last = F.get(versions, started - 1)
-    found = F.when((started > 0) & (day < last["end_date"]), last["surrogate"])
-    if not reach_back:
-        return found
-    return F.when((started == 0) & day.isNotNull(), F.get(versions, F.lit(0))["surrogate"]).otherwise(found)
+
+    def key(started: Column) -> Column:
+        last = F.get(versions, started - 1)
+        found = F.when((started > 0) & (day < last["end_date"]), last["surrogate"])
+        if not reach_back:
+            return found
+        return F.when((started == 0) & day.isNotNull(), F.get(versions, F.lit(0))["surrogate"]).otherwise(found)
+
+    # The count is used several times; as the element of an array it is found by one bisection.
+    return F.get(F.transform(F.array(_started(versions, day)), key), F.lit(0))

@@ -189,11 +189,10 @@ def _find_keys(
     at_once = [target for targets in shared.values() for target in targets]
     hot = hot_keys(rows, {target: columns for target, columns in large.items() if target not in at_once})
     for dimension, targets in shared.items():
-        rows = _roles_at_once(rows, tables[dimension], {t: roles[t] for t in targets}, limit_bytes)
+        day = valid_on if dimension in VERSIONED else None
+        rows = _roles_at_once(rows, tables[dimension], {t: roles[t] for t in targets}, limit_bytes, day, reach_back)
     for target, role in roles.items():
         if target in at_once:
-            if valid_on is not None and role.dimension in VERSIONED:
-                rows = rows.withColumn(target, version_on(F.col(target), valid_on, reach_back))
             continue
         rows = lookup(
             rows,
@@ -219,23 +218,36 @@ def _shared(roles: Mapping[str, Role], large: Collection[str], inner: Sequence[s
     return {dimension: targets for dimension, targets in found.items() if len(targets) > 1}
 
 
-def _roles_at_once(rows: DataFrame, table: DataFrame, roles: Mapping[str, Role], limit_bytes: int) -> DataFrame:
+def _roles_at_once(
+    rows: DataFrame,
+    table: DataFrame,
+    roles: Mapping[str, Role],
+    limit_bytes: int,
+    valid_on: Column | None = None,
+    reach_back: bool = False,
+) -> DataFrame:
     """Look up several roles of one large dimension while ``rows``, which have a number, are shuffled once.
 
     Each key that is there becomes a row of its own, (row number, role, key), and only these narrow rows meet the
-    dimension.  What they find is put side by side per row number and joined to the rows by it.
+    dimension.  What they find is put side by side per row number and joined to the rows by it.  With the day ``valid_on``
+    they carry it, and the version is chosen where they meet the dimension, so that one number goes on rather than all
+    versions.
     """
     names = list(next(iter(roles.values())).on.values())
     uses = [
-        F.struct(F.lit(target).alias("role"), *[F.col(c).alias(n) for c, n in role.on.items()])
-        for target, role in roles.items()
+        F.struct(F.lit(number).alias("role"), *[F.col(c).alias(n) for c, n in role.on.items()])
+        for number, role in enumerate(roles.values())
     ]
     there = F.filter(F.array(*uses), lambda use: reduce(and_, [use[n].isNotNull() for n in names]))
-    keys = rows.select(_ROW, F.inline(there))
+    day = [] if valid_on is None else [valid_on.alias("_day")]
+    keys = rows.select(_ROW, *day, F.inline(there))
     hot = hot_keys(keys, {"key": names})["key"]
     on = {n: n for n in names}
     found = lookup(keys, table, on, {"surrogate": "surrogate"}, "inner", limit_bytes + 1, hot, limit_bytes)
-    side_by_side = [F.first(F.when(F.col("role") == t, F.col("surrogate")), ignorenulls=True).alias(t) for t in roles]
+    if valid_on is not None:
+        found = found.select(_ROW, "role", version_on(F.col("surrogate"), F.col("_day"), reach_back).alias("surrogate"))
+    # A row has one key per role and a key one table row, so the largest number is the only one; a maximum is hashed.
+    side_by_side = [F.max(F.when(F.col("role") == n, F.col("surrogate"))).alias(t) for n, t in enumerate(roles)]
     return rows.join(found.groupBy(_ROW).agg(*side_by_side), _ROW, "left")
 
 

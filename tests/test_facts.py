@@ -208,3 +208,45 @@ def test_roles_of_one_large_dimension_share_one_shuffle(flights, dims):
     assert len([line for line in plan.splitlines() if "Join LeftOuter" in line]) == 1
     point = daily_fact(flights, dims, columns, limit_bytes=0, store=stored, point_in_time=True, reach_back=True)
     assert point.count() == len(want)
+
+
+def test_versions_are_chosen_where_keys_meet_a_large_dimension(spark, tmp_path):
+    """What goes on to the rows is one number per role, not the versions of a member."""
+    from datetime import date
+
+    from pyspark.sql import functions as F
+
+    from starmill.plans.facts import Role, _roles_at_once
+
+    days = [date(2020, 1, 1), date(2021, 1, 1), date(9999, 12, 31)]
+    table = spark.createDataFrame(
+        [("a", [(days[0], days[1], 1), (days[1], days[2], 2)]), ("b", [(days[1], days[2], 3)])],
+        "code string, surrogate array<struct<start_date:date,end_date:date,surrogate:bigint>>",
+    )
+    flown = [(0, date(2020, 5, 1), "a", "b"), (1, date(2021, 1, 1), "a", "b"), (2, date(2019, 1, 1), "a", None), (3, None, "a", "x")]
+    rows = spark.createDataFrame(flown, "_row_number long, day date, x string, y string")
+    roles = {"x_key": Role("plane", {"x": "code"}), "y_key": Role("plane", {"y": "code"})}
+    got = _roles_at_once(rows, table, roles, 0, F.col("day")).select("_row_number", "x_key", "y_key")
+    assert sorted(tuple(r) for r in got.collect()) == [(0, 1, None), (1, 2, 3), (2, None, None), (3, None, None)]
+    early = _roles_at_once(rows, table, roles, 0, F.col("day"), True).select("_row_number", "x_key", "y_key")
+    assert sorted(tuple(r) for r in early.collect()) == [(0, 1, 3), (1, 2, 3), (2, 1, None), (3, None, None)]
+
+
+def test_dimensions_are_staged_once(spark, tmp_path):
+    from registered import analogues
+
+    tables = {
+        "region": ("r_regionkey int, r_name string", [(0, "R")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(0, "N", 0)]),
+        "customer": ("c_custkey long, c_nationkey int", [(1, 0)]),
+        "supplier": ("s_suppkey long, s_name string, s_nationkey int", [(1, "S", 0)]),
+        "part": ("p_partkey long, p_name string, p_brand string, p_type string, p_size int", [(1, "P", "Brand#11", "T", 2)]),
+        "orders": ("o_orderkey long, o_custkey long", [(1, 1)]),
+        "lineitem": ("l_orderkey long", [(1,)]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    staged = analogues.staged_dimensions(spark, str(tmp_path))
+    assert analogues.staged_dimensions(spark, str(tmp_path)) is staged
+    for frame in staged.values():
+        assert frame.count() == 1 and not any(str(tmp_path) in file for file in frame.inputFiles())

@@ -97,3 +97,14 @@ def test_no_range_is_joined(spark):
         fact = daily_fact(flights, dims, ["airline_key"], limit_bytes=limit, point_in_time=True)
         plan = fact._jdf.queryExecution().executedPlan().toString()
         assert not re.search("NestedLoop|Cartesian|Python", plan)
+
+
+def test_the_version_is_sought_once_per_value(spark):
+    from pyspark.sql import functions as F
+
+    from starmill.operators.validity import VERSIONS, version_on
+
+    frame = spark.createDataFrame([], f"versions {VERSIONS}, day date")
+    for reach_back in (False, True):
+        found = frame.select(version_on(F.col("versions"), F.col("day"), reach_back).alias("key"))
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
