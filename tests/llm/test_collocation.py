@@ -104,3 +104,25 @@ def test_scores_are_exact_beyond_64_bits(spark):
     row = collocation._scored(counts.where("words > 1"), counts).first()
     a, left, right = 3 * 10**12 + 1, 4 * 10**12 + 7, 5 * 10**12 + 9
     assert tuple(row) == ("en", "x y", a, left, right, 1000000 * a * a // (left * right))
+
+
+def test_words_are_cut_in_generated_code(spark):
+    blocks = spark.createDataFrame(
+        [(1, "en", "ABC. ÀB\tKZ\xa0Q  İ,;x\x0bY\x85z"), (2, "en", ""), (3, "en", ".\n"), (4, "en", "end")],
+        "block long, lang string, text string",
+    )
+    occurrences = collocation._occurrences(blocks)
+    # A lambda would be called word by word outside the generated code.
+    assert "lambdafunction" not in occurrences._jdf.queryExecution().executedPlan().toString()
+    words = [(r.block, r.place, r.word) for r in occurrences.orderBy("block", "place").collect()]
+    assert [w for _, _, w in words] == ["abc", "Àb", "Kz\xa0q", "İ", "x", "y\x85z", "end"]
+    places = [p for b, p, _ in words if b == 1]
+    assert [b - a > 1 for a, b in zip(places, places[1:])] == [True, False, False, True, True]
+
+
+def test_ids_are_ints_without_gaps(spark):
+    counts = spark.range(0, 1000, 1, 7).selectExpr("id AS head", "id % 20 AS a").repartition(5)
+    numbered = collocation._numbered(counts, 10)
+    assert dict(numbered.dtypes)["id"] == "int" and numbered.columns == ["head", "a", "id"]
+    assert sorted(r.id for r in numbered.collect()) == list(range(500))
+    assert collocation._numbered(counts, 50).count() == 0
